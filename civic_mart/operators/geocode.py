@@ -50,25 +50,34 @@ def _first(value: Column, order: Column) -> Column:
 
 
 def geocode(records: DataFrame, spec: GeocodeSpec, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    ord_col = F.struct(*[F.col(c) for c in spec.order])
+    """One row per ``spec.key`` with the merged fields and layer attributes."""
     loc = [spec.key, spec.x, spec.y, spec.borough]
-    if spec.dedupe_locations:
-        groups = records.groupBy(*loc).agg(
-            F.min(ord_col).alias("_ord"),
-            *[F.min(_first(F.col(src), ord_col)).alias(f"_f_{out}") for out, src in spec.fields.items()],
-        )
-    else:
-        groups = records.select(*loc, ord_col.alias("_ord"),
-                                *[_first(F.col(src), ord_col).alias(f"_f_{out}") for out, src in spec.fields.items()])
+    if not spec.dedupe_locations:
+        # unique keys: every record is its own group, no aggregation needed
+        hit = records.select(*loc, *[F.col(src).alias(f"_src_{out}") for out, src in spec.fields.items()])
+        for ls in spec.layers:
+            hit = spatial.locate(hit, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit)
+        cols = [F.col(spec.key)] + [F.col(f"_src_{out}").alias(out) for out in spec.fields]
+        for ls in spec.layers:
+            cols += [F.col(f"{ls.prefix}{attr}").alias(out) for out, attr in ls.outputs.items()]
+        if spec.layers:
+            cols += [F.coalesce(*[F.col(f"{ls.prefix}{ls.borough_attrs[0]}") for ls in spec.layers]).alias("borough_code"),
+                     F.coalesce(*[F.col(f"{ls.prefix}{ls.borough_attrs[1]}") for ls in spec.layers]).alias("borough_name")]
+        return hit.select(*cols)
+
+    ord_col = F.struct(*[F.col(c) for c in spec.order])
+    groups = records.groupBy(*loc).agg(
+        F.min(ord_col).alias("_ord"),
+        *[F.min(_first(F.col(src), ord_col)).alias(f"_f_{out}") for out, src in spec.fields.items()],
+    )
     hit = groups
     for ls in spec.layers:
-        hit = spatial.lookup(hit, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit)
+        hit = spatial.locate(hit, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit)
 
     aggs = [F.min(F.col(f"_f_{out}"))["v"].alias(out) for out in spec.fields]
     boro_code, boro_name = [], []
     for ls in spec.layers:
-        pid = F.col(f"{ls.prefix}pid")
-        order = F.struct(F.col("_ord"), pid)
+        order = F.struct(F.col("_ord"), F.col(f"{ls.prefix}pid"))
         for out, attr in ls.outputs.items():
             aggs.append(F.min(_first(F.col(f"{ls.prefix}{attr}"), order))["v"].alias(out))
         boro_code.append(F.min(_first(F.col(f"{ls.prefix}{ls.borough_attrs[0]}"), order))["v"])

@@ -17,11 +17,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
 
 
 def lookup_with_default(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, value: str,
-                        out: str, default: str = UNSPECIFIED, max_rows: int = 1_000_000) -> DataFrame:
+                        out: str, default: str = UNSPECIFIED, max_rows: int = 1_000_000,
+                        known_rows: int | None = None) -> DataFrame:
     """Exact (case-sensitive) match of ``df[key]`` in ``lookup``; first category wins
-    (smallest value, deterministic); no match or NULL key -> ``default``."""
+    (smallest value, deterministic); no match or NULL key -> ``default``.
+    ``known_rows`` skips the size check for lookups built from a literal list."""
     one = lookup.groupBy(F.col(lookup_key).alias("_lk")).agg(F.min(value).alias("_lv"))
-    one = broadcast_if_small(one, max_rows)
+    if known_rows is not None and known_rows <= max_rows:
+        one = F.broadcast(one)
+    else:
+        one = broadcast_if_small(one, max_rows)
     return (df.join(one, F.col(key) == F.col("_lk"), "left")
             .withColumn(out, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv"))
 

@@ -103,17 +103,20 @@ class Layer:
 
     ``df`` columns: ``_bkey`` (borough bucket), ``_pid`` (ordering id, smallest wins),
     ``_edges``, bounding box ``_xmin/_xmax/_ymin/_ymax`` and the attribute columns.
+    ``size_bound`` bounds the bytes of the cell table built from it.
     """
 
     df: DataFrame
     attrs: tuple[str, ...]
     cell: float
+    size_bound: int
 
 
 def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col: str,
                   attrs: list[str], cell: float | None = None) -> Layer:
     """Parse WKT once per polygon; pick the index cell size from the layer itself
-    (square root of the mean bounding-box area) unless given."""
+    (square root of the mean bounding-box area) unless given, and bound the size of
+    the cell table, all from one aggregate over the layer."""
     rings = wkt_rings(F.col(geom_col))
     xs = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["x"])))
     ys = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["y"])))
@@ -125,11 +128,18 @@ def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col:
         F.array_min(ys).alias("_ymin"), F.array_max(ys).alias("_ymax"),
         *[F.col(a) for a in attrs],
     )
+    w, h = F.col("_xmax") - F.col("_xmin"), F.col("_ymax") - F.col("_ymin")
+    attr_len = sum((F.coalesce(F.length(F.col(a).cast("string")), F.lit(0)) for a in attrs), F.lit(0))
+    st = df.agg(F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("area"), F.sum(w + h).alias("perim"),
+                F.max(F.size("_edges") * 32 + attr_len + 96).alias("row")).first()
+    n = st["n"] or 0
     if cell is None:
-        row = df.agg(F.avg((F.col("_xmax") - F.col("_xmin")) * (F.col("_ymax") - F.col("_ymin"))).alias("a")).first()
-        area = row["a"] if row and row["a"] else 1.0
-        cell = math.sqrt(area) if area > 0 else 1.0
-    return Layer(df=df, attrs=tuple(attrs), cell=float(cell))
+        mean_area = (st["area"] or 0.0) / n if n else 0.0
+        cell = math.sqrt(mean_area) if mean_area > 0 else 1.0
+    # cells per polygon <= (w/c + 2)(h/c + 2); summed over polygons, times the widest row
+    cells = (st["area"] or 0.0) / cell ** 2 + 2 * (st["perim"] or 0.0) / cell + 4 * n
+    bound = int(cells * (st["row"] or 0)) if n else 0
+    return Layer(df=df, attrs=tuple(attrs), cell=float(cell), size_bound=bound)
 
 
 def _cell_of(v: Column, cell: float) -> Column:
@@ -145,65 +155,52 @@ def exploded_layer(layer: Layer) -> DataFrame:
     )
 
 
-def estimated_bytes(layer: Layer) -> int:
-    """Size bound of the exploded layer: rows x (fixed part + 32 bytes per edge + attributes)."""
-    c = layer.cell
-    ncells = (_cell_of(F.col("_xmax"), c) - _cell_of(F.col("_xmin"), c) + 1) * (
-        _cell_of(F.col("_ymax"), c) - _cell_of(F.col("_ymin"), c) + 1)
-    attr_len = sum((F.coalesce(F.length(F.col(a).cast("string")), F.lit(0)) for a in layer.attrs), F.lit(0))
-    row = layer.df.agg(F.sum(ncells * (F.size("_edges") * 32 + attr_len + 96)).alias("b")).first()
-    return int(row["b"] or 0)
+def cell_table(layer: Layer) -> DataFrame:
+    """One row per (borough bucket, index cell): the candidate polygons touching the
+    cell, sorted by polygon id.  A cell's list is bounded by the polygons whose box
+    touches it, and the whole table by ``layer.size_bound``."""
+    cand = F.struct(F.col("_pid"), F.col("_xmin"), F.col("_xmax"), F.col("_ymin"), F.col("_ymax"),
+                    F.col("_edges"), *[F.col(a) for a in layer.attrs])
+    return exploded_layer(layer).groupBy("_bkey", "_cx", "_cy").agg(
+        F.array_sort(F.collect_list(cand)).alias("_cands"))
 
 
-def lookup(points: DataFrame, layer: Layer, x: str, y: str, borough: str, prefix: str,
+def locate(points: DataFrame, layer: Layer, x: str, y: str, borough: str, prefix: str,
            broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Left join every point to the polygons of its borough bucket that strictly contain it.
+    """Add ``{prefix}pid`` and ``{prefix}<attr>``: the polygon of the point's borough
+    bucket with the smallest id that strictly contains the point (NULLs when none).
 
-    Adds ``{prefix}pid`` and ``{prefix}<attr>`` columns (NULL when nothing contains the
-    point).  A point is kept once per containing polygon; callers that need the first
-    match reduce with ``min_by`` over ``{prefix}pid`` (layers without overlap give one).
+    Exactly one output row per input row: the cell table has one row per key.  It
+    is broadcast when its size bound is under ``broadcast_limit``; otherwise the
+    join shuffles on (bucket, cell) and AQE splits skewed cells.
     """
-    cand = exploded_layer(layer).select(
-        F.col("_bkey").alias(f"{prefix}_bkey"), F.col("_cx").alias(f"{prefix}_cx"), F.col("_cy").alias(f"{prefix}_cy"),
-        F.col("_pid").alias(f"{prefix}pid"), F.col("_edges").alias(f"{prefix}_edges"),
-        F.col("_xmin").alias(f"{prefix}_xmin"), F.col("_xmax").alias(f"{prefix}_xmax"),
-        F.col("_ymin").alias(f"{prefix}_ymin"), F.col("_ymax").alias(f"{prefix}_ymax"),
-        *[F.col(a).alias(f"{prefix}{a}") for a in layer.attrs],
-    )
-    if estimated_bytes(layer) <= broadcast_limit:
-        cand = F.broadcast(cand)
+    cells = cell_table(layer).select(
+        F.col("_bkey").alias(f"{prefix}_bkey"), F.col("_cx").alias(f"{prefix}_cx"),
+        F.col("_cy").alias(f"{prefix}_cy"), F.col("_cands").alias(f"{prefix}_cands"))
+    if layer.size_bound <= broadcast_limit:
+        cells = F.broadcast(cells)
     px, py = F.col(x), F.col(y)
-    pts = (
-        points.withColumn(f"{prefix}_pk", borough_key(F.col(borough)))
-        .withColumn(f"{prefix}_pcx", _cell_of(px, layer.cell))
-        .withColumn(f"{prefix}_pcy", _cell_of(py, layer.cell))
-    )
-    cond = (
-        (F.col(f"{prefix}_pk") == F.col(f"{prefix}_bkey"))
-        & (F.col(f"{prefix}_pcx") == F.col(f"{prefix}_cx"))
-        & (F.col(f"{prefix}_pcy") == F.col(f"{prefix}_cy"))
-        & (px >= F.col(f"{prefix}_xmin")) & (px <= F.col(f"{prefix}_xmax"))
-        & (py >= F.col(f"{prefix}_ymin")) & (py <= F.col(f"{prefix}_ymax"))
-        & contains(F.col(f"{prefix}_edges"), px, py)
-    )
-    out = pts.join(cand, cond, "left")
-    drop = [f"{prefix}{s}" for s in ("_pk", "_pcx", "_pcy", "_bkey", "_cx", "_cy", "_edges",
-                                      "_xmin", "_xmax", "_ymin", "_ymax")]
-    return out.drop(*drop)
+    pts = (points.withColumn(f"{prefix}_pk", borough_key(F.col(borough)))
+           .withColumn(f"{prefix}_pcx", _cell_of(px, layer.cell))
+           .withColumn(f"{prefix}_pcy", _cell_of(py, layer.cell)))
+    cond = ((F.col(f"{prefix}_pk") == F.col(f"{prefix}_bkey")) & (F.col(f"{prefix}_pcx") == F.col(f"{prefix}_cx"))
+            & (F.col(f"{prefix}_pcy") == F.col(f"{prefix}_cy")))
+    j = pts.join(cells, cond, "left")
+    inside = F.filter(
+        F.col(f"{prefix}_cands"),
+        lambda p: (px >= p["_xmin"]) & (px <= p["_xmax"]) & (py >= p["_ymin"]) & (py <= p["_ymax"])
+        & contains(p["_edges"], px, py))
+    hit = F.try_element_at(inside, F.lit(1))
+    j = j.withColumn(f"{prefix}_hit", hit)
+    out = j.select(*points.columns, F.col(f"{prefix}_hit._pid").alias(f"{prefix}pid"),
+                   *[F.col(f"{prefix}_hit").getField(a).alias(f"{prefix}{a}") for a in layer.attrs])
+    return out
 
 
 def first_containing(points: DataFrame, layer: Layer, key: str, x: str, y: str, borough: str,
                      prefix: str = "", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """One row per point key with the attributes of the containing polygon of smallest id
-    (NULLs when none).  Points must have unique ``key``."""
-    hit = lookup(points, layer, x, y, borough, prefix, broadcast_limit)
-    cols = [f"{prefix}pid"] + [f"{prefix}{a}" for a in layer.attrs]
-    pid = F.col(f"{prefix}pid")
-    others = [c for c in points.columns if c != key]
-    return hit.groupBy(key).agg(
-        *[F.first(c).alias(c) for c in others],
-        *[F.min_by(F.col(c), pid).alias(c) for c in cols],
-    )
+    """Points with the attributes of the containing polygon of smallest id (NULLs when none)."""
+    return locate(points, layer, x, y, borough, prefix, broadcast_limit)
 
 
 def brute_force_first_containing(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, borough: str,

@@ -84,7 +84,7 @@ class Mart:
                            layers=self.layers, dedupe_locations=False)
         g = geocode(src, spec, self.broadcast_limit)
         g = lookup_with_default(g, "location_type", self.location_categories(), "location_type", "category",
-                                "locationType")
+                                "locationType", known_rows=len(LOCATION_CATEGORIES))
         return g.select("unique_key", "created_date", *dims.STAGE_LOCATION_COLS)
 
     def stage_inspections(self, start: str = SNAPSHOT_START, end: str = RUN_END) -> DataFrame:
