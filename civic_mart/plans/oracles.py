@@ -8,7 +8,9 @@ only the derivation of the civic tables from the driver tables is shared
 
 from __future__ import annotations
 
+from civic_mart.functions.keys import surrogate_key_sql
 from civic_mart.plans import model as M
+from civic_mart.plans import pipeline as P
 from civic_mart.plans.pipeline import LAYER_OUTPUTS, LOCATION_CATEGORIES, RUN_END, SNAPSHOT_START
 
 
@@ -128,11 +130,17 @@ STAGE_COLS = ("borough_code, borough_name, neighborhood_code, neighborhood_name,
 LAYER_CTES = ["m_blocks", "m_blocks_edges", "m_tracts", "m_tracts_edges", "m_ntas", "m_ntas_edges"]
 
 
-def stage_requests_ctes(start: str = SNAPSHOT_START, end: str = RUN_END) -> list[tuple[str, str]]:
-    src = ("SELECT *, longitude AS x, latitude AS y, lower(coalesce(borough, '')) AS bkey FROM m_requests "
-           "WHERE unique_key IS NOT NULL AND created_date IS NOT NULL AND complaint_type IS NOT NULL "
-           "AND latitude IS NOT NULL AND longitude IS NOT NULL "
-           f"AND created_date > TIMESTAMP {_q(start)} AND created_date < TIMESTAMP {_q(end)}")
+def ts(v: str) -> str:
+    return f"TIMESTAMP {_q(v)}"
+
+
+VALID_REQUESTS = ("SELECT * FROM m_requests WHERE unique_key IS NOT NULL AND created_date IS NOT NULL "
+                  "AND complaint_type IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL")
+
+
+def stage_requests_ctes(start: str = ts(SNAPSHOT_START), end: str = ts(RUN_END)) -> list[tuple[str, str]]:
+    src = ("SELECT *, longitude AS x, latitude AS y, lower(coalesce(borough, '')) AS bkey FROM valid_requests "
+           f"WHERE created_date > {start} AND created_date < {end}")
     ctes, merged = geocode_sql("r_src", "unique_key", ["created_date", "unique_key"],
                                {"created_date": "created_date", "zipcode": "incident_zip",
                                 "location_type": "location_type"})
@@ -142,12 +150,12 @@ def stage_requests_ctes(start: str = SNAPSHOT_START, end: str = RUN_END) -> list
              f"coalesce(c.category, 'Unspecified') AS locationType FROM {merged} g "
              f"LEFT JOIN (SELECT location_type, min(category) AS category FROM {cat} c0 GROUP BY location_type) c "
              f"ON c.location_type = g.location_type")
-    return [("r_src", src), *ctes, ("stage_req", final)]
+    return [("valid_requests", VALID_REQUESTS), ("r_src", src), *ctes, ("stage_req", final)]
 
 
-def stage_inspections_ctes(start: str = SNAPSHOT_START, end: str = RUN_END) -> list[tuple[str, str]]:
+def stage_inspections_ctes(start: str = ts(SNAPSHOT_START), end: str = ts(RUN_END)) -> list[tuple[str, str]]:
     src = ("SELECT *, longitude AS x, latitude AS y, lower(coalesce(boro, '')) AS bkey FROM m_inspections "
-           f"WHERE inspection_date > TIMESTAMP {_q(start)} AND inspection_date < TIMESTAMP {_q(end)}")
+           f"WHERE inspection_date > {start} AND inspection_date < {end}")
     ctes, merged = geocode_sql("i_src", "camis", ["inspection_date", "rec_order", "rec_line"],
                                {"inspection_date": "inspection_date", "zipcode": "zipcode"}, p="gi")
     final = (f"SELECT camis, inspection_date, borough_code, borough_name, neighborhood_code, neighborhood_name, zipcode, "
@@ -174,10 +182,213 @@ def _dedupe(ctes: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 
 GEOCODE_REQUESTS = with_ctes(["m_requests", *LAYER_CTES], stage_requests_ctes(), "SELECT * FROM stage_req")
+
 GEOCODE_INSPECTIONS = with_ctes(["m_inspections", *LAYER_CTES], stage_inspections_ctes(), "SELECT * FROM stage_ins")
 GEOCODE_APPLICATIONS = with_ctes(["m_applications", *LAYER_CTES], stage_applications_ctes(), "SELECT * FROM stage_app")
 
 
+# ------------------------------------------------------------------ ledger
+def _mid(src: str, col: str) -> str:
+    lo, hi = f"CAST(min({col}) AS DATE)", f"CAST(max({col}) AS DATE)"
+    return (f"SELECT CAST({lo} AS TIMESTAMP) AS first, "
+            f"CAST({lo} + CAST(floor(date_diff('day', {lo}, {hi}) / 2) AS INTEGER) AS TIMESTAMP) AS mid FROM {src}")
+
+
+def ledger_ctes() -> list[tuple[str, str]]:
+    rows = []
+    for job, src in ((P.JOB_311, "req_mid"), (P.JOB_INS, "ins_mid"), (P.JOB_DIM_VIO, "ins_mid"),
+                     (P.JOB_DIM_LOC_311, "req_mid"), (P.JOB_DIM_LOC_INS, "ins_mid")):
+        for c in ("first", "mid"):
+            rows.append(f"SELECT {_q(job)} AS job_name, {c} AS latest_record_date, "
+                        f"{c} + INTERVAL 25 HOUR AS execution_date FROM {src}")
+    return [("valid_requests", VALID_REQUESTS), ("req_mid", _mid("valid_requests", "created_date")),
+            ("ins_mid", _mid("m_inspections", "inspection_date")), ("ledger", " UNION ALL ".join(rows))]
+
+
+def wm(job: str) -> str:
+    return (f"(SELECT coalesce(max(latest_record_date), TIMESTAMP '1900-01-01 00:00:00') FROM ledger "
+            f"WHERE job_name = {_q(job)})")
+
+
+WATERMARK_JOBS = [*P.LEDGER_JOBS, "Load_DimOpenRestaurant"]
+
+LEDGER_WATERMARK = with_ctes(["m_requests", "m_inspections"], ledger_ctes(), f"""
+SELECT j.job_name, coalesce(max(l.latest_record_date), TIMESTAMP '1900-01-01 00:00:00') AS latest_record_date
+FROM {values([(j,) for j in WATERMARK_JOBS], ["job_name"])} j LEFT JOIN ledger l ON l.job_name = j.job_name
+GROUP BY j.job_name
+""")
+
+INCREMENT_REQUESTS = with_ctes(["m_requests", "m_inspections", *LAYER_CTES],
+                               _dedupe([*ledger_ctes(), *stage_requests_ctes(wm(P.JOB_311), ts(RUN_END))]),
+                               "SELECT * FROM stage_req")
+
+LEDGER_APPEND = with_ctes(["m_requests", "m_inspections"], [("valid_requests", VALID_REQUESTS)], f"""
+SELECT {_q(P.JOB_311)} AS job_name, (SELECT max(created_date) FROM valid_requests) AS latest_record_date,
+       {ts(P.RUN_NY)} AS execution_date
+UNION ALL
+SELECT {_q(P.JOB_INS)}, (SELECT max(inspection_date) FROM m_inspections), {ts(P.RUN_NY)}
+""")
+
+
+# ------------------------------------------------------------------ dimensions
+def key_sql(*exprs: str) -> str:
+    return surrogate_key_sql(*exprs)
+
+
+DIM_OPEN_SQL = f"""
+SELECT {key_sql('OpenRestaurantType', 'IsQualifyAlcohol')} AS OpenRestaurantID, OpenRestaurantType, IsQualifyAlcohol
+FROM (
+  SELECT DISTINCT seating_interest_sidewalk AS OpenRestaurantType,
+         CAST(CASE WHEN qualify_alcohol = 'yes' THEN 1 ELSE 0 END AS BIGINT) AS IsQualifyAlcohol
+  FROM m_applications WHERE approved_for_roadway_seating = 'yes' OR approved_for_sidewalk_seating = 'yes'
+  UNION ALL SELECT 'none', CAST(0 AS BIGINT)
+) t
+"""
+DIM_OPEN_TYPE = with_ctes(["m_applications"], [], DIM_OPEN_SQL)
+
+NN = " AND ".join(f"{c} IS NOT NULL" for c in STAGE_COLS.split(", "))
+LOC_KEY = ["BoroughCode", "Borough", "NeighborhoodCode", "Neighborhood", "ZipCode", "Tract", "Block", "LocationType"]
+
+
+def location_candidates_sql(req: str, ins: str, app: str) -> str:
+    return f"""
+SELECT DISTINCT borough_code AS BoroughCode, borough_name AS Borough, neighborhood_code AS NeighborhoodCode,
+       neighborhood_name AS Neighborhood, zipcode AS ZipCode, tract_bct2020 AS Tract, block_bctcb2020 AS Block,
+       locationType AS LocationType, pop.Pop1 / NULLIF(pop.LandAcres, 0) AS PopulationDensity
+FROM (
+  SELECT {STAGE_COLS} FROM {req} WHERE {NN}
+  UNION ALL SELECT {STAGE_COLS} FROM {ins} WHERE {NN}
+  UNION ALL SELECT {STAGE_COLS} FROM {app} WHERE {NN}
+) ml JOIN m_population pop ON pop.GeoID = ml.block_bctcb2020
+"""
+
+
+def with_loc_id(cand: str) -> str:
+    return f"SELECT {key_sql(*LOC_KEY)} AS LocationID, {', '.join(LOC_KEY)}, PopulationDensity FROM ({cand}) c"
+
+
+STAGES = _dedupe([*stage_requests_ctes(), *stage_inspections_ctes(), *stage_applications_ctes()])
+STAGE_MODEL = ["m_requests", "m_inspections", "m_applications", "m_population", *LAYER_CTES]
+
+DIM_LOCATION_REFRESH = with_ctes(STAGE_MODEL, STAGES,
+                                 with_loc_id(location_candidates_sql("stage_req", "stage_ins", "stage_app")))
+
+DIM_LOCATION_INCREMENTAL = with_ctes(STAGE_MODEL, _dedupe([*STAGES, *ledger_ctes(),
+    ("prior", location_candidates_sql(
+        f"(SELECT * FROM stage_req WHERE created_date <= {wm(P.JOB_DIM_LOC_311)})",
+        f"(SELECT * FROM stage_ins WHERE inspection_date <= {wm(P.JOB_DIM_LOC_INS)})", "stage_app")),
+    ("cand", location_candidates_sql(
+        f"(SELECT * FROM stage_req WHERE created_date > {wm(P.JOB_DIM_LOC_311)})",
+        f"(SELECT * FROM stage_ins WHERE inspection_date > {wm(P.JOB_DIM_LOC_INS)})", "stage_app"))]),
+    with_loc_id("SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE "
+                + " AND ".join(f"p.{k} = c.{k}" for k in LOC_KEY) + ")"))
+
+
+def _focus(version: int) -> str:
+    rows = P.FOCUS_VIOLATIONS_V1 if version == 1 else P.FOCUS_VIOLATIONS_V2
+    return values(rows, ["violation_code", "category"])
+
+
+def scd2_ctes() -> list[tuple[str, str]]:
+    w = wm(P.JOB_DIM_VIO)
+    start_fmt = "strftime(StartDate, '%Y-%m-%d %H:%M:%S')"
+    prior_new = f"""
+SELECT DISTINCT src.cuisine_description AS Cuisine, src.violation_code AS ViolationCode, fvc.category AS Category,
+       {w} AS StartDate, TIMESTAMP '9999-12-31 00:00:00' AS EndDate, CAST(1 AS BIGINT) AS IsCurrent
+FROM m_inspections src JOIN {_focus(1)} fvc ON fvc.violation_code = src.violation_code
+WHERE src.inspection_date <= {w}"""
+    prior = f"SELECT {key_sql('Cuisine', 'ViolationCode', 'Category', start_fmt)} AS RestaurantViolationID, * FROM ({prior_new}) p"
+    changed = f"""
+SELECT DISTINCT dim.RestaurantViolationID
+FROM m_inspections src JOIN {_focus(2)} fvc ON fvc.violation_code = src.violation_code
+JOIN vio_prior dim ON dim.Cuisine = src.cuisine_description AND dim.ViolationCode = src.violation_code
+                  AND dim.Category <> fvc.category
+WHERE src.inspection_date > {w} AND dim.IsCurrent = 1"""
+    expired = f"""
+SELECT RestaurantViolationID, Cuisine, ViolationCode, Category, StartDate,
+       CASE WHEN RestaurantViolationID IN (SELECT RestaurantViolationID FROM vio_changed) THEN {ts(P.RUN_NY)} ELSE EndDate END AS EndDate,
+       CASE WHEN RestaurantViolationID IN (SELECT RestaurantViolationID FROM vio_changed) THEN CAST(0 AS BIGINT) ELSE IsCurrent END AS IsCurrent
+FROM vio_prior"""
+    new = f"""
+SELECT {key_sql('Cuisine', 'ViolationCode', 'Category', _q(P.RUN_NY))} AS RestaurantViolationID, Cuisine, ViolationCode,
+       Category, {ts(P.RUN_NY)} AS StartDate, TIMESTAMP '9999-12-31 00:00:00' AS EndDate, CAST(1 AS BIGINT) AS IsCurrent
+FROM (
+  SELECT DISTINCT src.cuisine_description AS Cuisine, src.violation_code AS ViolationCode, fvc.category AS Category
+  FROM m_inspections src JOIN {_focus(2)} fvc ON fvc.violation_code = src.violation_code
+  WHERE src.inspection_date > {w}
+    AND NOT EXISTS (SELECT 1 FROM vio_expired dim WHERE dim.IsCurrent = 1 AND dim.Cuisine = src.cuisine_description
+                    AND dim.ViolationCode = src.violation_code AND dim.Category = fvc.category)
+) n"""
+    none = (f"SELECT {key_sql(_q('None'), _q('None'), _q('None'), _q('1900-01-01 00:00:00'))} AS RestaurantViolationID, "
+            f"'None' AS Cuisine, 'None' AS ViolationCode, 'None' AS Category, TIMESTAMP '1900-01-01 00:00:00' AS StartDate, "
+            f"TIMESTAMP '9999-12-31 00:00:00' AS EndDate, CAST(1 AS BIGINT) AS IsCurrent")
+    return [*ledger_ctes(), ("vio_prior", prior), ("vio_changed", changed), ("vio_expired", expired),
+            ("vio_new", new), ("dim_vio", f"SELECT * FROM vio_expired UNION ALL SELECT * FROM vio_new UNION ALL {none}")]
+
+
+SCD2_OUT = ("SELECT RestaurantViolationID, Cuisine, ViolationCode, Category, "
+            "strftime(StartDate, '%Y-%m-%d %H:%M:%S') AS StartDate, strftime(EndDate, '%Y-%m-%d %H:%M:%S') AS EndDate, "
+            "IsCurrent FROM ")
+SCD2_EXPIRE = with_ctes(["m_requests", "m_inspections"], scd2_ctes(), SCD2_OUT + "vio_expired")
+SCD2_INSERT = with_ctes(["m_requests", "m_inspections"], scd2_ctes(), SCD2_OUT + "vio_new")
+
+
+# ------------------------------------------------------------------ fact (literal script)
+def fact_ctes() -> list[tuple[str, str]]:
+    focus = ", ".join(_q(t.lower()) for t in sorted({t.lower() for t in P.FOCUS_COMPLAINT_TYPES}))
+    comp = f"""
+SELECT {key_sql('ComplaintType', 'ComplaintDescription')} AS ComplaintID, ComplaintType, ComplaintDescription,
+       CASE WHEN ComplaintType = 'Not Interested' THEN 'None' ELSE lower(ComplaintType) END AS Category
+FROM (SELECT DISTINCT complaint_type AS ComplaintType, coalesce(descriptor, 'N/A') AS ComplaintDescription
+      FROM valid_requests WHERE lower(complaint_type) IN ({focus})
+      UNION ALL SELECT 'Not Interested', 'N/A') c"""
+    dtime = ("SELECT lpad(CAST(h AS VARCHAR), 2, '0') AS TimeID, h AS Hour, CASE WHEN h < 12 THEN 'AM' ELSE 'PM' END AS AMPM, "
+             f"{P.TIME_PERIODS} AS TimePeriod FROM (SELECT range AS h FROM range(24)) t")
+    ddate = f"""
+SELECT DISTINCT {_date_cols('d')} FROM (
+  SELECT DISTINCT CAST(created_date AS DATE) AS d FROM valid_requests WHERE CAST(created_date AS DATE) > DATE '1900-01-01'
+  UNION ALL
+  SELECT DISTINCT CAST(inspection_date AS DATE) FROM m_inspections WHERE CAST(inspection_date AS DATE) > DATE '1900-01-01'
+) t"""
+    return _dedupe([*STAGES, *scd2_ctes(),
+                    ("dim_loc", with_loc_id(location_candidates_sql("stage_req", "stage_ins", "stage_app"))),
+                    ("dim_comp", comp), ("dim_time", dtime), ("dim_date", ddate),
+                    ("dim_opn", DIM_OPEN_SQL)])
+
+
+FACT_BODY = f"""
+SELECT {key_sql('LocationID', 'RestaurantViolationID', 'OpenRestaurantID', 'DateID', 'TimeID', 'ComplaintID')} AS RodentIssueID, *
+FROM (
+SELECT dim_loc.LocationID, dim_vio.RestaurantViolationID, dim_opn.OpenRestaurantID, dim_date.DateID, dim_time.TimeID,
+       dim_comp.ComplaintID,
+       COUNT(DISTINCT src.unique_key) AS NumberOfComplaints,
+       COUNT(DISTINCT ins.camis) AS NumberOfViolations,
+       coalesce(AVG(date_sub('hour', src.created_date, src.closed_date)), 0) AS AvgResolveTimeForComplaints
+FROM valid_requests AS src
+JOIN stage_req AS src_loc ON src_loc.unique_key = src.unique_key
+JOIN dim_loc ON dim_loc.Block = src_loc.block_bctcb2020 AND dim_loc.LocationType = src_loc.locationType
+FULL OUTER JOIN stage_ins AS ins_loc ON ins_loc.block_bctcb2020 = dim_loc.Block AND ins_loc.locationType = dim_loc.LocationType
+LEFT JOIN m_inspections AS ins ON ins.camis = ins_loc.camis
+FULL OUTER JOIN stage_app AS opn_loc ON opn_loc.block_bctcb2020 = dim_loc.Block AND opn_loc.locationType = dim_loc.LocationType
+LEFT JOIN m_applications AS opn ON opn.objectid = opn_loc.objectid
+  AND (opn.approved_for_roadway_seating = 'yes' OR opn.approved_for_sidewalk_seating = 'yes')
+JOIN dim_comp ON dim_comp.ComplaintType = coalesce(src.complaint_type, 'Not Interested')
+  AND dim_comp.ComplaintDescription = coalesce(src.descriptor, 'N/A')
+JOIN dim_vio ON dim_vio.ViolationCode = coalesce(ins.violation_code, 'None')
+  AND dim_vio.Cuisine = coalesce(ins.cuisine_description, 'None')
+JOIN dim_opn ON dim_opn.OpenRestaurantType = coalesce(opn.seating_interest_sidewalk, 'none')
+  AND dim_opn.IsQualifyAlcohol = CASE WHEN opn.qualify_alcohol = 'yes' THEN 1 ELSE 0 END
+JOIN dim_date ON dim_date.DateID = CASE WHEN src.created_date IS NOT NULL THEN strftime(src.created_date, '%Y-%m-%d')
+                                        WHEN ins.inspection_date IS NOT NULL THEN strftime(ins.inspection_date, '%Y-%m-%d') END
+JOIN dim_time ON dim_time.Hour = CASE WHEN src.created_date IS NOT NULL THEN hour(src.created_date)
+                                      WHEN ins.inspection_date IS NOT NULL THEN hour(ins.inspection_date) END
+GROUP BY dim_loc.LocationID, dim_vio.RestaurantViolationID, dim_opn.OpenRestaurantID, dim_date.DateID, dim_time.TimeID,
+         dim_comp.ComplaintID
+) f
+"""
+FACT_RODENT_ISSUE = with_ctes(STAGE_MODEL, fact_ctes(), FACT_BODY)
+
+
 def registry() -> dict[str, str]:
     return {
         "dim_date_full": DIM_DATE_FULL,
@@ -186,4 +397,13 @@ def registry() -> dict[str, str]:
         "geocode_requests": GEOCODE_REQUESTS,
         "geocode_inspections": GEOCODE_INSPECTIONS,
         "geocode_applications": GEOCODE_APPLICATIONS,
+        "ledger_watermark": LEDGER_WATERMARK,
+        "increment_requests": INCREMENT_REQUESTS,
+        "ledger_append": LEDGER_APPEND,
+        "dim_open_type": DIM_OPEN_TYPE,
+        "dim_location_refresh": DIM_LOCATION_REFRESH,
+        "dim_location_incremental": DIM_LOCATION_INCREMENTAL,
+        "scd2_expire": SCD2_EXPIRE,
+        "scd2_insert": SCD2_INSERT,
+        "fact_rodent_issue": FACT_RODENT_ISSUE,
     }

@@ -12,8 +12,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civic_mart.operators import dims, spatial
-from civic_mart.operators.filters import geolocated, open_window
+from civic_mart.functions.keys import surrogate_key
+from civic_mart.operators import dims, ledger, spatial
+from civic_mart.operators.facts import FactInputs, fact_literal, fact_preaggregated
+from civic_mart.operators.filters import caseless_one_of, geolocated, open_window
 from civic_mart.operators.geocode import GeocodeSpec, LayerSpec, geocode
 from civic_mart.operators.lookups import lookup_with_default
 from civic_mart.operators.quality import split_required
@@ -26,6 +28,7 @@ LOCATION_CATEGORIES = [
     ("RESIDENTIAL BUILDING", "Residential"),
     ("Park", "Park"),
     ("", "Other"),
+    ("Store", "Commercial"),
 ]
 # fixed values (driver model): focus complaint types, as listed (two differ only in case)
 FOCUS_COMPLAINT_TYPES = ["click", "CLICK", "purchase", "signup", "Signup"]
@@ -35,8 +38,17 @@ FOCUS_VIOLATIONS_V2 = [("VAF", "Rodent"), ("VNF", "Pest"), ("VRF", "Pest"), ("VA
 
 REQUEST_REQUIRED = ["unique_key", "created_date", "complaint_type", "latitude", "longitude"]
 SNAPSHOT_START = "1900-01-01 00:00:00"
-# run date of the registered queries: after all driver data (NY date 2024-02-01)
+# run instant of the registered queries (after all driver data): UTC, its NY date and NY wall time
+RUN_UTC = "2024-02-01 12:00:00"
 RUN_END = "2024-02-01 00:00:00"
+RUN_NY = "2024-02-01 07:00:00"
+
+JOB_311 = "batch_311_request_location"
+JOB_INS = "batch_restaurant_inspection_location"
+JOB_DIM_VIO = "Load_DimRestaurantInspection"
+JOB_DIM_LOC_311 = "Load_DimLocation_311Requests"
+JOB_DIM_LOC_INS = "Load_DimLocation_RestaurantInspection"
+LEDGER_JOBS = [JOB_311, JOB_INS, JOB_DIM_VIO, JOB_DIM_LOC_311, JOB_DIM_LOC_INS]
 
 LAYER_OUTPUTS = {
     "blocks": {"block_bctcb2020": "code", "block_geoid": "geoid"},
@@ -45,11 +57,28 @@ LAYER_OUTPUTS = {
 }
 
 
+def mid_date(df: DataFrame, col: str) -> DataFrame:
+    """One row: ``first`` (earliest day) and ``mid`` (middle day) of ``col`` at midnight."""
+    lo, hi = F.to_date(F.min(col)), F.to_date(F.max(col))
+    return df.agg(lo.cast("timestamp_ntz").alias("first"),
+                  F.date_add(lo, F.floor(F.datediff(hi, lo) / 2).cast("int")).cast("timestamp_ntz").alias("mid"))
+
+
+TIME_PERIODS = "CASE WHEN h < 6 THEN 'Night' WHEN h < 12 THEN 'Morning' WHEN h < 18 THEN 'Afternoon' ELSE 'Evening' END"
+
+
 class Mart:
-    def __init__(self, spark: SparkSession, sf_dir: str, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT):
+    def __init__(self, spark: SparkSession, sf_dir: str, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT,
+                 materialize: bool = True):
         self.spark = spark
         self.m = Model(spark, sf_dir)
         self.broadcast_limit = broadcast_limit
+        self.materialize = materialize
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Materialize a reused intermediate in the checkpoint folder (reliable, survives
+        executor loss; the lineage above it is cut)."""
+        return df.checkpoint(eager=True) if self.materialize else df
 
     # ---------------------------------------------------------------- lookups
     def location_categories(self) -> DataFrame:
@@ -75,7 +104,7 @@ class Mart:
         valid, _ = split_required(self.m.requests(), REQUEST_REQUIRED)
         return valid
 
-    def stage_requests(self, start: str = SNAPSHOT_START, end: str = RUN_END) -> DataFrame:
+    def stage_requests(self, start=SNAPSHOT_START, end=RUN_END) -> DataFrame:
         src = self.valid_requests().where(open_window("created_date", start, end))
         spec = GeocodeSpec(key="unique_key", order=["created_date", "unique_key"], x="longitude", y="latitude",
                            borough="borough",
@@ -87,7 +116,7 @@ class Mart:
                                 "locationType", known_rows=len(LOCATION_CATEGORIES))
         return g.select("unique_key", "created_date", *dims.STAGE_LOCATION_COLS)
 
-    def stage_inspections(self, start: str = SNAPSHOT_START, end: str = RUN_END) -> DataFrame:
+    def stage_inspections(self, start=SNAPSHOT_START, end=RUN_END) -> DataFrame:
         src = self.m.inspections().where(open_window("inspection_date", start, end))
         spec = GeocodeSpec(key="camis", order=["inspection_date", "rec_order", "rec_line"], x="longitude",
                            y="latitude", borough="boro",
@@ -103,3 +132,123 @@ class Mart:
                            dedupe_locations=False)
         g = geocode(src, spec, self.broadcast_limit).withColumn("locationType", F.lit("Commercial"))
         return g.select("objectid", *dims.STAGE_LOCATION_COLS)
+
+    # ---------------------------------------------------------------- ledger
+    def ledger(self) -> DataFrame:
+        """Ledger of two earlier runs per job (first day and middle day of its source)."""
+        req = mid_date(self.valid_requests(), "created_date")
+        ins = mid_date(self.m.inspections(), "inspection_date")
+        rows = []
+        for job, src in ((JOB_311, req), (JOB_INS, ins), (JOB_DIM_VIO, ins), (JOB_DIM_LOC_311, req),
+                         (JOB_DIM_LOC_INS, ins)):
+            for c in ("first", "mid"):
+                rows.append(src.select(F.lit(job).alias("job_name"), F.col(c).alias("latest_record_date"),
+                                       (F.col(c) + F.expr("INTERVAL 25 HOURS")).alias("execution_date")))
+        out = rows[0]
+        for r in rows[1:]:
+            out = out.unionByName(r)
+        return out
+
+    def watermark(self, job: str):
+        return ledger.watermark(self.ledger(), job)
+
+    # ---------------------------------------------------------------- staging (materialized)
+    @cached_property
+    def staged(self) -> dict[str, DataFrame]:
+        return {"requests": self._keep(self.stage_requests()),
+                "inspections": self._keep(self.stage_inspections()),
+                "applications": self._keep(self.stage_applications())}
+
+    # ---------------------------------------------------------------- dimensions
+    def dim_time(self) -> DataFrame:
+        return self.spark.range(24).selectExpr("id AS h").selectExpr(
+            "lpad(CAST(h AS STRING), 2, '0') AS TimeID", "h AS Hour",
+            "CASE WHEN h < 12 THEN 'AM' ELSE 'PM' END AS AMPM", f"{TIME_PERIODS} AS TimePeriod")
+
+    def dim_complaint(self) -> DataFrame:
+        req = self.valid_requests().where(caseless_one_of("complaint_type", FOCUS_COMPLAINT_TYPES))
+        kinds = req.select(F.col("complaint_type").alias("ComplaintType"),
+                           F.coalesce("descriptor", F.lit("N/A")).alias("ComplaintDescription")).distinct()
+        default = self.spark.range(1).select(F.lit("Not Interested").alias("ComplaintType"),
+                                             F.lit("N/A").alias("ComplaintDescription"))
+        out = kinds.unionByName(default)
+        return out.select(surrogate_key(F.col("ComplaintType"), F.col("ComplaintDescription")).alias("ComplaintID"),
+                          "ComplaintType", "ComplaintDescription",
+                          F.when(F.col("ComplaintType") == "Not Interested", F.lit("None"))
+                          .otherwise(F.lower("ComplaintType")).alias("Category"))
+
+    def dim_date(self) -> DataFrame:
+        return dims.dim_date_increment([(self.valid_requests(), "created_date"),
+                                        (self.m.inspections(), "inspection_date")])
+
+    def dim_open(self) -> DataFrame:
+        return dims.dim_open_restaurant(self.m.applications())
+
+    def dim_location(self) -> DataFrame:
+        st = self.staged
+        return dims.dim_location_refresh([st["requests"], st["inspections"], st["applications"]],
+                                         self.m.population_blocks())
+
+    def dim_location_increment(self) -> DataFrame:
+        """Prior dimension = refresh over staging up to the ledger watermarks (open
+        restaurants always whole); increment = new keys from rows after them."""
+        st = self.staged
+        w311, wins = self.watermark(JOB_DIM_LOC_311), self.watermark(JOB_DIM_LOC_INS)
+        pop = self.m.population_blocks()
+        prior = dims.dim_location_refresh([st["requests"].where(F.col("created_date") <= w311),
+                                           st["inspections"].where(F.col("inspection_date") <= wins),
+                                           st["applications"]], pop)
+        return dims.dim_location_increment([st["requests"].where(F.col("created_date") > w311),
+                                            st["inspections"].where(F.col("inspection_date") > wins),
+                                            st["applications"]], pop, prior)
+
+    def _empty_violations(self) -> DataFrame:
+        return self.spark.createDataFrame([], "RestaurantViolationID string, Cuisine string, ViolationCode string, "
+                                              "Category string, StartDate timestamp_ntz, EndDate timestamp_ntz, "
+                                              "IsCurrent bigint")
+
+    def violations_prior(self) -> DataFrame:
+        """The dimension as the earlier run (v1 categories, inspections up to the watermark) left it."""
+        w = self.watermark(JOB_DIM_VIO)
+        ins = self.m.inspections().where(F.col("inspection_date") <= w)
+        return dims.scd2_apply(ins, self.focus_violations(1), self._empty_violations(),
+                               F.lit(SNAPSHOT_START).cast("timestamp_ntz"), w)
+
+    def run_time(self):
+        return ledger.local_now(RUN_UTC)
+
+    def violations_expired(self, prior: DataFrame | None = None) -> DataFrame:
+        prior = self.violations_prior() if prior is None else prior
+        return dims.scd2_expire(self.m.inspections(), self.focus_violations(2), prior,
+                                self.watermark(JOB_DIM_VIO), self.run_time())
+
+    def violations_new(self, expired: DataFrame | None = None) -> DataFrame:
+        expired = self.violations_expired() if expired is None else expired
+        return dims.scd2_new_versions(self.m.inspections(), self.focus_violations(2), expired,
+                                      self.watermark(JOB_DIM_VIO), self.run_time())
+
+    def dim_violation(self) -> DataFrame:
+        expired = self._keep(self.violations_expired())
+        none = self.spark.range(1).select(
+            surrogate_key(F.lit("None"), F.lit("None"), F.lit("None"), F.lit("1900-01-01 00:00:00"))
+            .alias("RestaurantViolationID"), F.lit("None").alias("Cuisine"), F.lit("None").alias("ViolationCode"),
+            F.lit("None").alias("Category"), F.lit(SNAPSHOT_START).cast("timestamp_ntz").alias("StartDate"),
+            F.lit(dims.OPEN_END).cast("timestamp_ntz").alias("EndDate"), F.lit(1).cast("bigint").alias("IsCurrent"))
+        return expired.unionByName(self.violations_new(expired)).unionByName(none)
+
+    # ---------------------------------------------------------------- fact
+    def fact_inputs(self) -> FactInputs:
+        st = self.staged
+        return FactInputs(
+            requests=self.valid_requests(), request_locations=st["requests"],
+            inspection_locations=st["inspections"], inspections=self.m.inspections(),
+            open_locations=st["applications"], applications=self.m.applications(),
+            dim_location=self._keep(self.dim_location()), dim_complaint=self.dim_complaint(),
+            dim_violation=self.dim_violation(), dim_open=self.dim_open(), dim_date=self.dim_date(),
+            dim_time=self.dim_time())
+
+    def fact(self) -> DataFrame:
+        return fact_preaggregated(self.fact_inputs())
+
+    def fact_literal(self) -> DataFrame:
+        return fact_literal(self.fact_inputs())

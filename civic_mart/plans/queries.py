@@ -65,6 +65,68 @@ def geocode_applications(spark, sf_dir):
     return Mart(spark, sf_dir).stage_applications()
 
 
+# ------------------------------------------------------------------ ledger / increments
+def ledger_watermark(spark, sf_dir):
+    """W2/A4/SRC3: watermark per job from the ledger (absent job -> 1900-01-01)."""
+    from civic_mart.operators import ledger as L
+    from civic_mart.plans.pipeline import LEDGER_JOBS
+    return L.watermarks(Mart(spark, sf_dir).ledger(), [*LEDGER_JOBS, "Load_DimOpenRestaurant"])
+
+
+def increment_requests(spark, sf_dir):
+    """W1/W2/SRC2/FLT6: daily geocode increment, rows after the ledger watermark."""
+    from civic_mart.plans.pipeline import JOB_311, RUN_END
+    mart = Mart(spark, sf_dir)
+    return mart.stage_requests(start=mart.watermark(JOB_311), end=RUN_END)
+
+
+def ledger_append(spark, sf_dir):
+    """Ledger rows written after the geocode run (max over the whole source)."""
+    from civic_mart.operators import ledger as L
+    from civic_mart.plans.pipeline import JOB_311, JOB_INS, RUN_UTC
+    mart = Mart(spark, sf_dir)
+    now = L.local_now(RUN_UTC)
+    return L.ledger_row(spark, JOB_311, L.source_max(mart.valid_requests(), "created_date"), now).unionByName(
+        L.ledger_row(spark, JOB_INS, L.source_max(mart.m.inspections(), "inspection_date"), now))
+
+
+# ------------------------------------------------------------------ dimensions / fact
+def dim_open_type(spark, sf_dir):
+    """W6/U3/FLT7/F2: open-restaurant type dimension (full refresh)."""
+    return Mart(spark, sf_dir).dim_open()
+
+
+def dim_location_refresh(spark, sf_dir):
+    """W6/U2/FLT2/J1/A7/F3/PRJ7: DimLocation full refresh from the three staging tables."""
+    return Mart(spark, sf_dir).dim_location()
+
+
+def dim_location_incremental(spark, sf_dir):
+    """Insert-only DimLocation increment past the ledger watermarks."""
+    return Mart(spark, sf_dir).dim_location_increment()
+
+
+def _text_validity(df: DataFrame) -> DataFrame:
+    # validity bounds as text: 9999-12-31 does not fit a nanosecond pandas timestamp
+    return df.withColumn("StartDate", F.date_format("StartDate", "yyyy-MM-dd HH:mm:ss")).withColumn(
+        "EndDate", F.date_format("EndDate", "yyyy-MM-dd HH:mm:ss"))
+
+
+def scd2_expire(spark, sf_dir):
+    """DimRestaurantViolation after closing changed versions."""
+    return _text_validity(Mart(spark, sf_dir).violations_expired())
+
+
+def scd2_insert(spark, sf_dir):
+    """W4/J7/FLT8/F12/F13: new current versions of DimRestaurantViolation."""
+    return _text_validity(Mart(spark, sf_dir).violations_new())
+
+
+def fact_rodent_issue(spark, sf_dir):
+    """Fact refresh, pre-aggregated exact form (oracle: the literal 12-relation join)."""
+    return Mart(spark, sf_dir).fact()
+
+
 def registry() -> dict[str, Query]:
     return {
         "dim_date_full": dim_date_full,
@@ -73,4 +135,13 @@ def registry() -> dict[str, Query]:
         "geocode_requests": geocode_requests,
         "geocode_inspections": geocode_inspections,
         "geocode_applications": geocode_applications,
+        "ledger_watermark": ledger_watermark,
+        "increment_requests": increment_requests,
+        "ledger_append": ledger_append,
+        "dim_open_type": dim_open_type,
+        "dim_location_refresh": dim_location_refresh,
+        "dim_location_incremental": dim_location_incremental,
+        "scd2_expire": scd2_expire,
+        "scd2_insert": scd2_insert,
+        "fact_rodent_issue": fact_rodent_issue,
     }

@@ -42,7 +42,7 @@ def normalize(df: pd.DataFrame) -> list[tuple]:
 
 
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
-    a = spark_df.toPandas()
+    a = pd.DataFrame([r.asDict() for r in spark_df.collect()], columns=spark_df.columns)
     b = con.execute(sql).df()
     if sorted(a.columns) != sorted(b.columns):
         return False, f"columns differ: {sorted(a.columns)} vs {sorted(b.columns)}"
