@@ -389,6 +389,113 @@ GROUP BY dim_loc.LocationID, dim_vio.RestaurantViolationID, dim_opn.OpenRestaura
 FACT_RODENT_ISSUE = with_ctes(STAGE_MODEL, fact_ctes(), FACT_BODY)
 
 
+# ------------------------------------------------------------------ extract side
+from civic_mart.plans import extract as X  # noqa: E402
+from civic_mart.plans import loads as LD  # noqa: E402
+
+FOCUS = f"(SELECT DISTINCT focus_type FROM {values([(t,) for t in P.FOCUS_COMPLAINT_TYPES], ['focus_type'])} f0)"
+EXTRACT_FILTER = (f"created_date >= {ts(X.EXTRACT_START)} AND created_date < {ts(RUN_END)} "
+                  "AND latitude IS NOT NULL AND longitude IS NOT NULL AND unique_key IS NOT NULL")
+EXTRACT_ROWS = (f"SELECT f.focus_type, r.* FROM m_requests r JOIN {FOCUS} f ON lower(r.complaint_type) = lower(f.focus_type) "
+                f"WHERE {EXTRACT_FILTER}")
+
+EXTRACT_FOCUS_REQUESTS = with_ctes(["m_requests"], [("ex", EXTRACT_ROWS)],
+                                   f"SELECT focus_type, {', '.join(X.EXTRACT_COLS)} FROM ex")
+
+_codes = ", ".join(_q(c.lower()) for c, _ in P.FOCUS_VIOLATIONS_V2)
+EXTRACT_INSPECTIONS_CASELESS = with_ctes(["m_inspections"], [], f"""
+SELECT camis, inspection_date, violation_code, cuisine_description, rec_order, rec_line FROM m_inspections
+WHERE inspection_date >= {ts(SNAPSHOT_START)} AND inspection_date < {ts(RUN_END)}
+  AND latitude IS NOT NULL AND longitude IS NOT NULL AND camis IS NOT NULL AND lower(violation_code) IN ({_codes})
+""")
+
+_head = X.COUNT_QUERY.format(start=X.iso(X.EXTRACT_START), end=X.iso(RUN_END)).replace(
+    "SELECT COUNT(*) AS `count`", "SELECT `unique_key`, `created_date`")
+PAGE_COUNTS = (f"SELECT f.focus_type AS key, count(r.unique_key) AS n FROM {FOCUS} f LEFT JOIN "
+               f"(SELECT * FROM m_requests WHERE {EXTRACT_FILTER}) r ON lower(r.complaint_type) = lower(f.focus_type) "
+               "GROUP BY f.focus_type")
+PAGE_PLAN = with_ctes(["m_requests"], [("counts", PAGE_COUNTS)], f"""
+SELECT key, page, page * 1000 AS offset, CAST(1000 AS BIGINT) AS page_size, n AS total,
+       {_q(X.API_BASE + '?$query=')} || replace(url_encode({_q(_head)} || key || '")' || ' LIMIT 1000 OFFSET '
+       || CAST(page * 1000 AS VARCHAR)), '%2F', '/') AS url
+FROM counts c, LATERAL (SELECT unnest(generate_series(0, CAST(ceil(c.n / 1000.0) AS BIGINT) - 1)) AS page) g
+""")
+
+PAGE_READ = with_ctes(["m_requests"], [("ex", EXTRACT_ROWS)], """
+SELECT ex.focus_type AS key,
+       CAST(floor((row_number() OVER (PARTITION BY ex.focus_type ORDER BY ex.unique_key) - 1) / 1000) AS BIGINT) AS page,
+       ex.unique_key, date_trunc('millisecond', ex.created_date) AS created_date,
+       date_trunc('millisecond', ex.closed_date) AS closed_date, ex.complaint_type, ex.descriptor,
+       CASE WHEN e.event_id % 10 = 0 THEN NULL ELSE CAST(e.value AS DECIMAL(38, 9)) END AS x_coordinate_state_plane,
+       ex.latitude, ex.longitude, ex.incident_zip AS compute_zip
+FROM ex JOIN events e ON CAST(e.event_id AS VARCHAR) = ex.unique_key
+""")
+
+_req = P.REQUEST_REQUIRED
+REQUIRED_GATE = with_ctes(["m_requests"], [], f"""
+SELECT unique_key,
+       CASE WHEN {' AND '.join(f'{c} IS NOT NULL' for c in _req)} THEN 'valid' ELSE 'rejected' END AS gate,
+       CASE WHEN {' AND '.join(f'{c} IS NOT NULL' for c in _req)} THEN NULL
+            ELSE concat_ws(',', {', '.join(f"CASE WHEN {c} IS NULL THEN {_q(c)} END" for c in _req)}) END AS missing
+FROM m_requests
+""")
+
+LOCATION_CATEGORY = with_ctes(["m_requests"], [], f"""
+SELECT r.unique_key, r.location_type, coalesce(c.category, 'Unspecified') AS locationType
+FROM m_requests r LEFT JOIN (SELECT location_type, min(category) AS category
+                             FROM {values(LOCATION_CATEGORIES, ['location_type', 'category'])} c0 GROUP BY location_type) c
+  ON c.location_type = r.location_type
+""")
+
+# windows for a run at 2024-01-20 03:30 UTC = 2024-01-19 22:30 in New York (EST): today = 2024-01-19
+_windows = [("extract_311", "snapshot", "2016-01-01 00:00:00", "2024-01-19 00:00:00", "overwrite", "m_requests", "created_date"),
+            ("extract_311", "increment", "2024-01-18 00:00:00", "2024-01-19 00:00:00", "append", "m_requests", "created_date"),
+            ("extract_inspection", "snapshot", "2016-01-01 00:00:00", "2024-01-18 00:00:00", "overwrite", "m_inspections",
+             "inspection_date"),
+            ("extract_inspection", "increment", "2024-01-17 00:00:00", "2024-01-18 00:00:00", "append", "m_inspections",
+             "inspection_date")]
+LOAD_MODE_WINDOW = with_ctes(["m_requests", "m_inspections"], [], " UNION ALL ".join(
+    f"SELECT {_q(j)} AS job, {_q(m)} AS mode, {ts(a)} AS window_start, {ts(b)} AS window_end, "
+    f"(SELECT count(*) FROM {t} WHERE {c} >= {ts(a)} AND {c} < {ts(b)}) AS n_rows, {_q(w)} AS write_mode, "
+    f"TIMESTAMP '2024-01-19 22:30:00' AS run_local" for j, m, a, b, w, t, c in _windows))
+
+_n = "CAST(o.o_custkey % 40 AS VARCHAR)"
+_len_txt = (f"CASE o.o_orderkey % 6 WHEN 0 THEN {_n} WHEN 1 THEN ' ' || {_n} || ' ' WHEN 2 THEN {_n} || '.0' "
+            f"WHEN 3 THEN '' WHEN 4 THEN 'abc' ELSE {_n} || '_000' END")
+CSV_RECORDS = with_ctes(["m_applications"], [], f"""
+SELECT a.objectid, a.seating_interest_sidewalk, 'Cafe "' || a.objectid || '", Inc' AS restaurant_name, a.borough, a.zip,
+       CASE WHEN regexp_full_match({_len_txt}, '\s*[+-]?[0-9]+(_[0-9]+)*\s*')
+            THEN CAST(replace(trim({_len_txt}), '_', '') AS BIGINT) END AS sidewalk_dimensions_length,
+       o.o_orderkey % 17 AS roadway_dimensions_width, a.approved_for_sidewalk_seating, a.approved_for_roadway_seating,
+       a.qualify_alcohol, a.time_of_submission, a.latitude, a.longitude
+FROM m_applications a JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = a.objectid
+""")
+
+WKT_RINGS = with_ctes(["m_blocks_rects"], [], """
+SELECT poly_id, count(*) AS n_rings, count(*) * 5 AS n_vertices, min(x0) AS xmin, max(x1) AS xmax, min(y0) AS ymin,
+       max(y1) AS ymax
+FROM m_blocks_rects GROUP BY poly_id
+""")
+
+GEOJSON_LAYER = with_ctes(["m_tracts", "m_tracts_rects"], [], """
+SELECT t.poly_id, t.BoroCode, t.BoroName, t.code AS BoroCT2020, t.geoid AS GEOID,
+       CAST(t.poly_id AS DOUBLE) * 1.5 AS Shape_Leng, CAST(t.poly_id AS DOUBLE) / 4 AS Shape_Area,
+       r.n_rings, r.xmin, r.xmax, r.ymin, r.ymax, TRUE AS wkt_ok
+FROM m_tracts t JOIN (SELECT poly_id, count(*) AS n_rings, min(x0) AS xmin, max(x1) AS xmax, min(y0) AS ymin,
+                             max(y1) AS ymax FROM m_tracts_rects GROUP BY poly_id) r ON r.poly_id = t.poly_id
+""")
+
+UNMATCHED_BOROUGH = with_ctes(["m_requests", "m_blocks"], [("valid_requests", VALID_REQUESTS)], """
+SELECT lower(coalesce(borough, '')) AS borough_key, count(*) AS n_points FROM valid_requests
+WHERE lower(coalesce(borough, '')) NOT IN (SELECT DISTINCT bkey FROM m_blocks)
+GROUP BY 1
+""")
+
+SINK_ROUNDTRIP = with_ctes(["m_applications"], [], """
+SELECT objectid, seating_interest_sidewalk, qualify_alcohol, time_of_submission, latitude, longitude FROM m_applications
+""")
+
+
 def registry() -> dict[str, str]:
     return {
         "dim_date_full": DIM_DATE_FULL,
@@ -406,4 +513,16 @@ def registry() -> dict[str, str]:
         "scd2_expire": SCD2_EXPIRE,
         "scd2_insert": SCD2_INSERT,
         "fact_rodent_issue": FACT_RODENT_ISSUE,
+        "extract_focus_requests": EXTRACT_FOCUS_REQUESTS,
+        "extract_inspections_caseless": EXTRACT_INSPECTIONS_CASELESS,
+        "page_plan": PAGE_PLAN,
+        "page_read": PAGE_READ,
+        "required_gate": REQUIRED_GATE,
+        "location_category": LOCATION_CATEGORY,
+        "load_mode_window": LOAD_MODE_WINDOW,
+        "csv_records": CSV_RECORDS,
+        "wkt_rings": WKT_RINGS,
+        "geojson_layer": GEOJSON_LAYER,
+        "unmatched_borough": UNMATCHED_BOROUGH,
+        "sink_roundtrip": SINK_ROUNDTRIP,
     }

@@ -31,7 +31,7 @@ LOCATION_CATEGORIES = [
     ("Store", "Commercial"),
 ]
 # fixed values (driver model): focus complaint types, as listed (two differ only in case)
-FOCUS_COMPLAINT_TYPES = ["click", "CLICK", "purchase", "signup", "Signup"]
+FOCUS_COMPLAINT_TYPES = ["click", "CLICK", "purchase", "signup", "Signup", "Rodent"]
 # fixed values (driver model): focus violation codes and categories, before and after a change
 FOCUS_VIOLATIONS_V1 = [("VAF", "Rodent"), ("VNF", "Rodent"), ("VRF", "Pest"), ("VAO", "Pest")]
 FOCUS_VIOLATIONS_V2 = [("VAF", "Rodent"), ("VNF", "Pest"), ("VRF", "Pest"), ("VAO", "Facility"), ("VNO", "Rodent")]

@@ -127,6 +127,34 @@ def fact_rodent_issue(spark, sf_dir):
     return Mart(spark, sf_dir).fact()
 
 
+# ------------------------------------------------------------------ extract / loaders
+def _mart_query(fn):
+    def run(spark, sf_dir):
+        return fn(Mart(spark, sf_dir))
+    run.__doc__ = fn.__doc__
+    run.__name__ = fn.__name__
+    return run
+
+
+def _extract():
+    from civic_mart.plans import extract as X
+    from civic_mart.plans import loads as L
+    return {
+        "extract_focus_requests": _mart_query(X.extract_requests),
+        "extract_inspections_caseless": _mart_query(X.extract_inspections),
+        "page_plan": _mart_query(X.page_plan_query),
+        "page_read": _mart_query(X.page_read_query),
+        "required_gate": _mart_query(X.required_gate_query),
+        "location_category": _mart_query(X.location_category_query),
+        "load_mode_window": _mart_query(X.window_counts_query),
+        "csv_records": _mart_query(L.csv_records_query),
+        "wkt_rings": _mart_query(L.wkt_rings_query),
+        "geojson_layer": _mart_query(L.geojson_layer_query),
+        "unmatched_borough": _mart_query(L.unmatched_borough_query),
+        "sink_roundtrip": _mart_query(L.sink_roundtrip_query),
+    }
+
+
 def registry() -> dict[str, Query]:
     return {
         "dim_date_full": dim_date_full,
@@ -144,4 +172,5 @@ def registry() -> dict[str, Query]:
         "scd2_expire": scd2_expire,
         "scd2_insert": scd2_insert,
         "fact_rodent_issue": fact_rodent_issue,
+        **_extract(),
     }

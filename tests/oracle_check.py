@@ -5,6 +5,7 @@ Usage: python tests/oracle_check.py [sf_dir] [query ...]
 
 from __future__ import annotations
 
+import decimal
 import math
 import sys
 import time
@@ -26,6 +27,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return None
+    if isinstance(v, decimal.Decimal):
+        v = float(v)
     if isinstance(v, float):
         return float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
