@@ -35,18 +35,18 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
 def wkt_rings(wkt: Column) -> Column:
-    """POLYGON / MULTIPOLYGON WKT -> ``array<array<struct<x:double,y:double>>>``."""
+    """POLYGON / MULTIPOLYGON WKT -> ``array<array<struct<x:double,y:double>>>``.
+
+    One split per ring into a flat list of numbers, read pairwise (x, y)."""
     rings = F.regexp_extract_all(wkt, F.lit(_RING_RE), 1)
-    return F.transform(
-        rings,
-        lambda r: F.transform(
-            F.split(F.trim(r), r"\s*,\s*"),
-            lambda p: F.struct(
-                F.split(F.trim(p), r"\s+")[0].cast("double").alias("x"),
-                F.split(F.trim(p), r"\s+")[1].cast("double").alias("y"),
-            ),
-        ),
-    )
+
+    def ring(r: Column) -> Column:
+        nums = F.split(F.trim(r), r"[\s,]+")
+        return F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(nums) / 2).cast("int") - 1),
+            lambda i: F.struct(nums[i * 2].cast("double").alias("x"), nums[i * 2 + 1].cast("double").alias("y")))
+
+    return F.transform(rings, ring)
 
 
 def ring_edges(rings: Column) -> Column:
@@ -97,37 +97,44 @@ def contains(edges: Column, px: Column, py: Column) -> Column:
     return (crossings % 2 == 1) & ~on_edge
 
 
-@dataclass(frozen=True)
+@dataclass
 class Layer:
     """A polygon layer prepared for lookups.
 
     ``df`` columns: ``_bkey`` (borough bucket), ``_pid`` (ordering id, smallest wins),
     ``_edges``, bounding box ``_xmin/_xmax/_ymin/_ymax`` and the attribute columns.
-    ``size_bound`` bounds the bytes of the cell table built from it.
+    ``size_bound`` bounds the bytes of the cell table built from it; ``cells`` holds
+    the cell table once it has been materialized.
     """
 
     df: DataFrame
     attrs: tuple[str, ...]
     cell: float
     size_bound: int
+    cells: DataFrame | None = None
 
 
 def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col: str,
-                  attrs: list[str], cell: float | None = None) -> Layer:
+                  attrs: list[str], cell: float | None = None, materialize=None) -> Layer:
     """Parse WKT once per polygon; pick the index cell size from the layer itself
     (square root of the mean bounding-box area) unless given, and bound the size of
-    the cell table, all from one aggregate over the layer."""
-    rings = wkt_rings(F.col(geom_col))
-    xs = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["x"])))
-    ys = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["y"])))
-    df = polygons.select(
-        borough_key(F.col(borough_col)).alias("_bkey"),
-        F.col(id_col).alias("_pid"),
-        ring_edges(rings).alias("_edges"),
-        F.array_min(xs).alias("_xmin"), F.array_max(xs).alias("_xmax"),
-        F.array_min(ys).alias("_ymin"), F.array_max(ys).alias("_ymax"),
-        *[F.col(a) for a in attrs],
-    )
+    the cell table, all from one aggregate over the layer.  ``materialize`` (a
+    ``DataFrame -> DataFrame`` that stores and re-reads) keeps the parsed layer and
+    its cell table so later lookups neither parse nor index again."""
+    parsed = polygons.select(
+        borough_key(F.col(borough_col)).alias("_bkey"), F.col(id_col).alias("_pid"),
+        ring_edges(wkt_rings(F.col(geom_col))).alias("_edges"), *[F.col(a) for a in attrs])
+    # bounds from the edge list in one pass (a struct of four running extremes)
+    init = F.struct(F.lit(float("inf")).alias("a"), F.lit(float("-inf")).alias("b"),
+                    F.lit(float("inf")).alias("c"), F.lit(float("-inf")).alias("d"))
+    box = F.aggregate(F.col("_edges"), init, lambda acc, e: F.struct(
+        F.least(acc["a"], e["x1"]).alias("a"), F.greatest(acc["b"], e["x1"]).alias("b"),
+        F.least(acc["c"], e["y1"]).alias("c"), F.greatest(acc["d"], e["y1"]).alias("d")))
+    df = parsed.withColumn("_box", box).select(
+        "_bkey", "_pid", "_edges", F.col("_box.a").alias("_xmin"), F.col("_box.b").alias("_xmax"),
+        F.col("_box.c").alias("_ymin"), F.col("_box.d").alias("_ymax"), *[F.col(a) for a in attrs])
+    if materialize is not None:
+        df = materialize(df)
     w, h = F.col("_xmax") - F.col("_xmin"), F.col("_ymax") - F.col("_ymin")
     attr_len = sum((F.coalesce(F.length(F.col(a).cast("string")), F.lit(0)) for a in attrs), F.lit(0))
     st = df.agg(F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("area"), F.sum(w + h).alias("perim"),
@@ -139,7 +146,10 @@ def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col:
     # cells per polygon <= (w/c + 2)(h/c + 2); summed over polygons, times the widest row
     cells = (st["area"] or 0.0) / cell ** 2 + 2 * (st["perim"] or 0.0) / cell + 4 * n
     bound = int(cells * (st["row"] or 0)) if n else 0
-    return Layer(df=df, attrs=tuple(attrs), cell=float(cell), size_bound=bound)
+    layer = Layer(df=df, attrs=tuple(attrs), cell=float(cell), size_bound=bound)
+    if materialize is not None:
+        layer.cells = materialize(cell_table(layer))
+    return layer
 
 
 def _cell_of(v: Column, cell: float) -> Column:
@@ -159,6 +169,8 @@ def cell_table(layer: Layer) -> DataFrame:
     """One row per (borough bucket, index cell): the candidate polygons touching the
     cell, sorted by polygon id.  A cell's list is bounded by the polygons whose box
     touches it, and the whole table by ``layer.size_bound``."""
+    if layer.cells is not None:
+        return layer.cells
     cand = F.struct(F.col("_pid"), F.col("_xmin"), F.col("_xmax"), F.col("_ymin"), F.col("_ymax"),
                     F.col("_edges"), *[F.col(a) for a in layer.attrs])
     return exploded_layer(layer).groupBy("_bkey", "_cx", "_cy").agg(

@@ -19,7 +19,9 @@ from civic_mart.operators.filters import caseless_one_of, geolocated, open_windo
 from civic_mart.operators.geocode import GeocodeSpec, LayerSpec, geocode
 from civic_mart.operators.lookups import lookup_with_default
 from civic_mart.operators.quality import split_required
+from civic_mart.plans import model as M
 from civic_mart.plans.model import Model
+from civic_mart.sources import sinks
 
 # fixed values (driver model): location type -> category lookup
 LOCATION_CATEGORIES = [
@@ -64,6 +66,15 @@ def mid_date(df: DataFrame, col: str) -> DataFrame:
                   F.date_add(lo, F.floor(F.datediff(hi, lo) / 2).cast("int")).cast("timestamp_ntz").alias("mid"))
 
 
+# prepared layers and staging outputs, materialized once per (application, source folder):
+# the warehouse stores both as tables; downstream queries read them instead of recomputing
+_SHARED: dict[tuple, object] = {}
+
+
+def _shared_key(spark: SparkSession, sf_dir: str, what: str, *extra) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what, *extra)
+
+
 TIME_PERIODS = "CASE WHEN h < 6 THEN 'Night' WHEN h < 12 THEN 'Morning' WHEN h < 18 THEN 'Afternoon' ELSE 'Evening' END"
 
 
@@ -78,7 +89,26 @@ class Mart:
     def _keep(self, df: DataFrame) -> DataFrame:
         """Materialize a reused intermediate in the checkpoint folder (reliable, survives
         executor loss; the lineage above it is cut)."""
-        return df.checkpoint(eager=True) if self.materialize else df
+        if not self.materialize:
+            return df
+        if not self.spark.sparkContext.getCheckpointDir():
+            from civic_mart.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(self.spark)
+        return sinks.materialize(df, "mart")
+
+    def spread_for(self, table: str) -> int | None:
+        """Cores to spread CPU-bound work over when ``table`` comes in fewer files than
+        cores (a small input: the shuffle is cheap); ``None`` for large inputs."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return cores if len(self.m.table(table).inputFiles()) < cores else None
+
+    def _shared(self, what: str, build):
+        if not self.materialize:
+            return build()
+        key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit)
+        if key not in _SHARED:
+            _SHARED[key] = build()
+        return _SHARED[key]
 
     # ---------------------------------------------------------------- lookups
     def location_categories(self) -> DataFrame:
@@ -91,13 +121,22 @@ class Mart:
     # ---------------------------------------------------------------- layers
     @cached_property
     def layers(self) -> list[LayerSpec]:
-        out = []
-        for name, prefix in (("blocks", "b_"), ("tracts", "t_"), ("ntas", "n_")):
-            poly = self.m.layer(name)
-            attrs = sorted(set(LAYER_OUTPUTS[name].values()) | {"BoroCode", "BoroName"})
-            layer = spatial.prepare_layer(poly, "the_geom", "BoroName", "poly_id", attrs)
-            out.append(LayerSpec(prefix, layer, LAYER_OUTPUTS[name]))
-        return out
+        def build():
+            if self.materialize and not self.spark.sparkContext.getCheckpointDir():
+                from civic_mart.session import ensure_checkpoint_dir
+                ensure_checkpoint_dir(self.spark)
+            out = []
+            for name, prefix in (("blocks", "b_"), ("tracts", "t_"), ("ntas", "n_")):
+                poly = self.m.layer(name)
+                spread = self.spread_for(M.LAYERS[name][0])
+                if spread:
+                    poly = poly.repartition(spread)
+                attrs = sorted(set(LAYER_OUTPUTS[name].values()) | {"BoroCode", "BoroName"})
+                layer = spatial.prepare_layer(poly, "the_geom", "BoroName", "poly_id", attrs,
+                                              materialize=self._keep if self.materialize else None)
+                out.append(LayerSpec(prefix, layer, LAYER_OUTPUTS[name]))
+            return out
+        return self._shared("layers", build)
 
     # ---------------------------------------------------------------- staging
     def valid_requests(self) -> DataFrame:
@@ -111,7 +150,7 @@ class Mart:
                            fields={"created_date": "created_date", "zipcode": "incident_zip",
                                    "location_type": "location_type"},
                            layers=self.layers, dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit)
+        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("events"))
         g = lookup_with_default(g, "location_type", self.location_categories(), "location_type", "category",
                                 "locationType", known_rows=len(LOCATION_CATEGORIES))
         return g.select("unique_key", "created_date", *dims.STAGE_LOCATION_COLS)
@@ -130,34 +169,39 @@ class Mart:
         spec = GeocodeSpec(key="objectid", order=["time_of_submission", "objectid"], x="longitude", y="latitude",
                            borough="borough", fields={"zipcode": "zip"}, layers=self.layers,
                            dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit).withColumn("locationType", F.lit("Commercial"))
+        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("orders")).withColumn("locationType", F.lit("Commercial"))
         return g.select("objectid", *dims.STAGE_LOCATION_COLS)
 
     # ---------------------------------------------------------------- ledger
     def ledger(self) -> DataFrame:
         """Ledger of two earlier runs per job (first day and middle day of its source)."""
+        def runs(src: DataFrame, jobs: list[str]) -> DataFrame:
+            entries = [F.struct(F.lit(j).alias("job_name"), F.col(c).alias("latest_record_date"))
+                       for j in jobs for c in ("first", "mid")]
+            return src.select(F.explode(F.array(*entries)).alias("e")).select(
+                "e.job_name", "e.latest_record_date",
+                (F.col("e.latest_record_date") + F.expr("INTERVAL 25 HOURS")).alias("execution_date"))
         req = mid_date(self.valid_requests(), "created_date")
         ins = mid_date(self.m.inspections(), "inspection_date")
-        rows = []
-        for job, src in ((JOB_311, req), (JOB_INS, ins), (JOB_DIM_VIO, ins), (JOB_DIM_LOC_311, req),
-                         (JOB_DIM_LOC_INS, ins)):
-            for c in ("first", "mid"):
-                rows.append(src.select(F.lit(job).alias("job_name"), F.col(c).alias("latest_record_date"),
-                                       (F.col(c) + F.expr("INTERVAL 25 HOURS")).alias("execution_date")))
-        out = rows[0]
-        for r in rows[1:]:
-            out = out.unionByName(r)
-        return out
+        return runs(req, [JOB_311, JOB_DIM_LOC_311]).unionByName(runs(ins, [JOB_INS, JOB_DIM_VIO, JOB_DIM_LOC_INS]))
+
+    @cached_property
+    def _watermarks(self) -> dict[str, object]:
+        """All job watermarks, read once (one small job) like the source jobs read their
+        ledger before building the query; as literals they reach the Parquet scan as
+        pushed filters, which scalar subqueries do not."""
+        rows = ledger.watermarks(self.ledger(), LEDGER_JOBS).collect()
+        return {r["job_name"]: r["latest_record_date"] for r in rows}
 
     def watermark(self, job: str):
-        return ledger.watermark(self.ledger(), job)
+        return F.lit(self._watermarks[job]).cast("timestamp_ntz")
 
     # ---------------------------------------------------------------- staging (materialized)
     @cached_property
     def staged(self) -> dict[str, DataFrame]:
-        return {"requests": self._keep(self.stage_requests()),
-                "inspections": self._keep(self.stage_inspections()),
-                "applications": self._keep(self.stage_applications())}
+        return self._shared("staged", lambda: {"requests": self._keep(self.stage_requests()),
+                                               "inspections": self._keep(self.stage_inspections()),
+                                               "applications": self._keep(self.stage_applications())})
 
     # ---------------------------------------------------------------- dimensions
     def dim_time(self) -> DataFrame:
@@ -243,9 +287,9 @@ class Mart:
             requests=self.valid_requests(), request_locations=st["requests"],
             inspection_locations=st["inspections"], inspections=self.m.inspections(),
             open_locations=st["applications"], applications=self.m.applications(),
-            dim_location=self._keep(self.dim_location()), dim_complaint=self.dim_complaint(),
-            dim_violation=self.dim_violation(), dim_open=self.dim_open(), dim_date=self.dim_date(),
-            dim_time=self.dim_time())
+            dim_location=self._keep(self.dim_location()), dim_complaint=self._keep(self.dim_complaint()),
+            dim_violation=self._keep(self.dim_violation()), dim_open=self._keep(self.dim_open()),
+            dim_date=self._keep(self.dim_date()), dim_time=self.dim_time())
 
     def fact(self) -> DataFrame:
         return fact_preaggregated(self.fact_inputs())

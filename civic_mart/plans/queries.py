@@ -18,7 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from civic_mart.plans.model import read_table
+    return read_table(spark, sf_dir, name)
 
 
 # ------------------------------------------------------------------ date dimension

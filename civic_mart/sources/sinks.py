@@ -74,3 +74,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "civic_mart", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it
+    back: later uses read the files instead of recomputing the lineage, the files
+    survive executor loss, and the planner sees their real size (small tables get
+    broadcast, large ones do not)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
