@@ -44,8 +44,8 @@ def ledger_row(spark: SparkSession, job_name: str, latest: Column, execution: Co
     row = spark.range(1).select(F.lit(job_name).alias("job_name"),
                                 latest.cast("timestamp_ntz").alias("latest_record_date"),
                                 execution.cast("timestamp_ntz").alias("execution_date"))
-    return row.withColumn("_chk", F.when(F.col("latest_record_date").isNotNull(), F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"ledger {job_name}: latest_record_date is NULL (empty source)")))).drop("_chk")
+    return row.where(F.when(F.col("latest_record_date").isNotNull(), F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"ledger {job_name}: latest_record_date is NULL (empty source)"))))
 
 
 def source_max(source: DataFrame, col: str) -> Column:

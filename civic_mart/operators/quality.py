@@ -34,5 +34,6 @@ def tag_required(df: DataFrame, required: list[str]) -> DataFrame:
 def assert_required(df: DataFrame, required: list[str]) -> DataFrame:
     """Fail the job (at execution) on the first row that breaks a REQUIRED column."""
     cond = all_not_null(required)
-    return df.withColumn("_chk", F.when(cond, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("REQUIRED column is NULL: "), missing_columns(required))))).drop("_chk")
+    # a filter predicate is always evaluated (an unused check column would be pruned)
+    return df.where(F.when(cond, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("REQUIRED column is NULL: "), missing_columns(required)))))

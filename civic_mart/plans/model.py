@@ -204,10 +204,10 @@ class Model:
         """Polygon layer with WKT ``the_geom`` and the borough of the cell centre."""
         tbl, key, code, geoid, label = LAYERS[name]
         src = self.table(tbl)
-        g = src.agg(F.expr(f"CAST(ceil(sqrt(max({key}) + 1)) AS BIGINT)").alias("g"))
-        # one-row scalar: broadcast cross join (size 1 by construction)
-        cells = src.crossJoin(F.broadcast(g)).selectExpr(
-            f"{key} AS k", "g", f"{code} AS code", f"{geoid} AS geoid", f"{label} AS label")
+        # grid width from the key range, as a scalar subquery (evaluated once)
+        g = src.agg(F.expr(f"CAST(ceil(sqrt(max({key}) + 1)) AS BIGINT)")).scalar()
+        cells = src.select(F.col(key).alias("k"), g.alias("g"), F.expr(code).alias("code"),
+                           F.expr(geoid).alias("geoid"), F.expr(label).alias("label"))
         cells = cells.selectExpr("*", *[f"{e} AS {c}" for c, e in _cell_cols("k")])
         cells = cells.selectExpr("*", f"{band_of('(y0 + y1) / 2')} AS _band", f"{WKT_EXPR} AS the_geom")
         b = self.boroughs()

@@ -464,7 +464,7 @@ _len_txt = (f"CASE o.o_orderkey % 6 WHEN 0 THEN {_n} WHEN 1 THEN ' ' || {_n} ||
             f"WHEN 3 THEN '' WHEN 4 THEN 'abc' ELSE {_n} || '_000' END")
 CSV_RECORDS = with_ctes(["m_applications"], [], f"""
 SELECT a.objectid, a.seating_interest_sidewalk, 'Cafe "' || a.objectid || '", Inc' AS restaurant_name, a.borough, a.zip,
-       CASE WHEN regexp_full_match({_len_txt}, '\s*[+-]?[0-9]+(_[0-9]+)*\s*')
+       CASE WHEN regexp_full_match({_len_txt}, '[[:space:]]*[+-]?[0-9]+(_[0-9]+)*[[:space:]]*')
             THEN CAST(replace(trim({_len_txt}), '_', '') AS BIGINT) END AS sidewalk_dimensions_length,
        o.o_orderkey % 17 AS roadway_dimensions_width, a.approved_for_sidewalk_seating, a.approved_for_roadway_seating,
        a.qualify_alcohol, a.time_of_submission, a.latitude, a.longitude
