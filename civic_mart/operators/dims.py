@@ -120,6 +120,23 @@ def dim_location_increment(stages: list[DataFrame], population: DataFrame, dim_l
 VIOLATION_COLS = ["RestaurantViolationID", "Cuisine", "ViolationCode", "Category", "StartDate", "EndDate", "IsCurrent"]
 
 
+def violation_pairs(inspections: DataFrame) -> DataFrame:
+    """Distinct (cuisine, violation code) with the first and last inspection date.
+
+    The SCD-2 steps only ask whether a pair occurs after (or up to) a watermark:
+    ``last > w`` / ``first <= w``.  One partial aggregation reduces billions of
+    inspection rows to the business keys before any join."""
+    return inspections.groupBy("cuisine_description", "violation_code").agg(
+        F.min("inspection_date").alias("first_date"), F.max("inspection_date").alias("last_date"))
+
+
+def pairs_as_rows(pairs: DataFrame, side: str) -> DataFrame:
+    """View the pair table as inspection rows dated ``last`` (for '> w' tests) or
+    ``first`` (for '<= w' tests)."""
+    col = "last_date" if side == "after" else "first_date"
+    return pairs.select("cuisine_description", "violation_code", F.col(col).alias("inspection_date"))
+
+
 def _changed_ids(inspections: DataFrame, focus: DataFrame, dim: DataFrame, watermark: Column) -> DataFrame:
     src = inspections.where(F.col("inspection_date") > watermark).select("cuisine_description", "violation_code")
     f = focus.select(F.col("violation_code").alias("_fcode"), F.col("category").alias("_fcat"))

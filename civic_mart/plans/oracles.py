@@ -525,4 +525,5 @@ def registry() -> dict[str, str]:
         "geojson_layer": GEOJSON_LAYER,
         "unmatched_borough": UNMATCHED_BOROUGH,
         "sink_roundtrip": SINK_ROUNDTRIP,
+        "stream_geocode_requests": GEOCODE_REQUESTS,
     }

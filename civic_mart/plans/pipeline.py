@@ -80,9 +80,9 @@ TIME_PERIODS = "CASE WHEN h < 6 THEN 'Night' WHEN h < 12 THEN 'Morning' WHEN h <
 
 class Mart:
     def __init__(self, spark: SparkSession, sf_dir: str, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT,
-                 materialize: bool = True):
+                 materialize: bool = True, overrides: dict[str, DataFrame] | None = None):
         self.spark = spark
-        self.m = Model(spark, sf_dir)
+        self.m = Model(spark, sf_dir, overrides)
         self.broadcast_limit = broadcast_limit
         self.materialize = materialize
 
@@ -96,12 +96,6 @@ class Mart:
             ensure_checkpoint_dir(self.spark)
         return sinks.materialize(df, "mart")
 
-    def spread_for(self, table: str) -> int | None:
-        """Cores to spread CPU-bound work over when ``table`` comes in fewer files than
-        cores (a small input: the shuffle is cheap); ``None`` for large inputs."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return cores if len(self.m.table(table).inputFiles()) < cores else None
-
     def _shared(self, what: str, build):
         if not self.materialize:
             return build()
@@ -128,9 +122,6 @@ class Mart:
             out = []
             for name, prefix in (("blocks", "b_"), ("tracts", "t_"), ("ntas", "n_")):
                 poly = self.m.layer(name)
-                spread = self.spread_for(M.LAYERS[name][0])
-                if spread:
-                    poly = poly.repartition(spread)
                 attrs = sorted(set(LAYER_OUTPUTS[name].values()) | {"BoroCode", "BoroName"})
                 layer = spatial.prepare_layer(poly, "the_geom", "BoroName", "poly_id", attrs,
                                               materialize=self._keep if self.materialize else None)
@@ -150,7 +141,7 @@ class Mart:
                            fields={"created_date": "created_date", "zipcode": "incident_zip",
                                    "location_type": "location_type"},
                            layers=self.layers, dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("events"))
+        g = geocode(src, spec, self.broadcast_limit)
         g = lookup_with_default(g, "location_type", self.location_categories(), "location_type", "category",
                                 "locationType", known_rows=len(LOCATION_CATEGORIES))
         return g.select("unique_key", "created_date", *dims.STAGE_LOCATION_COLS)
@@ -169,7 +160,7 @@ class Mart:
         spec = GeocodeSpec(key="objectid", order=["time_of_submission", "objectid"], x="longitude", y="latitude",
                            borough="borough", fields={"zipcode": "zip"}, layers=self.layers,
                            dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("orders")).withColumn("locationType", F.lit("Commercial"))
+        g = geocode(src, spec, self.broadcast_limit).withColumn("locationType", F.lit("Commercial"))
         return g.select("objectid", *dims.STAGE_LOCATION_COLS)
 
     # ---------------------------------------------------------------- ledger
@@ -251,10 +242,14 @@ class Mart:
                                               "Category string, StartDate timestamp_ntz, EndDate timestamp_ntz, "
                                               "IsCurrent bigint")
 
+    @cached_property
+    def violation_pairs(self) -> DataFrame:
+        return self._keep(dims.violation_pairs(self.m.inspections()))
+
     def violations_prior(self) -> DataFrame:
         """The dimension as the earlier run (v1 categories, inspections up to the watermark) left it."""
         w = self.watermark(JOB_DIM_VIO)
-        ins = self.m.inspections().where(F.col("inspection_date") <= w)
+        ins = dims.pairs_as_rows(self.violation_pairs, "before").where(F.col("inspection_date") <= w)
         return dims.scd2_apply(ins, self.focus_violations(1), self._empty_violations(),
                                F.lit(SNAPSHOT_START).cast("timestamp_ntz"), w)
 
@@ -263,13 +258,13 @@ class Mart:
 
     def violations_expired(self, prior: DataFrame | None = None) -> DataFrame:
         prior = self.violations_prior() if prior is None else prior
-        return dims.scd2_expire(self.m.inspections(), self.focus_violations(2), prior,
+        return dims.scd2_expire(dims.pairs_as_rows(self.violation_pairs, "after"), self.focus_violations(2), prior,
                                 self.watermark(JOB_DIM_VIO), self.run_time())
 
     def violations_new(self, expired: DataFrame | None = None) -> DataFrame:
         expired = self.violations_expired() if expired is None else expired
-        return dims.scd2_new_versions(self.m.inspections(), self.focus_violations(2), expired,
-                                      self.watermark(JOB_DIM_VIO), self.run_time())
+        return dims.scd2_new_versions(dims.pairs_as_rows(self.violation_pairs, "after"), self.focus_violations(2),
+                                      expired, self.watermark(JOB_DIM_VIO), self.run_time())
 
     def dim_violation(self) -> DataFrame:
         expired = self._keep(self.violations_expired())

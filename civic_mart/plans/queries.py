@@ -156,6 +156,13 @@ def _extract():
     }
 
 
+def stream_geocode_requests(spark, sf_dir):
+    """Structured Streaming (availableNow) increment over the landed request files; after
+    draining, equal to the full 311 staging table."""
+    from civic_mart.streaming.incremental import run_request_geocode
+    return run_request_geocode(spark, sf_dir)
+
+
 def registry() -> dict[str, Query]:
     return {
         "dim_date_full": dim_date_full,
@@ -174,4 +181,5 @@ def registry() -> dict[str, Query]:
         "scd2_insert": scd2_insert,
         "fact_rodent_issue": fact_rodent_issue,
         **_extract(),
+        "stream_geocode_requests": stream_geocode_requests,
     }

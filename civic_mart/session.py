@@ -26,6 +26,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CIVIC_DRIVER_MEMORY", "8g"))
     )
+    if os.environ.get("CIVIC_EVENT_LOG"):
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir",
+                                                                          os.environ["CIVIC_EVENT_LOG"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

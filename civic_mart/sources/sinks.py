@@ -83,4 +83,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     broadcast, large ones do not)."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
