@@ -102,7 +102,7 @@ def page_read_query(mart: Mart) -> DataFrame:
     root = sinks.scratch_path(spark, "pages")
     raw.write.partitionBy("key", "page").json(root)
     plan = paging.page_plan(request_counts(mart), "focus_type", "n")
-    fetched = paging.fetch_pages(plan, paging.landed_fetcher(root))
+    fetched = paging.fetch_pages(plan, paging.landed_fetcher(sinks.local_path(root)))
     recs = paging.page_records(fetched, schemas.all_strings(schemas.NYC_311_SERVICE_REQUEST, schemas.NYC_311_RENAMES))
     typed = records.map_311(recs, keep=["key", "page"])
     return typed.select("key", "page", *PAGE_READ_COLS)

@@ -97,7 +97,7 @@ class Mart:
         return sinks.materialize(df, "mart")
 
     def _shared(self, what: str, build):
-        if not self.materialize:
+        if not self.materialize or (self.m.overrides and what != "layers"):
             return build()
         key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit)
         if key not in _SHARED:

@@ -1,14 +1,13 @@
 """Table writes: snapshot overwrite, increment append, versioned swap.
 
 Parquet tables have no UPDATE / DELETE / MERGE.  A table that must be rewritten
-from itself (SCD-2 expiry) is written as a new version folder and a small
-pointer file names the current version, so readers never see a half-written
-table and a failed job leaves the old version in place.
+from itself (SCD-2 expiry) is written as a new version folder and an
+append-only version log names the current version, so readers never see a
+half-written table and a failed job leaves the old version in place.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,42 +37,57 @@ def write_table(df: DataFrame, path: str, mode: str, ddl: str | None = None, max
     w.parquet(path)
 
 
-def _pointer(root: str) -> str:
-    return os.path.join(root, _CURRENT)
+def _log(root: str) -> str:
+    return f"{root.rstrip('/')}/_versions"
 
 
-def current_version(root: str) -> str | None:
-    p = _pointer(root)
-    if not os.path.exists(p):
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the newest complete version (None before the first write)."""
+    try:
+        log = spark.read.schema("version string, written_at timestamp, seq long").parquet(_log(root))
+    except Exception:  # noqa: BLE001  (no log yet)
         return None
-    with open(p, encoding="utf-8") as fh:
-        return os.path.join(root, fh.read().strip())
+    row = log.orderBy(F.col("seq").desc(), F.col("written_at").desc()).select("version").first()
+    return f"{root.rstrip('/')}/{row['version']}" if row else None
 
 
 def read_versioned(spark: SparkSession, root: str) -> DataFrame | None:
-    cur = current_version(root)
+    cur = current_version(spark, root)
     return spark.read.parquet(cur) if cur else None
 
 
 def write_versioned(df: DataFrame, root: str, ddl: str | None = None) -> str:
-    """Write a full new version next to the old one, then switch the pointer."""
+    """Write a full new version next to the old one, then append its name to the
+    version log.  Readers follow the log, so they see the old version or the new
+    one, never a half-written table; a failed write leaves the old version current.
+    Everything goes through Spark's writers (any file system Spark can write)."""
+    spark = df.sparkSession
     name = f"v-{uuid.uuid4().hex}"
-    target = os.path.join(root, name)
+    target = f"{root.rstrip('/')}/{name}"
     write_table(df, target, "overwrite", ddl)
-    os.makedirs(root, exist_ok=True)
-    tmp = _pointer(root) + ".tmp"
-    with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(name)
-    os.replace(tmp, _pointer(root))
+    cur = current_version(spark, root)
+    seq = 0
+    if cur is not None:
+        seq = spark.read.parquet(_log(root)).agg(F.max("seq")).first()[0] + 1
+    entry = spark.range(1).select(F.lit(name).alias("version"), F.current_timestamp().alias("written_at"),
+                                  F.lit(seq).cast("long").alias("seq"))
+    entry.coalesce(1).write.mode("append").parquet(_log(root))
     return target
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the session."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or "/tmp"
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "civic_mart", f"{name}-{uuid.uuid4().hex}")
+    """A fresh folder under the shared checkpoint folder of the session (a Hadoop URI
+    on a cluster, e.g. ``hdfs://`` or ``s3a://``)."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        from civic_mart.session import ensure_checkpoint_dir
+        base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/civic_mart/{name}-{uuid.uuid4().hex}"
+
+
+def local_path(uri: str) -> str:
+    """Plain path of a ``file:`` URI (for readers outside Spark, e.g. a landed-page fetcher)."""
+    return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -84,5 +84,5 @@ def test_sinks_overwrite_append_and_versions(spark):
     root = sinks.scratch_path(spark, "v")
     first = sinks.write_versioned(df, root, ddl)
     second = sinks.write_versioned(sinks.read_versioned(spark, root).withColumn("b", F.col("b") + 1), root, ddl)
-    assert first != second and sinks.current_version(root) == second
+    assert first != second and sinks.current_version(spark, root) == second
     assert sinks.read_versioned(spark, root).first()["b"] == 2
