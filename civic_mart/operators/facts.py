@@ -92,7 +92,11 @@ def fact_preaggregated(x: FactInputs) -> DataFrame:
                                  F.col("Cuisine").alias("_vu"))
     il = x.inspection_locations.select(F.col("camis").alias("_lc"), F.col("block_bctcb2020").alias("_b"),
                                        F.col("locationType").alias("_t"))
-    ins = x.inspections.select(F.col("camis").alias("_ic"), "violation_code", "cuisine_description", "inspection_date")
+    # inspections reduced once to what both parts need (one partial aggregation;
+    # the shuffle is shared by the violation side and the inspection-only rows)
+    ins = x.inspections.select(F.col("camis").alias("_ic"), "violation_code", "cuisine_description",
+                               cal.date_id(F.col("inspection_date")).alias("_idate"),
+                               F.hour("inspection_date").alias("_ihour")).distinct()
     ins_rows = il.join(ins, F.col("_lc") == F.col("_ic"), "left")
     vio_on = ((F.col("_vc") == F.coalesce("violation_code", F.lit(DEFAULT_VIOLATION)))
               & (F.col("_vu") == F.coalesce("cuisine_description", F.lit(DEFAULT_VIOLATION))))
@@ -130,7 +134,7 @@ def fact_preaggregated(x: FactInputs) -> DataFrame:
     # --- inspection-only rows: inspection locations whose (block, type) has no request row
     only = il.join(r0_keys, ["_b", "_t"], "left_anti").join(ins, F.col("_lc") == F.col("_ic"), "left")
     only = (only.join(F.broadcast(vio), vio_on)
-            .withColumn("_date", cal.date_id(F.col("inspection_date"))).withColumn("_hour", F.hour("inspection_date"))
+            .withColumn("_date", F.col("_idate")).withColumn("_hour", F.col("_ihour"))
             .join(x.dim_date.select(F.col("DateID").alias("_date"), "DateID"), "_date")
             .join(F.broadcast(x.dim_time.select(F.col("Hour").alias("_hour"), "TimeID")), "_hour"))
     default_comp = _member_ids(comp.where((F.col("_ct") == DEFAULT_COMPLAINT_TYPE)

@@ -178,11 +178,12 @@ class Model:
         self.sf_dir = sf_dir.rstrip("/")
         self.overrides = overrides or {}  # e.g. one micro-batch of a stream in place of a table
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, spread: bool = False) -> DataFrame:
+        """A driver table; ``spread`` for the sources whose rows feed CPU-heavy work."""
         if name in self.overrides:
             return self.overrides[name]
         df = read_table(self.spark, self.sf_dir, name)
-        return spread_small_input(df)
+        return spread_small_input(df) if spread else df
 
     def boroughs(self) -> DataFrame:
         # the 5-row TPC-H region table; size fixed by the schema, safe to broadcast
@@ -217,7 +218,7 @@ class Model:
     def layer(self, name: str) -> DataFrame:
         """Polygon layer with WKT ``the_geom`` and the borough of the cell centre."""
         tbl, key, code, geoid, label = LAYERS[name]
-        src = self.table(tbl)
+        src = self.table(tbl, spread=True)
         # grid width from the key range, as a scalar subquery (evaluated once)
         g = src.agg(F.expr(f"CAST(ceil(sqrt(max({key}) + 1)) AS BIGINT)")).scalar()
         cells = src.select(F.col(key).alias("k"), g.alias("g"), F.expr(code).alias("code"),

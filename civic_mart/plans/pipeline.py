@@ -96,6 +96,15 @@ class Mart:
             ensure_checkpoint_dir(self.spark)
         return sinks.materialize(df, "mart")
 
+    def spread_for(self, table: str) -> int | None:
+        """Cores to spread CPU-bound refine work over when ``table`` arrives in fewer
+        files than cores (small, unsplittable input: the shuffle is cheap); ``None``
+        for large inputs, which the scan already splits."""
+        if table in self.m.overrides:
+            return None
+        cores = self.spark.sparkContext.defaultParallelism
+        return cores if cores > 1 and len(self.m.table(table).inputFiles()) < cores else None
+
     def _shared(self, what: str, build):
         if not self.materialize or (self.m.overrides and what != "layers"):
             return build()
@@ -141,7 +150,7 @@ class Mart:
                            fields={"created_date": "created_date", "zipcode": "incident_zip",
                                    "location_type": "location_type"},
                            layers=self.layers, dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit)
+        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("events"))
         g = lookup_with_default(g, "location_type", self.location_categories(), "location_type", "category",
                                 "locationType", known_rows=len(LOCATION_CATEGORIES))
         return g.select("unique_key", "created_date", *dims.STAGE_LOCATION_COLS)
@@ -160,7 +169,8 @@ class Mart:
         spec = GeocodeSpec(key="objectid", order=["time_of_submission", "objectid"], x="longitude", y="latitude",
                            borough="borough", fields={"zipcode": "zip"}, layers=self.layers,
                            dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit).withColumn("locationType", F.lit("Commercial"))
+        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("orders"))
+        g = g.withColumn("locationType", F.lit("Commercial"))
         return g.select("objectid", *dims.STAGE_LOCATION_COLS)
 
     # ---------------------------------------------------------------- ledger
