@@ -22,7 +22,9 @@ def lookup_with_default(df: DataFrame, key: str, lookup: DataFrame, lookup_key:
     """Exact (case-sensitive) match of ``df[key]`` in ``lookup``; first category wins
     (smallest value, deterministic); no match or NULL key -> ``default``.
     ``known_rows`` skips the size check for lookups built from a literal list."""
-    one = lookup.groupBy(F.col(lookup_key).alias("_lk")).agg(F.min(value).alias("_lv"))
+    # smallest value per key (hash-based aggregate; min over strings would sort)
+    one = lookup.groupBy(F.col(lookup_key).alias("_lk")).agg(
+        F.sort_array(F.collect_set(value))[0].alias("_lv"))
     if known_rows is not None and known_rows <= max_rows:
         one = F.broadcast(one)
     else:

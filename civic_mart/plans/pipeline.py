@@ -267,7 +267,8 @@ class Mart:
         return ledger.local_now(RUN_UTC)
 
     def violations_expired(self, prior: DataFrame | None = None) -> DataFrame:
-        prior = self.violations_prior() if prior is None else prior
+        # the previous run's dimension is a stored table in the warehouse: written once
+        prior = self._keep(self.violations_prior()) if prior is None else prior
         return dims.scd2_expire(dims.pairs_as_rows(self.violation_pairs, "after"), self.focus_violations(2), prior,
                                 self.watermark(JOB_DIM_VIO), self.run_time())
 

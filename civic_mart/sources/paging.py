@@ -61,8 +61,10 @@ def positions(df: DataFrame, group: list[str], order: list[str], partitions: int
     tagged = (df.repartitionByRange(n, *group, *order).sortWithinPartitions(*group, *order)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    if spark.sparkContext.getCheckpointDir():
-        tagged = tagged.checkpoint(eager=True)  # fixes partition contents for both uses below
+    # written once: both uses below read the same numbered rows (and a lost executor
+    # cannot make a recomputation number them differently)
+    from civic_mart.sources.sinks import materialize
+    tagged = materialize(tagged, "positions")
     counts = tagged.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
     w = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
