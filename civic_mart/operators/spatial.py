@@ -178,18 +178,23 @@ def cell_table(layer: Layer) -> DataFrame:
 
 
 def locate(points: DataFrame, layer: Layer, x: str, y: str, borough: str, prefix: str,
-           broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+           broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, salt: int = 1) -> DataFrame:
     """Add ``{prefix}pid`` and ``{prefix}<attr>``: the polygon of the point's borough
     bucket with the smallest id that strictly contains the point (NULLs when none).
 
     Exactly one output row per input row: the cell table has one row per key.  It
     is broadcast when its size bound is under ``broadcast_limit``; otherwise the
-    join shuffles on (bucket, cell) and AQE splits skewed cells.
+    join shuffles on (bucket, cell) and AQE splits skewed cells.  ``salt > 1``
+    additionally spreads every cell over ``salt`` join keys in the shuffle path:
+    the cell table is replicated ``salt`` times and each point takes a salt from a
+    hash of its whole row (deterministic on retry; points stacked on one spot are
+    spread too).
     """
     cells = cell_table(layer).select(
         F.col("_bkey").alias(f"{prefix}_bkey"), F.col("_cx").alias(f"{prefix}_cx"),
         F.col("_cy").alias(f"{prefix}_cy"), F.col("_cands").alias(f"{prefix}_cands"))
-    if layer.size_bound <= broadcast_limit:
+    broadcast = layer.size_bound <= broadcast_limit
+    if broadcast:
         cells = F.broadcast(cells)
     px, py = F.col(x), F.col(y)
     pts = (points.withColumn(f"{prefix}_pk", borough_key(F.col(borough)))
@@ -197,6 +202,11 @@ def locate(points: DataFrame, layer: Layer, x: str, y: str, borough: str, prefix
            .withColumn(f"{prefix}_pcy", _cell_of(py, layer.cell)))
     cond = ((F.col(f"{prefix}_pk") == F.col(f"{prefix}_bkey")) & (F.col(f"{prefix}_pcx") == F.col(f"{prefix}_cx"))
             & (F.col(f"{prefix}_pcy") == F.col(f"{prefix}_cy")))
+    if salt > 1 and not broadcast:
+        cells = cells.withColumn(f"{prefix}_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        pts = pts.withColumn(f"{prefix}_psalt",
+                             F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)).cast("int"))
+        cond = cond & (F.col(f"{prefix}_psalt") == F.col(f"{prefix}_salt"))
     j = pts.join(cells, cond, "left")
     inside = F.filter(
         F.col(f"{prefix}_cands"),

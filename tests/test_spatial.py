@@ -128,3 +128,15 @@ def test_size_bound_covers_exploded_layer(spark, layer_df):
     layer = spatial.prepare_layer(layer_df, "the_geom", "boro", "pid", ["code"], cell=0.5)
     n = spatial.exploded_layer(layer).count()
     assert layer.size_bound >= n * 96
+
+
+def test_hot_cell_salted_shuffle_path_matches_broadcast(spark, layer_df):
+    hot = [(f"h{i}", 1.1, 1.9, "Queens") for i in range(3000)]          # a third of all points on one spot
+    rest = [(f"r{i}", (i % 40) / 10 + 0.05, (i // 40 % 40) / 10 + 0.05, "Queens" if i % 2 else "Bronx")
+            for i in range(6000)]
+    pts = spark.createDataFrame(hot + rest, "k string, x double, y double, borough string").repartition(4)
+    layer = spatial.prepare_layer(layer_df, "the_geom", "boro", "pid", ["code"])
+    ref = spatial.locate(pts, layer, "x", "y", "borough", "")
+    salted = spatial.locate(pts, layer, "x", "y", "borough", "", broadcast_limit=0, salt=8)
+    assert rows(salted, "k", "pid") == rows(ref, "k", "pid")
+    assert salted.where("k = 'h0'").first()["pid"] == 5
