@@ -195,7 +195,8 @@ class Mart:
         return {r["job_name"]: r["latest_record_date"] for r in rows}
 
     def watermark(self, job: str):
-        return F.lit(self._watermarks[job]).cast("timestamp_ntz")
+        # a zone-less literal built from text: independent of the session time zone
+        return F.lit(self._watermarks[job].isoformat(sep=" ")).cast("timestamp_ntz")
 
     # ---------------------------------------------------------------- staging (materialized)
     @cached_property
