@@ -294,9 +294,15 @@ class Mart:
             requests=self.valid_requests(), request_locations=st["requests"],
             inspection_locations=st["inspections"], inspections=self.m.inspections(),
             open_locations=st["applications"], applications=self.m.applications(),
-            dim_location=self._keep(self.dim_location()), dim_complaint=self._keep(self.dim_complaint()),
-            dim_violation=self._keep(self.dim_violation()), dim_open=self._keep(self.dim_open()),
-            dim_date=self._keep(self.dim_date()), dim_time=self.dim_time())
+            dim_location=self.stored("dim_location"), dim_complaint=self.stored("dim_complaint"),
+            dim_violation=self.stored("dim_violation"), dim_open=self.stored("dim_open"),
+            dim_date=self.stored("dim_date"), dim_time=self.dim_time())
+
+    def stored(self, dim: str) -> DataFrame:
+        """A dimension as its load job stored it: built and written once per session and
+        source folder, then read by every later job (the fact reads tables, it does not
+        re-derive them)."""
+        return self._shared(dim, lambda: self._keep(getattr(self, dim)()))
 
     def fact(self) -> DataFrame:
         return fact_preaggregated(self.fact_inputs())
