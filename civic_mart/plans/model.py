@@ -231,7 +231,7 @@ class Model:
                             "code", "geoid", "label"))
 
     def population_blocks(self) -> DataFrame:
-        return self.table("customer").where("c_custkey % 17 <> 0").selectExpr(
+        return self.table("customer").selectExpr(
             "'B' || CAST(c_custkey AS STRING) AS GeoID",
             "CAST(floor(abs(c_acctbal)) AS BIGINT) AS Pop1",
             "CASE WHEN c_custkey % 10 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(c_custkey % 97 AS DOUBLE) / 10 + 0.5 END AS LandAcres")
@@ -258,7 +258,7 @@ def cte_sql() -> dict[str, str]:
                            f"LEFT JOIN region r ON r.r_regionkey = s._band"),
         "m_population": ("SELECT 'B' || CAST(c_custkey AS STRING) AS GeoID, CAST(floor(abs(c_acctbal)) AS BIGINT) AS Pop1, "
                          "CASE WHEN c_custkey % 10 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(c_custkey % 97 AS DOUBLE) / 10 + 0.5 END "
-                         "AS LandAcres FROM customer WHERE c_custkey % 17 <> 0"),
+                         "AS LandAcres FROM customer"),
     }
     for name, (tbl, key, code, geoid, label) in LAYERS.items():
         cell = ", ".join(f"{e} AS {c}" for c, e in _cell_cols("k"))
