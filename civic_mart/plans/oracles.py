@@ -222,11 +222,15 @@ INCREMENT_REQUESTS = with_ctes(["m_requests", "m_inspections", *LAYER_CTES],
                                _dedupe([*ledger_ctes(), *stage_requests_ctes(wm(P.JOB_311), ts(RUN_END))]),
                                "SELECT * FROM stage_req")
 
-LEDGER_APPEND = with_ctes(["m_requests", "m_inspections"], [("valid_requests", VALID_REQUESTS)], f"""
+LEDGER_APPEND = with_ctes(["m_requests", "m_inspections"], ledger_ctes(), f"""
 SELECT {_q(P.JOB_311)} AS job_name, (SELECT max(created_date) FROM valid_requests) AS latest_record_date,
        {ts(P.RUN_NY)} AS execution_date
 UNION ALL
 SELECT {_q(P.JOB_INS)}, (SELECT max(inspection_date) FROM m_inspections), {ts(P.RUN_NY)}
+UNION ALL
+SELECT {_q(P.JOB_DIM_LOC_311)}, {wm(P.JOB_311)}, {ts(P.RUN_NY)}
+UNION ALL
+SELECT {_q(P.JOB_DIM_LOC_INS)}, {wm(P.JOB_INS)}, {ts(P.RUN_NY)}
 """)
 
 

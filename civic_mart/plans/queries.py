@@ -82,13 +82,18 @@ def increment_requests(spark, sf_dir):
 
 
 def ledger_append(spark, sf_dir):
-    """Ledger rows written after the geocode run (max over the whole source)."""
+    """Ledger rows written after the geocode run (max over the whole source) and
+    after the DimLocation load (the staging jobs' watermarks)."""
     from civic_mart.operators import ledger as L
-    from civic_mart.plans.pipeline import JOB_311, JOB_INS, RUN_UTC
+    from civic_mart.plans.pipeline import JOB_311, JOB_DIM_LOC_311, JOB_DIM_LOC_INS, JOB_INS, RUN_UTC
     mart = Mart(spark, sf_dir)
     now = L.local_now(RUN_UTC)
-    return L.ledger_row(spark, JOB_311, L.source_max(mart.valid_requests(), "created_date"), now).unionByName(
+    geocode_rows = L.ledger_row(spark, JOB_311, L.source_max(mart.valid_requests(), "created_date"), now).unionByName(
         L.ledger_row(spark, JOB_INS, L.source_max(mart.m.inspections(), "inspection_date"), now))
+    # The DimLocation load records the staging jobs' watermarks, not its own data max
+    dim_rows = L.ledger_row(spark, JOB_DIM_LOC_311, mart.watermark(JOB_311), now).unionByName(
+        L.ledger_row(spark, JOB_DIM_LOC_INS, mart.watermark(JOB_INS), now))
+    return geocode_rows.unionByName(dim_rows)
 
 
 # ------------------------------------------------------------------ dimensions / fact
