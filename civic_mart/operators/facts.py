@@ -67,7 +67,11 @@ def _with_id(df: DataFrame) -> DataFrame:
 
 
 def fact_preaggregated(x: FactInputs) -> DataFrame:
-    """Exact fact without the block-level fan-out (see module doc)."""
+    """Exact fact without the block-level fan-out (see module doc).
+
+    Dimension joins carry no broadcast hint except DimTime (24 rows by
+    construction): the stored dimensions have measured sizes, so the planner and
+    AQE broadcast them only while they are under the broadcast threshold."""
     # --- R0: request x request location x location dimension (before the dimension filters)
     rl = x.request_locations.select("unique_key", F.col("block_bctcb2020").alias("_b"), F.col("locationType").alias("_t"))
     dl = x.dim_location.select("LocationID", F.col("Block").alias("_b"), F.col("LocationType").alias("_t"))
@@ -78,7 +82,7 @@ def fact_preaggregated(x: FactInputs) -> DataFrame:
     # --- R: complaint, date and hour keys; one aggregate row per request-side group
     comp = x.dim_complaint.select("ComplaintID", F.col("ComplaintType").alias("_ct"),
                                   F.col("ComplaintDescription").alias("_cd"))
-    r = r0.join(F.broadcast(comp), (F.col("_ct") == F.coalesce("complaint_type", F.lit(DEFAULT_COMPLAINT_TYPE)))
+    r = r0.join(comp, (F.col("_ct") == F.coalesce("complaint_type", F.lit(DEFAULT_COMPLAINT_TYPE)))
                 & (F.col("_cd") == F.coalesce("descriptor", F.lit(DEFAULT_COMPLAINT_DESCRIPTION))))
     r = (r.withColumn("_date", cal.date_id(F.col("created_date"))).withColumn("_hour", F.hour("created_date"))
          .join(x.dim_date.select(F.col("DateID").alias("_date"), "DateID"), "_date")
@@ -100,7 +104,7 @@ def fact_preaggregated(x: FactInputs) -> DataFrame:
     ins_rows = il.join(ins, F.col("_lc") == F.col("_ic"), "left")
     vio_on = ((F.col("_vc") == F.coalesce("violation_code", F.lit(DEFAULT_VIOLATION)))
               & (F.col("_vu") == F.coalesce("cuisine_description", F.lit(DEFAULT_VIOLATION))))
-    i_side = (ins_rows.join(F.broadcast(vio), vio_on)
+    i_side = (ins_rows.join(vio, vio_on)
               .groupBy("_b", "_t", "RestaurantViolationID").agg(F.count_distinct("_ic").alias("NumberOfViolations")))
     none_vio = _member_ids(vio.where((F.col("_vc") == DEFAULT_VIOLATION) & (F.col("_vu") == DEFAULT_VIOLATION)),
                            "RestaurantViolationID")
@@ -113,7 +117,7 @@ def fact_preaggregated(x: FactInputs) -> DataFrame:
     apps = _approved(x.applications).select(F.col("objectid").alias("_ao"), "seating_interest_sidewalk",
                                             "qualify_alcohol")
     o_rows = ol.join(apps, F.col("_lo") == F.col("_ao"), "left")
-    o_side = (o_rows.join(F.broadcast(opn_dim),
+    o_side = (o_rows.join(opn_dim,
                           (F.col("_ot") == F.coalesce("seating_interest_sidewalk", F.lit(DEFAULT_OPEN_TYPE)))
                           & (F.col("_oa") == _alcohol(F.col("qualify_alcohol"))))
               .select("_b", "_t", "OpenRestaurantID").distinct())
@@ -133,7 +137,7 @@ def fact_preaggregated(x: FactInputs) -> DataFrame:
 
     # --- inspection-only rows: inspection locations whose (block, type) has no request row
     only = il.join(r0_keys, ["_b", "_t"], "left_anti").join(ins, F.col("_lc") == F.col("_ic"), "left")
-    only = (only.join(F.broadcast(vio), vio_on)
+    only = (only.join(vio, vio_on)
             .withColumn("_date", F.col("_idate")).withColumn("_hour", F.col("_ihour"))
             .join(x.dim_date.select(F.col("DateID").alias("_date"), "DateID"), "_date")
             .join(F.broadcast(x.dim_time.select(F.col("Hour").alias("_hour"), "TimeID")), "_hour"))

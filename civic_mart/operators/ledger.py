@@ -35,7 +35,8 @@ def watermarks(ledger: DataFrame, job_names: list[str], default: str = EMPTY_WAT
     spark = ledger.sparkSession
     jobs = spark.createDataFrame([(j,) for j in job_names], "job_name string")
     per_job = ledger.groupBy("job_name").agg(F.max("latest_record_date").alias("_m"))
-    return (jobs.join(F.broadcast(per_job) if len(job_names) < 10_000 else per_job, "job_name", "left")
+    # no hint: the planner sizes the per-job maxima (jobs absent from the ledger stay, with the default)
+    return (jobs.join(per_job, "job_name", "left")
             .select("job_name", F.coalesce(F.col("_m"), F.lit(default).cast("timestamp_ntz")).alias("latest_record_date")))
 
 
