@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civic_mart import schemas
-from civic_mart.functions import casts
 from civic_mart.operators import filters, ledger, records
 from civic_mart.operators.lookups import lookup_with_default
 from civic_mart.operators.quality import tag_required
 from civic_mart.plans.pipeline import (FOCUS_COMPLAINT_TYPES, FOCUS_VIOLATIONS_V2, LOCATION_CATEGORIES,
                                        REQUEST_REQUIRED, RUN_END, SNAPSHOT_START, Mart)
-from civic_mart.sources import files, paging, sinks
+from civic_mart.sources import paging, sinks
 
 # fixed values: API endpoint and the column list the extract asks for
 API_BASE = "https://data.example.org/resource/requests.json"

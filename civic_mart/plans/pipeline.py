@@ -19,7 +19,6 @@ from civic_mart.operators.filters import caseless_one_of, geolocated, open_windo
 from civic_mart.operators.geocode import GeocodeSpec, LayerSpec, geocode
 from civic_mart.operators.lookups import lookup_with_default
 from civic_mart.operators.quality import split_required
-from civic_mart.plans import model as M
 from civic_mart.plans.model import Model
 from civic_mart.sources import sinks
 

@@ -12,9 +12,7 @@ comes back as a row with ``error`` set.
 from __future__ import annotations
 
 import glob
-import json
 import os
-import urllib.parse
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -153,11 +151,3 @@ def page_records(fetched: DataFrame, record_schema: T.StructType) -> DataFrame:
 def page_errors(fetched: DataFrame) -> DataFrame:
     return fetched.where(F.col("error").isNotNull()).select("key", "page", "error")
 
-
-def encode_query(query: str) -> str:
-    """Driver-side twin of :func:`civic_mart.functions.text.url_quote` (for tests)."""
-    return urllib.parse.quote(query)
-
-
-def dumps(records: list[dict]) -> str:
-    return json.dumps(records)
