@@ -198,11 +198,16 @@ class Mart:
         return F.lit(self._watermarks[job].isoformat(sep=" ")).cast("timestamp_ntz")
 
     # ---------------------------------------------------------------- staging (materialized)
-    @cached_property
+    def stored_stage(self, source: str) -> DataFrame:
+        """The staging table of one source as its geocode job stored it (written once per
+        session and source folder; later jobs read the files)."""
+        build = {"requests": self.stage_requests, "inspections": self.stage_inspections,
+                 "applications": self.stage_applications}[source]
+        return self._shared(f"stage_{source}", lambda: self._keep(build()))
+
+    @property
     def staged(self) -> dict[str, DataFrame]:
-        return self._shared("staged", lambda: {"requests": self._keep(self.stage_requests()),
-                                               "inspections": self._keep(self.stage_inspections()),
-                                               "applications": self._keep(self.stage_applications())})
+        return {s: self.stored_stage(s) for s in ("requests", "inspections", "applications")}
 
     # ---------------------------------------------------------------- dimensions
     def dim_time(self) -> DataFrame:

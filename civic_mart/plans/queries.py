@@ -52,18 +52,19 @@ def point_in_polygon(spark, sf_dir):
 
 
 def geocode_requests(spark, sf_dir):
-    """SP5/SP6/J13-J16/A10/J12: 311 staging rows (one per unique key)."""
-    return Mart(spark, sf_dir).stage_requests()
+    """SP5/SP6/J13-J16/A10/J12: 311 staging rows (one per unique key), stored as the
+    staging table the later jobs read."""
+    return Mart(spark, sf_dir).stored_stage("requests")
 
 
 def geocode_inspections(spark, sf_dir):
-    """Inspection staging rows: one per camis, merged over all its inspections."""
-    return Mart(spark, sf_dir).stage_inspections()
+    """Inspection staging rows: one per camis, merged over all its inspections (stored)."""
+    return Mart(spark, sf_dir).stored_stage("inspections")
 
 
 def geocode_applications(spark, sf_dir):
-    """Open-restaurant staging rows (geolocated applications only)."""
-    return Mart(spark, sf_dir).stage_applications()
+    """Open-restaurant staging rows, geolocated applications only (stored)."""
+    return Mart(spark, sf_dir).stored_stage("applications")
 
 
 # ------------------------------------------------------------------ ledger / increments
