@@ -99,13 +99,13 @@ def ledger_append(spark, sf_dir):
 
 # ------------------------------------------------------------------ dimensions / fact
 def dim_open_type(spark, sf_dir):
-    """W6/U3/FLT7/F2: open-restaurant type dimension (full refresh)."""
-    return Mart(spark, sf_dir).dim_open()
+    """W6/U3/FLT7/F2: open-restaurant type dimension (full refresh, stored)."""
+    return Mart(spark, sf_dir).stored("dim_open")
 
 
 def dim_location_refresh(spark, sf_dir):
-    """W6/U2/FLT2/J1/A7/F3/PRJ7: DimLocation full refresh from the three staging tables."""
-    return Mart(spark, sf_dir).dim_location()
+    """W6/U2/FLT2/J1/A7/F3/PRJ7: DimLocation full refresh from the three staging tables (stored)."""
+    return Mart(spark, sf_dir).stored("dim_location")
 
 
 def dim_location_incremental(spark, sf_dir):
