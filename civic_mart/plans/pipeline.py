@@ -65,8 +65,8 @@ def mid_date(df: DataFrame, col: str) -> DataFrame:
                   F.date_add(lo, F.floor(F.datediff(hi, lo) / 2).cast("int")).cast("timestamp_ntz").alias("mid"))
 
 
-# prepared layers and staging outputs, materialized once per (application, source folder):
-# the warehouse stores both as tables; downstream queries read them instead of recomputing
+# prepared layers, staging tables and dimensions, materialized once per (application, source
+# folder): the warehouse stores them as tables; downstream jobs read them instead of recomputing
 _SHARED: dict[tuple, object] = {}
 
 
@@ -78,6 +78,15 @@ TIME_PERIODS = "CASE WHEN h < 6 THEN 'Night' WHEN h < 12 THEN 'Morning' WHEN h <
 
 
 class Mart:
+    """The warehouse jobs over one source folder.
+
+    Jobs build on each other as in the source system: geocode staging reads the
+    layers, the dimensions read the staging tables, the fact reads the dimensions.
+    With ``materialize`` (the default) every table a later job reads is written
+    once to the shared checkpoint folder and read back from there.  ``overrides``
+    replaces a driver table, e.g. by one micro-batch of a stream.
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT,
                  materialize: bool = True, overrides: dict[str, DataFrame] | None = None):
         self.spark = spark
@@ -105,6 +114,8 @@ class Mart:
         return cores if cores > 1 and len(self.m.table(table).inputFiles()) < cores else None
 
     def _shared(self, what: str, build):
+        """``build()`` once per application, source folder and ``what``; inputs replaced by
+        ``overrides`` are never shared (the layers do not depend on them)."""
         if not self.materialize or (self.m.overrides and what != "layers"):
             return build()
         key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit)
