@@ -46,18 +46,14 @@ def dim_date_increment(sources: list[tuple[DataFrame, str]], dim_date: DataFrame
     union is made distinct: a date dimension has at most a few thousand rows, the
     sources may have billions.
     """
-    spark = sources[0][0].sparkSession
-    if dim_date is None:
-        wm = spark.range(1).select(F.lit(EMPTY_WATERMARK).cast("date").alias("latest"))
-    else:
-        wm = dim_date_watermark(dim_date)
-    wm = F.broadcast(wm)  # one row by construction
+    # the newest date present: a literal for an empty dimension, else a scalar subquery
+    latest = (F.lit(EMPTY_WATERMARK).cast("date") if dim_date is None
+              else dim_date_watermark(dim_date).scalar())
     parts = [
-        df.select(F.col(c).cast("date").alias("d")).distinct()
+        df.select(F.col(c).cast("date").alias("d")).where(F.col("d") > latest).distinct()
         for df, c in sources
     ]
-    dates = reduce(lambda a, b: a.unionByName(b), parts)
-    dates = dates.join(wm, F.col("d") > F.col("latest")).select("d").distinct()
+    dates = reduce(lambda a, b: a.unionByName(b), parts).distinct()
     return date_rows(dates)
 
 
