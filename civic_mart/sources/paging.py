@@ -11,8 +11,6 @@ comes back as a row with ``error`` set.
 
 from __future__ import annotations
 
-import glob
-import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -81,10 +79,19 @@ Fetcher = Callable[[str, int, int, int], str]
 
 
 def landed_fetcher(root: str, key_col: str = "key") -> Fetcher:
-    """Read a page landed as JSON lines under ``root/<key_col>=<key>/page=<page>/``."""
+    """Read a page landed as JSON lines under ``root/<key_col>=<key>/page=<page>/``.
+
+    Self-contained: the closure uses only the standard library, so Python workers
+    can run it without importing this package."""
+    # fixed values: characters Spark escapes in partition directory names
+    escape_chars = set('"#%\'*/:=?\\\x7f{[]^')
+
     def fetch(key: str, page: int, offset: int, size: int) -> str:
-        pattern = os.path.join(root, f"{key_col}={_escape(key)}", f"page={page}", "*.json")
-        files = sorted(glob.glob(pattern))
+        import glob as _glob
+        import os as _os
+        esc = "".join("%{:02X}".format(ord(c)) if c in escape_chars or ord(c) < 0x20 else c for c in key)
+        pattern = _os.path.join(root, f"{key_col}={esc}", f"page={page}", "*.json")
+        files = sorted(_glob.glob(pattern))
         if not files:
             raise FileNotFoundError(pattern)
         lines = []
@@ -95,14 +102,6 @@ def landed_fetcher(root: str, key_col: str = "key") -> Fetcher:
     return fetch
 
 
-# fixed values: characters Spark escapes in partition directory names
-_PATH_ESCAPE = set('"#%\'*/:=?\\\x7f{[]^')
-
-
-def _escape(v: str) -> str:
-    return "".join("%{:02X}".format(ord(c)) if c in _PATH_ESCAPE or ord(c) < 0x20 else c for c in v)
-
-
 def http_fetcher(url_of: Callable[[str, int, int, int], str], headers: dict[str, str] | None = None,
                  timeout: float = 60.0) -> Fetcher:
     """Fetch from an HTTP API (``requests`` if installed, else ``urllib``)."""
