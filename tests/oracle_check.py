@@ -59,7 +59,8 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
 
 
 def main(argv: list[str]) -> int:
-    sys.path.insert(0, ".")
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as E
     from civic_mart.session import local_session
 
