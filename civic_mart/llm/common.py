@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from civic_mart.sources.sinks import materialize
 
-__all__ = ["components", "crc_mod", "materialize", "table", "text_of", "words_of"]
+__all__ = ["components", "crc_mod", "materialize", "table", "text_of", "worker_cache", "words_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,5 +87,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         rounds += 1
         # child -> root of its root; the old edge stays, so nothing that was linked comes apart
         edges = jumped.select("node", F.coalesce("up_root", "root").alias("root")).unionByName(
-            jumped.where(F.col("up_root").isNotNull()).select(F.col("root").alias("node"),
-                                                               F.col("up_root").alias("root")))
+            jumped.where(F.col("up_root").isNotNull()).select(
+                F.col("root").alias("node"), F.col("up_root").alias("root")).distinct())
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as the Python worker (tables that tasks need again)."""
+    import builtins
+
+    return builtins.__dict__.setdefault("_corpus_worker_cache", {}).setdefault(name, {})
