@@ -6,10 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civic_mart.llm.bpe import op4_bpe
+from civic_mart.llm.hnsw import op8_hnsw
+from civic_mart.llm.language import op3_language
+from civic_mart.llm.packing import op6_packing
+from civic_mart.llm.pitman_yor import op2_lm
+from civic_mart.llm.quality import op7_quality
+from civic_mart.llm.secret_scan import op9_secrets
 from civic_mart.llm.simhash import op1_simhash
+from civic_mart.llm.toxicity import op5_toxicity
+from civic_mart.llm.warc import OP10_SQL, op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_lm": op2_lm,
+    "op3_language": op3_language,
+    "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
+    "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
+    "op8_hnsw": op8_hnsw,
+    "op9_secrets": op9_secrets,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}

@@ -65,14 +65,17 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id long, fp long)`` for every row, the fingerprint as a signed long."""
+    """``(doc_id long, text_key long, fp long)`` for every row: a hash of its text, and the
+    fingerprint as a signed long."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fps = np.fromiter((fingerprint(text_of(t), shingle) for t in pdf["text"]), np.uint64, len(pdf))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fps.view(np.int64)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
+                                "fp": fps.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(rows, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+                       "text").mapInPandas(rows, "doc_id long, text_key long, fp long")
 
 
 def _code() -> np.ndarray:
@@ -197,28 +200,29 @@ def links(fps: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def simhash_near_dups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)``, one row for each row of ``docs(doc_id, text)``.
-
-    Null or word-free texts have fingerprint zero and link like any other.  Rows that
-    repeat a doc_id are each a row of the result.  A null doc_id never becomes a
-    component_id unless its whole component has none (then it is null).  An empty table
-    gives an empty result; other columns are ignored."""
+    """``(doc_id, fingerprint, component_id, text_key, keeper)``, one row for each row of
+    ``docs(doc_id, text)``.
+
+    ``keeper`` marks the row that stands for its component: the smallest doc_id (null last),
+    then the smallest text_key.  Null or word-free texts have fingerprint zero and link like
+    any other.  Rows that repeat a doc_id are each a row of the result; full repeats of a
+    keeper are keepers too.  A null doc_id never becomes a component_id unless its whole
+    component has none (then it is null).  An empty table gives an empty result; other
+    columns are ignored."""
     fps = materialize(fingerprints(docs, shingle), "simhash-fp")
-    classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-class")
+    low = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    classes = materialize(fps.groupBy("fp").agg(F.min(low).alias("low")), "simhash-class")
     edges = materialize(links(classes.select("fp"), classes.count(), max_bits), "simhash-links")
     roots = components(edges, "simhash")
-    named = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    members = named.where(F.col("root") != F.col("fp")).select("fp", "root")
-    # a component's root is its own member, so one table serves roots and members alike
-    grouped = materialize(least, "simhash-least")
-    by_fp = materialize(
-        members.join(grouped, "root").select("fp", "component_id").unionByName(
-            grouped.select(F.col("root").alias("fp"), "component_id")), "simhash-component")
+    named = materialize(classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-named")
+    least = materialize(named.groupBy("root").agg(F.min("low").alias("low")), "simhash-least")
+    by_fp = materialize(named.select("fp", "root").join(least, "root").select("fp", "low"), "simhash-component")
     return fps.join(by_fp, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("low.doc_id").alias("component_id"),
+        "text_key", (F.col("doc_id").eqNullSafe(F.col("low.doc_id"))
+                     & (F.col("text_key") == F.col("low.text_key"))).alias("keeper"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_near_dups(table(spark, sf_dir, "documents"))
+    return simhash_near_dups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
