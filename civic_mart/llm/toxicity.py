@@ -32,6 +32,7 @@ SAMPLE_WINDOWS = 24                            # windows of a sampled text, spre
 SAMPLE_WORD = 40                               # characters of a sampled word
 THRESHOLD = 0.3
 DROPOUT = 0.25
+MIN_STEPS = 100  # training steps of a phase at least
 MIN_TEXTS = 4  # sampled texts that must hold a word for it to have an embedding; the rest share one
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -271,10 +272,11 @@ def train(texts: list[list[list[bytes]]], y: np.ndarray, share: float = 0.1, see
             hard = s >= np.quantile(s[label == 0], 0.5)  # of the others, the harder half and a part of the rest
             use = np.flatnonzero(np.where(label == 1, s >= (0.5, 0.9)[phase - 1] * top[owner],
                                           hard | (rng.random(len(s)) < 0.1)))
-        for _ in range(rounds):
+        size = min(256, max(32, len(use) // 24))
+        for _ in range(max(rounds, -(-MIN_STEPS * size // len(use)))):  # small samples are read more often
             order = rng.permutation(use)
-            for i in range(0, len(order), 256):
-                batch = order[i:i + 256]
+            for i in range(0, len(order), size):
+                batch = order[i:i + size]
                 features, m, live = some(batch)
                 drop = ((rng.random((len(features[0]), 2 * DIM)) > DROPOUT) / (1 - DROPOUT)).astype(np.float32)
                 grads = model.gradients(features, m, live, label[batch], drop)
