@@ -79,11 +79,24 @@ LOCATION_KEY = ["BoroughCode", "Borough", "NeighborhoodCode", "Neighborhood", "Z
 DIM_LOCATION_COLS = ["LocationID", *LOCATION_KEY, "PopulationDensity"]
 
 
+def one_density_per_block(population: DataFrame) -> DataFrame:
+    """Population rows, one per ``GeoID``.  Rows that repeat a block with the same numbers
+    count once; a block with two densities would give two locations one id, so it fails
+    the load."""
+    per = population.groupBy("GeoID").agg(
+        F.min(F.struct("Pop1", "LandAcres")).alias("lo"), F.max(F.struct("Pop1", "LandAcres")).alias("hi"))
+    same = F.col("lo").eqNullSafe(F.col("hi"))
+    checked = F.when(same, F.col("lo")).otherwise(F.raise_error(F.concat(
+        F.lit("population: several densities for block "), F.col("GeoID"))))
+    return per.withColumn("one", checked).select("GeoID", F.col("one.Pop1").alias("Pop1"),
+                                                 F.col("one.LandAcres").alias("LandAcres"))
+
+
 def location_candidates(stages: list[DataFrame], population: DataFrame) -> DataFrame:
     """Union of the staging branches with all ten columns present, joined to block population."""
     merged = reduce(lambda a, b: a.unionByName(b),
                     [s.select(*STAGE_LOCATION_COLS).where(all_not_null(STAGE_LOCATION_COLS)) for s in stages])
-    pop = population.select(F.col("GeoID").alias("_geoid"), "Pop1", "LandAcres")
+    pop = one_density_per_block(population).select(F.col("GeoID").alias("_geoid"), "Pop1", "LandAcres")
     j = merged.join(pop, merged["block_bctcb2020"] == pop["_geoid"], "inner")
     return j.select(
         F.col("borough_code").alias("BoroughCode"), F.col("borough_name").alias("Borough"),

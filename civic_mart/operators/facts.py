@@ -7,12 +7,13 @@ Because the grouping key splits into a request part, an inspection part and an
 open-restaurant part, every request row of a group is repeated the same number
 of times, and COUNT DISTINCT / AVG do not change under uniform repetition.
 ``fact_preaggregated`` therefore aggregates each side on its own and joins the
-aggregates on (block, type): the exact result without the fan-out.
-``fact_literal`` keeps the literal join for equivalence tests on small data.
+aggregates on (block, type): the exact result without the fan-out.  Every source is
+scanned once: what two parts need of the inspections is stored between them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -66,132 +67,77 @@ def _with_id(df: DataFrame) -> DataFrame:
     return df.select(surrogate_key(*[F.col(c) for c in GROUP_IDS]).alias("RodentIssueID"), *FACT_COLS[1:])
 
 
-def fact_preaggregated(x: FactInputs) -> DataFrame:
+def _or_default(left: DataFrame, side: DataFrame, member: str, defaults: F.Column) -> DataFrame:
+    """``left`` with the members of ``side`` in its (block, type).  A (block, type) that the
+    side does not know gets the default members; one that it knows without a member (a
+    NULL id) has no row."""
+    j = left.join(side.withColumn("_known", F.lit(True)), ["_b", "_t"], "left")
+    ids = F.when(F.col("_known").isNull(), defaults).when(F.col(member).isNotNull(), F.array(member))
+    return j.withColumn("_ids", ids).withColumn(member, F.explode("_ids")).drop("_known", "_ids")
+
+
+def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Exact fact without the block-level fan-out (see module doc).
 
-    Dimension joins carry no broadcast hint except DimTime (24 rows by
-    construction): the stored dimensions have measured sizes, so the planner and
-    AQE broadcast them only while they are under the broadcast threshold."""
-    # --- R0: request x request location x location dimension (before the dimension filters)
-    rl = x.request_locations.select("unique_key", F.col("block_bctcb2020").alias("_b"), F.col("locationType").alias("_t"))
-    dl = x.dim_location.select("LocationID", F.col("Block").alias("_b"), F.col("LocationType").alias("_t"))
-    req = x.requests.select("unique_key", "created_date", "closed_date", "complaint_type", "descriptor")
-    r0 = req.join(rl, "unique_key").join(dl, ["_b", "_t"])
-    r0_keys = r0.select("_b", "_t").distinct()
-
-    # --- R: complaint, date and hour keys; one aggregate row per request-side group
-    comp = x.dim_complaint.select("ComplaintID", F.col("ComplaintType").alias("_ct"),
-                                  F.col("ComplaintDescription").alias("_cd"))
-    r = r0.join(comp, (F.col("_ct") == F.coalesce("complaint_type", F.lit(DEFAULT_COMPLAINT_TYPE)))
-                & (F.col("_cd") == F.coalesce("descriptor", F.lit(DEFAULT_COMPLAINT_DESCRIPTION))))
-    r = (r.withColumn("_date", cal.date_id(F.col("created_date"))).withColumn("_hour", F.hour("created_date"))
-         .join(x.dim_date.select(F.col("DateID").alias("_date"), "DateID"), "_date")
-         .join(F.broadcast(x.dim_time.select(F.col("Hour").alias("_hour"), "TimeID")), "_hour"))
-    r = r.groupBy("LocationID", "_b", "_t", "DateID", "TimeID", "ComplaintID").agg(
-        F.count_distinct("unique_key").alias("NumberOfComplaints"),
-        F.avg(cal.hour_diff(F.col("created_date"), F.col("closed_date"))).alias("_avg"))
-
-    # --- I': violation side per (block, type); blocks without inspection locations -> 'None' member
-    vio = x.dim_violation.select("RestaurantViolationID", F.col("ViolationCode").alias("_vc"),
-                                 F.col("Cuisine").alias("_vu"))
-    il = x.inspection_locations.select(F.col("camis").alias("_lc"), F.col("block_bctcb2020").alias("_b"),
-                                       F.col("locationType").alias("_t"))
-    # inspections reduced once to what both parts need (one partial aggregation;
-    # the shuffle is shared by the violation side and the inspection-only rows)
-    ins = x.inspections.select(F.col("camis").alias("_ic"), "violation_code", "cuisine_description",
-                               cal.date_id(F.col("inspection_date")).alias("_idate"),
-                               F.hour("inspection_date").alias("_ihour")).distinct()
-    ins_rows = il.join(ins, F.col("_lc") == F.col("_ic"), "left")
-    vio_on = ((F.col("_vc") == F.coalesce("violation_code", F.lit(DEFAULT_VIOLATION)))
-              & (F.col("_vu") == F.coalesce("cuisine_description", F.lit(DEFAULT_VIOLATION))))
-    i_side = (ins_rows.join(vio, vio_on)
-              .groupBy("_b", "_t", "RestaurantViolationID").agg(F.count_distinct("_ic").alias("NumberOfViolations")))
-    none_vio = _member_ids(vio.where((F.col("_vc") == DEFAULT_VIOLATION) & (F.col("_vu") == DEFAULT_VIOLATION)),
-                           "RestaurantViolationID")
-
-    # --- O': open-restaurant side per (block, type); blocks without open locations -> ('none', 0)
-    opn_dim = x.dim_open.select("OpenRestaurantID", F.col("OpenRestaurantType").alias("_ot"),
-                                F.col("IsQualifyAlcohol").alias("_oa"))
-    ol = x.open_locations.select(F.col("objectid").alias("_lo"), F.col("block_bctcb2020").alias("_b"),
-                                 F.col("locationType").alias("_t"))
-    apps = _approved(x.applications).select(F.col("objectid").alias("_ao"), "seating_interest_sidewalk",
-                                            "qualify_alcohol")
-    o_rows = ol.join(apps, F.col("_lo") == F.col("_ao"), "left")
-    o_side = (o_rows.join(opn_dim,
-                          (F.col("_ot") == F.coalesce("seating_interest_sidewalk", F.lit(DEFAULT_OPEN_TYPE)))
-                          & (F.col("_oa") == _alcohol(F.col("qualify_alcohol"))))
-              .select("_b", "_t", "OpenRestaurantID").distinct())
-    none_opn = _member_ids(opn_dim.where((F.col("_ot") == DEFAULT_OPEN_TYPE) & (F.col("_oa") == 0)), "OpenRestaurantID")
-
-    # --- request rows x violation side x open side, joined on (block, type)
-    il_keys = il.select("_b", "_t").distinct().withColumn("_has_i", F.lit(True))
-    ol_keys = ol.select("_b", "_t").distinct().withColumn("_has_o", F.lit(True))
-    rk = r.join(il_keys, ["_b", "_t"], "left").join(ol_keys, ["_b", "_t"], "left")
-    with_i = rk.where(F.col("_has_i").isNotNull()).join(i_side, ["_b", "_t"]).unionByName(
-        rk.where(F.col("_has_i").isNull()).withColumn("RestaurantViolationID", F.explode(none_vio))
-        .withColumn("NumberOfViolations", F.lit(0).cast("bigint")))
-    with_o = with_i.where(F.col("_has_o").isNotNull()).join(o_side, ["_b", "_t"]).unionByName(
-        with_i.where(F.col("_has_o").isNull()).withColumn("OpenRestaurantID", F.explode(none_opn)))
-    part_a = with_o.select(*GROUP_IDS, "NumberOfComplaints", "NumberOfViolations",
-                           F.coalesce(F.col("_avg"), F.lit(0.0)).alias("AvgResolveTimeForComplaints"))
-
-    # --- inspection-only rows: inspection locations whose (block, type) has no request row
-    only = il.join(r0_keys, ["_b", "_t"], "left_anti").join(ins, F.col("_lc") == F.col("_ic"), "left")
-    only = (only.join(vio, vio_on)
-            .withColumn("_date", F.col("_idate")).withColumn("_hour", F.col("_ihour"))
-            .join(x.dim_date.select(F.col("DateID").alias("_date"), "DateID"), "_date")
-            .join(F.broadcast(x.dim_time.select(F.col("Hour").alias("_hour"), "TimeID")), "_hour"))
-    default_comp = _member_ids(comp.where((F.col("_ct") == DEFAULT_COMPLAINT_TYPE)
-                                          & (F.col("_cd") == DEFAULT_COMPLAINT_DESCRIPTION)), "ComplaintID")
-    only = only.withColumn("ComplaintID", F.explode(default_comp)).withColumn("OpenRestaurantID", F.explode(none_opn))
-    part_b = only.groupBy("RestaurantViolationID", "OpenRestaurantID", "DateID", "TimeID", "ComplaintID").agg(
-        F.count_distinct("_ic").alias("NumberOfViolations")).select(
-        F.lit(None).cast("string").alias("LocationID"), "RestaurantViolationID", "OpenRestaurantID", "DateID",
-        "TimeID", "ComplaintID", F.lit(0).cast("bigint").alias("NumberOfComplaints"), "NumberOfViolations",
-        F.lit(0.0).alias("AvgResolveTimeForComplaints"))
-    return _with_id(part_a.unionByName(part_b))
-
-
-def fact_literal(x: FactInputs) -> DataFrame:
-    """The source script's join chain as written (fans out per block; small data only)."""
-    src = x.requests.alias("src")
-    src_loc = x.request_locations.alias("src_loc")
-    dim_loc = x.dim_location.alias("dim_loc")
-    ins_loc = x.inspection_locations.alias("ins_loc")
-    ins = x.inspections.alias("ins")
-    opn_loc = x.open_locations.alias("opn_loc")
-    opn = x.applications.alias("opn")
-    c = F.col
-    j = (src.join(src_loc, c("src_loc.unique_key") == c("src.unique_key"))
-         .join(dim_loc, (c("dim_loc.Block") == c("src_loc.block_bctcb2020"))
-               & (c("dim_loc.LocationType") == c("src_loc.locationType")))
-         .join(ins_loc, (c("ins_loc.block_bctcb2020") == c("dim_loc.Block"))
-               & (c("ins_loc.locationType") == c("dim_loc.LocationType")), "full")
-         .join(ins, c("ins.camis") == c("ins_loc.camis"), "left")
-         .join(opn_loc, (c("opn_loc.block_bctcb2020") == c("dim_loc.Block"))
-               & (c("opn_loc.locationType") == c("dim_loc.LocationType")), "full")
-         .join(opn, (c("opn.objectid") == c("opn_loc.objectid"))
-               & ((c("opn.approved_for_roadway_seating") == "yes") | (c("opn.approved_for_sidewalk_seating") == "yes")),
-               "left")
-         .join(x.dim_complaint.alias("dim_comp"),
-               (c("dim_comp.ComplaintType") == F.coalesce(c("src.complaint_type"), F.lit(DEFAULT_COMPLAINT_TYPE)))
-               & (c("dim_comp.ComplaintDescription") == F.coalesce(c("src.descriptor"), F.lit(DEFAULT_COMPLAINT_DESCRIPTION))))
-         .join(x.dim_violation.alias("dim_vio"),
-               (c("dim_vio.ViolationCode") == F.coalesce(c("ins.violation_code"), F.lit(DEFAULT_VIOLATION)))
-               & (c("dim_vio.Cuisine") == F.coalesce(c("ins.cuisine_description"), F.lit(DEFAULT_VIOLATION))))
-         .join(x.dim_open.alias("dim_opn"),
-               (c("dim_opn.OpenRestaurantType") == F.coalesce(c("opn.seating_interest_sidewalk"), F.lit(DEFAULT_OPEN_TYPE)))
-               & (c("dim_opn.IsQualifyAlcohol") == _alcohol(c("opn.qualify_alcohol"))))
-         .join(x.dim_date.alias("dim_date"), c("dim_date.DateID") == F.when(
-             c("src.created_date").isNotNull(), cal.date_id(c("src.created_date"))).when(
-             c("ins.inspection_date").isNotNull(), cal.date_id(c("ins.inspection_date"))))
-         .join(x.dim_time.alias("dim_time"), c("dim_time.Hour") == F.when(
-             c("src.created_date").isNotNull(), F.hour(c("src.created_date"))).when(
-             c("ins.inspection_date").isNotNull(), F.hour(c("ins.inspection_date")))))
-    g = j.groupBy(c("dim_loc.LocationID"), c("dim_vio.RestaurantViolationID"), c("dim_opn.OpenRestaurantID"),
-                  c("dim_date.DateID"), c("dim_time.TimeID"), c("dim_comp.ComplaintID")).agg(
-        F.count_distinct(c("src.unique_key")).alias("NumberOfComplaints"),
-        F.count_distinct(c("ins.camis")).alias("NumberOfViolations"),
-        F.coalesce(F.avg(cal.hour_diff(c("src.created_date"), c("src.closed_date"))), F.lit(0.0)).alias(
-            "AvgResolveTimeForComplaints"))
-    return _with_id(g)
+    ``keep`` stores an intermediate that two parts read.  Every staged request location
+    has its request (staging is made from the requests), so the blocks with requests are
+    known from the staging table alone.  The planner sizes every join."""
+    # --- requests: one aggregate row per location, block, date, hour and complaint
+    located = x.request_locations.select("unique_key", F.col("block_bctcb2020").alias("_b"),
+                                         F.col("locationType").alias("_t")).join(
+        x.dim_location.select("LocationID", F.col("Block").alias("_b"), F.col("LocationType").alias("_t")), ["_b", "_t"])
+    complaints = x.dim_complaint.select("ComplaintID", F.col("ComplaintType").alias("_ct"),
+                                        F.col("ComplaintDescription").alias("_cd"))
+    dates = x.dim_date.select(F.col("DateID").alias("_date"), "DateID")
+    hours = x.dim_time.select(F.col("Hour").alias("_hour"), "TimeID")
+    r = x.requests.select(
+        "unique_key", cal.date_id(F.col("created_date")).alias("_date"), F.hour("created_date").alias("_hour"),
+        cal.hour_diff(F.col("created_date"), F.col("closed_date")).alias("_hours_open"),
+        F.coalesce("complaint_type", F.lit(DEFAULT_COMPLAINT_TYPE)).alias("_ct"),
+        F.coalesce("descriptor", F.lit(DEFAULT_COMPLAINT_DESCRIPTION)).alias("_cd"))
+    r = (r.join(complaints, ["_ct", "_cd"]).join(dates, "_date").join(hours, "_hour").join(located, "unique_key")
+         .groupBy("LocationID", "_b", "_t", "DateID", "TimeID", "ComplaintID").agg(
+             F.count_distinct("unique_key").alias("NumberOfComplaints"), F.avg("_hours_open").alias("_avg")))
+
+    # --- inspections: the visits of every staged inspection location with their violation member
+    vio = x.dim_violation.select("RestaurantViolationID", F.col("ViolationCode").alias("_vc"), F.col("Cuisine").alias("_vu"))
+    places = x.inspection_locations.select("camis", F.col("block_bctcb2020").alias("_b"), F.col("locationType").alias("_t"))
+    seen = x.inspections.select(F.col("camis").alias("_ic"), "violation_code", "cuisine_description",
+                                cal.date_id(F.col("inspection_date")).alias("_date"),
+                                F.hour("inspection_date").alias("_hour")).distinct()
+    visits = keep(places.join(seen, F.col("camis") == F.col("_ic"), "left").select(
+        "_b", "_t", "_ic", "_date", "_hour", F.coalesce("violation_code", F.lit(DEFAULT_VIOLATION)).alias("_vc"),
+        F.coalesce("cuisine_description", F.lit(DEFAULT_VIOLATION)).alias("_vu")).join(vio, ["_vc", "_vu"], "left").select(
+        "_b", "_t", "_ic", "_date", "_hour", "RestaurantViolationID"))
+    violations = visits.groupBy("_b", "_t", "RestaurantViolationID").agg(
+        F.count_distinct("_ic").alias("NumberOfViolations"))
+    no_violation = _member_ids(vio.where((F.col("_vc") == DEFAULT_VIOLATION) & (F.col("_vu") == DEFAULT_VIOLATION)),
+                               "RestaurantViolationID")
+
+    # --- open restaurants per (block, type)
+    kinds = x.dim_open.select("OpenRestaurantID", F.col("OpenRestaurantType").alias("_ot"),
+                              F.col("IsQualifyAlcohol").alias("_oa"))
+    sites = x.open_locations.select("objectid", F.col("block_bctcb2020").alias("_b"), F.col("locationType").alias("_t"))
+    approved = _approved(x.applications).select(F.col("objectid").alias("_ao"), "seating_interest_sidewalk", "qualify_alcohol")
+    opened = sites.join(approved, F.col("objectid") == F.col("_ao"), "left").select(
+        "_b", "_t", F.coalesce("seating_interest_sidewalk", F.lit(DEFAULT_OPEN_TYPE)).alias("_ot"),
+        _alcohol(F.col("qualify_alcohol")).alias("_oa")).join(kinds, ["_ot", "_oa"], "left").select(
+        "_b", "_t", "OpenRestaurantID").distinct()
+    not_open = _member_ids(kinds.where((F.col("_ot") == DEFAULT_OPEN_TYPE) & (F.col("_oa") == 0)), "OpenRestaurantID")
+
+    with_requests = _or_default(_or_default(r, violations, "RestaurantViolationID", no_violation), opened,
+                                "OpenRestaurantID", not_open).select(
+        *GROUP_IDS, "NumberOfComplaints", F.coalesce("NumberOfViolations", F.lit(0)).alias("NumberOfViolations"),
+        F.coalesce("_avg", F.lit(0.0)).alias("AvgResolveTimeForComplaints"))
+
+    # --- visits in a (block, type) without a request: no location, complaint or open restaurant
+    no_complaint = _member_ids(complaints.where((F.col("_ct") == DEFAULT_COMPLAINT_TYPE)
+                                                & (F.col("_cd") == DEFAULT_COMPLAINT_DESCRIPTION)), "ComplaintID")
+    alone = (visits.where(F.col("RestaurantViolationID").isNotNull())
+             .join(located.select("_b", "_t").distinct(), ["_b", "_t"], "left_anti").join(dates, "_date").join(hours, "_hour")
+             .groupBy("RestaurantViolationID", "DateID", "TimeID").agg(F.count_distinct("_ic").alias("NumberOfViolations"))
+             .withColumn("ComplaintID", F.explode(no_complaint)).withColumn("OpenRestaurantID", F.explode(not_open)))
+    return _with_id(with_requests.unionByName(alone.select(
+        F.lit(None).cast("string").alias("LocationID"), "RestaurantViolationID", "OpenRestaurantID", "DateID", "TimeID",
+        "ComplaintID", F.lit(0).cast("bigint").alias("NumberOfComplaints"), "NumberOfViolations",
+        F.lit(0.0).alias("AvgResolveTimeForComplaints"))))

@@ -41,7 +41,6 @@ class GeocodeSpec:
     borough: str
     fields: dict[str, str] = field(default_factory=dict)   # output -> source column
     layers: list[LayerSpec] = field(default_factory=list)
-    dedupe_locations: bool = True         # False when keys are unique
 
 
 def _first(value: Column, order: Column) -> Column:
@@ -49,30 +48,11 @@ def _first(value: Column, order: Column) -> Column:
     return F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))
 
 
-def geocode(records: DataFrame, spec: GeocodeSpec, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT,
-            spread_to: int | None = None) -> DataFrame:
-    """One row per ``spec.key`` with the merged fields and layer attributes.
-
-    ``spread_to``: when the source arrives in fewer partitions than there are cores
-    (a few small files), round-robin the projected points over that many tasks
-    before the CPU-bound refine.  Large inputs are already split by the scan and
-    are left alone (callers pass ``None``)."""
+def geocode(records: DataFrame, spec: GeocodeSpec,
+            broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """One row per ``spec.key`` with the merged fields and layer attributes, however often
+    the source repeats a key."""
     loc = [spec.key, spec.x, spec.y, spec.borough]
-    if not spec.dedupe_locations:
-        # unique keys: every record is its own group, no aggregation needed
-        hit = records.select(*loc, *[F.col(src).alias(f"_src_{out}") for out, src in spec.fields.items()])
-        if spread_to:
-            hit = hit.repartition(spread_to)
-        for ls in spec.layers:
-            hit = spatial.locate(hit, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit)
-        cols = [F.col(spec.key)] + [F.col(f"_src_{out}").alias(out) for out in spec.fields]
-        for ls in spec.layers:
-            cols += [F.col(f"{ls.prefix}{attr}").alias(out) for out, attr in ls.outputs.items()]
-        if spec.layers:
-            cols += [F.coalesce(*[F.col(f"{ls.prefix}{ls.borough_attrs[0]}") for ls in spec.layers]).alias("borough_code"),
-                     F.coalesce(*[F.col(f"{ls.prefix}{ls.borough_attrs[1]}") for ls in spec.layers]).alias("borough_name")]
-        return hit.select(*cols)
-
     ord_col = F.struct(*[F.col(c) for c in spec.order])
     groups = records.groupBy(*loc).agg(
         F.min(ord_col).alias("_ord"),

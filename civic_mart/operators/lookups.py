@@ -1,38 +1,19 @@
-"""Lookups against small dimension / category tables."""
+"""Lookups against dimension / category tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: category of a location type that is absent from the lookup
 UNSPECIFIED = "Unspecified"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast a lookup only after checking its row count; otherwise leave the
-    join strategy to the planner (shuffle join, AQE may still convert)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_with_default(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, value: str,
-                        out: str, default: str = UNSPECIFIED, max_rows: int = 1_000_000,
-                        known_rows: int | None = None) -> DataFrame:
-    """Exact (case-sensitive) match of ``df[key]`` in ``lookup``; first category wins
-    (smallest value, deterministic); no match or NULL key -> ``default``.
-    ``known_rows`` skips the size check for lookups built from a literal list."""
-    # smallest value per key (hash-based aggregate; min over strings would sort)
-    one = lookup.groupBy(F.col(lookup_key).alias("_lk")).agg(
-        F.sort_array(F.collect_set(value))[0].alias("_lv"))
-    if known_rows is not None and known_rows <= max_rows:
-        one = F.broadcast(one)
-    else:
-        one = broadcast_if_small(one, max_rows)
+                        out: str, default: str = UNSPECIFIED) -> DataFrame:
+    """Exact (case-sensitive) match of ``df[key]`` in ``lookup``; the smallest value of a
+    repeated key wins; no match or NULL key -> ``default``.  The planner sizes the lookup
+    and chooses the join."""
+    one = lookup.groupBy(F.col(lookup_key).alias("_lk")).agg(F.min(value).alias("_lv"))
     return (df.join(one, F.col(key) == F.col("_lk"), "left")
             .withColumn(out, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv"))
-
-
-def default_key(c: Column, default: str) -> Column:
-    """``IFNULL(src.key, default)`` for default-member joins."""
-    return F.coalesce(c, F.lit(default))

@@ -50,9 +50,9 @@ def wkt_rings(wkt: Column) -> Column:
 
 
 def ring_edges(rings: Column) -> Column:
-    """Rings -> flat edge list (consecutive vertex pairs of every ring)."""
+    """Rings -> flat edge list (consecutive vertex pairs of every ring; a single point has none)."""
     per_ring = F.transform(
-        rings,
+        F.filter(rings, lambda r: F.size(r) >= 2),
         lambda r: F.transform(
             F.sequence(F.lit(1), F.size(r) - 1),
             lambda i: F.struct(
@@ -112,6 +112,7 @@ class Layer:
     cell: float
     size_bound: int
     cells: DataFrame | None = None
+    rejected: DataFrame | None = None  # (_bkey, _pid) of polygons without an edge, which contain nothing
 
 
 def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col: str,
@@ -135,6 +136,10 @@ def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col:
         F.col("_box.c").alias("_ymin"), F.col("_box.d").alias("_ymax"), *[F.col(a) for a in attrs])
     if materialize is not None:
         df = materialize(df)
+    # NULL and empty geometries and single points have no edge: reported, and left out of the index
+    drawn = F.coalesce(F.size("_edges") > 0, F.lit(False))
+    rejected = df.where(~drawn).select("_bkey", "_pid")
+    df = df.where(drawn)
     w, h = F.col("_xmax") - F.col("_xmin"), F.col("_ymax") - F.col("_ymin")
     attr_len = sum((F.coalesce(F.length(F.col(a).cast("string")), F.lit(0)) for a in attrs), F.lit(0))
     st = df.agg(F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("area"), F.sum(w + h).alias("perim"),
@@ -146,7 +151,7 @@ def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col:
     # cells per polygon <= (w/c + 2)(h/c + 2); summed over polygons, times the widest row
     cells = (st["area"] or 0.0) / cell ** 2 + 2 * (st["perim"] or 0.0) / cell + 4 * n
     bound = int(cells * (st["row"] or 0)) if n else 0
-    layer = Layer(df=df, attrs=tuple(attrs), cell=float(cell), size_bound=bound)
+    layer = Layer(df=df, attrs=tuple(attrs), cell=float(cell), size_bound=bound, rejected=rejected)
     if materialize is not None:
         layer.cells = materialize(cell_table(layer))
     return layer
@@ -225,19 +230,6 @@ def first_containing(points: DataFrame, layer: Layer, key: str, x: str, y: str,
     return locate(points, layer, x, y, borough, prefix, broadcast_limit)
 
 
-def brute_force_first_containing(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, borough: str,
-                                 geom_col: str, borough_col: str, id_col: str, attrs: list[str]) -> DataFrame:
-    """Reference implementation for tests: join on the borough bucket only, test every polygon."""
-    poly = polygons.select(
-        borough_key(F.col(borough_col)).alias("_bkey"), F.col(id_col).alias("pid"),
-        ring_edges(wkt_rings(F.col(geom_col))).alias("_edges"), *[F.col(a) for a in attrs])
-    pts = points.withColumn("_pk", borough_key(F.col(borough)))
-    hit = pts.join(poly, (F.col("_pk") == F.col("_bkey")) & contains(F.col("_edges"), F.col(x), F.col(y)), "left")
-    others = [c for c in points.columns if c != key]
-    return hit.groupBy(key).agg(*[F.first(c).alias(c) for c in others],
-                                *[F.min_by(F.col(c), F.col("pid")).alias(c) for c in ["pid", *attrs]])
-
-
 def unmatched_boroughs(points: DataFrame, polygons: DataFrame, borough: str, borough_col: str) -> DataFrame:
     """Points whose borough bucket has no polygon at all, counted per raw borough value."""
     keys = polygons.select(borough_key(F.col(borough_col)).alias("_bkey")).distinct()

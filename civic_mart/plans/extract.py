@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,15 +12,10 @@ from civic_mart.operators import filters, ledger, records
 from civic_mart.operators.lookups import lookup_with_default
 from civic_mart.operators.quality import tag_required
 from civic_mart.plans.pipeline import (FOCUS_COMPLAINT_TYPES, FOCUS_VIOLATIONS_V2, LOCATION_CATEGORIES,
-                                       REQUEST_REQUIRED, RUN_END, SNAPSHOT_START, Mart)
-from civic_mart.sources import paging, sinks
+                                       REQUEST_REQUIRED, SNAPSHOT_START, Mart)
+from civic_mart.sources import paging
 
-# fixed values: API endpoint and the column list the extract asks for
-API_BASE = "https://data.example.org/resource/requests.json"
 EXTRACT_START = ledger.EXTRACT_SNAPSHOT_START
-COUNT_QUERY = ("SELECT COUNT(*) AS `count` WHERE (`created_date` >= \"{start}\" :: floating_timestamp) "
-               "AND (`created_date` < \"{end}\" :: floating_timestamp) AND (`latitude` IS NOT NULL) "
-               "AND (`longitude` IS NOT NULL) AND (`unique_key` IS NOT NULL) AND caseless_eq(`complaint_type`, \"")
 # a run instant inside the driver data, for the window-per-mode query
 WINDOW_RUN_UTC = "2024-01-20 03:30:00"
 
@@ -26,27 +23,26 @@ EXTRACT_COLS = ["unique_key", "created_date", "closed_date", "complaint_type", "
                 "incident_zip", "borough", "latitude", "longitude"]
 
 
-def iso(ts) -> str:
-    return ts.replace(" ", "T")
-
-
 def focus_types(spark: SparkSession) -> DataFrame:
     """Distinct focus complaint types, exact case (two differ only in case)."""
     return spark.createDataFrame([(t,) for t in FOCUS_COMPLAINT_TYPES], "focus_type string").distinct()
 
 
-def extract_requests(mart: Mart, start: str = EXTRACT_START, end: str = RUN_END) -> DataFrame:
+def extract_requests(mart: Mart, start: str = EXTRACT_START, end: str | None = None,
+                     extra: list[str] | None = None) -> DataFrame:
     """FLT1-FLT3/PRJ5/A8/PRJ8: rows of each focus type in [start, end), geolocated, keyed;
     a row matching two focus types (same text, other case) is extracted twice."""
+    end = end or mart.request_end
     req = mart.m.requests().where(filters.half_open_window("created_date", start, end)
                                   & filters.all_not_null(["latitude", "longitude", "unique_key"]))
-    focus = F.broadcast(focus_types(mart.spark))  # literal list, size known
+    focus = focus_types(mart.spark)
     j = req.join(focus, F.lower(req["complaint_type"]) == F.lower(focus["focus_type"]))
-    return j.select("focus_type", *EXTRACT_COLS)
+    return j.select("focus_type", *EXTRACT_COLS, *(extra or []))
 
 
-def extract_inspections(mart: Mart, start: str = SNAPSHOT_START, end: str = RUN_END) -> DataFrame:
+def extract_inspections(mart: Mart, start: str = SNAPSHOT_START, end: str | None = None) -> DataFrame:
     """FLT4/J9: inspections whose violation code is one of the focus codes, any case."""
+    end = end or mart.request_end
     codes = [c for c, _ in FOCUS_VIOLATIONS_V2]
     ins = mart.m.inspections().where(filters.half_open_window("inspection_date", start, end)
                                      & filters.all_not_null(["latitude", "longitude", "camis"])
@@ -54,8 +50,9 @@ def extract_inspections(mart: Mart, start: str = SNAPSHOT_START, end: str = RUN_
     return ins.select("camis", "inspection_date", "violation_code", "cuisine_description", "rec_order", "rec_line")
 
 
-def request_counts(mart: Mart, start: str = EXTRACT_START, end: str = RUN_END) -> DataFrame:
+def request_counts(mart: Mart, start: str = EXTRACT_START, end: str | None = None) -> DataFrame:
     """A1: per focus type, the number of matching rows (0 when none)."""
+    end = end or mart.request_end
     req = mart.m.requests().where(filters.half_open_window("created_date", start, end)
                                   & filters.all_not_null(["latitude", "longitude", "unique_key"]))
     per = req.groupBy(F.lower("complaint_type").alias("_lt")).agg(F.count(F.lit(1)).alias("n"))
@@ -65,25 +62,18 @@ def request_counts(mart: Mart, start: str = EXTRACT_START, end: str = RUN_END) -
 
 
 def page_plan_query(mart: Mart) -> DataFrame:
-    """SRC4/F24/SRC7/F22: one row per page with its request URL."""
-    plan = paging.page_plan(request_counts(mart), "focus_type", "n")
-    head = COUNT_QUERY.format(start=iso(EXTRACT_START), end=iso(RUN_END)).replace("SELECT COUNT(*) AS `count`",
-                                                                              "SELECT `unique_key`, `created_date`")
-    q = F.concat(F.lit(head), F.col("key"), F.lit("\")"))
-    return plan.withColumn("url", paging.page_url(API_BASE, q))
+    """SRC4/F24/SRC7: one row per page of the extract."""
+    return paging.page_plan(request_counts(mart), "focus_type", "n")
 
 
 def raw_request_records(mart: Mart) -> DataFrame:
     """The extract as the API would return it: every field a string, source names."""
-    ex = extract_requests(mart)
-    ev = mart.m.table("events").select(F.col("event_id").cast("string").alias("_k"), "value", "user_id")
-    j = ex.join(ev, ex["unique_key"] == ev["_k"])
     ts_txt = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS")
-    return j.select(
+    return extract_requests(mart, extra=["value"]).select(
         F.col("focus_type").alias("key"), "unique_key", ts_txt(F.col("created_date")).alias("created_date"),
         ts_txt(F.col("closed_date")).alias("closed_date"), "complaint_type", "descriptor", "location_type",
         "incident_zip", "borough",
-        F.when(F.col("_k").cast("bigint") % 10 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+        F.when(F.col("unique_key").cast("bigint") % 10 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
         .alias("x_coordinate_state_plane"),
         F.col("latitude").cast("string").alias("latitude"), F.col("longitude").cast("string").alias("longitude"),
         F.col("incident_zip").alias(":@computed_region_efsh_h5xi"))
@@ -94,15 +84,13 @@ PAGE_READ_COLS = ["unique_key", "created_date", "closed_date", "complaint_type",
 
 
 def page_read_query(mart: Mart) -> DataFrame:
-    """SRC5/O2/SRC6/F16/F17/F19/PRJ1: land the extract as pages, plan, fetch in parallel,
-    decode and type the records."""
-    spark = mart.spark
-    raw = paging.with_pages(raw_request_records(mart), ["key"], ["unique_key"])
-    root = sinks.scratch_path(spark, "pages")
-    raw.write.partitionBy("key", "page").json(root)
+    """SRC5/O2/SRC6/F16/F17/F19/PRJ1: read every planned page, check it against the plan,
+    decode and type its records."""
     plan = paging.page_plan(request_counts(mart), "focus_type", "n")
-    fetched = paging.fetch_pages(plan, paging.landed_fetcher(sinks.local_path(root)))
-    recs = paging.page_records(fetched, schemas.all_strings(schemas.NYC_311_SERVICE_REQUEST, schemas.NYC_311_RENAMES))
+    raw = paging.with_pages(raw_request_records(mart), ["key"], ["unique_key"])
+    pages = paging.page_bodies(raw, ["key", "page"], "unique_key")
+    schema = schemas.all_strings(schemas.NYC_311_SERVICE_REQUEST, schemas.NYC_311_RENAMES)
+    recs = paging.page_records(paging.checked_pages(plan, pages), schema)
     typed = records.map_311(recs, keep=["key", "page"])
     return typed.select("key", "page", *PAGE_READ_COLS)
 
@@ -116,25 +104,21 @@ def location_category_query(mart: Mart) -> DataFrame:
     """Location type -> category, 'Unspecified' when absent (exact case)."""
     df = mart.m.requests().select("unique_key", "location_type")
     return lookup_with_default(df, "location_type", mart.location_categories(), "location_type", "category",
-                               "locationType", known_rows=len(LOCATION_CATEGORIES))
+                               "locationType")
 
 
 def window_counts_query(mart: Mart) -> DataFrame:
-    """Extract windows of both jobs in both modes for one run instant, with row counts."""
-    from datetime import datetime
+    """Extract windows of both jobs in both modes for one run instant, with row counts
+    (one pass over each source)."""
     run = datetime.fromisoformat(WINDOW_RUN_UTC)
-    spark = mart.spark
     parts = []
-    for job, lag, src, col in (("extract_311", 0, mart.m.requests(), "created_date"),
-                               ("extract_inspection", 1, mart.m.inspections(), "inspection_date")):
-        for mode in ledger.MODES:
-            start, end = ledger.extract_window(mode, run, lag_days=lag)
-            n = src.where(filters.half_open_window(col, start, end)).agg(F.count(F.lit(1)).alias("n_rows"))
-            parts.append(n.select(F.lit(job).alias("job"), F.lit(mode).alias("mode"),
-                                  F.lit(start).cast("timestamp_ntz").alias("window_start"),
-                                  F.lit(end).cast("timestamp_ntz").alias("window_end"), "n_rows",
-                                  F.lit(ledger.write_mode(mode)).alias("write_mode")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("run_local", ledger.local_now(WINDOW_RUN_UTC))
+    for job, lag, src, col in (("extract_311", 0, mart.m.table("events"), "ts"),
+                               ("extract_inspection", 1, mart.m.table("lineitem"), "l_shipdate")):
+        windows = {mode: ledger.extract_window(mode, run, lag_days=lag) for mode in ledger.MODES}
+        rows = F.array(*[F.struct(
+            F.lit(job).alias("job"), F.lit(mode).alias("mode"), F.lit(start).cast("timestamp_ntz").alias("window_start"),
+            F.lit(end).cast("timestamp_ntz").alias("window_end"), F.col(f"n_{mode}").alias("n_rows"),
+            F.lit(ledger.write_mode(mode)).alias("write_mode")) for mode, (start, end) in windows.items()])
+        counts = src.agg(*[F.count_if(filters.half_open_window(col, *w)).alias(f"n_{mode}") for mode, w in windows.items()])
+        parts.append(counts.select(F.explode(rows).alias("w")).select("w.*"))
+    return parts[0].unionByName(parts[1]).withColumn("run_local", ledger.local_now(WINDOW_RUN_UTC))

@@ -18,9 +18,7 @@ APP_CSV_COLS = ["objectid", "seating_interest_sidewalk", "restaurant_name", "bor
 def raw_application_rows(mart: Mart) -> DataFrame:
     """Applications as the open-data CSV export has them: text cells, US AM/PM times,
     quoted names, integers with stray spaces, decimals, underscores or junk."""
-    a = mart.m.applications()
-    o = mart.m.table("orders").select(F.col("o_orderkey").cast("string").alias("_k"), "o_orderkey", "o_custkey")
-    j = a.join(o, a["objectid"] == o["_k"])
+    j = mart.m.applications(["o_orderkey", "o_custkey"])
     n = (F.col("o_custkey") % 40).cast("string")
     length = (F.when(F.col("o_orderkey") % 6 == 0, n)
               .when(F.col("o_orderkey") % 6 == 1, F.concat(F.lit(" "), n, F.lit(" ")))
@@ -92,12 +90,11 @@ def geojson_layer_query(mart: Mart) -> DataFrame:
     back = files.rings_roundtrip_ok(back)
     layer = files.layer_from_geojson(back, {"BoroCode": "borocode", "BoroName": "boroname", "BoroCT2020": "boroct2020",
                                             "GEOID": "geoid", "Shape_Leng": "shape_leng", "Shape_Area": "shape_area",
-                                            "objectid": "objectid"}, double_cols=("Shape_Leng", "Shape_Area"))
+                                            "objectid": "objectid"}, double_cols=("Shape_Leng", "Shape_Area"), carry=("wkt_ok",))
     rings = spatial.wkt_rings(F.col("the_geom"))
     xs = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["x"])))
     ys = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["y"])))
-    ok = back.select(F.col("properties.objectid").alias("_o"), "wkt_ok")
-    return layer.join(ok, layer["objectid"] == ok["_o"]).select(
+    return layer.select(
         F.col("objectid").cast("bigint").alias("poly_id"), "BoroCode", "BoroName", "BoroCT2020", "GEOID",
         "Shape_Leng", "Shape_Area", F.size(rings).cast("bigint").alias("n_rings"),
         F.array_min(xs).alias("xmin"), F.array_max(xs).alias("xmax"), F.array_min(ys).alias("ymin"),
@@ -120,8 +117,9 @@ def sink_roundtrip_query(mart: Mart) -> DataFrame:
            "time_of_submission timestamp_ntz, latitude double, longitude double")
     cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     path = sinks.scratch_path(spark, "applications")
-    sinks.write_table(apps.where(F.col("time_of_submission") < cut), path, "overwrite", ddl, max_records_per_file=100_000)
-    sinks.write_table(apps.where(~(F.col("time_of_submission") < cut)), path, "append", ddl)
+    early = F.coalesce(F.col("time_of_submission") < cut, F.lit(False))  # no date: with the later rows
+    sinks.write_table(apps.where(early), path, "overwrite", ddl, max_records_per_file=100_000)
+    sinks.write_table(apps.where(~early), path, "append", ddl)
     root = sinks.scratch_path(spark, "dim-open-versions")
     sinks.write_versioned(mart.dim_open(), root, schemas.DIM_OPEN_RESTAURANT)
     sinks.write_versioned(sinks.read_versioned(spark, root), root, schemas.DIM_OPEN_RESTAURANT)

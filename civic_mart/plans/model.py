@@ -160,16 +160,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """A source that arrives in fewer files than the session has cores (a few small,
-    unsplittable files) is spread round-robin over the cores before the row-wise
-    work; a large input is already split by the scan and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
-
-
 class Model:
     """Spark builders of the derived civic tables for one scale-factor folder."""
 
@@ -178,17 +168,13 @@ class Model:
         self.sf_dir = sf_dir.rstrip("/")
         self.overrides = overrides or {}  # e.g. one micro-batch of a stream in place of a table
 
-    def table(self, name: str, spread: bool = False) -> DataFrame:
-        """A driver table; ``spread`` for the sources whose rows feed CPU-heavy work."""
-        if name in self.overrides:
-            return self.overrides[name]
-        df = read_table(self.spark, self.sf_dir, name)
-        return spread_small_input(df) if spread else df
+    def table(self, name: str) -> DataFrame:
+        """A driver table, or what replaces it."""
+        return self.overrides[name] if name in self.overrides else read_table(self.spark, self.sf_dir, name)
 
     def boroughs(self) -> DataFrame:
-        # the 5-row TPC-H region table; size fixed by the schema, safe to broadcast
-        return F.broadcast(self.table("region").selectExpr(
-            "r_regionkey AS _rk", "r_name", "CAST(r_regionkey + 1 AS STRING) AS boro_code"))
+        return self.table("region").selectExpr(
+            "r_regionkey AS _rk", "r_name", "CAST(r_regionkey + 1 AS STRING) AS boro_code")
 
     def _with_borough(self, df: DataFrame, key: str) -> DataFrame:
         b = self.boroughs()
@@ -209,16 +195,17 @@ class Model:
         df = self._with_borough(df, "_k").withColumnRenamed("borough", "boro")
         return df.drop("_k")
 
-    def applications(self) -> DataFrame:
+    def applications(self, extra: list[str] | None = None) -> DataFrame:
+        """Open-restaurant applications, with ``extra`` columns of the table they are derived from."""
         sel = [f"{e} AS {c}" for c, e in APPLICATION_COLS.items()] + [f"{e} AS {c}" for c, e in
                                                                       _points_select(APP_POINT, "o_orderkey % 41 = 0")]
-        df = self.table("orders").selectExpr("o_custkey AS _k", *sel)
+        df = self.table("orders").selectExpr("o_custkey AS _k", *sel, *(extra or []))
         return self._with_borough(df, "_k").drop("_k")
 
     def layer(self, name: str) -> DataFrame:
         """Polygon layer with WKT ``the_geom`` and the borough of the cell centre."""
         tbl, key, code, geoid, label = LAYERS[name]
-        src = self.table(tbl, spread=True)
+        src = self.table(tbl)
         # grid width from the key range, as a scalar subquery (evaluated once)
         g = src.agg(F.expr(f"CAST(ceil(sqrt(max({key}) + 1)) AS BIGINT)")).scalar()
         cells = src.select(F.col(key).alias("k"), g.alias("g"), F.expr(code).alias("code"),
@@ -284,26 +271,3 @@ def cte_sql() -> dict[str, str]:
             f"FROM m_{name}_cells c LEFT JOIN (SELECT r_regionkey, r_name, CAST(r_regionkey + 1 AS STRING) AS boro_code "
             f"FROM region) r ON r.r_regionkey = c._band")
     return out
-
-
-def with_ctes(names: list[str], body: str) -> str:
-    """Prefix ``body`` with the model CTEs it needs (in dependency order)."""
-    ctes = cte_sql()
-    order = list(ctes)
-    need: set[str] = set()
-
-    def add(n):
-        if n in need:
-            return
-        need.add(n)
-        for other in order:
-            if other != n and other in ctes[n] and other not in need:
-                # dependency by name reference (names are unique prefixes-free)
-                import re
-                if re.search(rf"\b{other}\b", ctes[n]):
-                    add(other)
-
-    for n in names:
-        add(n)
-    parts = [f"{n} AS ({ctes[n]})" for n in order if n in need]
-    return "WITH " + ",\n".join(parts) + "\n" + body if parts else body

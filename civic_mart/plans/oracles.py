@@ -11,7 +11,12 @@ from __future__ import annotations
 from civic_mart.functions.keys import surrogate_key_sql
 from civic_mart.plans import model as M
 from civic_mart.plans import pipeline as P
-from civic_mart.plans.pipeline import LAYER_OUTPUTS, LOCATION_CATEGORIES, RUN_END, SNAPSHOT_START
+from civic_mart.plans.pipeline import LAYER_OUTPUTS, LOCATION_CATEGORIES
+
+# windows of a run on 2024-02-01 12:00 UTC (07:00 in New York), worked out by hand: staging takes
+# requests before that day and inspections before the day before it
+SNAPSHOT_START, RUN_NY = "1900-01-01 00:00:00", "2024-02-01 07:00:00"
+REQUEST_END, INSPECTION_END = "2024-02-01 00:00:00", "2024-01-31 00:00:00"
 
 
 def _q(s: str) -> str:
@@ -138,7 +143,7 @@ VALID_REQUESTS = ("SELECT * FROM m_requests WHERE unique_key IS NOT NULL AND cre
                   "AND complaint_type IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL")
 
 
-def stage_requests_ctes(start: str = ts(SNAPSHOT_START), end: str = ts(RUN_END)) -> list[tuple[str, str]]:
+def stage_requests_ctes(start: str = ts(SNAPSHOT_START), end: str = ts(REQUEST_END)) -> list[tuple[str, str]]:
     src = ("SELECT *, longitude AS x, latitude AS y, lower(coalesce(borough, '')) AS bkey FROM valid_requests "
            f"WHERE created_date > {start} AND created_date < {end}")
     ctes, merged = geocode_sql("r_src", "unique_key", ["created_date", "unique_key"],
@@ -153,7 +158,7 @@ def stage_requests_ctes(start: str = ts(SNAPSHOT_START), end: str = ts(RUN_END))
     return [("valid_requests", VALID_REQUESTS), ("r_src", src), *ctes, ("stage_req", final)]
 
 
-def stage_inspections_ctes(start: str = ts(SNAPSHOT_START), end: str = ts(RUN_END)) -> list[tuple[str, str]]:
+def stage_inspections_ctes(start: str = ts(SNAPSHOT_START), end: str = ts(INSPECTION_END)) -> list[tuple[str, str]]:
     src = ("SELECT *, longitude AS x, latitude AS y, lower(coalesce(boro, '')) AS bkey FROM m_inspections "
            f"WHERE inspection_date > {start} AND inspection_date < {end}")
     ctes, merged = geocode_sql("i_src", "camis", ["inspection_date", "rec_order", "rec_line"],
@@ -219,18 +224,45 @@ GROUP BY j.job_name
 """)
 
 INCREMENT_REQUESTS = with_ctes(["m_requests", "m_inspections", *LAYER_CTES],
-                               _dedupe([*ledger_ctes(), *stage_requests_ctes(wm(P.JOB_311), ts(RUN_END))]),
+                               _dedupe([*ledger_ctes(), *stage_requests_ctes(wm(P.JOB_311))]),
                                "SELECT * FROM stage_req")
+INCREMENT_INSPECTIONS = with_ctes(["m_requests", "m_inspections", *LAYER_CTES],
+                                  _dedupe([*ledger_ctes(), *stage_inspections_ctes(wm(P.JOB_INS))]),
+                                  "SELECT * FROM stage_ins")
+
+# a snapshot on 2024-01-15 and an increment on 2024-02-01: each takes what its sources hold then,
+# requests up to its day, inspections up to the day before; a place's first visit in a run counts
+JOB_SNAPSHOT_THEN_INCREMENT = with_ctes(["m_requests", "m_inspections"], [
+    ("valid_requests", VALID_REQUESTS),
+    ("marks", "SELECT max(created_date) FILTER (WHERE created_date < TIMESTAMP '2024-01-15') AS req, "
+              "(SELECT max(inspection_date) FROM m_inspections WHERE inspection_date < TIMESTAMP '2024-01-15') AS ins "
+              "FROM valid_requests")], f"""
+SELECT 'requests' AS table_name, unique_key AS key, created_date AS "at" FROM valid_requests, marks
+WHERE created_date < TIMESTAMP '2024-02-01' AND created_date <> TIMESTAMP '1900-01-01'
+  AND (created_date < TIMESTAMP '2024-01-15' OR created_date > marks.req)
+UNION ALL
+SELECT 'inspections', camis, min(inspection_date) FROM m_inspections WHERE inspection_date < TIMESTAMP '2024-01-14' GROUP BY camis
+UNION ALL
+SELECT 'inspections', camis, min(inspection_date) FROM m_inspections, marks
+WHERE inspection_date > marks.ins AND inspection_date < TIMESTAMP '2024-01-31' GROUP BY camis
+UNION ALL
+SELECT 'ledger', {_q(P.JOB_311)}, req FROM marks
+UNION ALL SELECT 'ledger', {_q(P.JOB_INS)}, ins FROM marks
+UNION ALL SELECT 'ledger', {_q(P.JOB_311)}, (SELECT max(created_date) FROM valid_requests WHERE created_date < TIMESTAMP '2024-02-01')
+UNION ALL SELECT 'ledger', {_q(P.JOB_INS)}, (SELECT max(inspection_date) FROM m_inspections WHERE inspection_date < TIMESTAMP '2024-02-01')
+""")
 
 LEDGER_APPEND = with_ctes(["m_requests", "m_inspections"], ledger_ctes(), f"""
 SELECT {_q(P.JOB_311)} AS job_name, (SELECT max(created_date) FROM valid_requests) AS latest_record_date,
-       {ts(P.RUN_NY)} AS execution_date
+       {ts(RUN_NY)} AS execution_date
+UNION ALL
+SELECT {_q(P.JOB_INS)}, (SELECT max(inspection_date) FROM m_inspections), {ts(RUN_NY)}
 UNION ALL
-SELECT {_q(P.JOB_INS)}, (SELECT max(inspection_date) FROM m_inspections), {ts(P.RUN_NY)}
+SELECT {_q(P.JOB_DIM_LOC_311)}, {wm(P.JOB_311)}, {ts(RUN_NY)}
 UNION ALL
-SELECT {_q(P.JOB_DIM_LOC_311)}, {wm(P.JOB_311)}, {ts(P.RUN_NY)}
+SELECT {_q(P.JOB_DIM_LOC_INS)}, {wm(P.JOB_INS)}, {ts(RUN_NY)}
 UNION ALL
-SELECT {_q(P.JOB_DIM_LOC_INS)}, {wm(P.JOB_INS)}, {ts(P.RUN_NY)}
+SELECT {_q(P.JOB_DIM_VIO)}, (SELECT max(inspection_date) FROM m_inspections), {ts(RUN_NY)}
 """)
 
 
@@ -250,21 +282,19 @@ FROM (
 """
 DIM_OPEN_TYPE = with_ctes(["m_applications"], [], DIM_OPEN_SQL)
 
-NN = " AND ".join(f"{c} IS NOT NULL" for c in STAGE_COLS.split(", "))
 LOC_KEY = ["BoroughCode", "Borough", "NeighborhoodCode", "Neighborhood", "ZipCode", "Tract", "Block", "LocationType"]
+# staging column of each key column, in the key's order
+LOC_FROM = dict(zip(LOC_KEY, ["borough_code", "borough_name", "neighborhood_code", "neighborhood_name", "zipcode",
+                              "tract_bct2020", "block_bctcb2020", "locationType"]))
 
 
-def location_candidates_sql(req: str, ins: str, app: str) -> str:
-    return f"""
-SELECT DISTINCT borough_code AS BoroughCode, borough_name AS Borough, neighborhood_code AS NeighborhoodCode,
-       neighborhood_name AS Neighborhood, zipcode AS ZipCode, tract_bct2020 AS Tract, block_bctcb2020 AS Block,
-       locationType AS LocationType, pop.Pop1 / NULLIF(pop.LandAcres, 0) AS PopulationDensity
-FROM (
-  SELECT {STAGE_COLS} FROM {req} WHERE {NN}
-  UNION ALL SELECT {STAGE_COLS} FROM {ins} WHERE {NN}
-  UNION ALL SELECT {STAGE_COLS} FROM {app} WHERE {NN}
-) ml JOIN m_population pop ON pop.GeoID = ml.block_bctcb2020
-"""
+def location_candidates_sql(*staged: str) -> str:
+    """Distinct complete staging places (a NULL anywhere makes the row's text NULL) with their block's density."""
+    whole = " || ".join(f"CAST({c} AS VARCHAR)" for c in STAGE_COLS.split(", "))
+    places = " UNION ".join(f"(SELECT {', '.join(f'{v} AS {k}' for k, v in LOC_FROM.items())} FROM {t} "
+                            f"WHERE ({whole}) IS NOT NULL)" for t in staged)
+    return (f"SELECT places.*, CASE WHEN LandAcres <> 0 THEN Pop1 / LandAcres END AS PopulationDensity "
+            f"FROM ({places}) places, (SELECT DISTINCT GeoID, Pop1, LandAcres FROM m_population) blocks WHERE GeoID = Block")
 
 
 def with_loc_id(cand: str) -> str:
@@ -294,40 +324,31 @@ def _focus(version: int) -> str:
 
 
 def scd2_ctes() -> list[tuple[str, str]]:
-    w = wm(P.JOB_DIM_VIO)
-    start_fmt = "strftime(StartDate, '%Y-%m-%d %H:%M:%S')"
-    prior_new = f"""
-SELECT DISTINCT src.cuisine_description AS Cuisine, src.violation_code AS ViolationCode, fvc.category AS Category,
-       {w} AS StartDate, TIMESTAMP '9999-12-31 00:00:00' AS EndDate, CAST(1 AS BIGINT) AS IsCurrent
-FROM m_inspections src JOIN {_focus(1)} fvc ON fvc.violation_code = src.violation_code
-WHERE src.inspection_date <= {w}"""
-    prior = f"SELECT {key_sql('Cuisine', 'ViolationCode', 'Category', start_fmt)} AS RestaurantViolationID, * FROM ({prior_new}) p"
-    changed = f"""
-SELECT DISTINCT dim.RestaurantViolationID
-FROM m_inspections src JOIN {_focus(2)} fvc ON fvc.violation_code = src.violation_code
-JOIN vio_prior dim ON dim.Cuisine = src.cuisine_description AND dim.ViolationCode = src.violation_code
-                  AND dim.Category <> fvc.category
-WHERE src.inspection_date > {w} AND dim.IsCurrent = 1"""
-    expired = f"""
-SELECT RestaurantViolationID, Cuisine, ViolationCode, Category, StartDate,
-       CASE WHEN RestaurantViolationID IN (SELECT RestaurantViolationID FROM vio_changed) THEN {ts(P.RUN_NY)} ELSE EndDate END AS EndDate,
-       CASE WHEN RestaurantViolationID IN (SELECT RestaurantViolationID FROM vio_changed) THEN CAST(0 AS BIGINT) ELSE IsCurrent END AS IsCurrent
-FROM vio_prior"""
-    new = f"""
-SELECT {key_sql('Cuisine', 'ViolationCode', 'Category', _q(P.RUN_NY))} AS RestaurantViolationID, Cuisine, ViolationCode,
-       Category, {ts(P.RUN_NY)} AS StartDate, TIMESTAMP '9999-12-31 00:00:00' AS EndDate, CAST(1 AS BIGINT) AS IsCurrent
-FROM (
-  SELECT DISTINCT src.cuisine_description AS Cuisine, src.violation_code AS ViolationCode, fvc.category AS Category
-  FROM m_inspections src JOIN {_focus(2)} fvc ON fvc.violation_code = src.violation_code
-  WHERE src.inspection_date > {w}
-    AND NOT EXISTS (SELECT 1 FROM vio_expired dim WHERE dim.IsCurrent = 1 AND dim.Cuisine = src.cuisine_description
-                    AND dim.ViolationCode = src.violation_code AND dim.Category = fvc.category)
-) n"""
-    none = (f"SELECT {key_sql(_q('None'), _q('None'), _q('None'), _q('1900-01-01 00:00:00'))} AS RestaurantViolationID, "
-            f"'None' AS Cuisine, 'None' AS ViolationCode, 'None' AS Category, TIMESTAMP '1900-01-01 00:00:00' AS StartDate, "
-            f"TIMESTAMP '9999-12-31 00:00:00' AS EndDate, CAST(1 AS BIGINT) AS IsCurrent")
-    return [*ledger_ctes(), ("vio_prior", prior), ("vio_changed", changed), ("vio_expired", expired),
-            ("vio_new", new), ("dim_vio", f"SELECT * FROM vio_expired UNION ALL SELECT * FROM vio_new UNION ALL {none}")]
+    """Versions as sets of (cuisine, code, category): what each run saw, and what is open."""
+    w, open_end, pair = wm(P.JOB_DIM_VIO), "TIMESTAMP '9999-12-31 00:00:00'", "Cuisine, ViolationCode, Category"
+    start_text = "strftime(StartDate, '%Y-%m-%d %H:%M:%S')"
+
+    def seen(version: int, when: str) -> str:
+        return (f"SELECT cuisine_description AS Cuisine, violation_code AS ViolationCode, category AS Category "
+                f"FROM m_inspections NATURAL JOIN {_focus(version)} f WHERE inspection_date {when} {w} GROUP BY ALL")
+
+    def version(rows: str, start: str) -> str:
+        return (f"SELECT {key_sql('Cuisine', 'ViolationCode', 'Category', start_text)} AS RestaurantViolationID, {pair}, "
+                f"StartDate, {open_end} AS EndDate, CAST(1 AS BIGINT) AS IsCurrent "
+                f"FROM (SELECT *, {start} AS StartDate FROM ({rows}) r) v")
+
+    closed = ("SELECT RestaurantViolationID AS id FROM vio_prior SEMI JOIN vio_seen s ON s.Cuisine = vio_prior.Cuisine "
+              "AND s.ViolationCode = vio_prior.ViolationCode AND s.Category <> vio_prior.Category")
+    expired = (f"SELECT RestaurantViolationID, {pair}, StartDate, if(id IS NULL, EndDate, {ts(RUN_NY)}) AS EndDate, "
+               "if(id IS NULL, IsCurrent, CAST(0 AS BIGINT)) AS IsCurrent "
+               "FROM vio_prior LEFT JOIN (SELECT DISTINCT id FROM vio_closed) c ON id = RestaurantViolationID")
+    fresh = (f"SELECT {pair} FROM vio_seen ANTI JOIN (SELECT {pair} FROM vio_expired WHERE IsCurrent = 1) d "
+             f"USING ({pair})")
+    none = (f"SELECT {key_sql(_q('None'), _q('None'), _q('None'), _q('1900-01-01 00:00:00'))}, 'None', 'None', 'None', "
+            f"TIMESTAMP '1900-01-01 00:00:00', {open_end}, CAST(1 AS BIGINT)")
+    return [*ledger_ctes(), ("vio_prior", version(seen(1, "<="), w)), ("vio_seen", seen(2, ">")), ("vio_closed", closed),
+            ("vio_expired", expired), ("vio_new", version(fresh, ts(RUN_NY))),
+            ("dim_vio", f"SELECT * FROM vio_expired UNION ALL SELECT * FROM vio_new UNION ALL {none}")]
 
 
 SCD2_OUT = ("SELECT RestaurantViolationID, Cuisine, ViolationCode, Category, "
@@ -337,7 +358,7 @@ SCD2_EXPIRE = with_ctes(["m_requests", "m_inspections"], scd2_ctes(), SCD2_OUT +
 SCD2_INSERT = with_ctes(["m_requests", "m_inspections"], scd2_ctes(), SCD2_OUT + "vio_new")
 
 
-# ------------------------------------------------------------------ fact (literal script)
+# ------------------------------------------------------------------ fact
 def fact_ctes() -> list[tuple[str, str]]:
     focus = ", ".join(_q(t.lower()) for t in sorted({t.lower() for t in P.FOCUS_COMPLAINT_TYPES}))
     comp = f"""
@@ -347,7 +368,9 @@ FROM (SELECT DISTINCT complaint_type AS ComplaintType, coalesce(descriptor, 'N/A
       FROM valid_requests WHERE lower(complaint_type) IN ({focus})
       UNION ALL SELECT 'Not Interested', 'N/A') c"""
     dtime = ("SELECT lpad(CAST(h AS VARCHAR), 2, '0') AS TimeID, h AS Hour, CASE WHEN h < 12 THEN 'AM' ELSE 'PM' END AS AMPM, "
-             f"{P.TIME_PERIODS} AS TimePeriod FROM (SELECT range AS h FROM range(24)) t")
+             "CASE WHEN h IN (5, 6) THEN 'Early Morning' WHEN h BETWEEN 7 AND 9 THEN 'Breakfast' WHEN h IN (10, 11) THEN 'Morning' "
+             "WHEN h BETWEEN 12 AND 14 THEN 'Lunch' WHEN h BETWEEN 15 AND 17 THEN 'Afternoon' WHEN h BETWEEN 18 AND 21 THEN 'Dinner' "
+             "ELSE 'Night' END AS TimePeriod FROM (SELECT range AS h FROM range(24)) t")
     ddate = f"""
 SELECT DISTINCT {_date_cols('d')} FROM (
   SELECT DISTINCT CAST(created_date AS DATE) AS d FROM valid_requests WHERE CAST(created_date AS DATE) > DATE '1900-01-01'
@@ -360,44 +383,60 @@ SELECT DISTINCT {_date_cols('d')} FROM (
                     ("dim_opn", DIM_OPEN_SQL)])
 
 
-FACT_BODY = f"""
+# Both outer sides as options of a (block, type): what it has, or the default member where it has nothing.
+FACT_SETS = [
+    ("asked", """
+SELECT q.unique_key, l.LocationID, l.Block AS b, l.LocationType AS t, strftime(q.created_date, '%Y-%m-%d') AS DateID,
+       hour(q.created_date) AS h, date_sub('hour', q.created_date, q.closed_date) AS hours_open,
+       coalesce(q.complaint_type, 'Not Interested') AS kind, coalesce(q.descriptor, 'N/A') AS about
+FROM valid_requests q, stage_req s, dim_loc l
+WHERE s.unique_key = q.unique_key AND (l.Block, l.LocationType) = (s.block_bctcb2020, s.locationType)"""),
+    ("visited", """
+SELECT p.block_bctcb2020 AS b, p.locationType AS t, v.camis, v.inspection_date AS seen_at, d.RestaurantViolationID AS vid
+FROM stage_ins p LEFT JOIN m_inspections v USING (camis)
+JOIN dim_vio d ON (d.ViolationCode, d.Cuisine) = (coalesce(v.violation_code, 'None'), coalesce(v.cuisine_description, 'None'))"""),
+    ("vio_options", """
+SELECT b, t, vid, count(DISTINCT camis) AS n FROM visited GROUP BY b, t, vid
+UNION ALL
+SELECT b, t, RestaurantViolationID, 0 FROM
+  (SELECT b, t FROM asked EXCEPT SELECT block_bctcb2020, locationType FROM stage_ins) bare,
+  dim_vio WHERE ViolationCode = 'None' AND Cuisine = 'None'"""),
+    ("opn_options", """
+SELECT DISTINCT p.block_bctcb2020 AS b, p.locationType AS t, d.OpenRestaurantID AS oid
+FROM stage_app p LEFT JOIN (SELECT * FROM m_applications
+  WHERE 'yes' IN (approved_for_roadway_seating, approved_for_sidewalk_seating)) a USING (objectid)
+JOIN dim_opn d ON (d.OpenRestaurantType, d.IsQualifyAlcohol) =
+  (coalesce(a.seating_interest_sidewalk, 'none'), CASE a.qualify_alcohol WHEN 'yes' THEN 1 ELSE 0 END)
+UNION ALL
+SELECT b, t, OpenRestaurantID FROM
+  (SELECT b, t FROM asked EXCEPT SELECT block_bctcb2020, locationType FROM stage_app) bare,
+  dim_opn WHERE OpenRestaurantType = 'none' AND IsQualifyAlcohol = 0"""),
+    ("issues", """
+SELECT LocationID, vid AS RestaurantViolationID, oid AS OpenRestaurantID, DateID, TimeID, ComplaintID,
+       count(DISTINCT unique_key) AS NumberOfComplaints, max(n) AS NumberOfViolations,
+       coalesce(avg(hours_open), 0) AS AvgResolveTimeForComplaints
+FROM asked NATURAL JOIN vio_options NATURAL JOIN opn_options SEMI JOIN dim_date dd ON dd.DateID = asked.DateID
+JOIN dim_time ON dim_time.Hour = h JOIN dim_comp ON ComplaintType = kind AND ComplaintDescription = about
+GROUP BY ALL
+UNION ALL
+SELECT NULL, vid, OpenRestaurantID, dd.DateID, TimeID, ComplaintID, 0, count(DISTINCT camis), 0
+FROM visited ANTI JOIN asked USING (b, t) JOIN dim_date dd ON dd.DateID = strftime(seen_at, '%Y-%m-%d')
+JOIN dim_time ON dim_time.Hour = hour(seen_at),
+     (SELECT OpenRestaurantID FROM dim_opn WHERE OpenRestaurantType = 'none' AND IsQualifyAlcohol = 0) o,
+     (SELECT ComplaintID FROM dim_comp WHERE ComplaintType = 'Not Interested' AND ComplaintDescription = 'N/A') c
+GROUP BY ALL"""),
+]
+FACT_RODENT_ISSUE = with_ctes(STAGE_MODEL, [*fact_ctes(), *FACT_SETS], f"""
 SELECT {key_sql('LocationID', 'RestaurantViolationID', 'OpenRestaurantID', 'DateID', 'TimeID', 'ComplaintID')} AS RodentIssueID, *
-FROM (
-SELECT dim_loc.LocationID, dim_vio.RestaurantViolationID, dim_opn.OpenRestaurantID, dim_date.DateID, dim_time.TimeID,
-       dim_comp.ComplaintID,
-       COUNT(DISTINCT src.unique_key) AS NumberOfComplaints,
-       COUNT(DISTINCT ins.camis) AS NumberOfViolations,
-       coalesce(AVG(date_sub('hour', src.created_date, src.closed_date)), 0) AS AvgResolveTimeForComplaints
-FROM valid_requests AS src
-JOIN stage_req AS src_loc ON src_loc.unique_key = src.unique_key
-JOIN dim_loc ON dim_loc.Block = src_loc.block_bctcb2020 AND dim_loc.LocationType = src_loc.locationType
-FULL OUTER JOIN stage_ins AS ins_loc ON ins_loc.block_bctcb2020 = dim_loc.Block AND ins_loc.locationType = dim_loc.LocationType
-LEFT JOIN m_inspections AS ins ON ins.camis = ins_loc.camis
-FULL OUTER JOIN stage_app AS opn_loc ON opn_loc.block_bctcb2020 = dim_loc.Block AND opn_loc.locationType = dim_loc.LocationType
-LEFT JOIN m_applications AS opn ON opn.objectid = opn_loc.objectid
-  AND (opn.approved_for_roadway_seating = 'yes' OR opn.approved_for_sidewalk_seating = 'yes')
-JOIN dim_comp ON dim_comp.ComplaintType = coalesce(src.complaint_type, 'Not Interested')
-  AND dim_comp.ComplaintDescription = coalesce(src.descriptor, 'N/A')
-JOIN dim_vio ON dim_vio.ViolationCode = coalesce(ins.violation_code, 'None')
-  AND dim_vio.Cuisine = coalesce(ins.cuisine_description, 'None')
-JOIN dim_opn ON dim_opn.OpenRestaurantType = coalesce(opn.seating_interest_sidewalk, 'none')
-  AND dim_opn.IsQualifyAlcohol = CASE WHEN opn.qualify_alcohol = 'yes' THEN 1 ELSE 0 END
-JOIN dim_date ON dim_date.DateID = CASE WHEN src.created_date IS NOT NULL THEN strftime(src.created_date, '%Y-%m-%d')
-                                        WHEN ins.inspection_date IS NOT NULL THEN strftime(ins.inspection_date, '%Y-%m-%d') END
-JOIN dim_time ON dim_time.Hour = CASE WHEN src.created_date IS NOT NULL THEN hour(src.created_date)
-                                      WHEN ins.inspection_date IS NOT NULL THEN hour(ins.inspection_date) END
-GROUP BY dim_loc.LocationID, dim_vio.RestaurantViolationID, dim_opn.OpenRestaurantID, dim_date.DateID, dim_time.TimeID,
-         dim_comp.ComplaintID
-) f
-"""
-FACT_RODENT_ISSUE = with_ctes(STAGE_MODEL, fact_ctes(), FACT_BODY)
+FROM issues
+""")
 
 
 # ------------------------------------------------------------------ extract side
 from civic_mart.plans import extract as X  # noqa: E402
 
 FOCUS = f"(SELECT DISTINCT focus_type FROM {values([(t,) for t in P.FOCUS_COMPLAINT_TYPES], ['focus_type'])} f0)"
-EXTRACT_FILTER = (f"created_date >= {ts(X.EXTRACT_START)} AND created_date < {ts(RUN_END)} "
+EXTRACT_FILTER = (f"created_date >= {ts(X.EXTRACT_START)} AND created_date < {ts(REQUEST_END)} "
                   "AND latitude IS NOT NULL AND longitude IS NOT NULL AND unique_key IS NOT NULL")
 EXTRACT_ROWS = (f"SELECT f.focus_type, r.* FROM m_requests r JOIN {FOCUS} f ON lower(r.complaint_type) = lower(f.focus_type) "
                 f"WHERE {EXTRACT_FILTER}")
@@ -408,19 +447,15 @@ EXTRACT_FOCUS_REQUESTS = with_ctes(["m_requests"], [("ex", EXTRACT_ROWS)],
 _codes = ", ".join(_q(c.lower()) for c, _ in P.FOCUS_VIOLATIONS_V2)
 EXTRACT_INSPECTIONS_CASELESS = with_ctes(["m_inspections"], [], f"""
 SELECT camis, inspection_date, violation_code, cuisine_description, rec_order, rec_line FROM m_inspections
-WHERE inspection_date >= {ts(SNAPSHOT_START)} AND inspection_date < {ts(RUN_END)}
+WHERE inspection_date >= {ts(SNAPSHOT_START)} AND inspection_date < {ts(REQUEST_END)}
   AND latitude IS NOT NULL AND longitude IS NOT NULL AND camis IS NOT NULL AND lower(violation_code) IN ({_codes})
 """)
 
-_head = X.COUNT_QUERY.format(start=X.iso(X.EXTRACT_START), end=X.iso(RUN_END)).replace(
-    "SELECT COUNT(*) AS `count`", "SELECT `unique_key`, `created_date`")
 PAGE_COUNTS = (f"SELECT f.focus_type AS key, count(r.unique_key) AS n FROM {FOCUS} f LEFT JOIN "
                f"(SELECT * FROM m_requests WHERE {EXTRACT_FILTER}) r ON lower(r.complaint_type) = lower(f.focus_type) "
                "GROUP BY f.focus_type")
-PAGE_PLAN = with_ctes(["m_requests"], [("counts", PAGE_COUNTS)], f"""
-SELECT key, page, page * 1000 AS offset, CAST(1000 AS BIGINT) AS page_size, n AS total,
-       {_q(X.API_BASE + '?$query=')} || replace(url_encode({_q(_head)} || key || '")' || ' LIMIT 1000 OFFSET '
-       || CAST(page * 1000 AS VARCHAR)), '%2F', '/') AS url
+PAGE_PLAN = with_ctes(["m_requests"], [("counts", PAGE_COUNTS)], """
+SELECT key, page, page * 1000 AS offset, CAST(1000 AS BIGINT) AS page_size, n AS total
 FROM counts c, LATERAL (SELECT unnest(generate_series(0, CAST(ceil(c.n / 1000.0) AS BIGINT) - 1)) AS page) g
 """)
 
@@ -509,6 +544,8 @@ def registry() -> dict[str, str]:
         "geocode_applications": GEOCODE_APPLICATIONS,
         "ledger_watermark": LEDGER_WATERMARK,
         "increment_requests": INCREMENT_REQUESTS,
+        "increment_inspections": INCREMENT_INSPECTIONS,
+        "job_snapshot_then_increment": JOB_SNAPSHOT_THEN_INCREMENT,
         "ledger_append": LEDGER_APPEND,
         "dim_open_type": DIM_OPEN_TYPE,
         "dim_location_refresh": DIM_LOCATION_REFRESH,

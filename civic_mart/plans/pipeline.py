@@ -7,6 +7,7 @@ geocode staging -> dimensions -> fact.  The registered queries in
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from civic_mart.functions.keys import surrogate_key
 from civic_mart.operators import dims, ledger, spatial
-from civic_mart.operators.facts import FactInputs, fact_literal, fact_preaggregated
+from civic_mart.operators.facts import FactInputs, fact_preaggregated
 from civic_mart.operators.filters import caseless_one_of, geolocated, open_window
 from civic_mart.operators.geocode import GeocodeSpec, LayerSpec, geocode
 from civic_mart.operators.lookups import lookup_with_default
@@ -39,10 +40,8 @@ FOCUS_VIOLATIONS_V2 = [("VAF", "Rodent"), ("VNF", "Pest"), ("VRF", "Pest"), ("VA
 
 REQUEST_REQUIRED = ["unique_key", "created_date", "complaint_type", "latitude", "longitude"]
 SNAPSHOT_START = "1900-01-01 00:00:00"
-# run instant of the registered queries (after all driver data): UTC, its NY date and NY wall time
+# run instant of the registered queries, a job's argument: UTC
 RUN_UTC = "2024-02-01 12:00:00"
-RUN_END = "2024-02-01 00:00:00"
-RUN_NY = "2024-02-01 07:00:00"
 
 JOB_311 = "batch_311_request_location"
 JOB_INS = "batch_restaurant_inspection_location"
@@ -65,16 +64,28 @@ def mid_date(df: DataFrame, col: str) -> DataFrame:
                   F.date_add(lo, F.floor(F.datediff(hi, lo) / 2).cast("int")).cast("timestamp_ntz").alias("mid"))
 
 
-# prepared layers, staging tables and dimensions, materialized once per (application, source
-# folder): the warehouse stores them as tables; downstream jobs read them instead of recomputing
+# prepared layers, staging tables and dimensions, materialized once per (application, state of
+# the source folder, run): the warehouse stores them as tables; later jobs read them instead of
+# recomputing.  New, changed or removed files are another state and are never missed.
 _SHARED: dict[tuple, object] = {}
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the source folder holds now: number, bytes and a hash of names, sizes and times of
+    its files (a listing; no file is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet").load(sf_dir)
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"),
+                           F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
 def _shared_key(spark: SparkSession, sf_dir: str, what: str, *extra) -> tuple:
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what, *extra)
 
 
-TIME_PERIODS = "CASE WHEN h < 6 THEN 'Night' WHEN h < 12 THEN 'Morning' WHEN h < 18 THEN 'Afternoon' ELSE 'Evening' END"
+# fixed values (time seed): first hour of each period of the day
+TIME_PERIODS = [(0, "Night"), (5, "Early Morning"), (7, "Breakfast"), (10, "Morning"), (12, "Lunch"), (15, "Afternoon"),
+                (18, "Dinner"), (22, "Night")]
 
 
 class Mart:
@@ -88,8 +99,12 @@ class Mart:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT,
-                 materialize: bool = True, overrides: dict[str, DataFrame] | None = None):
+                 materialize: bool = True, overrides: dict[str, DataFrame] | None = None, run_utc: str = RUN_UTC):
         self.spark = spark
+        self.run_utc = run_utc
+        day = ledger.local_today(datetime.fromisoformat(run_utc))
+        #: staging takes requests before the run's local day, inspections before the day before it
+        self.request_end, self.inspection_end = f"{day} 00:00:00", f"{day - timedelta(days=1)} 00:00:00"
         self.m = Model(spark, sf_dir, overrides)
         self.broadcast_limit = broadcast_limit
         self.materialize = materialize
@@ -104,21 +119,16 @@ class Mart:
             ensure_checkpoint_dir(self.spark)
         return sinks.materialize(df, "mart")
 
-    def spread_for(self, table: str) -> int | None:
-        """Cores to spread CPU-bound refine work over when ``table`` arrives in fewer
-        files than cores (small, unsplittable input: the shuffle is cheap); ``None``
-        for large inputs, which the scan already splits."""
-        if table in self.m.overrides:
-            return None
-        cores = self.spark.sparkContext.defaultParallelism
-        return cores if cores > 1 and len(self.m.table(table).inputFiles()) < cores else None
+    @cached_property
+    def _state(self) -> tuple:
+        return source_state(self.spark, self.m.sf_dir)
 
     def _shared(self, what: str, build):
         """``build()`` once per application, source folder and ``what``; inputs replaced by
         ``overrides`` are never shared (the layers do not depend on them)."""
         if not self.materialize or (self.m.overrides and what != "layers"):
             return build()
-        key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit)
+        key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit, self.run_utc, self._state)
         if key not in _SHARED:
             _SHARED[key] = build()
         return _SHARED[key]
@@ -153,33 +163,35 @@ class Mart:
         valid, _ = split_required(self.m.requests(), REQUEST_REQUIRED)
         return valid
 
-    def stage_requests(self, start=SNAPSHOT_START, end=RUN_END) -> DataFrame:
-        src = self.valid_requests().where(open_window("created_date", start, end))
+    def rejected_requests(self) -> DataFrame:
+        """Requests that lack a REQUIRED column, for the quarantine table."""
+        return split_required(self.m.requests(), REQUEST_REQUIRED)[1]
+
+    def stage_requests(self, start=SNAPSHOT_START, end: str | None = None) -> DataFrame:
+        src = self.valid_requests().where(open_window("created_date", start, end or self.request_end))
         spec = GeocodeSpec(key="unique_key", order=["created_date", "unique_key"], x="longitude", y="latitude",
                            borough="borough",
                            fields={"created_date": "created_date", "zipcode": "incident_zip",
                                    "location_type": "location_type"},
-                           layers=self.layers, dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("events"))
-        g = lookup_with_default(g, "location_type", self.location_categories(), "location_type", "category",
-                                "locationType", known_rows=len(LOCATION_CATEGORIES))
+                           layers=self.layers)
+        g = geocode(src, spec, self.broadcast_limit)
+        g = lookup_with_default(g, "location_type", self.location_categories(), "location_type", "category", "locationType")
         return g.select("unique_key", "created_date", *dims.STAGE_LOCATION_COLS)
 
-    def stage_inspections(self, start=SNAPSHOT_START, end=RUN_END) -> DataFrame:
-        src = self.m.inspections().where(open_window("inspection_date", start, end))
+    def stage_inspections(self, start=SNAPSHOT_START, end: str | None = None) -> DataFrame:
+        src = self.m.inspections().where(open_window("inspection_date", start, end or self.inspection_end))
         spec = GeocodeSpec(key="camis", order=["inspection_date", "rec_order", "rec_line"], x="longitude",
                            y="latitude", borough="boro",
                            fields={"inspection_date": "inspection_date", "zipcode": "zipcode"},
-                           layers=self.layers, dedupe_locations=True)
+                           layers=self.layers)
         g = geocode(src, spec, self.broadcast_limit).withColumn("locationType", F.lit("Commercial"))
         return g.select("camis", "inspection_date", *dims.STAGE_LOCATION_COLS)
 
     def stage_applications(self) -> DataFrame:
         src = geolocated(self.m.applications())
         spec = GeocodeSpec(key="objectid", order=["time_of_submission", "objectid"], x="longitude", y="latitude",
-                           borough="borough", fields={"zipcode": "zip"}, layers=self.layers,
-                           dedupe_locations=False)
-        g = geocode(src, spec, self.broadcast_limit, spread_to=self.spread_for("orders"))
+                           borough="borough", fields={"zipcode": "zip"}, layers=self.layers)
+        g = geocode(src, spec, self.broadcast_limit)
         g = g.withColumn("locationType", F.lit("Commercial"))
         return g.select("objectid", *dims.STAGE_LOCATION_COLS)
 
@@ -222,9 +234,10 @@ class Mart:
 
     # ---------------------------------------------------------------- dimensions
     def dim_time(self) -> DataFrame:
-        return self.spark.range(24).selectExpr("id AS h").selectExpr(
-            "lpad(CAST(h AS STRING), 2, '0') AS TimeID", "h AS Hour",
-            "CASE WHEN h < 12 THEN 'AM' ELSE 'PM' END AS AMPM", f"{TIME_PERIODS} AS TimePeriod")
+        period = F.coalesce(*[F.when(F.col("h") >= first, F.lit(name)) for first, name in reversed(TIME_PERIODS)])
+        return self.spark.range(24).select(F.col("id").alias("h")).select(
+            F.lpad(F.col("h").cast("string"), 2, "0").alias("TimeID"), F.col("h").alias("Hour"),
+            F.when(F.col("h") < 12, F.lit("AM")).otherwise("PM").alias("AMPM"), period.alias("TimePeriod"))
 
     def dim_complaint(self) -> DataFrame:
         req = self.valid_requests().where(caseless_one_of("complaint_type", FOCUS_COMPLAINT_TYPES))
@@ -280,7 +293,7 @@ class Mart:
                                F.lit(SNAPSHOT_START).cast("timestamp_ntz"), w)
 
     def run_time(self):
-        return ledger.local_now(RUN_UTC)
+        return ledger.local_now(self.run_utc)
 
     def violations_expired(self, prior: DataFrame | None = None) -> DataFrame:
         # the previous run's dimension is a stored table in the warehouse: written once
@@ -320,7 +333,4 @@ class Mart:
         return self._shared(dim, lambda: self._keep(getattr(self, dim)()))
 
     def fact(self) -> DataFrame:
-        return fact_preaggregated(self.fact_inputs())
-
-    def fact_literal(self) -> DataFrame:
-        return fact_literal(self.fact_inputs())
+        return fact_preaggregated(self.fact_inputs(), self._keep)

@@ -77,24 +77,41 @@ def ledger_watermark(spark, sf_dir):
 
 def increment_requests(spark, sf_dir):
     """W1/W2/SRC2/FLT6: daily geocode increment, rows after the ledger watermark."""
-    from civic_mart.plans.pipeline import JOB_311, RUN_END
+    from civic_mart.plans.pipeline import JOB_311
     mart = Mart(spark, sf_dir)
-    return mart.stage_requests(start=mart.watermark(JOB_311), end=RUN_END)
+    return mart.stage_requests(start=mart.watermark(JOB_311))
+
+
+def increment_inspections(spark, sf_dir):
+    """W1/W2/SRC2/FLT6: daily inspection increment, rows after the ledger watermark and before
+    the day before the run."""
+    from civic_mart.plans.pipeline import JOB_INS
+    mart = Mart(spark, sf_dir)
+    return mart.stage_inspections(start=mart.watermark(JOB_INS))
+
+
+def job_snapshot_then_increment(spark, sf_dir):
+    """The geocode job run twice over its stored ledger, a snapshot and the next
+    increment; what the staging tables and the ledger hold afterwards."""
+    from civic_mart.plans.jobs import snapshot_then_increment
+    return snapshot_then_increment(spark, sf_dir)
 
 
 def ledger_append(spark, sf_dir):
     """Ledger rows written after the geocode run (max over the whole source) and
     after the DimLocation load (the staging jobs' watermarks)."""
     from civic_mart.operators import ledger as L
-    from civic_mart.plans.pipeline import JOB_311, JOB_DIM_LOC_311, JOB_DIM_LOC_INS, JOB_INS, RUN_UTC
+    from civic_mart.plans.pipeline import JOB_311, JOB_DIM_LOC_311, JOB_DIM_LOC_INS, JOB_DIM_VIO, JOB_INS
     mart = Mart(spark, sf_dir)
-    now = L.local_now(RUN_UTC)
+    now = mart.run_time()
     geocode_rows = L.ledger_row(spark, JOB_311, L.source_max(mart.valid_requests(), "created_date"), now).unionByName(
         L.ledger_row(spark, JOB_INS, L.source_max(mart.m.inspections(), "inspection_date"), now))
     # The DimLocation load records the staging jobs' watermarks, not its own data max
     dim_rows = L.ledger_row(spark, JOB_DIM_LOC_311, mart.watermark(JOB_311), now).unionByName(
         L.ledger_row(spark, JOB_DIM_LOC_INS, mart.watermark(JOB_INS), now))
-    return geocode_rows.unionByName(dim_rows)
+    # the violation load records the newest inspection it read
+    vio_row = L.ledger_row(spark, JOB_DIM_VIO, L.source_max(mart.m.inspections(), "inspection_date"), now)
+    return geocode_rows.unionByName(dim_rows).unionByName(vio_row)
 
 
 # ------------------------------------------------------------------ dimensions / fact
@@ -179,6 +196,8 @@ def registry() -> dict[str, Query]:
         "geocode_applications": geocode_applications,
         "ledger_watermark": ledger_watermark,
         "increment_requests": increment_requests,
+        "increment_inspections": increment_inspections,
+        "job_snapshot_then_increment": job_snapshot_then_increment,
         "ledger_append": ledger_append,
         "dim_open_type": dim_open_type,
         "dim_location_refresh": dim_location_refresh,

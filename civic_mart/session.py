@@ -38,11 +38,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh scratch folder is created.
+    Only when the setting is absent and the master is local (tests) a fresh scratch folder
+    is created: on a cluster a machine's own folder would be lost to the other machines.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="civic-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path

@@ -89,14 +89,16 @@ def read_geojson_features(spark: SparkSession, path: str, props: list[str], coll
     return spark.read.schema(fs).json(path)
 
 
-def layer_from_geojson(features: DataFrame, columns: dict[str, str], double_cols: tuple[str, ...] = ()) -> DataFrame:
+def layer_from_geojson(features: DataFrame, columns: dict[str, str], double_cols: tuple[str, ...] = (),
+                       carry: tuple[str, ...] = ()) -> DataFrame:
     """Project features onto a polygon-layer table: ``the_geom`` as WKT plus properties
-    (``column -> property``); ``double_cols`` are parsed strictly (bad text fails)."""
+    (``column -> property``); ``double_cols`` are parsed strictly (bad text fails);
+    ``carry`` names columns of ``features`` to keep."""
     cols = [geometry_wkt(F.col("geometry")).alias("the_geom")]
     for col, prop in columns.items():
         c = F.col(f"properties.{prop}")
         cols.append((c.cast("double") if col in double_cols else c).alias(col))
-    return features.select(*cols)
+    return features.select(*cols, *carry)
 
 
 def rings_roundtrip_ok(features: DataFrame) -> DataFrame:

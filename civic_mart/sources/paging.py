@@ -78,30 +78,6 @@ def with_pages(df: DataFrame, group: list[str], order: list[str], page_size: int
 Fetcher = Callable[[str, int, int, int], str]
 
 
-def landed_fetcher(root: str, key_col: str = "key") -> Fetcher:
-    """Read a page landed as JSON lines under ``root/<key_col>=<key>/page=<page>/``.
-
-    Self-contained: the closure uses only the standard library, so Python workers
-    can run it without importing this package."""
-    # fixed values: characters Spark escapes in partition directory names
-    escape_chars = set('"#%\'*/:=?\\\x7f{[]^')
-
-    def fetch(key: str, page: int, offset: int, size: int) -> str:
-        import glob as _glob
-        import os as _os
-        esc = "".join("%{:02X}".format(ord(c)) if c in escape_chars or ord(c) < 0x20 else c for c in key)
-        pattern = _os.path.join(root, f"{key_col}={esc}", f"page={page}", "*.json")
-        files = sorted(_glob.glob(pattern))
-        if not files:
-            raise FileNotFoundError(pattern)
-        lines = []
-        for f in files:
-            with open(f, encoding="utf-8") as fh:
-                lines.extend(line.strip() for line in fh if line.strip())
-        return "[" + ",".join(lines) + "]"
-    return fetch
-
-
 def http_fetcher(url_of: Callable[[str, int, int, int], str], headers: dict[str, str] | None = None,
                  timeout: float = 60.0) -> Fetcher:
     """Fetch from an HTTP API (``requests`` if installed, else ``urllib``)."""
@@ -140,13 +116,33 @@ def fetch_pages(plan: DataFrame, fetcher: Fetcher, tasks: int | None = None) ->
     return plan.repartition(n, "key", "page").mapInPandas(run, FETCHED_SCHEMA)
 
 
-def page_records(fetched: DataFrame, record_schema: T.StructType) -> DataFrame:
+def page_bodies(rows: DataFrame, page: list[str], order: str) -> DataFrame:
+    """Rows with their page keys -> one JSON array per page (at most a page's rows each)."""
+    fields = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in page])
+    body = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.to_json(fields).alias("j")))),
+                       lambda x: x["j"])
+    return rows.groupBy(*page).agg(F.concat(F.lit("["), F.array_join(body, ","), F.lit("]")).alias("body"))
+
+
+def checked_pages(plan: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every planned page with its body.  A page that is missing, failed or holds another
+    number of records than planned fails the job: no page is lost unseen."""
+    p = pages.select("key", "page", "body", *([F.col("error")] if "error" in pages.columns else [
+        F.lit(None).cast("string").alias("error")]))
+    j = plan.join(p, ["key", "page"], "left")
+    want = F.least(F.col("page_size"), F.col("total") - F.col("offset"))
+    got = F.json_array_length("body")
+    bad = F.when(F.col("error").isNotNull(), F.col("error")).when(F.col("body").isNull(), F.lit("no such page")).when(
+        ~got.eqNullSafe(want), F.concat(F.lit("records: "), F.coalesce(got.cast("string"), F.lit("none"))))
+    fail = F.raise_error(F.concat(F.lit("page "), F.col("key"), F.lit("/"), F.col("page").cast("string"), F.lit(": "), bad))
+    return j.select("key", "page", F.when(bad.isNull(), F.col("body")).otherwise(fail).alias("body"))
+
+
+def page_records(pages: DataFrame, record_schema: T.StructType) -> DataFrame:
     """Decode page bodies (JSON arrays) into one row per record; an empty page gives no row."""
     arr = T.ArrayType(record_schema)
-    return fetched.where(F.col("error").isNull()).select(
-        "key", "page", F.explode(F.from_json("body", arr)).alias("r")).select("key", "page", "r.*")
+    return pages.select("key", "page", F.explode(F.from_json("body", arr)).alias("r")).select("key", "page", "r.*")
 
 
 def page_errors(fetched: DataFrame) -> DataFrame:
     return fetched.where(F.col("error").isNotNull()).select("key", "page", "error")
-

@@ -10,14 +10,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civic_mart import schemas
 
-_CURRENT = "_CURRENT"
-
-
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Select the declared columns by name, in declared order, with declared types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.struct(ddl).fields])
@@ -45,7 +43,9 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     """Path of the newest complete version (None before the first write)."""
     try:
         log = spark.read.schema("version string, written_at timestamp, seq long").parquet(_log(root))
-    except Exception:  # noqa: BLE001  (no log yet)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only "no log yet" means "no version"
+            raise
         return None
     row = log.orderBy(F.col("seq").desc(), F.col("written_at").desc()).select("version").first()
     return f"{root.rstrip('/')}/{row['version']}" if row else None
@@ -85,11 +85,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/civic_mart/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(uri: str) -> str:
-    """Plain path of a ``file:`` URI (for readers outside Spark, e.g. a landed-page fetcher)."""
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it
     back: later uses read the files instead of recomputing the lineage, the files

@@ -35,18 +35,15 @@ def test_merge_first_non_null(spark):
         ("k4", 1, 3.0, 1.0, None, "4"),    # NULL borough: nothing
     ], "k string, t long, x double, y double, boro string, zip string")
     layers = _layers(spark)
-    for dedupe in (True, False):
-        src = recs if dedupe else recs.where(F.col("k") != "k1")
-        spec = GeocodeSpec(key="k", order=["t"], x="x", y="y", borough="boro", fields={"zipcode": "zip"},
-                           layers=layers, dedupe_locations=dedupe)
-        got = {r["k"]: r.asDict() for r in geocode(src, spec).collect()}
-        if dedupe:
-            assert got["k1"]["zipcode"] == "111" and got["k1"]["blocks_code"] == "B1"
-            assert got["k1"]["tracts_code"] == "T1" and got["k1"]["borough_code"] == "1"  # block wins
-        assert got["k2"]["blocks_code"] is None and got["k2"]["tracts_code"] == "T2"
-        assert got["k2"]["borough_code"] == "2t"  # falls back to the tract's borough
-        assert got["k3"]["tracts_code"] is None and got["k3"]["zipcode"] == "999"
-        assert got["k4"]["borough_code"] is None
+    spec = GeocodeSpec(key="k", order=["t"], x="x", y="y", borough="boro", fields={"zipcode": "zip"}, layers=layers)
+    got = {r["k"]: r.asDict() for r in geocode(recs, spec).collect()}
+    assert len(got) == geocode(recs, spec).count() == 4  # one row per key, k1 three times in the source
+    assert got["k1"]["zipcode"] == "111" and got["k1"]["blocks_code"] == "B1"
+    assert got["k1"]["tracts_code"] == "T1" and got["k1"]["borough_code"] == "1"  # block wins
+    assert got["k2"]["blocks_code"] is None and got["k2"]["tracts_code"] == "T2"
+    assert got["k2"]["borough_code"] == "2t"  # falls back to the tract's borough
+    assert got["k3"]["tracts_code"] is None and got["k3"]["zipcode"] == "999"
+    assert got["k4"]["borough_code"] is None
 
 
 def test_geocode_invariant_to_partitioning(spark):

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
-import os
 
 import pytest
 from pyspark.sql import Window
@@ -33,18 +31,33 @@ def test_positions_equal_row_number_under_skew(spark):
     assert rows(got, "g", "o", "_pos") == rows(ref, "g", "o", "_pos")
 
 
-def test_fetch_landed_pages_and_errors(spark, tmp_dir):
-    for page, recs in ((0, [{"a": "1"}, {"a": "2"}]), (1, [{"a": "3"}]), (2, [])):
-        d = os.path.join(tmp_dir, "key=x", f"page={page}")
-        os.makedirs(d)
-        with open(os.path.join(d, "part-0.json"), "w") as fh:
-            fh.write("\n".join(json.dumps(r) for r in recs))
-    plan = spark.createDataFrame([("x", p, p * 2, 2, 5) for p in range(4)], paging.PAGE_PLAN_SCHEMA)
-    fetched = paging.fetch_pages(plan, paging.landed_fetcher(tmp_dir), tasks=2)
-    recs = paging.page_records(fetched, spark.createDataFrame([], "a string").schema)
-    assert rows(recs, "page", "a") == [(0, "1"), (0, "2"), (1, "3")]
-    errs = paging.page_errors(fetched).collect()
-    assert [e["page"] for e in errs] == [3] and "FileNotFoundError" in errs[0]["error"]
+def test_pages_are_checked_against_the_plan(spark):
+    plan = spark.createDataFrame([("x", p, p * 2, 2, 5) for p in range(3)], paging.PAGE_PLAN_SCHEMA)
+    raw = spark.createDataFrame([("x", i // 2, str(i)) for i in range(5)], "key string, page long, a string")
+    pages = paging.page_bodies(raw, ["key", "page"], "a")
+    schema = spark.createDataFrame([], "a string").schema
+    got = paging.page_records(paging.checked_pages(plan, pages), schema)
+    assert rows(got, "page", "a") == [(0, "0"), (0, "1"), (1, "2"), (1, "3"), (2, "4")]
+    for broken, message in ((pages.where("page <> 1"), "no such page"),
+                            (paging.page_bodies(raw.where("a <> '4'").unionByName(raw.where("a = '0'").selectExpr(
+                                "key", "2L AS page", "a")).unionByName(raw.where("a = '1'").selectExpr(
+                                    "key", "2L AS page", "a")), ["key", "page"], "a"), "records: 2")):
+        with pytest.raises(Exception, match=message):
+            paging.page_records(paging.checked_pages(plan, broken), schema).collect()
+
+
+def test_fetched_pages_that_fail_fail_the_job(spark):
+    def fetch(key, page, offset, size):
+        if page == 1:
+            raise OSError("no route")
+        return "[]" if page > 2 else '[{"a": "1"}, {"a": "2"}]'
+
+    plan = spark.createDataFrame([("x", p, p * 2, 2, 6) for p in range(3)], paging.PAGE_PLAN_SCHEMA)
+    fetched = paging.fetch_pages(plan, fetch, tasks=2)
+    assert [(e["page"], e["error"]) for e in paging.page_errors(fetched).collect()] == [(1, "OSError: no route")]
+    with pytest.raises(Exception, match="no route"):
+        paging.checked_pages(plan, fetched).collect()
+    assert paging.checked_pages(plan.where("page <> 1"), fetched).count() == 2
 
 
 def test_watermark_defaults_and_max(spark):

@@ -12,8 +12,9 @@ from conftest import SF_SMALL
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle_check import compare, duck  # noqa: E402
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+# the training-data queries have their own tests
+QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
+ORACLES = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +51,37 @@ def test_increment_watermark_reaches_parquet_scan(spark):
     df = QUERIES["increment_requests"](spark, SF_SMALL)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts," in text  # the ledger watermark is pushed to the events scan
+
+
+def test_a_file_that_arrives_in_the_session_is_seen(spark, tmp_path):
+    """Stored staging tables belong to a state of the source folder."""
+    import shutil
+
+    from civic_mart.plans.pipeline import Mart
+    for name in os.listdir(SF_SMALL):
+        if name.split(".")[0] in ("region", "nation", "customer", "supplier"):
+            shutil.copy(f"{SF_SMALL}/{name}", tmp_path / name)
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.where("event_id % 2 = 0").write.parquet(f"{tmp_path}/events.parquet")
+    first = Mart(spark, str(tmp_path)).stored_stage("requests").count()
+    assert Mart(spark, str(tmp_path)).stored_stage("requests").count() == first
+    events.where("event_id % 2 = 1").write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    assert Mart(spark, str(tmp_path)).stored_stage("requests").count() > first
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster(monkeypatch):
+    from civic_mart.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(Conf)
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

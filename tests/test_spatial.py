@@ -6,12 +6,26 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from civic_mart.functions import text
 from civic_mart.operators import spatial
 from conftest import SF_SMALL, rows
 
 SQ = "POLYGON (({a} {b}, {c} {b}, {c} {d}, {a} {d}, {a} {b}))"
 
 
+def brute_force_first_containing(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, borough: str,
+                                 geom_col: str, borough_col: str, id_col: str, attrs: list[str]) -> DataFrame:
+    """Reference implementation for tests: join on the borough bucket only, test every polygon."""
+    poly = polygons.select(
+        text.borough_key(F.col(borough_col)).alias("_bkey"), F.col(id_col).alias("pid"),
+        spatial.ring_edges(spatial.wkt_rings(F.col(geom_col))).alias("_edges"), *[F.col(a) for a in attrs])
+    pts = points.withColumn("_pk", text.borough_key(F.col(borough)))
+    hit = pts.join(poly, (F.col("_pk") == F.col("_bkey")) & spatial.contains(F.col("_edges"), F.col(x), F.col(y)), "left")
+    others = [c for c in points.columns if c != key]
+    return hit.groupBy(key).agg(*[F.first(c).alias(c) for c in others],
+                                *[F.min_by(F.col(c), F.col("pid")).alias(c) for c in ["pid", *attrs]])
+
+
 def square(a, b, c, d):
     return SQ.format(a=a, b=b, c=c, d=d)
 
@@ -86,7 +100,7 @@ def test_locate_matches_expected(spark, layer_df, points_df, broadcast_limit):
 def test_grid_lookup_equals_brute_force(spark, layer_df, points_df):
     layer = spatial.prepare_layer(layer_df, "the_geom", "boro", "pid", ["code"], cell=0.37)
     a = spatial.locate(points_df, layer, "x", "y", "borough", "")
-    b = spatial.brute_force_first_containing(points_df, layer_df, "k", "x", "y", "borough", "the_geom", "boro", "pid",
+    b = brute_force_first_containing(points_df, layer_df, "k", "x", "y", "borough", "the_geom", "boro", "pid",
                                              ["code"])
     assert rows(a, "k", "pid", "code") == rows(b, "k", "pid", "code")
 
@@ -106,7 +120,7 @@ def test_driver_layer_grid_equals_brute_force(spark):
     pts = m.requests().where(F.col("latitude").isNotNull()).select("unique_key", "longitude", "latitude", "borough")
     layer = spatial.prepare_layer(blocks, "the_geom", "BoroName", "poly_id", ["code"])
     a = spatial.locate(pts, layer, "longitude", "latitude", "borough", "")
-    b = spatial.brute_force_first_containing(pts, blocks, "unique_key", "longitude", "latitude", "borough",
+    b = brute_force_first_containing(pts, blocks, "unique_key", "longitude", "latitude", "borough",
                                              "the_geom", "BoroName", "poly_id", ["code"])
     assert rows(a, "unique_key", "pid") == rows(b, "unique_key", "pid")
     assert a.where(F.col("pid").isNotNull()).count() > 0
@@ -140,3 +154,25 @@ def test_hot_cell_salted_shuffle_path_matches_broadcast(spark, layer_df):
     salted = spatial.locate(pts, layer, "x", "y", "borough", "", broadcast_limit=0, salt=8)
     assert rows(salted, "k", "pid") == rows(ref, "k", "pid")
     assert salted.where("k = 'h0'").first()["pid"] == 5
+
+
+def test_empty_and_degenerate_geometries_are_reported(spark):
+    """A layer may hold NULL, empty and one-point geometries: they are reported and contain nothing."""
+    layer = spark.createDataFrame([(1, "POLYGON EMPTY", "A"), (2, "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))", "A"),
+                                   (3, "POLYGON ((1 1))", "A"), (4, None, "A")], "pid long, the_geom string, boro string")
+    prepared = spatial.prepare_layer(layer, "the_geom", "boro", "pid", [])
+    assert sorted(r["_pid"] for r in prepared.rejected.collect()) == [1, 3, 4]
+    pts = spark.createDataFrame([("p", 1.0, 1.0, "a"), ("q", 5.0, 5.0, "a")], "k string, x double, y double, b string")
+    assert {r["k"]: r["pid"] for r in spatial.locate(pts, prepared, "x", "y", "b", "").collect()} == {"p": 2, "q": None}
+
+
+def test_layer_of_mixed_sizes(spark):
+    """Many small polygons beside one very large one."""
+    rows_ = [(0, "POLYGON ((0 0, 50 0, 50 50, 0 50, 0 0))", "A")]
+    rows_ += [(1 + i, square(i % 20, i // 20, i % 20 + 0.5, i // 20 + 0.5), "A") for i in range(200)]
+    layer = spark.createDataFrame(rows_, "pid long, the_geom string, boro string")
+    pts = spark.createDataFrame([(i, (i % 40) / 2 + 0.3, (i // 40) / 2 + 0.2, "A") for i in range(600)],
+                                "k long, x double, y double, borough string")
+    a = spatial.locate(pts, spatial.prepare_layer(layer, "the_geom", "boro", "pid", []), "x", "y", "borough", "")
+    b = brute_force_first_containing(pts, layer, "k", "x", "y", "borough", "the_geom", "boro", "pid", [])
+    assert rows(a, "k", "pid") == rows(b, "k", "pid")
