@@ -124,3 +124,62 @@ def sink_roundtrip_query(mart: Mart) -> DataFrame:
     sinks.write_versioned(mart.dim_open(), root, schemas.DIM_OPEN_RESTAURANT)
     sinks.write_versioned(sinks.read_versioned(spark, root), root, schemas.DIM_OPEN_RESTAURANT)
     return spark.read.parquet(path)
+
+
+INSPECTION_RECORD_COLS = ["camis", "inspection_date", "violation_code", "cuisine_description", "zipcode", "boro", "score",
+                          "record_date", "latitude", "longitude"]
+
+
+def inspection_records_query(mart: Mart) -> DataFrame:
+    """PRJ2/SRC6: inspections through JSON records (every field a string) and the typed map of 26 columns."""
+    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    raw = mart.m.inspections().select(
+        "camis", text("inspection_date").alias("inspection_date"), "violation_code", "cuisine_description", "zipcode", "boro",
+        F.when(F.col("rec_line") % 6 == 0, F.lit("Not Yet Graded")).otherwise((F.col("rec_line") * 2.5).cast("string")).alias("score"),
+        text(F.col("inspection_date")).alias("record_date"), F.col("latitude").cast("string").alias("latitude"),
+        F.col("longitude").cast("string").alias("longitude"))
+    path = sinks.scratch_path(mart.spark, "inspection-records")
+    raw.write.json(path)
+    back = files.read_json_records(mart.spark, path, schemas.NYC_RESTAURANT_INSPECTION)
+    return records.map_inspection(back).select(*INSPECTION_RECORD_COLS)
+
+
+def seed_dims_query(mart: Mart) -> DataFrame:
+    """SRC10/SRC11: the time and complaint dimensions as seed CSVs, read back with their declared types."""
+    parts = []
+    for name, df, ddl, cols in (
+            ("DimTime", mart.dim_time(), schemas.DIM_TIME, ("TimeID", "Hour", "TimePeriod")),
+            ("DimComplaint", mart.dim_complaint(), schemas.DIM_COMPLAINT, ("ComplaintID", "ComplaintType", "Category"))):
+        path = sinks.scratch_path(mart.spark, f"seed-{name}")
+        df.write.option("header", True).option("escape", '"').csv(path)
+        seed = files.read_seed(mart.spark, path, ddl)
+        parts.append(seed.select(F.lit(name).alias("seed"), F.col(cols[0]).alias("id"),
+                                 F.col(cols[1]).cast("string").alias("name"), F.col(cols[2]).alias("label")))
+    return parts[0].unionByName(parts[1])
+
+
+def geojson_collections_query(mart: Mart) -> DataFrame:
+    """SRC9: the block and neighborhood layers as FeatureCollection documents of at most 1,000
+    features, read back as layers."""
+    parts = []
+    for name in ("blocks", "ntas"):
+        layer = mart.m.layer(name)
+        rings = spatial.wkt_rings(F.col("the_geom"))
+        coords = F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
+        multi = F.col("the_geom").startswith("MULTIPOLYGON")
+        feature = F.concat(
+            F.lit('{"type": "Feature", "geometry": {"type": "'), F.when(multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")),
+            F.lit('", "coordinates": '),
+            F.when(multi, F.to_json(F.transform(coords, lambda r: F.array(r)))).otherwise(F.to_json(coords)),
+            F.lit('}, "properties": '), F.to_json(F.struct(F.col("poly_id").cast("string").alias("objectid"),
+                                                           F.col("code").alias("code"), F.col("label").alias("label"))), F.lit("}"))
+        docs = layer.groupBy(F.floor(F.col("poly_id") / 1000)).agg(F.concat(
+            F.lit('{"type": "FeatureCollection", "features": ['), F.array_join(F.collect_list(feature), ", "), F.lit("]}")).alias("value"))
+        path = sinks.scratch_path(mart.spark, f"{name}-collections")
+        docs.select("value").write.option("maxRecordsPerFile", 1).text(path)
+        back = files.read_geojson_features(mart.spark, path, ["objectid", "code", "label"], collection=True)
+        got = files.layer_from_geojson(files.rings_roundtrip_ok(back), {"objectid": "objectid", "code": "code", "label": "label"},
+                                       carry=("wkt_ok",))
+        parts.append(got.select(F.lit(name).alias("layer"), F.col("objectid").cast("bigint").alias("poly_id"), "code", "label",
+                                F.size(spatial.wkt_rings(F.col("the_geom"))).cast("bigint").alias("n_rings"), "wkt_ok"))
+    return parts[0].unionByName(parts[1])

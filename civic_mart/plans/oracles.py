@@ -534,8 +534,29 @@ SELECT objectid, seating_interest_sidewalk, qualify_alcohol, time_of_submission,
 """)
 
 
+INSPECTION_RECORDS = with_ctes(["m_inspections"], [], """
+SELECT camis, date_trunc('millisecond', inspection_date) AS inspection_date, violation_code, cuisine_description, zipcode, boro,
+       CASE WHEN rec_line % 6 <> 0 THEN CAST(rec_line * 2.5 AS DECIMAL(38, 9)) END AS score,
+       date_trunc('millisecond', inspection_date) AS record_date, latitude, longitude
+FROM m_inspections
+""")
+
+_fact_parts = dict(fact_ctes())
+SEED_DIMS = with_ctes(["m_requests"], [(n, _fact_parts[n]) for n in ("valid_requests", "dim_comp", "dim_time")], """
+SELECT 'DimTime' AS seed, TimeID AS id, CAST(Hour AS VARCHAR) AS name, TimePeriod AS label FROM dim_time
+UNION ALL SELECT 'DimComplaint', ComplaintID, ComplaintType, Category FROM dim_comp
+""")
+
+GEOJSON_COLLECTIONS = with_ctes(["m_blocks", "m_blocks_rects", "m_ntas", "m_ntas_rects"], [], " UNION ALL ".join(
+    f"SELECT '{n}' AS layer, l.poly_id, l.code, l.label, count(*) AS n_rings, TRUE AS wkt_ok FROM m_{n} l "
+    f"JOIN m_{n}_rects r ON r.poly_id = l.poly_id GROUP BY l.poly_id, l.code, l.label" for n in ("blocks", "ntas")))
+
+
 def registry() -> dict[str, str]:
     return {
+        "inspection_records": INSPECTION_RECORDS,
+        "seed_dims": SEED_DIMS,
+        "geojson_collections": GEOJSON_COLLECTIONS,
         "dim_date_full": DIM_DATE_FULL,
         "dim_date_incremental": DIM_DATE_INCREMENTAL,
         "point_in_polygon": POINT_IN_POLYGON,

@@ -176,6 +176,9 @@ def _extract():
         "geojson_layer": _mart_query(L.geojson_layer_query),
         "unmatched_borough": _mart_query(L.unmatched_borough_query),
         "sink_roundtrip": _mart_query(L.sink_roundtrip_query),
+        "inspection_records": _mart_query(L.inspection_records_query),
+        "seed_dims": _mart_query(L.seed_dims_query),
+        "geojson_collections": _mart_query(L.geojson_collections_query),
     }
 
 
