@@ -25,6 +25,7 @@ from civic_mart.llm.pieces import LETTER, batches_of, char_classes, code_points
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 2_500      # labelled rows that the model is fitted on
 CALIBRATION_SHARE = 0.2  # of them, kept from training
+MIN_STEPS = 400          # training steps at least
 REJECT_QUANTILE = 0.01   # share of right calibration answers that may be rejected
 UNKNOWN = "und"
 
@@ -95,11 +96,13 @@ def train(rows: list[tuple[list[int], list[float], str]], dim: int = 16, epochs:
             x[i, rows[k][0]] = rows[k][1]
         return x
 
+    epochs = max(epochs, -(-MIN_STEPS * 64 // len(fit)))  # small samples are read more often
     steps = epochs * -(-len(fit) // 64)
     step = 0
     for _ in range(epochs):
+        fit = rng.permutation(fit)
         for i in range(0, len(fit), 64):
-            batch = rng.permutation(fit)[:64] if i == 0 else fit[i:i + 64]
+            batch = fit[i:i + 64]
             x, lr = dense(batch), rate * (1 - step / steps) + 0.05
             step += 1
             mean = x @ emb
@@ -171,8 +174,8 @@ def predict(text: Column, model: LanguageModel | None) -> Column:
                     best = p.argmax(1)
                     names[a:b] = np.where(has, np.array(model.names, object)[best], UNKNOWN)
                     scores[a:b] = np.where(has, p[np.arange(b - a), best], 0.0)
-            yield pd.DataFrame({"lang_pred": names, "score": scores,
-                                "rejected": scores < (model.reject_below if model else 1.0)})
+            below = model.reject_below if model else 1.0
+            yield pd.DataFrame({"lang_pred": names, "score": scores, "rejected": (names == UNKNOWN) | (scores < below)})
 
     return run(text)
 

@@ -190,7 +190,7 @@ def test_seating_follows_the_restaurant_process():
     p = np.zeros(c + 1)
     p[1] = 1
     for i in range(1, c):
-        new = weight / (weight + i - d * np.arange(c + 1))
+        new = np.where(np.arange(c + 1) <= i, weight / np.maximum(weight + i - d * np.arange(c + 1), 0.1), 0)
         p = p * (1 - new) + np.concatenate([[0], (p * new)[:-1]])
     want = (p * np.arange(c + 1)).sum()
     got = pitman_yor.seat(np.full(4000, c), np.full(4000, weight), d, np.random.default_rng(1)).mean()
