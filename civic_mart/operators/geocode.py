@@ -49,9 +49,10 @@ def _first(value: Column, order: Column) -> Column:
 
 
 def geocode(records: DataFrame, spec: GeocodeSpec,
-            broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+            broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT, salt: int = 1) -> DataFrame:
     """One row per ``spec.key`` with the merged fields and layer attributes, however often
-    the source repeats a key."""
+    the source repeats a key.  ``salt`` splits hot index cells of layers that are too large
+    to broadcast (see ``spatial.locate``)."""
     loc = [spec.key, spec.x, spec.y, spec.borough]
     ord_col = F.struct(*[F.col(c) for c in spec.order])
     groups = records.groupBy(*loc).agg(
@@ -60,7 +61,7 @@ def geocode(records: DataFrame, spec: GeocodeSpec,
     )
     hit = groups
     for ls in spec.layers:
-        hit = spatial.locate(hit, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit)
+        hit = spatial.locate(hit, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit, salt)
 
     aggs = [F.min(F.col(f"_f_{out}"))["v"].alias(out) for out in spec.fields]
     boro_code, boro_name = [], []

@@ -79,22 +79,18 @@ def rings_to_wkt(rings: Column) -> Column:
 
 def contains(edges: Column, px: Column, py: Column) -> Column:
     """Strict containment of (px, py) in the polygon given by its edge list."""
-    crossings = F.aggregate(
-        edges,
-        F.lit(0),
-        lambda acc, e: acc + F.when(
-            ((e["y1"] > py) != (e["y2"] > py))
-            & (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]),
-            1,
-        ).otherwise(0),
-    )
-    on_edge = F.exists(
-        edges,
-        lambda e: ((e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"]) == 0)
-        & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
-        & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])),
-    )
-    return (crossings % 2 == 1) & ~on_edge
+    def step(acc: Column, e: Column) -> Column:
+        crosses = ((e["y1"] > py) != (e["y2"] > py)) & (
+            px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+        touches = ((e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"]) == 0) \
+            & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"])) \
+            & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"]))
+        return F.struct((acc["odd"] != F.coalesce(crosses, F.lit(False))).alias("odd"),
+                        (acc["on"] | F.coalesce(touches, F.lit(False))).alias("on"))
+
+    # one pass over the edges: parity of the crossings, and whether the point lies on one
+    return F.aggregate(edges, F.struct(F.lit(False).alias("odd"), F.lit(False).alias("on")), step,
+                       lambda acc: acc["odd"] & ~acc["on"])
 
 
 @dataclass

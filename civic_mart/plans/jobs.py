@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civic_mart import schemas
-from civic_mart.operators import ledger
+from civic_mart.operators import dims, ledger
 from civic_mart.operators.quality import tag_required
-from civic_mart.plans.pipeline import JOB_311, JOB_INS, REQUEST_REQUIRED, SNAPSHOT_START, Mart
+from civic_mart.plans.pipeline import JOB_311, JOB_DIM_LOC_311, JOB_DIM_LOC_INS, JOB_INS, REQUEST_REQUIRED, SNAPSHOT_START, Mart
 from civic_mart.sources import sinks
 
 # instants of the two runs of the registered query: one inside the request data, one after all data
@@ -33,7 +33,7 @@ def append_ledger(spark: SparkSession, root: str, job: str, latest, execution) -
 
 
 def run_geocode(mart: Mart, root: str, mode: str) -> None:
-    """Stage requests and inspections into ``root``: a snapshot overwrites, an increment appends
+    """Stage requests, inspections and applications into ``root``: a snapshot overwrites, an increment appends
     what lies past the job's watermark.  Requests that lack a REQUIRED column go to
     ``root/rejected_requests`` with what they lack."""
     spark, write = mart.spark, ledger.write_mode(mode)
@@ -49,11 +49,34 @@ def run_geocode(mart: Mart, root: str, mode: str) -> None:
     rejected = tag_required(mart.m.requests(), REQUEST_REQUIRED).where("gate = 'rejected'").select("unique_key", "missing")
     sinks.write_table(rejected, f"{root}/rejected_requests", "overwrite")
     inspections = mart.stage_inspections(start=start(JOB_INS))
-    sinks.write_table(inspections, f"{root}/inspections", write)
+    sinks.write_table(inspections, f"{root}/inspections", write, schemas.STAGE_INSPECTION_LOCATION)
+    applications = mart.stage_applications()  # no dates: always whole
+    sinks.write_table(applications, f"{root}/applications", "overwrite", schemas.STAGE_OPEN_RESTAURANT_LOCATION)
     append_ledger(spark, root, JOB_311, ledger.source_max(mart.valid_requests(), "created_date"), mart.run_time())
     append_ledger(spark, root, JOB_INS, ledger.source_max(mart.m.inspections(), "inspection_date"), mart.run_time())
 
 
+def run_dim_location(mart: Mart, root: str, mode: str) -> None:
+    """DimLocation from the stored staging tables: a snapshot refreshes it, an increment appends
+    places of staging rows past the load's watermarks.  Its ledger rows carry the staging
+    jobs' watermarks."""
+    spark, write = mart.spark, ledger.write_mode(mode)
+    marks = {r["job_name"]: r["latest_record_date"] for r in ledger.watermarks(
+        read_ledger(spark, root), [JOB_311, JOB_INS, JOB_DIM_LOC_311, JOB_DIM_LOC_INS]).collect()}
+    when = lambda job: F.lit(marks[job].isoformat(sep=" ")).cast("timestamp_ntz")
+    requests, inspections, applications = (spark.read.parquet(f"{root}/{t}") for t in ("requests", "inspections", "applications"))
+    if mode == "snapshot":
+        new = dims.dim_location_refresh([requests, inspections, applications], mart.m.population_blocks())
+    else:
+        new = sinks.materialize(dims.dim_location_increment(  # stored first: it reads the table it is appended to
+            [requests.where(F.col("created_date") > when(JOB_DIM_LOC_311)),
+             inspections.where(F.col("inspection_date") > when(JOB_DIM_LOC_INS)), applications],
+            mart.m.population_blocks(), spark.read.parquet(f"{root}/dim_location")), "dim-location-increment")
+    sinks.write_table(new, f"{root}/dim_location", write, schemas.DIM_LOCATION)
+    for job, of in ((JOB_DIM_LOC_311, JOB_311), (JOB_DIM_LOC_INS, JOB_INS)):
+        append_ledger(spark, root, job, when(of), mart.run_time())
+
+
 def as_of(spark: SparkSession, sf_dir: str, run_utc: str) -> Mart:
     """The mart as a run at that instant finds it: sources hold what lies before its local day."""
     full = Mart(spark, sf_dir, run_utc=run_utc)

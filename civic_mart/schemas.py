@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# fixed values: column names, order and types of the warehouse descriptors
 NYC_311_SERVICE_REQUEST = (
     "unique_key string, created_date timestamp_ntz, closed_date timestamp_ntz, complaint_type string, "
     "descriptor string, location_type string, incident_zip string, incident_address string, street_name string, "
@@ -67,6 +68,13 @@ STAGE_311_LOCATION = (
     "neighborhood_code string, neighborhood_name string, zipcode string, tract_bct2020 string, tract_geoid string, "
     "block_bctcb2020 string, block_geoid string, locationType string")
 
+_PLACE = STAGE_311_LOCATION.split("timestamp_ntz, ", 1)[1]
+STAGE_INSPECTION_LOCATION = f"camis string, inspection_date timestamp_ntz, {_PLACE}"
+STAGE_OPEN_RESTAURANT_LOCATION = f"objectid string, {_PLACE}"
+NYC_2020_POPULATION_TRACTS = (
+    "Year bigint, GeoType string, Borough string, GeoID string, BCT2020 string, Name string, CDType string, "
+    "NTAType string, Pop1 bigint, Male bigint, Fem bigint, LandAcres double")
+
 DIM_COMPLAINT = "ComplaintID string, ComplaintType string, ComplaintDescription string, Category string"
 DIM_TIME = "TimeID string, Hour bigint, AMPM string, TimePeriod string"
 DIM_DATE = ("DateID string, Year bigint, Month string, DayOfMonth bigint, Week bigint, DayOfWeek string, "

@@ -85,3 +85,19 @@ def test_checkpoint_folder_is_asked_for_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_stored_jobs_end_like_one_snapshot(spark):
+    """A snapshot and an increment leave the same locations as one snapshot of everything."""
+    from civic_mart.plans import jobs
+    from civic_mart.sources import sinks
+    one, two = sinks.scratch_path(spark, "jobs"), sinks.scratch_path(spark, "jobs")
+    for root, runs in ((one, [(jobs.SECOND_RUN_UTC, "snapshot")]),
+                       (two, [(jobs.FIRST_RUN_UTC, "snapshot"), (jobs.SECOND_RUN_UTC, "increment")])):
+        for run_utc, mode in runs:
+            mart = jobs.as_of(spark, SF_SMALL, run_utc)
+            jobs.run_geocode(mart, root, mode)
+            jobs.run_dim_location(mart, root, mode)
+    places = [sorted(map(str, spark.read.parquet(f"{r}/dim_location").collect())) for r in (one, two)]
+    assert places[0] == places[1] and places[0]
+    assert jobs.read_ledger(spark, one).count() == 4 and jobs.read_ledger(spark, two).count() == 8
