@@ -56,8 +56,8 @@ def repeat_words(words: list[bytes], window: int = WINDOW) -> int:
 
 
 def line_hash(line: bytes) -> int:
-    """Signed 64-bit hash of a normalised line."""
-    return int.from_bytes(hashlib.md5(b" ".join(line.lower().split())).digest()[:8], "big", signed=True)
+    """60-bit hash of a normalised line (the first 15 hex digits of its MD5)."""
+    return int(hashlib.md5(b" ".join(line.lower().split())).hexdigest()[:15], 16)
 
 
 def _document(text: str) -> tuple:
@@ -134,3 +134,39 @@ def quality_rules(docs: DataFrame, host: str = "source", min_limit: int = MIN_LI
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("host", "text_key")
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+OP7_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+words AS (SELECT rid, regexp_extract_all(text, '{_WORD}') AS w FROM docs),
+windows AS (SELECT rid, i, list_slice(w, i, i + {WINDOW - 1}) AS win
+            FROM words, LATERAL (SELECT unnest(range(1, len(w) - {WINDOW - 2})) AS i) t),
+repeated AS (SELECT rid, unnest(list(i)) AS i FROM windows GROUP BY rid, win HAVING count(*) > 1),
+covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + {WINDOW})) AS p FROM repeated) c GROUP BY rid),
+raw_lines AS (SELECT rid, host, unnest(string_split(text, chr(10))) AS line FROM docs),
+held AS (
+  SELECT rid, host, line, len(w) AS n, substr(md5(translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz')), 1, 15) AS h
+  FROM (SELECT *, regexp_extract_all(line, '{_WORD}') AS w FROM raw_lines) x WHERE len(w) > 0),
+dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM held GROUP BY rid),
+hashed AS (SELECT rid, host, h, sum(n) AS n FROM held GROUP BY ALL),
+lows AS (SELECT rid, min(h) AS low, list_sort(list(h))[2] AS next_low FROM hashed GROUP BY rid),
+sized AS (SELECT rid, host, len(w) AS n_words, low FROM words JOIN docs USING (rid) LEFT JOIN lows USING (rid)),
+hosts AS (SELECT host, count(*) AS n FROM (SELECT DISTINCT host, low, n_words FROM sized) s GROUP BY host),
+common AS (
+  SELECT host, h FROM (SELECT DISTINCT host, h, if(h <> low, low, coalesce(next_low, low)) AS known_by FROM hashed JOIN lows USING (rid)) k
+  JOIN hosts USING (host) GROUP BY host, h, hosts.n
+  HAVING count(*) > {MIN_LIMIT} AND count(*) > CAST({LIMIT_SHARE} AS DOUBLE) * hosts.n),
+removed AS (SELECT rid, sum(n) AS n FROM hashed SEMI JOIN common USING (host, h) GROUP BY rid),
+counts AS (
+  SELECT docs.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(dups.n, 0) AS n_dup_lines,
+         coalesce(covered.n, 0) AS n_repeat_words, CAST(coalesce(removed.n, 0) AS BIGINT) AS removed_words
+  FROM docs JOIN words USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN covered USING (rid) LEFT JOIN removed USING (rid)),
+judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words - removed_words >= CAST({KEEP_SHARE} AS DOUBLE) * n_words AS kept, removed_words
+FROM judged
+"""

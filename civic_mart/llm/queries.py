@@ -11,7 +11,7 @@ from civic_mart.llm.hnsw import op8_hnsw
 from civic_mart.llm.language import op3_language
 from civic_mart.llm.packing import op6_packing
 from civic_mart.llm.pitman_yor import op2_lm
-from civic_mart.llm.quality import op7_quality
+from civic_mart.llm.quality import OP7_SQL, op7_quality
 from civic_mart.llm.secret_scan import op9_secrets
 from civic_mart.llm.simhash import op1_simhash
 from civic_mart.llm.toxicity import op5_toxicity
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op7_quality": OP7_SQL, "op10_warc": OP10_SQL}

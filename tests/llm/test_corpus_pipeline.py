@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import duckdb
 import pytest
 from conftest import SF_SMALL
 
@@ -63,3 +64,16 @@ def test_toxicity_stage_rejects_what_the_operator_predicts(spark):
 
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_match_their_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("pages", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
+    cur = con.execute(queries.ORACLES[name])
+    names = [c[0] for c in cur.description]
+    want = sorted(map(str, cur.fetchall()))
+    got = queries.QUERIES[name](spark, SF_SMALL)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(str(tuple(r)) for r in got.select(*names).collect()) == want

@@ -6,12 +6,10 @@ import base64
 import gzip
 import hashlib
 
-import duckdb
 import numpy as np
 import pytest
-from conftest import SF_SMALL
 
-from civic_mart.llm import hnsw, queries, warc
+from civic_mart.llm import hnsw, warc
 from civic_mart.llm.common import local_forest
 
 
@@ -133,13 +131,3 @@ def test_revisits_have_no_payload_and_refer_to_records(spark, tmp_path):
 
 def test_empty_pages(spark, tmp_path):
     assert warc.arc_to_warc(spark.createDataFrame([], PAGES), f"{tmp_path}/arc", f"{tmp_path}/warc").collect() == []
-
-
-def test_query_matches_sql(spark):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_SMALL}/pages.parquet'")
-    cur = con.execute(queries.ORACLES["op10_warc"])
-    names = [c[0] for c in cur.description]
-    want = sorted(map(str, cur.fetchall()))
-    got = queries.QUERIES["op10_warc"](spark, SF_SMALL).select(*names).collect()
-    assert sorted(str(tuple(r)) for r in got) == want
