@@ -145,12 +145,13 @@ def fit(docs: DataFrame, usable: Column, n: int = SAMPLE_ROWS) -> LanguageModel
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            buckets, at = subwords([text_of(t) for t in pdf["text"]])
-            out = []
-            for i, lang in enumerate(pdf["lang"]):
-                own, count = np.unique(buckets[at[i]:at[i + 1]], return_counts=True)
-                if len(own):
-                    out.append((own, (count / count.sum()).astype(np.float32), lang))
+            texts, langs, out = [text_of(t) for t in pdf["text"]], list(pdf["lang"]), []
+            for first, last in batches_of(texts, 200_000):
+                buckets, at = subwords(texts[first:last])
+                for i, lang in enumerate(langs[first:last]):
+                    own, count = np.unique(buckets[at[i]:at[i + 1]], return_counts=True)
+                    if len(own):
+                        out.append((own, (count / count.sum()).astype(np.float32), lang))
             yield pd.DataFrame(out, columns=["buckets", "shares", "lang"])
 
     sample = sample_rows(docs, usable & F.col("lang").isNotNull(), n, "lang")
@@ -169,7 +170,7 @@ def predict(text: Column, model: LanguageModel | None) -> Column:
             texts = [text_of(t) for t in s]
             names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
             if model:
-                for a, b in batches_of(texts, 400_000):
+                for a, b in batches_of(texts, 200_000):
                     p, has = model.probabilities(texts[a:b])
                     best = p.argmax(1)
                     names[a:b] = np.where(has, np.array(model.names, object)[best], UNKNOWN)
