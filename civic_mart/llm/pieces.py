@@ -141,7 +141,7 @@ Encoder = Callable[[list[str]], tuple[tuple[np.ndarray, np.ndarray], tuple[np.nd
 class PieceCoder:
     """Remembers the ids (and decoded bytes) of up to ``most`` pieces, then starts anew."""
 
-    def __init__(self, encoder: Encoder, most: int = 1_500_000) -> None:
+    def __init__(self, encoder: Encoder, most: int = 800_000) -> None:
         self.encoder, self.most = encoder, most
         self.forget()
 
@@ -187,7 +187,7 @@ class PieceCoder:
         return tuple(out)
 
 
-def batches_of(texts: list[str], most_chars: int = 2_000_000):
+def batches_of(texts: list[str], most_chars: int = 1_000_000):
     """Consecutive slices of about ``most_chars`` characters (a longer text stands alone)."""
     start, size = 0, 0
     for i, t in enumerate(texts):
