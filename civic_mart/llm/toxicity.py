@@ -337,7 +337,7 @@ def score(text: Column, model: BiGru) -> Column:
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in series:
             texts = [text_of(t) for t in s]
-            yield pd.Series(np.concatenate([model.scores(texts[a:b]) for a, b in batches_of(texts, 1_000_000)])
+            yield pd.Series(np.concatenate([model.scores(texts[a:b]) for a, b in batches_of(texts, 500_000)])
                             if texts else np.empty(0))
 
     return run(text)
