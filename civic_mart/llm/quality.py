@@ -7,8 +7,8 @@ counted; lines above the host's limit are boilerplate and count as removed; a do
 that keeps too small a share of its words is depleted and rejected.
 
 Copies of one document are one document for that count, else a page mirrored a thousand
-times would make its own text boilerplate.  A document is known by the smallest line
-hash it has besides the line in question, which a small edit elsewhere seldom changes.
+times would make its own text boilerplate.  A document is known by a hash of its whole set
+of line hashes, so documents that share some lines, or most, still count one by one.
 """
 
 from __future__ import annotations
@@ -106,17 +106,13 @@ def quality_rules(docs: DataFrame, host: str = "source", min_limit: int = MIN_LI
     stats = materialize(
         document_stats(docs, host).withColumn("rid", F.monotonically_increasing_id())
         .withColumn("host", F.coalesce("host", F.lit(""))), "quality-stats")  # rid is fixed once stored
-    lines = stats.select(
-        "rid", "host", F.array_min("line").alias("low"),
-        F.array_min(F.filter("line", lambda x: x != F.array_min("line"))).alias("next_low"),
-        F.explode(F.arrays_zip("line", "line_words")).alias("l")).select(
-        "rid", "host", F.col("l.line").alias("line"), F.col("l.line_words").alias("line_words"),
-        F.when(F.col("l.line") != F.col("low"), F.col("low")).otherwise(F.coalesce("next_low", "low")).alias("known_by"))
+    lines = stats.select("rid", "host", F.xxhash64(F.sort_array("line")).alias("known_by"),
+                         F.explode(F.arrays_zip("line", "line_words")).alias("l")).select(
+        "rid", "host", F.col("l.line").alias("line"), F.col("l.line_words").alias("line_words"), "known_by")
     # distinct (line, document) first, so that a hot line is counted from partial sums
     common = lines.groupBy("host", "line", "known_by").agg(F.lit(1)).groupBy("host", "line").agg(
         F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_limit)
-    known_by = F.struct(F.array_min("line"), F.col("n_words"))
-    hosts = stats.groupBy("host", known_by.alias("d")).agg(F.lit(1)).groupBy("host").agg(
+    hosts = stats.groupBy("host", F.xxhash64(F.sort_array("line")).alias("known_by")).agg(F.lit(1)).groupBy("host").agg(
         F.count(F.lit(1)).alias("host_docs"))
     boilerplate = materialize(common.join(hosts, "host").where(
         F.col("n_docs") > F.lit(limit_share) * F.col("host_docs")).select("host", "line"), "quality-lines")

@@ -181,6 +181,23 @@ def test_boilerplate_lines_deplete_documents(spark):
     assert got[3000].kept  # the limit is a host's own
 
 
+def test_documents_that_share_several_lines_count_one_by_one(spark):
+    rng = random.Random(6)
+    stock = [" ".join(f"s{i}x{j}" for j in range(8)) for i in range(40)]
+    sets = set()
+    while len(sets) < 2000:
+        sets.add(tuple(sorted(rng.sample(range(40), 6))))
+    rows = [(i, "\n".join(stock[x] for x in s), "pool") for i, s in enumerate(sorted(sets))]
+    shared = "\n".join(stock[:6])
+    rows += [(5000 + i, f"{shared}\nown line {i}", "one own line") for i in range(200)]
+    rows += [(6000 + i, shared, "copies") for i in range(200)]
+    got = {r.doc_id: r for r in quality.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).collect()}
+    assert all(got[i].removed_words == 48 and not got[i].kept for i in range(2000))
+    assert all(got[5000 + i].removed_words == 48 and not got[5000 + i].kept for i in range(200))
+    assert all(got[6000 + i].removed_words == 0 and got[6000 + i].kept for i in range(200))
+
+
 # ---------------------------------------------------------------- secrets
 
 def brute_spans(text):
