@@ -72,8 +72,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     forest (rows are dealt by child, and a child has one row per task of the round
     before, so no key is hot), stores it in the shared folder, and lets every node jump
     to the root of its root.  The jump is a plain join of two stored tables, which AQE
-    splits at a hot root.  Ends when no root is a child.  The driver sees one count a
-    round.  Null ids must be left out by the caller; no edges give an empty table."""
+    splits at a hot root.  Ends when no root is a child and every child has one row: a root
+    that a task hooks gets a row there while another task may hold one of it too, and the
+    next round brings the two together.  The driver sees two counts a round.  Null ids must be left out by the caller; no edges give an empty table."""
     schema = "node long, root long"
     edges = edges.select("node", "root").mapInPandas(_forest_rows, schema)
     rounds = 0
@@ -82,7 +83,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
                              f"{name}-forest-{rounds}")
         up = forest.select(F.col("node").alias("up_node"), F.col("root").alias("up_root"))
         jumped = forest.join(up, F.col("root") == F.col("up_node"), "left")
-        if jumped.where(F.col("up_node").isNotNull()).limit(1).count() == 0:
+        if jumped.where(F.col("up_node").isNotNull()).limit(1).count() == 0 and forest.groupBy("node").count().where(
+                F.col("count") > 1).limit(1).count() == 0:
             return forest
         rounds += 1
         # child -> root of its root; the old edge stays, so nothing that was linked comes apart

@@ -79,6 +79,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "node long, root long"), "t").count() == 0
 
 
+def test_components_of_one_chain_in_many_tasks(spark):
+    """A root that one task hooks has a row in another task as well: (5,1), (5,2) against (2,0)."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        for hooked in (2, 3, 4):  # whichever way the nodes are dealt, one of these is not dealt with 5
+            edges = spark.createDataFrame([(5, 1), (5, hooked), (hooked, 0)], "node long, root long").repartition(8)
+            got = sorted(tuple(r) for r in components(edges, "chain").collect())
+            assert got == [(1, 0), (hooked, 0), (5, 0)]
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_operator_on_odd_rows(spark):
     docs = odd_docs(spark)
     got = simhash.simhash_near_dups(docs).collect()
