@@ -4,20 +4,26 @@ The base kinds are patterns.  Beyond them, a value that a credential word introd
 judged by how many guesses a cracker would need: a dynamic programme over the value finds
 the cheapest segmentation into common words, dates, repeats, keyboard walks and
 brute-force spans.  Values that stay dear even so are reported as kind ``guess``.
+
+The credential word may be a part of an identifier (``AWS_SECRET_ACCESS_KEY``).  Short ones
+that other words contain (pin in shipping) must be a part by themselves.  The guess cost
+alone decides; prose stays out because the dictionary holds a vocabulary's word pieces.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import re
 from collections.abc import Iterator
 
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civic_mart.llm.common import table, text_of
+from civic_mart.llm.common import table, text_of, worker_cache
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -25,11 +31,15 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-# a credential word, a sign or word of assignment, and the value after it
-CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?"""
-    r"""|auth(?:orization)?|bearer|login|pin)["']?[\x20\t]*(?:[:=]|\x20is\x20)[\x20\t]*["']?([^\s"'<>,;]+)""",
-    re.IGNORECASE | re.ASCII)
+# an identifier with a sign or word of assignment after it, and the value that follows (possessive: linear)
+NAME = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)["']?+(?:[\x20\t]*+[:=]|[\x20\t]++is\x20)""", re.ASCII)
+VALUE = re.compile(r"""[\x20\t]*["']?([^\s"'<>,;]+)""")
+# credential words that may stand anywhere in an identifier, and short ones that must be a part of it
+ANYWHERE = re.compile(r"password|passwd|passphrase|passcode|pwd|secret|token|credential|authorization"
+                      r"|(?:api|access|private)[_.-]?key", re.IGNORECASE | re.ASCII)
+PART = re.compile(r"(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?:(?i:auth|bearer|login|pin)(?![A-Za-z])"
+                  r"|(?:[Aa]uth|[Bb]earer|[Ll]ogin|[Pp]in)(?=[A-Z]))|(?i:pass)(?![A-Za-z])|[Pp]ass(?=[A-Z])", re.ASCII)
+SPACED = re.compile(r"(?:api|access|private)\x20key", re.IGNORECASE | re.ASCII)  # the key begins the identifier
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "login", "pin")
 MIN_LOG_GUESSES = 10.0
 
@@ -39,6 +49,7 @@ shadow superman michael jordan hunter summer winter spring autumn hello secret t
 computer internet server system access private public company office money family freedom whatever trust angel star
 blue green black white orange purple silver golden tiger lion eagle cookie cheese pepper ginger flower hockey soccer
 the and you are this that with from have not for key pass word my our new old good best day night time""".split())
+VOCABULARY = "byte_bpe_50k.tiktoken"  # its word pieces follow the common words, by rank
 ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
 DATE = re.compile(r"(?:\d{1,2}[-/.]\d{1,2}[-/.](?:\d{4}|\d{2})|(?:19|20)\d{2}[-/.]?\d{2}[-/.]?\d{2}|(?:19|20)\d{2})")
 DIGITS, LOWER, UPPER, SIGNS = 10, 26, 26, 33
@@ -51,13 +62,26 @@ def _charset(value: str) -> int:
             + SIGNS * any(not c.isalnum() for c in value)) or LOWER
 
 
+def dictionary() -> tuple[dict[str, int], int]:
+    """Rank of every common word and word piece, and the longest one's length; read once a worker."""
+    cache = worker_cache("secret-words")
+    if "rank" not in cache:
+        rank = {w: i + 1 for i, w in enumerate(COMMON)}
+        with open(public_tokenizers.path(VOCABULARY), "rb") as lines:
+            for line in lines:
+                piece = base64.b64decode(line.split()[0]).strip()
+                if len(piece) >= 3 and piece.isalpha():  # ASCII letters
+                    rank.setdefault(piece.decode().lower(), len(rank) + 1)
+        cache["rank"] = rank, max(map(len, rank))
+    return cache["rank"]
+
+
 def log_guesses(value: str, words: dict[str, int] | None = None) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs.
 
     Linear in the value's length but for the longest dictionary word."""
-    rank = words or {w: i + 1 for i, w in enumerate(COMMON)}
+    rank, longest = (words, max(map(len, words), default=0)) if words else dictionary()
     n, low = len(value), value.lower()
-    longest = max(map(len, rank), default=0)
     plain = [c in "0123456789" for c in value]
     per_char = math.log10(_charset(value))
     dates = {}
@@ -95,6 +119,12 @@ def log_guesses(value: str, words: dict[str, int] | None = None) -> float:
     return best[n]
 
 
+def introduces(text: str, name: re.Match) -> bool:
+    """Whether the identifier, or it and the word before it, holds a credential word."""
+    return bool(ANYWHERE.search(name[1]) or PART.search(name[1])
+                or SPACED.search(text, max(0, name.start() - 8), name.start() + 3))
+
+
 def spans_of(text: str, min_log_guesses: float = MIN_LOG_GUESSES) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of every secret, in code points, by start and then kind."""
     low = text.lower()
@@ -106,14 +136,18 @@ def spans_of(text: str, min_log_guesses: float = MIN_LOG_GUESSES) -> list[tuple[
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if any(h in low for h in CONTEXT_HINTS):
         base = sorted((a, b) for a, _, b in found)
-        for m in CONTEXT.finditer(text):
-            a, b = m.span(1)
-            value = m[1].rstrip(".,;:!?)]}")
+        at = 0  # end of the last value judged
+        for m in NAME.finditer(text):
+            if m.start() < at or not introduces(text, m):
+                continue
+            if not (v := VALUE.match(text, m.end())):
+                continue
+            a, at = v.span(1)
+            value = v[1].rstrip(".,;:!?)]}")
             b = a + len(value)
             if any(x <= a and b <= y for x, y in base):
                 continue  # a base span holds it already
-            if len({c.isdigit() + 2 * c.isupper() + 4 * (not c.isalnum()) for c in value}) > 1 \
-                    and log_guesses(value) >= min_log_guesses:
+            if log_guesses(value) >= min_log_guesses:
                 found.append((a, 3, b))
     return sorted(found)
 

@@ -232,6 +232,22 @@ def test_guess_costs():
     assert secret_scan.redacted('x token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda" y') == 'x [assign]" y'
 
 
+def test_credential_words_inside_identifiers():
+    rng = random.Random(8)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    mixed = lower + lower.upper() + digits
+    for before, value in (("AWS_SECRET_ACCESS_KEY=", draw(mixed + "+/", 40)), ('secret_key = "', draw(mixed, 24)),
+                          ("MYSQL_PWD=", draw(mixed, 16)), ("userpwd: ", draw(mixed, 16)), ("userPin=", draw(mixed, 16)),
+                          ("the api key: ", draw(mixed, 20)), ("url: https://a.b/c?dbpass=", draw(mixed, 16)),
+                          ("DB_PASSWORD=", "p@ss!9f$Kq"), ("passphrase: ", draw(lower, 30)), ("pwd=", draw(digits, 20))):
+        assert (len(before), 3, len(before) + len(value)) in secret_scan.spans_of(f"{before}{value} and text"), before
+        assert value not in secret_scan.redacted(f"{before}{value} and text")
+    for prose in ("the token is deprecated", "passphrase is unbelievable", "the secret is perseverance", "pin: 1234",
+                  "AUTHOR: Hemingway-Smith", "shipping: 9Xk#2mQ!vL8z", "the monkey is 9Xk#2mQ!vL8z"):
+        assert secret_scan.spans_of(prose) == [], prose
+
+
 def test_secret_operator(spark):
     docs = odd_docs(spark)
     got = secret_scan.secret_scan(docs).collect()
