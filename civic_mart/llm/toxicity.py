@@ -6,7 +6,7 @@ recurrent passes (one per direction) give states, attention pools them, and a lo
 unit scores the window.  A text's score is its highest window's.
 
 Training is plain numpy (back-propagation through time, Adam for the network and SGD for
-the embeddings) on a bounded sample of labelled rows.  A label speaks of a whole text,
+the embeddings) on a bounded sample of labelled rows, whole texts each.  A label speaks of a whole text,
 so after a first phase only the windows of a toxic text that score near its best stay.  The sizes are small: the work is done once a word and window.
 """
 
@@ -21,15 +21,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civic_mart.llm.common import crc_mod, table, text_of
+from civic_mart.llm.common import crc_mod, materialize, table, text_of
 from civic_mart.llm.pieces import batches_of
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, DIM = 8, 8
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 15
 SAMPLE_POSITIVE, SAMPLE_NEGATIVE = 900, 1_600  # labelled rows that the model is fitted on
-SAMPLE_WINDOWS = 24                            # windows of a sampled text, spread over all of it
-SAMPLE_WORD = 40                               # characters of a sampled word
+SAMPLE_BYTES = 24_000_000                      # and no further row once their whole texts hold so much
 THRESHOLD = 0.3
 DROPOUT = 0.25
 MIN_STEPS = 100  # training steps of a phase at least
@@ -230,9 +229,9 @@ def pad(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return out, live
 
 
-def train(texts: list[list[list[bytes]]], y: np.ndarray, share: float = 0.1, seed: int = 5, epochs: tuple[int, int, int] = (2, 2, 3),
+def train(texts: list[str], y: np.ndarray, share: float = 0.1, seed: int = 5, epochs: tuple[int, int, int] = (2, 2, 3),
           rate: float = 0.01) -> BiGru:
-    """Fit on texts given as windows of words, with labels 0 or 1."""
+    """Fit on all windows of whole texts that have words, with labels 0 or 1."""
     if not len(y) or y.min() == y.max():
         return BiGru(prior=float(y.mean()) if len(y) else 0.0)
     model, rng = BiGru.fresh(seed), np.random.default_rng(seed)
@@ -243,8 +242,13 @@ def train(texts: list[list[list[bytes]]], y: np.ndarray, share: float = 0.1, see
     apart, apart_y = [texts[i] for i in held], y[held]
     texts, y = [texts[i] for i in fitted], y[fitted]
     vocab: dict[bytes, int] = {}
-    windows = [[vocab.setdefault(w, len(vocab)) for w in win] for t in texts for win in t]
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    windows, sizes = [], []
+    for t in texts:
+        ids = [vocab.setdefault(w, len(vocab)) for w in words_of(t)]
+        starts = window_starts(len(ids))
+        windows += [ids[s:s + WINDOW] for s in starts]
+        sizes.append(len(starts))
+    owner = np.repeat(np.arange(len(texts)), sizes)
     bucket, grams, at = word_features(list(vocab))
     label = y[owner].astype(np.float32)
     in_texts = np.zeros(len(vocab), np.int64)
@@ -292,8 +296,8 @@ def train(texts: list[list[list[bytes]]], y: np.ndarray, share: float = 0.1, see
                     model.p[k] = (model.p[k] - rate * (mean[k] / (1 - 0.9 ** step)) / (
                         np.sqrt(square[k] / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
     if len(held):
-        model.calibrate(np.array([s.max() for s in model.window_logits(
-            [b" ".join(w for win in t for w in win).decode("utf-8", "ignore") for t in apart])]), apart_y, share)
+        model.calibrate(np.concatenate([[s.max() for s in model.window_logits(apart[a:b])]
+                                        for a, b in batches_of(apart, 500_000)]), apart_y, share)
     return model
 
 
@@ -308,28 +312,27 @@ def _labelled_ids(labels: DataFrame, positive: int, negative: int) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, positive: int = SAMPLE_POSITIVE,
         negative: int = SAMPLE_NEGATIVE) -> BiGru:
-    """Train on at most ``positive`` + ``negative`` labelled rows, ``SAMPLE_WINDOWS`` windows of each."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for doc_id, text, toxic in zip(pdf["doc_id"], pdf["text"], pdf["toxic"]):
-                words = [w[:SAMPLE_WORD] for w in words_of(text_of(text))]
-                starts = window_starts(len(words))
-                if len(starts) > SAMPLE_WINDOWS:
-                    starts = [starts[i * len(starts) // SAMPLE_WINDOWS] for i in range(SAMPLE_WINDOWS)]
-                if starts:
-                    out.append((doc_id, int(toxic), [b" ".join(words[s:s + WINDOW]) for s in starts]))
-            yield pd.DataFrame(out, columns=["doc_id", "toxic", "windows"])
+    """Train on the whole texts of at most ``positive`` + ``negative`` labelled rows.
 
+    Rows are taken by a hash of their id; a label's rows end with the one that brings their
+    texts to the label's part of ``SAMPLE_BYTES``, so that few rows are read of very long texts."""
     ids = _labelled_ids(labels, positive, negative)  # at most positive + negative rows
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(ids), "doc_id").limit(positive + negative).mapInPandas(
-        rows, "doc_id long, toxic int, windows array<binary>").toPandas()
+    found = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        F.broadcast(ids), "doc_id").limit(positive + negative).withColumn("place", F.xxhash64("doc_id", F.lit(3))),
+        "toxicity-sample")
+    sizes = found.select("toxic", "place", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).toPandas()
+    taken = F.lit(False)
+    for label, most in ((1, positive), (0, negative)):
+        own = sizes[sizes["toxic"] == label].sort_values("place")
+        own = own[own["size"].cumsum() - own["size"] < SAMPLE_BYTES * most / (positive + negative)]
+        if len(own):
+            taken = taken | ((F.col("toxic") == label) & (F.col("place") <= int(own["place"].max())))
+    found = found.where(taken).select("doc_id", "toxic", "text").toPandas()
     found = found.sort_values("doc_id", kind="stable")  # the same order on every run
-    share = labels.where(F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
-    return train([[bytes(w).split(b" ") for w in ws] for ws in found["windows"]], found["toxic"].to_numpy(np.int64),
-                 share or 0.0)
+    found = found[np.array([bool(words_of(text_of(t))) for t in found["text"]], bool)]
+    share = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod("doc_id", 4) != 2)).agg(
+        F.avg("toxic")).first()[0]
+    return train(found["text"].tolist(), found["toxic"].to_numpy(np.int64), share or 0.0)
 
 
 def score(text: Column, model: BiGru) -> Column:

@@ -115,6 +115,33 @@ def test_toxicity_learns_and_finds_one_word_in_a_long_text(spark):
     assert (got["held_out"] == [pd.notna(i) and zlib.crc32(str(int(i)).encode()) % 4 == 2 for i in got["doc_id"]]).all()
 
 
+def test_toxicity_is_fitted_on_whole_texts(spark, monkeypatch):
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    long = {i: " ".join(f"w{i}x{j}" for j in range(4000)) + " " + "中" * 200 for i in free}  # 83 windows
+    docs = spark.createDataFrame(list(long.items()) + [(i, "held out") for i in range(400) if i not in long],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2 if i in long else 1) for i in range(400)], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda *a: seen.update(a=a) or toxicity.BiGru())
+    toxicity.fit(docs, labels, 10, 10)
+    texts, y, share = seen["a"]
+    assert len(texts) == 20 and set(texts) <= set(long.values()) and y.sum() == 10
+    assert share == sum(i % 2 for i in free) / len(free)  # held-out labels are not read
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 4 * len(long[free[0]].encode()))
+    toxicity.fit(docs, labels, 10, 10)
+    assert 2 <= len(seen["a"][0]) <= 8 and set(seen["a"][1]) == {0, 1}  # fewer rows, each whole
+
+
+def test_toxicity_is_calibrated_on_all_windows(monkeypatch):
+    monkeypatch.setattr(toxicity, "MIN_STEPS", 2)
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(2000)) for i in range(120)]  # 42 windows
+    y, seen = np.arange(120) % 2, {}
+    monkeypatch.setattr(toxicity.BiGru, "calibrate", lambda self, top, y, share: seen.update(top=top))
+    model = toxicity.train(texts, y, 0.5, epochs=(1, 0, 0))
+    held = np.random.default_rng(5).permutation(120)[:30]
+    assert np.allclose(toxicity._sigmoid(seen["top"]), model.scores([texts[i] for i in held]))
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.toxicity(odd_docs(spark), labels).collect()} == {0.0}
