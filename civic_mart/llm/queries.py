@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from civic_mart.llm.bpe import op4_bpe
 from civic_mart.llm.hnsw import op8_hnsw
+from civic_mart.llm.importance import OP13_SQL, op13_importance
 from civic_mart.llm.language import op3_language
 from civic_mart.llm.packing import op6_packing
 from civic_mart.llm.pitman_yor import op2_lm
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hnsw": op8_hnsw,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op13_importance": op13_importance,
 }
 
-ORACLES: dict[str, str] = {"op7_quality": OP7_SQL, "op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op7_quality": OP7_SQL, "op10_warc": OP10_SQL, "op13_importance": OP13_SQL}
