@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from civic_mart.llm.bpe import op4_bpe
+from civic_mart.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from civic_mart.llm.hnsw import op8_hnsw
 from civic_mart.llm.importance import OP13_SQL, op13_importance
 from civic_mart.llm.language import op3_language
@@ -29,7 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hnsw": op8_hnsw,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_importance": op13_importance,
 }
 
-ORACLES: dict[str, str] = {"op7_quality": OP7_SQL, "op10_warc": OP10_SQL, "op13_importance": OP13_SQL}
+ORACLES: dict[str, str] = {"op7_quality": OP7_SQL, "op10_warc": OP10_SQL, "op12_hard_negatives": OP12_SQL,
+                           "op13_importance": OP13_SQL}
