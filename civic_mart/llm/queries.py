@@ -12,6 +12,7 @@ from civic_mart.llm.hnsw import op8_hnsw
 from civic_mart.llm.importance import OP13_SQL, op13_importance
 from civic_mart.llm.language import op3_language
 from civic_mart.llm.packing import op6_packing
+from civic_mart.llm.pii import op11_pii
 from civic_mart.llm.pitman_yor import op2_lm
 from civic_mart.llm.quality import OP7_SQL, op7_quality
 from civic_mart.llm.secret_scan import op9_secrets
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hnsw": op8_hnsw,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op11_pii": op11_pii,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_importance": op13_importance,
 }
