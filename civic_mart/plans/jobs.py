@@ -1,11 +1,21 @@
-"""Stored jobs: read the ledger, stage, write, then append the ledger row.
+"""Stored jobs: read the ledger, stage, write the run's folders, then commit its ledger row.
 
-A job's tables live under one root folder.  The ledger row is appended after the data,
-so a run that fails is simply run again from the old watermark.
+A job's tables live under one root folder, by run (sources/runs.py).  A run that fails is
+simply run again under its id: only its own folders are overwritten, and nothing of it is read
+before its ledger row is there.
+
+Two variants.  ``literal`` keeps the watermark of the source jobs: the newest date of the whole
+source, read after staging, with an exclusive lower bound.  It loses rows that arrive late, that
+carry the watermark itself, or that lie between a run's upper bound and the newest date.
+``safe`` records the newest date that the run has processed, looks back ``LOOK_BACK_DAYS``
+behind it and leaves out the records that earlier runs have staged.  It reads each source once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,68 +23,147 @@ from civic_mart import schemas
 from civic_mart.operators import dims, ledger
 from civic_mart.operators.quality import tag_required
 from civic_mart.plans.pipeline import JOB_311, JOB_DIM_LOC_311, JOB_DIM_LOC_INS, JOB_INS, REQUEST_REQUIRED, SNAPSHOT_START, Mart
-from civic_mart.sources import sinks
+from civic_mart.sources import runs, sinks
+from civic_mart.sources.runs import read_ledger
 
 # instants of the two runs of the registered query: one inside the request data, one after all data
 FIRST_RUN_UTC, SECOND_RUN_UTC = "2024-01-15 12:00:00", "2024-02-01 12:00:00"
-
-
-def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    """The stored ledger (empty before the first run)."""
-    return spark.read.schema(ledger.LEDGER_SCHEMA).parquet(f"{root}/ledger")
-
-
-def create_ledger(spark: SparkSession, root: str) -> None:
-    spark.createDataFrame([], ledger.LEDGER_SCHEMA).write.mode("ignore").parquet(f"{root}/ledger")
-
-
-def append_ledger(spark: SparkSession, root: str, job: str, latest, execution) -> None:
-    ledger.ledger_row(spark, job, latest, execution).coalesce(1).write.mode("append").parquet(f"{root}/ledger")
-
-
-def run_geocode(mart: Mart, root: str, mode: str) -> None:
-    """Stage requests, inspections and applications into ``root``: a snapshot overwrites, an increment appends
-    what lies past the job's watermark.  Requests that lack a REQUIRED column go to
-    ``root/rejected_requests`` with what they lack."""
-    spark, write = mart.spark, ledger.write_mode(mode)
-    create_ledger(spark, root)
-    marks = {r["job_name"]: r["latest_record_date"] for r in
-             ledger.watermarks(read_ledger(spark, root), [JOB_311, JOB_INS]).collect()}
-
-    def start(job: str):
-        return SNAPSHOT_START if mode == "snapshot" else F.lit(marks[job].isoformat(sep=" ")).cast("timestamp_ntz")
-
-    requests = mart.stage_requests(start=start(JOB_311))
-    sinks.write_table(requests, f"{root}/requests", write, schemas.STAGE_311_LOCATION)
-    rejected = tag_required(mart.m.requests(), REQUEST_REQUIRED).where("gate = 'rejected'").select("unique_key", "missing")
-    sinks.write_table(rejected, f"{root}/rejected_requests", "overwrite")
-    inspections = mart.stage_inspections(start=start(JOB_INS))
-    sinks.write_table(inspections, f"{root}/inspections", write, schemas.STAGE_INSPECTION_LOCATION)
-    applications = mart.stage_applications()  # no dates: always whole
-    sinks.write_table(applications, f"{root}/applications", "overwrite", schemas.STAGE_OPEN_RESTAURANT_LOCATION)
-    append_ledger(spark, root, JOB_311, ledger.source_max(mart.valid_requests(), "created_date"), mart.run_time())
-    append_ledger(spark, root, JOB_INS, ledger.source_max(mart.m.inspections(), "inspection_date"), mart.run_time())
+LOOK_BACK_DAYS = 3
+VARIANTS = ("literal", "safe")
+
+REJECTED = "unique_key string, created_date timestamp_ntz, missing string"
+# keys and dates of the records that a run has processed, for the look-back of later runs
+SEEN = {"requests": ("unique_key string, created_date timestamp_ntz", ["unique_key"], "created_date"),
+        "inspections": ("rec_order bigint, rec_line int, inspection_date timestamp_ntz", ["rec_order", "rec_line"], "inspection_date")}
+TABLES = {"requests": (JOB_311, schemas.STAGE_311_LOCATION), "inspections": (JOB_INS, schemas.STAGE_INSPECTION_LOCATION),
+          "applications": (JOB_INS, schemas.STAGE_OPEN_RESTAURANT_LOCATION),
+          "rejected_requests": (JOB_311, REJECTED), "dim_location": (JOB_DIM_LOC_INS, schemas.DIM_LOCATION)}
+
+
+def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A stored table: the rows of its committed runs."""
+    job, ddl = TABLES[table]
+    rows = runs.read_runs(spark, root, table, job, ddl)
+    if table == "applications":  # whole in each run: the last one counts
+        last = runs.runs_of(spark, root, job)[-1:]
+        rows = runs.read_runs(spark, root, table, job, ddl, runs=last)
+    return rows
+
+
+def run_id_of(mart: Mart, mode: str) -> str:
+    return f"{mode}-{datetime.fromisoformat(mart.run_utc):%Y%m%dT%H%M%S}"
+
+
+def _local(mart: Mart) -> str:
+    return mart.spark.range(1).select(mart.run_time().cast("string")).first()[0]
+
+
+def _stage(mart: Mart, root: str, mode: str, variant: str, table: str, source: DataFrame, date: str, end: str,
+           stage: Callable[[DataFrame], DataFrame], required: list[str] | None) -> None:
+    """One staging table of a run, committed with its watermark."""
+    spark, run_id, now = mart.spark, run_id_of(mart, mode), _local(mart)
+    job, ddl = TABLES[table]
+    if runs.committed(spark, root, job, run_id):
+        return
+    snapshot = mode == "snapshot"
+    mark = F.lit(SNAPSHOT_START).cast("timestamp_ntz") if snapshot else runs.watermark(spark, root, job, now)
+    seen_ddl, keys, _ = SEEN[table]
+    low = mark - F.expr(f"INTERVAL {LOOK_BACK_DAYS} DAYS") if variant == "safe" and not snapshot else mark
+    below = F.col(date) < F.lit(end).cast("timestamp_ntz")
+    inside = (F.col(date) > low) & below
+    if required:  # rows without a date fall in no window: each run has them, minus those rejected before
+        inside = inside | F.col(date).isNull()
+    rows = tag_required(source, required) if required else source
+    rows = rows.where(inside)
+    if not snapshot:
+        old = [runs.read_runs(spark, root, "rejected_requests", job, REJECTED, now).select("unique_key")] if required else []
+        if variant == "safe":
+            seen = runs.read_runs(spark, root, f"seen_{table}", job, seen_ddl, now).where(F.col(date) > low).select(*keys)
+            rows = _without(rows, seen, keys)
+        if old:
+            gone = rows.where("gate = 'rejected'")
+            rows = rows.where("gate = 'valid'").unionByName(_without(gone, old[0], ["unique_key"]))
+    rows = sinks.materialize(rows, f"window-{table}")  # the one scan of the source
+    valid = rows
+    if required:
+        valid = rows.where("gate = 'valid'").drop("gate", "missing")
+        runs.write_run(rows.where("gate = 'rejected'"), root, "rejected_requests", run_id, REJECTED)
+    # sorted by date: the next run's look-back and the dimension load read few files
+    runs.write_run(stage(valid), root, table, run_id, ddl, sort_by=[date])
+    if variant == "safe":
+        runs.write_run(valid, root, f"seen_{table}", run_id, seen_ddl, sort_by=[date])
+        latest = F.greatest(mark, ledger.source_max(valid, date))  # what is processed; no rows: as before
+    else:
+        whole = source.where(F.forall(F.array(*[F.col(c).isNotNull() for c in required]), lambda x: x)) if required else source
+        latest = ledger.source_max(whole, date)
+    runs.commit(spark, root, job, run_id, mode, latest, mart.run_time(), F.lit(end))
+
+
+def _without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is not among ``gone`` (null keys count as equal)."""
+    g = gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_gone_{k}"))
+    return rows.join(g, cond, "left_anti")
+
+
+def run_geocode(mart: Mart, root: str, mode: str, variant: str = "literal",
+                fail_after: str | None = None) -> None:
+    """Stage requests, inspections and applications of a run into ``root``: a snapshot starts
+    anew, an increment adds what lies past the job's watermark.  Requests that lack a REQUIRED
+    column go to ``rejected_requests`` with what they lack.  ``fail_after`` names a table after
+    whose writes the run dies before it commits (to try recovery)."""
+    if variant not in VARIANTS:
+        raise ValueError(f"variant must be one of {VARIANTS}, got {variant!r}")
+    ledger.write_mode(mode)  # rejects other modes
+
+    def stage(table: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        def run(valid: DataFrame) -> DataFrame:
+            out = build(valid)
+            if fail_after == table:
+                runs.write_run(out, root, table, run_id_of(mart, mode), TABLES[table][1])
+                raise RuntimeError(f"run died after writing {table}")
+            return out
+        return run
+
+    _stage(mart, root, mode, variant, "requests", mart.m.requests(), "created_date", mart.request_end,
+           stage("requests", lambda v: mart.stage_requests(src=v)), REQUEST_REQUIRED)
+    # no dates: always whole; committed with the inspections
+    runs.write_run(mart.stage_applications(), root, "applications", run_id_of(mart, mode), schemas.STAGE_OPEN_RESTAURANT_LOCATION)
+    _stage(mart, root, mode, variant, "inspections", mart.m.inspections(), "inspection_date", mart.inspection_end,
+           stage("inspections", lambda v: mart.stage_inspections(src=v)), None)
 
 
 def run_dim_location(mart: Mart, root: str, mode: str) -> None:
-    """DimLocation from the stored staging tables: a snapshot refreshes it, an increment appends
-    places of staging rows past the load's watermarks.  Its ledger rows carry the staging
-    jobs' watermarks."""
-    spark, write = mart.spark, ledger.write_mode(mode)
-    marks = {r["job_name"]: r["latest_record_date"] for r in ledger.watermarks(
-        read_ledger(spark, root), [JOB_311, JOB_INS, JOB_DIM_LOC_311, JOB_DIM_LOC_INS]).collect()}
-    when = lambda job: F.lit(marks[job].isoformat(sep=" ")).cast("timestamp_ntz")
-    requests, inspections, applications = (spark.read.parquet(f"{root}/{t}") for t in ("requests", "inspections", "applications"))
+    """DimLocation from the stored staging tables: a snapshot refreshes it, an increment adds the
+    places of staging runs that the load has not seen.  Its ledger rows carry the staging jobs'
+    watermarks; the second one commits the run."""
+    spark, run_id, now = mart.spark, run_id_of(mart, mode), _local(mart)
+    ledger.write_mode(mode)
+    if runs.committed(spark, root, JOB_DIM_LOC_INS, run_id):
+        return
+    staged = [read_staged(spark, root, t) for t in ("requests", "inspections", "applications")]
     if mode == "snapshot":
-        new = dims.dim_location_refresh([requests, inspections, applications], mart.m.population_blocks())
+        new = dims.dim_location_refresh(staged, mart.m.population_blocks())
     else:
-        new = sinks.materialize(dims.dim_location_increment(  # stored first: it reads the table it is appended to
-            [requests.where(F.col("created_date") > when(JOB_DIM_LOC_311)),
-             inspections.where(F.col("inspection_date") > when(JOB_DIM_LOC_INS)), applications],
-            mart.m.population_blocks(), spark.read.parquet(f"{root}/dim_location")), "dim-location-increment")
-    sinks.write_table(new, f"{root}/dim_location", write, schemas.DIM_LOCATION)
+        def fresh(table: str, load: str) -> DataFrame:
+            job, ddl = TABLES[table]
+            before = read_ledger(spark, root).where((F.col("job_name") == load) & (
+                F.col("execution_date") < F.lit(now).cast("timestamp_ntz"))).agg(F.max("execution_date")).first()[0]
+            known = set(runs.runs_of(spark, root, job, f"{before}")) if before else set()
+            since = read_ledger(spark, root).where((F.col("job_name") == job) & (F.col("execution_date") == F.lit(
+                str(before)).cast("timestamp_ntz"))).select("run_id").collect() if before else []
+            known |= {r["run_id"] for r in since}  # staged and loaded by the same run
+            return runs.read_runs(spark, root, table, job, ddl, runs=[r for r in runs.runs_of(spark, root, job) if r not in known])
+
+        prior = runs.read_runs(spark, root, "dim_location", JOB_DIM_LOC_INS, schemas.DIM_LOCATION, now)
+        new = dims.dim_location_increment([fresh("requests", JOB_DIM_LOC_311), fresh("inspections", JOB_DIM_LOC_INS), staged[2]],
+                                          mart.m.population_blocks(), prior)
+    runs.write_run(new, root, "dim_location", run_id, schemas.DIM_LOCATION)
     for job, of in ((JOB_DIM_LOC_311, JOB_311), (JOB_DIM_LOC_INS, JOB_INS)):
-        append_ledger(spark, root, job, when(of), mart.run_time())
+        latest = read_ledger(spark, root).where(F.col("job_name") == of).agg(F.max("latest_record_date")).first()[0]
+        runs.commit(spark, root, job, run_id, mode, F.lit(str(latest)), mart.run_time())
 
 
 def as_of(spark: SparkSession, sf_dir: str, run_utc: str) -> Mart:
@@ -86,13 +175,80 @@ def as_of(spark: SparkSession, sf_dir: str, run_utc: str) -> Mart:
         "lineitem": full.m.table("lineitem").where(F.col("l_shipdate") < day)})
 
 
+def contents(spark: SparkSession, root: str) -> DataFrame:
+    """``(table_name, key, at)``: rows of the staging tables and the ledger."""
+    parts = [read_staged(spark, root, "requests").select(F.lit("requests").alias("table_name"), F.col("unique_key").alias("key"),
+                                                         F.col("created_date").alias("at")),
+             read_staged(spark, root, "inspections").select(F.lit("inspections"), "camis", "inspection_date"),
+             read_ledger(spark, root).select(F.lit("ledger"), "job_name", "latest_record_date")]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def snapshot_then_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(table_name, key, at)``: rows of the staging tables and the ledger after both runs."""
+    """``(table_name, key, at)`` after a snapshot and the next increment."""
     root = sinks.scratch_path(spark, "geocode-job")
     run_geocode(as_of(spark, sf_dir, FIRST_RUN_UTC), root, "snapshot")
     run_geocode(as_of(spark, sf_dir, SECOND_RUN_UTC), root, "increment")
-    parts = [spark.read.parquet(f"{root}/requests").select(F.lit("requests").alias("table_name"), F.col("unique_key").alias("key"),
-                                                            F.col("created_date").alias("at")),
-             spark.read.parquet(f"{root}/inspections").select(F.lit("inspections"), "camis", "inspection_date"),
-             read_ledger(spark, root).select(F.lit("ledger"), "job_name", "latest_record_date")]
-    return parts[0].union(parts[1]).union(parts[2])
+    return contents(spark, root)
+
+
+def retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two runs, but each dies once after it has written its requests, the second
+    also after its inspections, and is run again; a run that is committed is run once more."""
+    root = sinks.scratch_path(spark, "geocode-retry")
+    for run_utc, mode, deaths in ((FIRST_RUN_UTC, "snapshot", ["requests"]),
+                                  (SECOND_RUN_UTC, "increment", ["requests", "inspections"])):
+        mart = as_of(spark, sf_dir, run_utc)
+        for table in deaths:
+            try:
+                run_geocode(mart, root, mode, fail_after=table)
+            except RuntimeError as e:
+                if "run died" not in str(e):
+                    raise
+        run_geocode(mart, root, mode)
+        run_geocode(mart, root, mode)
+    return contents(spark, root)
+
+
+def boundary_sources(spark: SparkSession, sf_dir: str) -> tuple[Mart, Mart]:
+    """Sources of two runs between which rows arrive late.
+
+    Of the two days before the first run, requests with ``event_id % 5 = 0`` and inspections with
+    ``l_orderkey % 5 = 0`` are not there yet.  Later some requests appear that carry exactly the
+    first run's upper bound, and some that carry the newest date the first run has processed."""
+    first, second = (Mart(spark, sf_dir, run_utc=u) for u in (FIRST_RUN_UTC, SECOND_RUN_UTC))
+    events, lines = first.m.table("events"), first.m.table("lineitem")
+    bound = F.lit(first.request_end).cast("timestamp_ntz")
+
+    def late(date: str, key: str, end: str):
+        day = F.lit(end).cast("timestamp_ntz")
+        return (F.col(key) % 5 == 0) & (F.col(date) >= day - F.expr("INTERVAL 2 DAYS")) & (F.col(date) < day)
+
+    early = events.where(~late("ts", "event_id", first.request_end))
+    newest = early.where((F.col("ts") < bound) & (F.col("event_id") % 53 != 0)).agg(F.max("ts")).scalar()
+    more = events.where("user_id % 50 = 3")
+    arrived = events.unionByName(more.withColumn("event_id", F.col("event_id") + 1_000_000_000).withColumn("ts", bound)).unionByName(
+        more.withColumn("event_id", F.col("event_id") + 2_000_000_000).withColumn("ts", newest))
+    return (Mart(spark, sf_dir, run_utc=FIRST_RUN_UTC, overrides={
+                "events": early, "lineitem": lines.where(~late("l_shipdate", "l_orderkey", first.inspection_end))}),
+            Mart(spark, sf_dir, run_utc=SECOND_RUN_UTC, overrides={"events": sinks.materialize(arrived, "arrived"), "lineitem": lines}))
+
+
+def boundary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(variant, table_name, n_rows, n_keys, sum_keys, latest)`` of the staged records after both runs."""
+    parts = []
+    for variant in VARIANTS:
+        root = sinks.scratch_path(spark, f"geocode-{variant}")
+        for mart, mode in zip(boundary_sources(spark, sf_dir), ("snapshot", "increment")):
+            run_geocode(mart, root, mode, variant)
+        staged = read_staged(spark, root, "requests")
+        parts.append(staged.select(F.lit(variant).alias("variant"), F.lit("requests").alias("table_name"), F.col("unique_key").alias("key"),
+                                   F.col("created_date").alias("at")))
+        if variant == "safe":
+            seen = runs.read_runs(spark, root, "seen_inspections", JOB_INS, SEEN["inspections"][0])
+            parts.append(seen.select(F.lit(variant), F.lit("inspections"), F.concat_ws("-", "rec_order", "rec_line"), "inspection_date"))
+        parts.append(read_ledger(spark, root).select(F.lit(variant), F.lit("ledger"), "job_name", "latest_record_date"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out

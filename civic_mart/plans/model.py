@@ -137,6 +137,31 @@ WKT_EXPR = (
 )
 
 
+# slanted squares round each customer's point: centre and half diagonal in 2^-14
+DIAMOND = {
+    "k": "c_custkey",
+    "cx": "CAST((c_custkey * 7919) % 13001 AS BIGINT) - 6500",
+    "cy": "CAST((c_custkey * 104729) % 13003 AS BIGINT) - 6501",
+    "a": "CAST(40 + (c_custkey * 31) % 1000 AS BIGINT)",
+    "b": "CAST(1 + (c_custkey * 17) % 700 AS BIGINT)",
+    "band": "CAST(c_custkey % 5 AS INT)",
+}
+
+
+def _diamond_points(dialect: str) -> str:
+    """Per corner 0..3 of a square: the corner and the quarter points of the edge after it, and the
+    centre (corner 4), in 2^-16."""
+    make = ("named_struct('corner', {c}, 'quarter', {q}, 'nx', {x}, 'ny', {y})" if dialect == "spark"
+            else "{{'corner': {c}, 'quarter': {q}, 'nx': {x}, 'ny': {y}}}")
+    corners = [("cx + a", "cy + b"), ("cx - b", "cy + a"), ("cx - a", "cy - b"), ("cx + b", "cy - a")]
+    out = [make.format(c=4, q=0, x="4 * cx", y="4 * cy")]
+    for c, ((x1, y1), (x2, y2)) in enumerate(zip(corners, corners[1:] + corners[:1])):
+        out += [make.format(c=c, q=q, x=f"{4 - q} * ({x1}) + {q} * ({x2})", y=f"{4 - q} * ({y1}) + {q} * ({y2})") for q in range(4)]
+    return f"array({', '.join(out)})" if dialect == "spark" else f"[{', '.join(out)}]"
+
+
+DIAMOND_POINTS = {d: _diamond_points(d) for d in ("spark", "duckdb")}
+
 # fixed values: declared schemas of the driver tables (read without footer inference)
 DRIVER_SCHEMAS = {
     "region": "r_regionkey int, r_name string",

@@ -107,6 +107,29 @@ GROUP BY p.vec_id, p.borough
 """)
 
 
+# whole numbers: coordinates in 2^-62; a point is inside where it lies left of all four edges
+_EDGES = [("+ a", "+ b", "- b", "+ a"), ("- b", "+ a", "- a", "- b"), ("- a", "- b", "+ b", "- a"), ("+ b", "- a", "+ a", "+ b")]
+_UNIT, _FINE = str(2 ** 48), str(2 ** 46)
+_LEFT = " AND ".join(
+    f"(((s.cx {x2}) - (s.cx {x1}))::HUGEINT * {_UNIT} * (p.y - (s.cy {y1})::HUGEINT * {_UNIT}) "
+    f"- ((s.cy {y2}) - (s.cy {y1}))::HUGEINT * {_UNIT} * (p.x - (s.cx {x1})::HUGEINT * {_UNIT})) > 0" for x1, y1, x2, y2 in _EDGES)
+SLANTED_CONTAINMENT = f"""
+WITH diamonds AS (SELECT {', '.join(f'{e} AS {c}' for c, e in M.DIAMOND.items())} FROM customer),
+kept AS (SELECT d.* FROM diamonds d JOIN region ON r_regionkey = band),
+listed AS (SELECT k, band, unnest({M.DIAMOND_POINTS['duckdb']}) AS p FROM kept),
+steps AS (SELECT k, band, p.corner AS corner, p.quarter AS quarter, p.nx::BIGINT AS nx, p.ny::BIGINT AS ny, unnest([-1, 0, 1]) AS d FROM listed),
+points AS (
+  SELECT k, band, corner, quarter, d, ny::HUGEINT * {_FINE} AS y,
+         nx::HUGEINT * {_FINE} + d * (CASE WHEN abs(nx) < 128 THEN 1 ELSE (1::BIGINT << (length(bin(abs(nx))) - 7)) END)::HUGEINT AS x
+  FROM steps)
+SELECT p.k, p.corner, p.quarter, p.d, min(s.k) AS poly_id
+FROM points p LEFT JOIN kept s ON s.band = p.band
+  AND abs(p.x - s.cx::HUGEINT * {_UNIT}) <= (s.a + s.b)::HUGEINT * {_UNIT} AND abs(p.y - s.cy::HUGEINT * {_UNIT}) <= (s.a + s.b)::HUGEINT * {_UNIT}
+  AND {_LEFT}
+GROUP BY p.k, p.corner, p.quarter, p.d
+"""
+
+
 def geocode_sql(src_cte: str, key: str, order: list[str], fields: dict[str, str], p: str = "g") -> tuple[list, str]:
     """Extra CTEs + final SELECT of a geocode merge (first non-null per key)."""
     ord_s = "{" + ", ".join(f"'o{i}': {c}" for i, c in enumerate(order)) + "}"
@@ -252,6 +275,40 @@ UNION ALL SELECT 'ledger', {_q(P.JOB_311)}, (SELECT max(created_date) FROM valid
 UNION ALL SELECT 'ledger', {_q(P.JOB_INS)}, (SELECT max(inspection_date) FROM m_inspections WHERE inspection_date < TIMESTAMP '2024-02-01')
 """)
 
+# two runs with rows arriving between them, worked out by hand: what each run finds in its source.
+# The safe variant stages every record below the last bound once; the literal one what its windows hold
+_LATE = "({key} % 5 = 0 AND {at} >= TIMESTAMP '{end}' - INTERVAL 2 DAY AND {at} < TIMESTAMP '{end}')"
+_LATE_REQ = _LATE.format(key="CAST(unique_key AS BIGINT)", at="created_date", end="2024-01-15")
+_LATE_INS = _LATE.format(key="rec_order", at="inspection_date", end="2024-01-14")
+JOB_BOUNDARY_ROWS = with_ctes(["m_requests", "m_inspections"], [
+    ("old_req", VALID_REQUESTS),
+    ("newest", f"SELECT max(ts) AS t FROM events WHERE ts < TIMESTAMP '2024-01-15' AND event_id % 53 <> 0 AND NOT "
+               + _LATE.format(key="event_id", at="ts", end="2024-01-15")),
+    # the copies keep the key's other columns: a copy lacks coordinates where its own key is a multiple of 53
+    ("copies", "SELECT CAST(event_id + 1000000000 AS VARCHAR) AS unique_key, TIMESTAMP '2024-01-15' AS created_date FROM events "
+               "WHERE user_id % 50 = 3 AND event_type IS NOT NULL AND (event_id + 1000000000) % 53 <> 0 UNION ALL "
+               "SELECT CAST(event_id + 2000000000 AS VARCHAR), (SELECT t FROM newest) FROM events "
+               "WHERE user_id % 50 = 3 AND event_type IS NOT NULL AND (event_id + 2000000000) % 53 <> 0"),
+    ("all_req", "SELECT unique_key, created_date FROM old_req UNION ALL SELECT * FROM copies"),
+    ("run1", f"SELECT unique_key, created_date FROM old_req WHERE created_date < TIMESTAMP '2024-01-15' AND NOT {_LATE_REQ}"),
+    ("source1", f"SELECT max(created_date) AS t FROM old_req WHERE NOT {_LATE_REQ}"),
+    ("ins1", f"SELECT * FROM m_inspections WHERE NOT {_LATE_INS}")], f"""
+SELECT 'safe' AS variant, 'requests' AS table_name, unique_key AS key, created_date AS "at" FROM all_req WHERE created_date < TIMESTAMP '2024-02-01'
+UNION ALL SELECT 'literal', 'requests', unique_key, created_date FROM run1
+UNION ALL SELECT 'literal', 'requests', unique_key, created_date FROM all_req, source1
+WHERE created_date > source1.t AND created_date < TIMESTAMP '2024-02-01'
+UNION ALL SELECT 'safe', 'inspections', CAST(rec_order AS VARCHAR) || '-' || CAST(rec_line AS VARCHAR), inspection_date FROM m_inspections
+WHERE inspection_date < TIMESTAMP '2024-01-31'
+UNION ALL SELECT 'safe', 'ledger', {_q(P.JOB_311)}, max(created_date) FROM run1
+UNION ALL SELECT 'safe', 'ledger', {_q(P.JOB_311)}, max(created_date) FROM all_req WHERE created_date < TIMESTAMP '2024-02-01'
+UNION ALL SELECT 'safe', 'ledger', {_q(P.JOB_INS)}, max(inspection_date) FROM ins1 WHERE inspection_date < TIMESTAMP '2024-01-14'
+UNION ALL SELECT 'safe', 'ledger', {_q(P.JOB_INS)}, max(inspection_date) FROM m_inspections WHERE inspection_date < TIMESTAMP '2024-01-31'
+UNION ALL SELECT 'literal', 'ledger', {_q(P.JOB_311)}, t FROM source1
+UNION ALL SELECT 'literal', 'ledger', {_q(P.JOB_311)}, max(created_date) FROM all_req
+UNION ALL SELECT 'literal', 'ledger', {_q(P.JOB_INS)}, max(inspection_date) FROM ins1
+UNION ALL SELECT 'literal', 'ledger', {_q(P.JOB_INS)}, max(inspection_date) FROM m_inspections
+""")
+
 LEDGER_APPEND = with_ctes(["m_requests", "m_inspections"], ledger_ctes(), f"""
 SELECT {_q(P.JOB_311)} AS job_name, (SELECT max(created_date) FROM valid_requests) AS latest_record_date,
        {ts(RUN_NY)} AS execution_date
@@ -567,6 +624,9 @@ def registry() -> dict[str, str]:
         "increment_requests": INCREMENT_REQUESTS,
         "increment_inspections": INCREMENT_INSPECTIONS,
         "job_snapshot_then_increment": JOB_SNAPSHOT_THEN_INCREMENT,
+        "slanted_containment": SLANTED_CONTAINMENT,
+        "job_retry": JOB_SNAPSHOT_THEN_INCREMENT,
+        "job_boundary_rows": JOB_BOUNDARY_ROWS,
         "ledger_append": LEDGER_APPEND,
         "dim_open_type": DIM_OPEN_TYPE,
         "dim_location_refresh": DIM_LOCATION_REFRESH,

@@ -7,6 +7,7 @@ geocode staging -> dimensions -> fact.  The registered queries in
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from functools import cached_property
 
@@ -148,14 +149,15 @@ class Mart:
             if self.materialize and not self.spark.sparkContext.getCheckpointDir():
                 from civic_mart.session import ensure_checkpoint_dir
                 ensure_checkpoint_dir(self.spark)
-            out = []
-            for name, prefix in (("blocks", "b_"), ("tracts", "t_"), ("ntas", "n_")):
-                poly = self.m.layer(name)
+            def one(name: str, prefix: str) -> LayerSpec:
                 attrs = sorted(set(LAYER_OUTPUTS[name].values()) | {"BoroCode", "BoroName"})
-                layer = spatial.prepare_layer(poly, "the_geom", "BoroName", "poly_id", attrs,
+                layer = spatial.prepare_layer(self.m.layer(name), "the_geom", "BoroName", "poly_id", attrs,
                                               materialize=self._keep if self.materialize else None)
-                out.append(LayerSpec(prefix, layer, LAYER_OUTPUTS[name]))
-            return out
+                return LayerSpec(prefix, layer, LAYER_OUTPUTS[name])
+
+            # the layers do not depend on each other: their jobs run side by side
+            with ThreadPoolExecutor(3) as pool:
+                return list(pool.map(one, ("blocks", "tracts", "ntas"), ("b_", "t_", "n_")))
         return self._shared("layers", build)
 
     # ---------------------------------------------------------------- staging
@@ -167,8 +169,10 @@ class Mart:
         """Requests that lack a REQUIRED column, for the quarantine table."""
         return split_required(self.m.requests(), REQUEST_REQUIRED)[1]
 
-    def stage_requests(self, start=SNAPSHOT_START, end: str | None = None) -> DataFrame:
-        src = self.valid_requests().where(open_window("created_date", start, end or self.request_end))
+    def stage_requests(self, start=SNAPSHOT_START, end: str | None = None, src: DataFrame | None = None) -> DataFrame:
+        """Staging rows of the valid requests of a window, or of ``src``, a run's own rows."""
+        if src is None:
+            src = self.valid_requests().where(open_window("created_date", start, end or self.request_end))
         spec = GeocodeSpec(key="unique_key", order=["created_date", "unique_key"], x="longitude", y="latitude",
                            borough="borough",
                            fields={"created_date": "created_date", "zipcode": "incident_zip",
@@ -178,8 +182,10 @@ class Mart:
         g = lookup_with_default(g, "location_type", self.location_categories(), "location_type", "category", "locationType")
         return g.select("unique_key", "created_date", *dims.STAGE_LOCATION_COLS)
 
-    def stage_inspections(self, start=SNAPSHOT_START, end: str | None = None) -> DataFrame:
-        src = self.m.inspections().where(open_window("inspection_date", start, end or self.inspection_end))
+    def stage_inspections(self, start=SNAPSHOT_START, end: str | None = None, src: DataFrame | None = None) -> DataFrame:
+        """Staging rows of the inspections of a window, or of ``src``, a run's own rows."""
+        if src is None:
+            src = self.m.inspections().where(open_window("inspection_date", start, end or self.inspection_end))
         spec = GeocodeSpec(key="camis", order=["inspection_date", "rec_order", "rec_line"], x="longitude",
                            y="latitude", borough="boro",
                            fields={"inspection_date": "inspection_date", "zipcode": "zipcode"},

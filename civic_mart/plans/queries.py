@@ -11,12 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civic_mart.operators import dims, spatial
+from civic_mart.plans import model as M
 from civic_mart.plans.model import Model
 from civic_mart.plans.pipeline import Mart
+from civic_mart.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _store(df: DataFrame) -> DataFrame:
+    return sinks.materialize(df, "layer")
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from civic_mart.plans.model import read_table
     return read_table(spark, sf_dir, name)
@@ -46,11 +52,35 @@ def point_in_polygon(spark, sf_dir):
     e = e.join(b, e["_band"] == b["_rk"], "left").withColumn(
         "borough", F.expr("CASE WHEN vec_id % 29 = 0 THEN NULL WHEN vec_id % 31 = 0 THEN lower(r_name) "
                           "WHEN vec_id % 37 = 0 THEN 'Unknown' ELSE r_name END")).select("vec_id", "x", "y", "borough")
-    layer = spatial.prepare_layer(m.layer("blocks"), "the_geom", "BoroName", "poly_id", ["code"])
+    layer = spatial.prepare_layer(m.layer("blocks"), "the_geom", "BoroName", "poly_id", ["code"], materialize=_store)
     out = spatial.first_containing(e, layer, "vec_id", "x", "y", "borough")
     return out.select("vec_id", "borough", F.col("pid").alias("block_id"), F.col("code").alias("block_code"))
 
 
+def slanted_containment(spark, sf_dir):
+    """SP3/SP4: points on the corners and slanted edges of diamonds, one rounding step beside
+    them, and inside, against the diamonds of their borough: exact strict containment.
+
+    Coordinates are multiples of 2^-16 (the diamonds' of 2^-14), and steps are of 2^-62 or the
+    spacing of doubles at the point, so the oracle can calculate in whole numbers."""
+    m = Model(spark, sf_dir)
+    diamonds = _t(spark, sf_dir, "customer").selectExpr(*[f"{e} AS {c}" for c, e in M.DIAMOND.items()])
+    b = m.boroughs()
+    diamonds = diamonds.join(b, F.col("band") == F.col("_rk")).select("k", "cx", "cy", "a", "b", "r_name")
+    corner = "concat(CAST((cx {0}) / 16384D AS STRING), ' ', CAST((cy {1}) / 16384D AS STRING))"
+    corners = [corner.format(x, y) for x, y in (("+ a", "+ b"), ("- b", "+ a"), ("- a", "- b"), ("+ b", "- a"), ("+ a", "+ b"))]
+    wkt = F.expr(f"concat('POLYGON ((', concat_ws(', ', {', '.join(corners)}), '))')")
+    layer = spatial.prepare_layer(diamonds.select(F.col("k").alias("poly_id"), wkt.alias("the_geom"), "r_name"), "the_geom",
+                                  "r_name", "poly_id", [], materialize=_store)
+    pts = diamonds.select("k", "r_name", F.explode(F.expr(M.DIAMOND_POINTS["spark"])).alias("p")).select(
+        "k", "r_name", "p.*").withColumn("d", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+    step = "CASE WHEN abs(nx) < 128 THEN 1D ELSE power(2D, length(bin(abs(nx))) - 7) END"
+    pts = pts.select("k", "corner", "quarter", "d", "r_name", F.expr(f"nx / 65536D + d * {step} / 4611686018427387904D").alias("x"),
+                     F.expr("ny / 65536D").alias("y"))
+    out = spatial.locate(pts, layer, "x", "y", "r_name", "")
+    return out.select("k", "corner", "quarter", "d", F.col("pid").alias("poly_id"))
+
+
 def geocode_requests(spark, sf_dir):
     """SP5/SP6/J13-J16/A10/J12: 311 staging rows (one per unique key), stored as the
     staging table the later jobs read."""
@@ -97,6 +127,20 @@ def job_snapshot_then_increment(spark, sf_dir):
     return snapshot_then_increment(spark, sf_dir)
 
 
+def job_retry(spark, sf_dir):
+    """Both runs die after their first writes and are run again: the same tables and
+    ledger as clean runs."""
+    from civic_mart.plans.jobs import retried
+    return retried(spark, sf_dir)
+
+
+def job_boundary_rows(spark, sf_dir):
+    """Rows at the watermark, at a run's upper bound and late ones, in both variants: the safe
+    one loses none and stages none twice."""
+    from civic_mart.plans.jobs import boundary_rows
+    return boundary_rows(spark, sf_dir)
+
+
 def ledger_append(spark, sf_dir):
     """Ledger rows written after the geocode run (max over the whole source) and
     after the DimLocation load (the staging jobs' watermarks)."""
@@ -194,6 +238,7 @@ def registry() -> dict[str, Query]:
         "dim_date_full": dim_date_full,
         "dim_date_incremental": dim_date_incremental,
         "point_in_polygon": point_in_polygon,
+        "slanted_containment": slanted_containment,
         "geocode_requests": geocode_requests,
         "geocode_inspections": geocode_inspections,
         "geocode_applications": geocode_applications,
@@ -201,6 +246,8 @@ def registry() -> dict[str, Query]:
         "increment_requests": increment_requests,
         "increment_inspections": increment_inspections,
         "job_snapshot_then_increment": job_snapshot_then_increment,
+        "job_retry": job_retry,
+        "job_boundary_rows": job_boundary_rows,
         "ledger_append": ledger_append,
         "dim_open_type": dim_open_type,
         "dim_location_refresh": dim_location_refresh,

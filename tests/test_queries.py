@@ -98,6 +98,6 @@ def test_stored_jobs_end_like_one_snapshot(spark):
             mart = jobs.as_of(spark, SF_SMALL, run_utc)
             jobs.run_geocode(mart, root, mode)
             jobs.run_dim_location(mart, root, mode)
-    places = [sorted(map(str, spark.read.parquet(f"{r}/dim_location").collect())) for r in (one, two)]
+    places = [sorted(map(str, jobs.read_staged(spark, r, "dim_location").collect())) for r in (one, two)]
     assert places[0] == places[1] and places[0]
     assert jobs.read_ledger(spark, one).count() == 4 and jobs.read_ledger(spark, two).count() == 8

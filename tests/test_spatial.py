@@ -176,3 +176,132 @@ def test_layer_of_mixed_sizes(spark):
     a = spatial.locate(pts, spatial.prepare_layer(layer, "the_geom", "boro", "pid", []), "x", "y", "borough", "")
     b = brute_force_first_containing(pts, layer, "k", "x", "y", "borough", "the_geom", "boro", "pid", [])
     assert rows(a, "k", "pid") == rows(b, "k", "pid")
+
+
+# ------------------------------------------------------------------ exact containment and the two-level index
+def exact_containing(points, polygons):
+    """Smallest id that strictly contains each point, in rational numbers."""
+    from fractions import Fraction as Q
+
+    out = {}
+    for k, x, y in points:
+        x, y = Q(x), Q(y)
+        for pid, rings in polygons:
+            odd = on = False
+            for ring in rings:
+                for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+                    if max(x1, x2) < x or not min(y1, y2) <= y <= max(y1, y2):
+                        continue
+                    cross = (Q(x2) - Q(x1)) * (y - Q(y1)) - (Q(y2) - Q(y1)) * (x - Q(x1))
+                    on |= cross == 0 and min(x1, x2) <= x
+                    odd ^= ((y1 > y) != (y2 > y)) and (cross > 0) == (y2 > y1) and cross != 0
+            if odd and not on:
+                out[k] = pid
+                break
+        else:
+            out[k] = None
+    return out
+
+
+def star(rng, cx, cy, size, corners):
+    import math
+    turn = rng.random() * 7
+    ring = [(cx + size * rng.uniform(0.4, 1) * math.cos(turn + i * math.tau / corners),
+             cy + size * rng.uniform(0.4, 1) * math.sin(turn + i * math.tau / corners)) for i in range(corners)]
+    return [*ring, ring[0]]
+
+
+def mixed_layer(seed=5):
+    """Slanted polygons of very different sizes, with holes, some of many corners; most small ones close together."""
+    import random
+
+    rng = random.Random(seed)
+    polygons = [(0, [star(rng, 0, 0, 60, 70), star(rng, 0, 0, 15, 9)]), (1, [star(rng, 20, 20, 30, 150)])]
+    for i in range(2, 70):
+        size = rng.choice([0.02, 0.1, 0.4, 3])
+        spot = rng.choice([(1.0, 1.0), (1.0, 1.0), (-30.0, 12.0), (rng.uniform(-50, 50), rng.uniform(-50, 50))])
+        at = (spot[0] + rng.gauss(0, 0.3), spot[1] + rng.gauss(0, 0.3))
+        rings = [star(rng, *at, size, rng.randrange(3, 12))]
+        if i % 3 == 0:
+            rings.append(star(rng, *at, size / 4, 4))
+        polygons.append((i, rings))
+    points = []
+    for _, rings in polygons[1:]:
+        for (x1, y1), (x2, y2) in list(zip(rings[0], rings[0][1:]))[:6]:
+            t = rng.random()
+            points += [(x1, y1), (x1 + t * (x2 - x1), y1 + t * (y2 - y1)), ((x1 + x2) / 2, (y1 + y2) / 2), (x1, y2)]
+    points += [(rng.uniform(-70, 70), rng.uniform(-70, 70)) for _ in range(200)]
+    points += [(1 + rng.gauss(0, 0.5), 1 + rng.gauss(0, 0.5)) for _ in range(200)]
+    return polygons, [(i, x, y) for i, (x, y) in enumerate(points)]
+
+
+def wkt(rings):
+    return "POLYGON (" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in r) + ")" for r in rings) + ")"
+
+
+@pytest.mark.parametrize("cell,edges,limit", [(None, 64, spatial.DEFAULT_BROADCAST_LIMIT), (40.0, 40, 0)])
+def test_two_level_index_is_exact_and_bounded(spark, cell, edges, limit):
+    from civic_mart.sources import sinks
+
+    polygons, points = mixed_layer()
+    layer_df = spark.createDataFrame([(i, wkt(r), "A") for i, r in polygons], "pid long, the_geom string, boro string")
+    pts = spark.createDataFrame([(*p, "A") for p in points] + [(-1, None, 1.0, "A"), (-2, 1.0, None, "A")],
+                                "k long, x double, y double, borough string")
+    layer = spatial.prepare_layer(layer_df, "the_geom", "boro", "pid", [], cell=cell, cell_edges=edges, cell_polygons=12,
+                                  materialize=lambda df: sinks.materialize(df, "layer"))
+    got = {r.k: r.pid for r in spatial.locate(pts, layer, "x", "y", "borough", "", limit).collect()}
+    assert got.pop(-1) is None and got.pop(-2) is None
+    assert got == exact_containing(points, polygons)
+    # cells hold no more than the bounds say, and the layer knows its size
+    held = layer.cells.select("_n_edges", "_bytes", F.size("_cands").alias("n")).collect()
+    assert len(layer.splits) > 0
+    assert max(r._n_edges for r in held) <= edges
+    assert max(r.n for r in held) <= 12 + 2  # whole covers come beside: the layer has two large polygons
+    assert max(r._bytes for r in held) <= edges * spatial.EDGE_BYTES + 14 * spatial.ENTRY_BYTES
+    assert layer.size_bound == sum(r._bytes for r in held)
+
+
+def test_polygons_that_meet_in_one_point_stop_the_splitting(spark, monkeypatch):
+    """Cells round a shared corner stay crowded at any size; answers stay right."""
+    monkeypatch.setattr(spatial, "MAX_ROUNDS", 3)
+    rows_ = [(i, wkt([[(0.5, 0.5), (0.5 + x, 0.6), (0.5 + x, 0.7), (0.5, 0.5)]]), "A") for i, x in
+             enumerate([0.1 + i / 100 for i in range(30)])]
+    layer_df = spark.createDataFrame(rows_, "pid long, the_geom string, boro string")
+    layer = spatial.prepare_layer(layer_df, "the_geom", "boro", "pid", [], cell_edges=20, cell_polygons=5)
+    pts = spark.createDataFrame([("a", 0.5, 0.5, "a"), ("b", 0.55, 0.57, "a"), ("c", 0.79, 0.65, "a")],
+                                "k string, x double, y double, borough string")
+    got = {r.k: r.pid for r in spatial.locate(pts, layer, "x", "y", "borough", "").collect()}
+    want = exact_containing([("a", 0.5, 0.5), ("b", 0.55, 0.57), ("c", 0.79, 0.65)],
+                            [(i, [[(0.5, 0.5), (0.5 + x, 0.6), (0.5 + x, 0.7), (0.5, 0.5)]]) for i, x in
+                             enumerate([0.1 + i / 100 for i in range(30)])])
+    assert got == want
+
+
+def test_side_is_exact(spark):
+    """Points on lines and a few steps beside them, against rational numbers."""
+    import random
+    from fractions import Fraction as Q
+
+    import numpy as np
+
+    from civic_mart.operators import exact
+
+    rng, rows_ = random.Random(1), []
+    for _ in range(600):
+        s = 10.0 ** rng.randrange(-6, 4)
+        x1, y1, x2, y2 = (rng.uniform(-s, s) for _ in range(4))
+        t = rng.random()
+        px, py = rng.choice([(x1, y1), ((x1 + x2) / 2, (y1 + y2) / 2), (x1 + t * (x2 - x1), y1 + t * (y2 - y1))])
+        for _ in range(rng.randrange(3)):
+            px = float(np.nextafter(px, rng.choice([-1e9, 1e9])))
+        rows_.append((x1, y1, x2, y2, px, py))
+    df = spark.createDataFrame(rows_, "a double, b double, c double, d double, e double, f double")
+    got = [r.s for r in df.select(exact.side(*[F.col(c) for c in "abcdef"]).alias("s")).collect()]
+    want, plain = [], []
+    for r in rows_:
+        a, b, c, d, e, f = map(Q, r)
+        v = (a - e) * (d - f) - (b - f) * (c - e)
+        want.append((v > 0) - (v < 0))
+        plain.append(np.sign((r[0] - r[4]) * (r[3] - r[5]) - (r[1] - r[5]) * (r[2] - r[4])))
+    assert got == want
+    assert plain != want and 0 in want  # the plain product gets some wrong
