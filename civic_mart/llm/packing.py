@@ -11,6 +11,7 @@ Pieces then find their place by their rank among the pieces of their length.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -86,38 +87,57 @@ def plan_bins(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
     return np.array(sorted(runs), np.int64).reshape(-1, 5), bins
 
 
-def _tokenizer(path: str) -> PieceCoder:
+def _tokenizer(path: str) -> tuple[PieceCoder, dict[str, int]]:
     cache = worker_cache("tokenizers")
     if path not in cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-        def encode(pieces: list[str]):
+        def encode_pieces(pieces: list[str]):
             out = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
             ids = [e.ids for e in out]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter((x for i in ids for x in i), np.uint32, int(sizes.sum()))
             return (flat, sizes), (np.empty(0, np.uint8), np.zeros(len(ids), np.int64))
 
-        cache[path] = PieceCoder(encode)
+        special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        cache[path] = PieceCoder(encode_pieces), special
     return cache[path]
 
 
+def encode(texts: list[str], own: PieceCoder, special: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, id offsets of the texts).  As in the library's plain call, a special token's string in
+    a text is that token, and what stands between such strings is encoded by itself."""
+    marked = [i for i, t in enumerate(texts) if any(s in t for s in special)]
+    if not marked:
+        return own.encode(texts)[:2]
+    cut = re.compile("(" + "|".join(map(re.escape, special)) + ")")
+    parts, of, token = [], [], []
+    for i, t in enumerate(texts):
+        for part in cut.split(t):
+            parts.append("" if part in special else part)
+            of.append(i)
+            token.append(special.get(part, -1))
+    ids, at = own.encode(parts)[:2]
+    whole = [ids[at[k]:at[k + 1]] if x < 0 else np.array([x], np.uint32) for k, x in enumerate(token)]
+    sizes = np.bincount(of, [len(w) for w in whole], len(texts)).astype(np.int64)
+    return np.concatenate(whole), np.concatenate([[0], np.cumsum(sizes)])
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces ``(doc_id, piece, start, length, ids_crc32)`` of at most ``capacity`` tokens, with
     ``part`` (the task) and ``nth`` (of the pieces of that length in the task)."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, part = _tokenizer(tokenizer_path), TaskContext.get().partitionId()
+        (own, special), part = _tokenizer(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for pdf in batches:
             texts, doc_ids = [text_of(t) for t in pdf["text"]], pdf["doc_id"].astype("Int64")
             for a, b in batches_of(texts):
-                ids, at, _, _ = own.encode(texts[a:b])
+                ids, at = encode(texts[a:b], own, special)
                 cut, crc = [], []
                 for i in range(b - a):
                     raw = np.append(ids[at[i]:at[i + 1]], np.uint32(end_id)).astype("<u4")

@@ -8,6 +8,7 @@ pieces, asks its encoder only for those it has not met, and lays the ids out per
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import numpy as np
@@ -111,6 +112,29 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def _position_keys(n: int) -> np.ndarray:
+    """A random 64-bit key for each of the first ``n`` positions, drawn once a worker."""
+    cache = worker_cache("position_keys")
+    if "table" not in cache:
+        cache["table"] = np.frombuffer(os.urandom(8 << 16), np.uint64) | np.uint64(1)
+    if n <= 1 << 16:
+        return cache["table"]
+    blocks = -(-n >> 16)  # a piece this long is rare: each further block turns the keys by its number
+    turns = (np.arange(blocks, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) | np.uint64(1)
+    return (cache["table"][None, :] * turns[:, None]).ravel()
+
+
+def piece_checks(cps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A second 64-bit key of each piece, with random keys by position: no text is made to collide."""
+    n = len(cps)
+    sizes = np.diff(starts, append=n)
+    at = np.arange(n) - np.repeat(starts, sizes)
+    x = (cps.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(31)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * _position_keys(int(sizes.max()))[at])])
+    return total[starts + sizes] - total[starts]
+
+
 class Rows:
     """Variable-length rows in one growing flat array."""
 
@@ -147,14 +171,20 @@ class PieceCoder:
 
     def forget(self) -> None:
         self.keys, self.row = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.checks = np.empty(0, np.uint64)  # by row
         self.ids, self.raw = Rows(np.uint32), Rows(np.uint8)
 
     def rows(self, joined: str, cps: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Row of each piece in ``ids`` and ``raw``."""
+        checks = piece_checks(cps, starts)
         keys, first, inverse = np.unique(piece_keys(cps, starts), return_index=True, return_inverse=True)
+        if (checks[first][inverse] != checks).any():
+            return self._apart(joined, len(cps), starts)
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)
         known[known] = self.keys[at[known]] == keys[known]
+        if (self.checks[self.row[at[known]]] != checks[first[known]]).any():
+            return self._apart(joined, len(cps), starts)
         fresh = np.flatnonzero(~known)
         if len(fresh):
             if len(self.keys) and len(self.keys) + len(fresh) > self.most:
@@ -162,16 +192,29 @@ class PieceCoder:
                 return self.rows(joined, cps, starts)
             ends = np.append(starts[1:], len(cps))
             spans = zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist())
-            ids, raw = self.encoder([joined[a:b] for a, b in spans])
-            row = len(self.ids.size) + np.arange(len(fresh))
-            self.ids.add(*ids)
-            self.raw.add(*raw)
+            row = self._add([joined[a:b] for a, b in spans], checks[first[fresh]])
             all_keys = np.concatenate([self.keys, keys[fresh]])
             order = np.argsort(all_keys, kind="stable")
             self.keys, self.row = all_keys[order], np.concatenate([self.row, row])[order]
             at = np.searchsorted(self.keys, keys)
         return self.row[at][inverse]
 
+    def _add(self, pieces: list[str], checks: np.ndarray) -> np.ndarray:
+        """New rows of the encoded pieces."""
+        ids, raw = self.encoder(pieces)
+        row = len(self.ids.size) + np.arange(len(pieces))
+        self.ids.add(*ids)
+        self.raw.add(*raw)
+        self.checks = np.concatenate([self.checks, checks])
+        return row
+
+    def _apart(self, joined: str, n: int, starts: np.ndarray) -> np.ndarray:
+        """Rows of a batch in which different pieces share a key: told apart by their text."""
+        pieces = [joined[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), n])]
+        distinct = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
+        row = self._add(list(distinct), np.zeros(len(distinct), np.uint64))  # under no key
+        return row[[distinct[p] for p in pieces]]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, id offsets of the texts, decoded bytes, byte offsets of the texts)."""
         joined = "".join(texts)

@@ -98,7 +98,7 @@ def quality_rules(docs: DataFrame, host: str = "source", min_limit: int = MIN_LI
                   limit_share: float = LIMIT_SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
     """One row for each row of ``docs(doc_id, text, <host>)``: ``doc_id``, the counts,
     ``base_failed``, ``kept``, ``removed_words`` (words on boilerplate lines), and the row's
-    ``host`` and ``text_key`` (a hash of its text).
+    ``host``, ``text_key`` (a hash of its text) and ``boilerplate`` (hashes of its lines to remove).
 
     Null texts have no words (base_failed).  Documents without a host form one host.
     Repeated rows are documents of their own in the result and, being copies, count
@@ -117,19 +117,39 @@ def quality_rules(docs: DataFrame, host: str = "source", min_limit: int = MIN_LI
     boilerplate = materialize(common.join(hosts, "host").where(
         F.col("n_docs") > F.lit(limit_share) * F.col("host_docs")).select("host", "line"), "quality-lines")
     removed = lines.select("rid", "host", "line", "line_words").join(boilerplate, ["host", "line"]).groupBy("rid").agg(
-        F.sum("line_words").alias("removed_words"))
+        F.sum("line_words").alias("removed_words"), F.collect_list("line").alias("boilerplate"))
     out = stats.drop("line", "line_words").join(removed, "rid", "left").withColumn(
-        "removed_words", F.coalesce("removed_words", F.lit(0)))
+        "removed_words", F.coalesce("removed_words", F.lit(0))).withColumn(
+        "boilerplate", F.coalesce("boilerplate", F.array().cast("array<long>")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & (left >= F.lit(keep_share) * F.col("n_words"))).alias("kept"), "removed_words",
-        "host", "text_key")
+        "host", "text_key", "boilerplate")
+
+
+def without_lines(text, boilerplate):
+    """The text without the lines whose hashes are given (null stays null)."""
+
+    @F.pandas_udf("string")
+    def run(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, hashes in columns:
+            out = []
+            for t, gone in zip(texts, hashes):
+                if not isinstance(t, str) or gone is None or not len(gone):
+                    out.append(t)
+                    continue
+                gone = set(map(int, gone))
+                out.append("\n".join(line for line in t.split("\n")
+                                     if not (raw := line.encode("utf-8")).split() or line_hash(raw) not in gone))
+            yield pd.Series(out, dtype=object)
+
+    return run(text, boilerplate)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("host", "text_key")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("host", "text_key", "boilerplate")
 
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -148,13 +168,11 @@ held AS (
   FROM (SELECT *, regexp_extract_all(line, '{_WORD}') AS w FROM raw_lines) x WHERE len(w) > 0),
 dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM held GROUP BY rid),
 hashed AS (SELECT rid, host, h, sum(n) AS n FROM held GROUP BY ALL),
-lows AS (SELECT rid, min(h) AS low, list_sort(list(h))[2] AS next_low FROM hashed GROUP BY rid),
-sized AS (SELECT rid, host, len(w) AS n_words, low FROM words JOIN docs USING (rid) LEFT JOIN lows USING (rid)),
-hosts AS (SELECT host, count(*) AS n FROM (SELECT DISTINCT host, low, n_words FROM sized) s GROUP BY host),
+sets AS (SELECT rid, string_agg(h, ',' ORDER BY h) AS known_by FROM hashed GROUP BY rid),
+hosts AS (SELECT host, count(DISTINCT coalesce(known_by, '')) AS n FROM docs LEFT JOIN sets USING (rid) GROUP BY host),
 common AS (
-  SELECT host, h FROM (SELECT DISTINCT host, h, if(h <> low, low, coalesce(next_low, low)) AS known_by FROM hashed JOIN lows USING (rid)) k
-  JOIN hosts USING (host) GROUP BY host, h, hosts.n
-  HAVING count(*) > {MIN_LIMIT} AND count(*) > CAST({LIMIT_SHARE} AS DOUBLE) * hosts.n),
+  SELECT host, h FROM hashed JOIN sets USING (rid) JOIN hosts USING (host) GROUP BY host, h, hosts.n
+  HAVING count(DISTINCT known_by) > {MIN_LIMIT} AND count(DISTINCT known_by) > CAST({LIMIT_SHARE} AS DOUBLE) * hosts.n),
 removed AS (SELECT rid, sum(n) AS n FROM hashed SEMI JOIN common USING (host, h) GROUP BY rid),
 counts AS (
   SELECT docs.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,

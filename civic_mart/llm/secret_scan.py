@@ -13,6 +13,7 @@ alone decides; prose stays out because the dictionary holds a vocabulary's word
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import math
 import re
@@ -31,9 +32,15 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-# an identifier with a sign or word of assignment after it, and the value that follows (possessive: linear)
-NAME = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)["']?+(?:[\x20\t]*+[:=]|[\x20\t]++is\x20)""", re.ASCII)
-VALUE = re.compile(r"""[\x20\t]*["']?([^\s"'<>,;]+)""")
+# an identifier with a sign or word of assignment after it (possessive: linear), a command's option, an element
+NAME = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)["']?+(?:[\x20\t]*+(?::=|=>|[:=])|[\x20\t]++is\x20)""", re.ASCII)
+OPTION = re.compile(r"(?<![A-Za-z0-9_.-])(--?[A-Za-z][A-Za-z0-9_.-]*+)[\x20\t]++(?=[^\s-])", re.ASCII)
+ELEMENT = re.compile(r"<([A-Za-z0-9_.-]++)>(?=[^<\n]+</)", re.ASCII)
+# the value that follows: after a scheme's word, up to its closing quote, the next element or white space
+VALUE = re.compile(r"""[\x20\t]*+(?:(?i:bearer|basic|digest|token)[\x20\t]++)?(?:"([^"\n]+)"|'([^'\n]+)'|["']?([^\s"']\S*))""")
+INNER = re.compile(r"([^<\n]+)")
+# the password of an address with user and password
+ADDRESS = re.compile(r"://[^\s/:@]+:([^\s/@]+)@")
 # credential words that may stand anywhere in an identifier, and short ones that must be a part of it
 ANYWHERE = re.compile(r"password|passwd|passphrase|passcode|pwd|secret|token|credential|authorization"
                       r"|(?:api|access|private)[_.-]?key", re.IGNORECASE | re.ASCII)
@@ -76,6 +83,23 @@ def dictionary() -> tuple[dict[str, int], int]:
     return cache["rank"]
 
 
+def _from_start(best: list[float], starts: list[int], i: int, choices: int) -> float:
+    """Least cost of a span from one of ``starts`` to ``i``, of ``choices`` guesses a character.
+
+    A start that an earlier one beats now is beaten at every longer span: it is struck out, so
+    the list stays short."""
+    least = math.inf
+    for k, j in enumerate(starts):
+        if i - j < 3:
+            break
+        cost = best[j] + math.log10(choices * (i - j))
+        if cost >= least:
+            starts[k] = -1
+        least = min(least, cost)
+    starts[:] = [j for j in starts if j >= 0]
+    return least
+
+
 def log_guesses(value: str, words: dict[str, int] | None = None) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs.
 
@@ -89,20 +113,15 @@ def log_guesses(value: str, words: dict[str, int] | None = None) -> float:
         if plain[i] and (m := DATE.match(value, i)):
             dates.setdefault(m.end(), []).append((i, math.log10(365 * 120 if m.end() - i > 4 else 120)))
     best = [0.0] + [math.inf] * n
-    walk_from = 0    # start of the keyboard walk that ends at i - 1
-    repeat_from = 0  # start of the repeated character that ends at i - 1
+    walks, repeats = [0], [0]  # starts that a keyboard walk or a repeat up to here may have
     joint = math.log10(2)  # a guess of how the parts are put together
     for i in range(1, n + 1):
         cost = best[i - 1] + per_char  # brute force, one character more
         if i > 1:
-            if low[i - 2:i] not in _NEXT:
-                walk_from = i - 1
-            if low[i - 1] != low[i - 2]:
-                repeat_from = i - 1
-        if i - walk_from >= 3:
-            cost = min(cost, best[walk_from] + math.log10(len(ROWS) * 20 * (i - walk_from)) + joint)
-        if i - repeat_from >= 3:
-            cost = min(cost, best[repeat_from] + math.log10(_charset(value[repeat_from]) * (i - repeat_from)) + joint)
+            walks = walks + [i - 1] if low[i - 2:i] in _NEXT else [i - 1]
+            repeats = repeats + [i - 1] if low[i - 1] == low[i - 2] else [i - 1]
+        cost = min(cost, _from_start(best, walks, i, len(ROWS) * 20) + joint)
+        cost = min(cost, _from_start(best, repeats, i, _charset(value[i - 1])) + joint)
         for size in range(3, min(longest, i) + 1):
             at = rank.get(low[i - size:i])
             if at:
@@ -125,6 +144,29 @@ def introduces(text: str, name: re.Match) -> bool:
                 or SPACED.search(text, max(0, name.start() - 8), name.start() + 3))
 
 
+def _values(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the values in a credential's place, none inside another."""
+    named = sorted([(m.start(), m.end(), m, VALUE) for m in NAME.finditer(text)]
+                   + [(m.start(), m.end(), m, VALUE) for m in OPTION.finditer(text)]
+                   + [(m.start(), m.end(), m, INNER) for m in ELEMENT.finditer(text)], key=lambda x: x[:2])
+    out, at = [], 0  # at: end of the last value
+    for start, end, m, pattern in named:
+        if start < at or not introduces(text, m) or not (v := pattern.match(text, end)):
+            continue
+        a, b = v.span(v.lastindex)
+        if v.lastindex == v.re.groups:  # not quoted
+            b = a + len(text[a:b].rstrip("\"'.,;:!?)]}>"))
+        at = max(a, b)
+        out.append((a, b))
+    taken = sorted(out)
+    for m in ADDRESS.finditer(text):
+        a, b = m.span(1)
+        i = bisect.bisect_right(taken, (a, b))
+        if not any(x <= a and b <= y for x, y in taken[max(0, i - 1):i + 1]):
+            out.append((a, b))
+    return out
+
+
 def spans_of(text: str, min_log_guesses: float = MIN_LOG_GUESSES) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of every secret, in code points, by start and then kind."""
     low = text.lower()
@@ -134,20 +176,12 @@ def spans_of(text: str, min_log_guesses: float = MIN_LOG_GUESSES) -> list[tuple[
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if any(h in low for h in CONTEXT_HINTS):
+    if "://" in low or any(h in low for h in CONTEXT_HINTS):
         base = sorted((a, b) for a, _, b in found)
-        at = 0  # end of the last value judged
-        for m in NAME.finditer(text):
-            if m.start() < at or not introduces(text, m):
-                continue
-            if not (v := VALUE.match(text, m.end())):
-                continue
-            a, at = v.span(1)
-            value = v[1].rstrip(".,;:!?)]}")
-            b = a + len(value)
+        for a, b in sorted(_values(text)):
             if any(x <= a and b <= y for x, y in base):
                 continue  # a base span holds it already
-            if log_guesses(value) >= min_log_guesses:
+            if a < b and log_guesses(text[a:b]) >= min_log_guesses:
                 found.append((a, 3, b))
     return sorted(found)
 

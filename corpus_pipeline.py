@@ -26,31 +26,52 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(tox.score(F.col("text"), model) < tox.THRESHOLD)
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that ``docs`` does not have, whatever its extra columns are called."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep.  Rows are told apart by id, text and host."""
-    rejected = quality.quality_rules(docs).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("host").alias("_host")).distinct()
-    return docs.join(rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64("text") == F.col("_text"))
-                     & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col("_host")), "left_anti")
+    """Documents that the quality rules keep, without their boilerplate lines.  Rows are told
+    apart by id, text and host; only rows with something to drop are looked up."""
+    i, t, h, gone, keep = fresh(docs, "_id", "_text", "_host", "_gone", "_keep")
+    told = quality.quality_rules(docs).where(~F.col("kept") | (F.size("boilerplate") > 0)).select(
+        F.col("doc_id").alias(i), F.col("text_key").alias(t), F.col("host").alias(h),
+        F.col("kept").alias(keep), F.array_sort("boilerplate").alias(gone)).distinct()
+    j = docs.join(told, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(t))
+                  & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(h)), "left").where(
+        F.coalesce(F.col(keep), F.lit(True)))
+    return sized(docs, j.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(
+        quality.without_lines(F.col("text"), F.col(gone)))))
+
+
+def sized(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from rows with a changed text, ``n_chars`` (if there) counted anew."""
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest id (full repeats of it once)."""
+    i, t, n = fresh(docs, "_id", "_text", "_rows")
     keepers = simhash.simhash_near_dups(docs).where("keeper").groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).agg(F.count(F.lit(1)).alias("_rows"))
-    kept = docs.join(keepers, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64("text") == F.col("_text")))
+        F.col("doc_id").alias(i), F.col("text_key").alias(t)).agg(F.count(F.lit(1)).alias(n))
+    kept = docs.join(keepers, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(t)))
     # only keys that repeat are dealt again
-    once, repeated = kept.where("_rows = 1"), kept.where("_rows > 1").dropDuplicates(["_id", "_text"])
-    return once.unionByName(repeated).select(*[kept[c] for c in docs.columns])
+    once, repeated = kept.where(F.col(n) == 1), kept.where(F.col(n) > 1).dropDuplicates([i, t])
+    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by their kind in brackets."""
-    out = docs.withColumn("text", secret_scan.redact(F.col("text")))
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) \
-        if "n_chars" in docs.columns else out
+    return sized(docs, docs.withColumn("text", secret_scan.redact(F.col("text"))))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

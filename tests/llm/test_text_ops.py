@@ -258,3 +258,104 @@ def test_secret_operator(spark):
     assert r.spans == "assign:2:21,access:23:39,hex:40:72" and (r.n_assign, r.n_access, r.n_hex) == (1, 1, 1)
     assert r.base_sha256 == hashlib.sha256(r.spans.encode()).hexdigest()
     assert secret_scan.secret_scan(no_docs(spark)).collect() == []
+
+
+def thue_morse(n, flip=0):
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+def test_pieces_whose_keys_collide_keep_their_own_ids():
+    """Texts with equal polynomial keys, in one batch and in batches after one another."""
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    one, two = thue_morse(1024), thue_morse(1024, 1)
+    cps, at = pieces.code_points([one, two])
+    assert len(set(pieces.piece_keys(cps, at[:-1]).tolist())) == 1  # the trap is one
+    for batches in ([[one, two, "x y"]], [[one, "x"], [two, one], [two]]):
+        sql, library = pieces.PieceCoder(bpe.SqlBpe(bpe.read_ranks(RANKS))), packing._tokenizer(JSON)[0]
+        library.forget()
+        for texts in batches:
+            for coder in (sql, library):
+                ids, where, *_ = coder.encode(texts)
+                assert [ids[where[i]:where[i + 1]].tolist() for i in range(len(texts))] == [lib.encode_ordinary(t) for t in texts]
+
+
+def test_special_tokens_are_as_in_the_plain_call():
+    own, special = packing._tokenizer(JSON)
+    plain = Tokenizer.from_file(JSON)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "", "no", "x<|endoftext|><|endoftext|> it's", "<|endof text|>"]
+    ids, at = packing.encode(texts, own, special)
+    assert [ids[at[i]:at[i + 1]].tolist() for i in range(len(texts))] == [
+        plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_quality_sql_with_a_shared_pool_of_lines(spark):
+    """Documents made of few stock lines, no two alike: the SQL and the code judge them alike."""
+    import itertools
+
+    import duckdb
+
+    pool = [f"stock line number {i} of this host with several words in it" for i in range(12)]
+    rows = [(i, "\n".join([*some, f"own words of document {i} and some more of them here"] if i % 3 else some), "en", "h", 1)
+            for i, some in enumerate(itertools.islice(itertools.combinations(pool, 4), 400))]
+    rows += [(1000 + i, f"a clean text {i} " * 9, "en", "other", 1) for i in range(5)] + [(2000, None, None, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    got = quality.quality_rules(df).drop("host", "text_key", "boilerplate")
+    want = con.execute(quality.OP7_SQL).fetchdf()[got.columns].itertuples(index=False, name=None)
+    rows_got = sorted(map(tuple, got.collect()))
+    assert rows_got == sorted(want)
+    assert sum(not r[7] for r in rows_got) > 200
+
+
+def test_secrets_in_more_places():
+    long = "Xk9pQ7zL2vB8w"
+    for text, secret in [(f"Authorization: Bearer {long}", long), ("password: Xk9,pQ7;zL2#vB8w", "Xk9,pQ7;zL2#vB8w"),
+                         (f"password := {long}#", f"{long}#"), ("password => 'Xk9 pQ7zL2vB8w#'", "Xk9 pQ7zL2vB8w#"),
+                         (f"mysql --password {long} -u me", long), (f"<password>{long}</password>", long),
+                         (f"see postgres://user:{long}@host/db", long)]:
+        cut = secret_scan.redacted(text)
+        assert secret not in cut and long[:6] not in cut and "[" in cut, text
+    for text in ("the password is easy to guess", "mysql --password -u me", "http://host:8080/path", "<password></password>"):
+        assert secret_scan.redacted(text) == text
+
+
+def cheapest(value, words):
+    """Guess cost by trying every segmentation, with the costs written down anew."""
+    import functools
+    import math
+
+    kinds = 10 * any(c.isdigit() for c in value) + 26 * any(c.islower() for c in value) + 26 * any(c.isupper() for c in value) \
+        + 33 * any(not c.isalnum() for c in value) or 26
+
+    def part(a, b):
+        v, low, out = value[a:b], value[a:b].lower(), []
+        if b - a == 1:
+            out.append(math.log10(kinds))
+        if b - a >= 3 and all(low[i:i + 2] in secret_scan._NEXT for i in range(b - a - 1)):
+            out.append(math.log10(100 * (b - a)) + math.log10(2))
+        if b - a >= 3 and len(set(low)) == 1:
+            out.append(math.log10(secret_scan._charset(value[a]) * (b - a)) + math.log10(2))
+        if low in words and b - a >= 3:
+            cased = 0 if v == low else math.log10(2) if v[1:].islower() or v.isupper() else (b - a) * math.log10(2)
+            out.append(math.log10(words[low]) + cased + math.log10(2))
+        return min(out, default=math.inf)
+
+    @functools.cache
+    def best(b):
+        if b == 0:
+            return 0.0
+        costs = [best(a) + part(a, b) for a in range(b)]
+        low = value.lower()
+        costs += [best(b - p) + math.log10(2) for p in (2, 3, 4) if b >= 2 * p and low[b - p:b] == low[b - 2 * p:b - p]]
+        return min(costs)
+
+    return best(len(value))
+
+
+def test_guess_costs_equal_every_segmentation():
+    rng = random.Random(8)
+    words = {"pass": 1, "word": 7, "password": 2, "dragon": 40, "abc": 3}
+    for _ in range(300):
+        value = "".join(rng.choice(["pass", "Word", "abc", "qwe", "aaa", "x", "Z", "-", "7", "dragon", "ab"]) for _ in range(rng.randrange(1, 6)))
+        assert abs(secret_scan.log_guesses(value, words) - cheapest(value, words)) < 1e-9, value
