@@ -212,6 +212,8 @@ def _extract():
         "extract_inspections_caseless": _mart_query(X.extract_inspections),
         "page_plan": _mart_query(X.page_plan_query),
         "page_read": _mart_query(X.page_read_query),
+        "paged_source": _mart_query(X.paged_source_query),
+        "keyset_pages": _mart_query(X.keyset_pages_query),
         "required_gate": _mart_query(X.required_gate_query),
         "location_category": _mart_query(X.location_category_query),
         "load_mode_window": _mart_query(X.window_counts_query),

@@ -74,6 +74,28 @@ def with_pages(df: DataFrame, group: list[str], order: list[str], page_size: int
     return positions(df, group, order).withColumn("page", F.floor(F.col("_pos") / page_size).cast("bigint")).drop("_pos")
 
 
+def keyset_plan(df: DataFrame, group: str, key: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """One row per page ``(key, page, low, high, n_rows)`` by ranges of a unique key: a page asks
+    for ``low <= key < high`` in place of LIMIT and OFFSET.  The bounds are the key's quantiles
+    at every ``page_size`` rows; a group's first page has no lower and its last no upper bound.
+
+    LIMIT/OFFSET pages shift when rows come or go between two reads, so rows are read twice or not
+    at all.  A key stays in its range: rows that arrive later fall in one page, and every row that
+    was there when the plan was made is read once."""
+    placed = positions(df.select(F.col(group).alias("key"), F.col(key).alias("low")), ["key"], ["low"])
+    page = F.floor(F.col("_pos") / page_size).cast("bigint")
+    # a page's rows lie together: its bounds come from partial aggregates
+    pages = placed.groupBy("key", page.alias("page")).agg(F.min("low").alias("low"), F.count(F.lit(1)).alias("n_rows"))
+    after = pages.select("key", (F.col("page") - 1).alias("page"), F.col("low").alias("high"))
+    return pages.join(after, ["key", "page"], "left").select(
+        "key", "page", F.when(F.col("page") > 0, F.col("low")).alias("low"), "high", "n_rows")
+
+
+def in_page(key: Column, low: Column, high: Column) -> Column:
+    """Whether a key belongs to a page of a keyset plan."""
+    return (low.isNull() | (key >= low)) & (high.isNull() | (key < high))
+
+
 # ------------------------------------------------------------------ fetchers
 Fetcher = Callable[[str, int, int, int], str]
 
