@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from civic_mart import schemas
 from civic_mart.operators import dims, ledger
 from civic_mart.operators.quality import tag_required
-from civic_mart.plans.pipeline import JOB_311, JOB_DIM_LOC_311, JOB_DIM_LOC_INS, JOB_INS, REQUEST_REQUIRED, SNAPSHOT_START, Mart
+from civic_mart.plans.pipeline import (JOB_311, JOB_DIM_LOC_311, JOB_DIM_LOC_INS, JOB_DIM_VIO, JOB_INS, REQUEST_REQUIRED,
+                                       SNAPSHOT_START, Mart)
 from civic_mart.sources import runs, sinks
 from civic_mart.sources.runs import read_ledger
 
@@ -166,6 +167,53 @@ def run_dim_location(mart: Mart, root: str, mode: str) -> None:
         runs.commit(spark, root, job, run_id, mode, F.lit(str(latest)), mart.run_time())
 
 
+def run_violations(mart: Mart, root: str, mode: str, version: int, side: str, latest, now, fail: bool = False) -> None:
+    """DimRestaurantViolation as a stored load: expire changed versions and add new ones past the
+    load's watermark, as the next version of the dimension, then commit the ledger row.  ``fail``:
+    the run dies between the two."""
+    spark, run_id = mart.spark, run_id_of(mart, mode)
+    if runs.committed(spark, root, JOB_DIM_VIO, run_id):
+        return
+    mark = runs.watermark(spark, root, JOB_DIM_VIO, "9999-12-31 00:00:00")
+    rows = dims.pairs_as_rows(mart.violation_pairs, side)
+    if side == "before":
+        rows = rows.where(F.col("inspection_date") <= latest)
+
+    def build(current: DataFrame | None) -> DataFrame:
+        dim = current if current is not None else spark.createDataFrame([], schemas.struct(schemas.DIM_RESTAURANT_VIOLATION))
+        return dims.scd2_apply(rows, mart.focus_violations(version), dim, mark, now)
+
+    sinks.update_versioned(spark, f"{root}/dim_violation", build, schemas.DIM_RESTAURANT_VIOLATION, tag=run_id)
+    if fail:
+        raise RuntimeError("run died after writing dim_violation")
+    runs.commit(spark, root, JOB_DIM_VIO, run_id, mode, latest, now)
+
+
+def scd2_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(table_name, id, cuisine, code, category, first, last, is_current)``: the violation dimension
+    and its ledger after two stored loads, read back.  Categories change between the loads; the
+    second one dies before it commits and is run again."""
+    root = sinks.scratch_path(spark, "violation-job")
+    mart = Mart(spark, sf_dir, run_utc=SECOND_RUN_UTC)
+    mid = mart.watermark(JOB_DIM_VIO)  # the first load saw inspections up to here
+    run_violations(mart, root, "snapshot", 1, "before", mid, mid)
+    newest = ledger.source_max(mart.m.inspections(), "inspection_date")
+    try:
+        run_violations(mart, root, "increment", 2, "after", newest, mart.run_time(), fail=True)
+    except RuntimeError as e:
+        if "run died" not in str(e):
+            raise
+    run_violations(mart, root, "increment", 2, "after", newest, mart.run_time())
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    dim = sinks.read_versioned(spark, f"{root}/dim_violation").select(
+        F.lit("dim_violation").alias("table_name"), F.col("RestaurantViolationID").alias("id"), F.col("Cuisine").alias("cuisine"),
+        F.col("ViolationCode").alias("code"), F.col("Category").alias("category"), at("StartDate").alias("first"),
+        at("EndDate").alias("last"), F.col("IsCurrent").alias("is_current"))
+    none = F.lit(None).cast("string")
+    return dim.unionAll(read_ledger(spark, root).select(F.lit("ledger"), "job_name", none, none, "run_mode", at("latest_record_date"),
+                                                        at("execution_date"), F.lit(None).cast("bigint")))
+
+
 def as_of(spark: SparkSession, sf_dir: str, run_utc: str) -> Mart:
     """The mart as a run at that instant finds it: sources hold what lies before its local day."""
     full = Mart(spark, sf_dir, run_utc=run_utc)

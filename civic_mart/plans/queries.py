@@ -190,6 +190,13 @@ def scd2_insert(spark, sf_dir):
     return _text_validity(Mart(spark, sf_dir).violations_new())
 
 
+def scd2_job(spark, sf_dir):
+    """Two stored loads of DimRestaurantViolation, the second one run again after it
+    died; the dimension and the ledger read back."""
+    from civic_mart.plans.jobs import scd2_runs
+    return scd2_runs(spark, sf_dir)
+
+
 def fact_rodent_issue(spark, sf_dir):
     """Fact refresh, pre-aggregated exact form (oracle: the literal 12-relation join)."""
     return Mart(spark, sf_dir).fact()
@@ -256,6 +263,7 @@ def registry() -> dict[str, Query]:
         "dim_location_incremental": dim_location_incremental,
         "scd2_expire": scd2_expire,
         "scd2_insert": scd2_insert,
+        "scd2_job": scd2_job,
         "fact_rodent_issue": fact_rodent_issue,
         **_extract(),
         "stream_geocode_requests": stream_geocode_requests,

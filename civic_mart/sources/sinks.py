@@ -4,13 +4,18 @@ Parquet tables have no UPDATE / DELETE / MERGE.  A table that must be rewritten
 from itself (SCD-2 expiry) is written as a new version folder and an
 append-only version log names the current version, so readers never see a
 half-written table and a failed job leaves the old version in place.
+
+The log holds one small file a version, named by its sequence number.  A writer claims the
+next number by creating that file exclusively: of two writers one wins, and the other builds
+its version anew from what the winner left.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,16 +44,33 @@ def _log(root: str) -> str:
     return f"{root.rstrip('/')}/_versions"
 
 
+def _files(spark: SparkSession, path: str):
+    """The JVM's path and file system (any that Spark can write)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(sequence number, version folder) of every claim, newest first.  A claim whose writer died
+    before it named its version has an empty name."""
+    log, fs = _files(spark, _log(root))
+    if not fs.exists(log):
+        return []
+    out = []
+    for f in fs.listStatus(log):
+        name = f.getPath().getName()
+        if name.startswith("seq-"):
+            stream = fs.open(f.getPath())
+            try:
+                out.append((int(name[4:]), spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            finally:
+                stream.close()
+    return sorted(out, reverse=True)
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Path of the newest complete version (None before the first write)."""
-    try:
-        log = spark.read.schema("version string, written_at timestamp, seq long").parquet(_log(root))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # only "no log yet" means "no version"
-            raise
-        return None
-    row = log.orderBy(F.col("seq").desc(), F.col("written_at").desc()).select("version").first()
-    return f"{root.rstrip('/')}/{row['version']}" if row else None
+    return next((f"{root.rstrip('/')}/{name}" for _, name in versions(spark, root) if name), None)
 
 
 def read_versioned(spark: SparkSession, root: str) -> DataFrame | None:
@@ -56,23 +78,46 @@ def read_versioned(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(cur) if cur else None
 
 
+def claim_version(spark: SparkSession, root: str, seq: int, name: str) -> bool:
+    """Whether this writer is the one that gets sequence number ``seq``."""
+    path, fs = _files(spark, f"{_log(root)}/seq-{seq:010d}")
+    try:
+        out = fs.create(path, False)  # fails if it exists
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or fs.exists(path):
+            return False
+        raise
+    out.write(bytearray(name.encode("utf-8")))
+    out.close()
+    return True
+
+
+def update_versioned(spark: SparkSession, root: str, build: Callable[[DataFrame | None], DataFrame], ddl: str | None = None,
+                     tag: str = "", attempts: int = 10) -> str:
+    """Write ``build(current table or None)`` as the next version; returns its path.
+
+    If another writer claims the number first, the version is built again from the new state.
+    With a ``tag`` (letters, digits, - and _) a run that has already made its version, and is run
+    again, makes no other."""
+    root = root.rstrip("/")
+    for _ in range(attempts):
+        known = versions(spark, root)
+        done = next((n for _, n in known if tag and n.startswith(f"v-{tag}-")), None)
+        if done:
+            return f"{root}/{done}"
+        cur = next((n for _, n in known if n), None)
+        name = f"v-{tag}-{uuid.uuid4().hex}" if tag else f"v-{uuid.uuid4().hex}"
+        write_table(build(spark.read.parquet(f"{root}/{cur}") if cur else None), f"{root}/{name}", "overwrite", ddl)
+        if claim_version(spark, root, known[0][0] + 1 if known else 0, name):
+            return f"{root}/{name}"
+    raise RuntimeError(f"{root}: other writers took {attempts} versions in a row")
+
+
 def write_versioned(df: DataFrame, root: str, ddl: str | None = None) -> str:
-    """Write a full new version next to the old one, then append its name to the
-    version log.  Readers follow the log, so they see the old version or the new
-    one, never a half-written table; a failed write leaves the old version current.
-    Everything goes through Spark's writers (any file system Spark can write)."""
-    spark = df.sparkSession
-    name = f"v-{uuid.uuid4().hex}"
-    target = f"{root.rstrip('/')}/{name}"
-    write_table(df, target, "overwrite", ddl)
-    cur = current_version(spark, root)
-    seq = 0
-    if cur is not None:
-        seq = spark.read.parquet(_log(root)).agg(F.max("seq")).first()[0] + 1
-    entry = spark.range(1).select(F.lit(name).alias("version"), F.current_timestamp().alias("written_at"),
-                                  F.lit(seq).cast("long").alias("seq"))
-    entry.coalesce(1).write.mode("append").parquet(_log(root))
-    return target
+    """Write a full new version next to the old one, then claim the next sequence number for
+    it.  Readers follow the log, so they see the old version or the new one, never a
+    half-written table; a failed write leaves the old version current."""
+    return update_versioned(df.sparkSession, root, lambda _: df, ddl)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
