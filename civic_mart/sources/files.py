@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from civic_mart import schemas
 from civic_mart.operators import spatial
+from civic_mart.sources import feature_ranges
 
 
 def read_csv_strings(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -79,13 +80,13 @@ def geometry_wkt(geom: Column) -> Column:
 def read_geojson_features(spark: SparkSession, path: str, props: list[str], collection: bool = False) -> DataFrame:
     """Features of a GeoJSON layer: ``geometry`` (type, raw coordinates) and string properties.
 
-    ``collection=True`` reads FeatureCollection documents (one per file, multi-line);
-    at scale layers are better stored one feature per line (the default)."""
+    ``collection=True`` reads FeatureCollection documents (one per file, of any size and layout)
+    in byte ranges, so one large document is read by many tasks."""
     fs = _feature_schema(props)
     if collection:
-        doc = T.StructType([T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(fs))])
-        df = spark.read.option("multiLine", True).schema(doc).json(path)
-        return df.select(F.explode("features").alias("f")).select("f.*")
+        text = feature_ranges.feature_texts(spark, path)
+        return text.where(F.get_json_object("feature", "$.type") == "Feature").select(
+            F.from_json("feature", fs).alias("f")).select("f.*")
     return spark.read.schema(fs).json(path)
 
 

@@ -140,3 +140,31 @@ def test_clustered_runs_let_an_increment_skip_files(spark, tmp_dir):
     hit, files = touched("sorted")
     assert files > 4 and hit < files / 2
     assert touched("plain")[0] == touched("plain")[1]
+
+
+def test_a_feature_collection_is_read_in_byte_ranges(spark, tmp_dir):
+    """Ranges of any size cut out the same features: braces, quotes and escapes in strings, nested
+    values, other members of the document, ranges that begin inside strings or escapes."""
+    import random
+
+    from civic_mart.sources import feature_ranges
+
+    rng = random.Random(4)
+    odd = ["plain", 'a "quoted" {brace', "back\\\\slash \\", "Feature", "[}]{", "é中\U0001F642", "", "\\" * 7, '"' * 5, "x" * 3000]
+    features = [{"type": "Feature", "properties": {"name": rng.choice(odd), "deep": [{"a": [1, {"b": rng.choice(odd)}]}]},
+                 "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i, 1], [i + 1, 1], [i, 0]]]}} for i in range(120)]
+    doc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"n": "{[\\"}}, "bbox": [0, 1],
+           "features": features, "end": "}"}
+    for n, text in enumerate([json.dumps(doc), json.dumps(doc, indent=2, ensure_ascii=False)]):
+        path = f"{tmp_dir}/doc{n}.json"
+        open(path, "w", encoding="utf-8").write(text)
+        for size in (37, 1000, 1 << 20):
+            if size == 37 and n:  # many ranges: once is enough
+                continue
+            got = [json.loads(r.feature) for r in feature_ranges.feature_texts(spark, path, size).collect()]
+            key = lambda f: json.dumps(f, sort_keys=True)
+            assert sorted(key(f) for f in got if f.get("type") == "Feature") == sorted(map(key, features)), (n, size)
+    assert feature_ranges.byte_ranges(spark, path, 1000).count() > 100
+    # nothing is read from documents without features
+    open(f"{tmp_dir}/none.json", "w").write('{"type": "FeatureCollection", "features": []}')
+    assert files.read_geojson_features(spark, f"{tmp_dir}/none.json", ["name"], collection=True).collect() == []
