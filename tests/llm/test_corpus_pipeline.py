@@ -4,6 +4,7 @@ import corpus_pipeline
 import duckdb
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from civic_mart.llm import quality, queries, secret_scan, simhash, toxicity
 from llm_data import no_docs, odd_docs
@@ -54,6 +55,28 @@ def test_stages_on_odd_rows_and_empty_tables(spark):
     assert corpus_pipeline.secrets(spark, docs, SF_SMALL).count() == docs.count()
 
 
+def test_extra_columns_may_be_called_anything(spark):
+    """Names that the stages use themselves pass through, in any case of letters."""
+    docs = odd_docs(spark).select("*", *[F.lit(i).alias(n) for i, n in enumerate(
+        ["_id", "_TEXT", "_host", "_gone", "_keep", "_rows", "text_key", "removed_words"])])
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.simhash_near_dedup, corpus_pipeline.secrets):
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns
+        assert {(r["_id"], r["_TEXT"], r["removed_words"]) for r in out.collect()} <= {(0, 1, 7)}
+
+
+def test_quality_stage_removes_boilerplate_lines(spark):
+    """A line in most documents of a host goes from every text that is kept; other texts stay."""
+    own = "".join(f"word{j} " for j in range(40))
+    rows = [(i, f"Subscribe to our letter now\n{own}{i}\n  SUBSCRIBE to our  letter now ", "en", "h", 1) for i in range(80)]
+    rows += [(100 + i, f"Subscribe to our letter now\n{own}{i}", "en", "other", 1) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.quality_rules(spark, docs, SF_SMALL).collect()}
+    assert len(got) == 83
+    assert all(got[i].text == f"{own}{i}" and got[i].n_chars == len(got[i].text) for i in range(80))
+    assert all(got[100 + i].text == rows[80 + i][1] for i in range(3))
+
+
 def test_toxicity_stage_rejects_what_the_operator_predicts(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
@@ -63,13 +86,13 @@ def test_toxicity_stage_rejects_what_the_operator_predicts(spark):
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "documents"):
+    for t in ("pages", "documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     cur = con.execute(queries.ORACLES[name])
     names = [c[0] for c in cur.description]
