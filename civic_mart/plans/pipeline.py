@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from civic_mart.functions.keys import surrogate_key
 from civic_mart.operators import dims, ledger, spatial
 from civic_mart.operators.facts import FactInputs, fact_preaggregated
-from civic_mart.operators.filters import caseless_one_of, geolocated, open_window
+from civic_mart.operators.filters import caseless_one_of, geolocated, half_open_window, open_window
 from civic_mart.operators.geocode import GeocodeSpec, LayerSpec, geocode
 from civic_mart.operators.lookups import lookup_with_default
 from civic_mart.operators.quality import split_required
@@ -100,8 +100,11 @@ class Mart:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, broadcast_limit: int = spatial.DEFAULT_BROADCAST_LIMIT,
-                 materialize: bool = True, overrides: dict[str, DataFrame] | None = None, run_utc: str = RUN_UTC):
+                 materialize: bool = True, overrides: dict[str, DataFrame] | None = None, run_utc: str = RUN_UTC,
+                 focus: bool = False):
         self.spark = spark
+        #: whether the request table is the focus extract (as in the source system) or all requests
+        self.focus = focus
         self.run_utc = run_utc
         day = ledger.local_today(datetime.fromisoformat(run_utc))
         #: staging takes requests before the run's local day, inspections before the day before it
@@ -129,7 +132,8 @@ class Mart:
         ``overrides`` are never shared (the layers do not depend on them)."""
         if not self.materialize or (self.m.overrides and what != "layers"):
             return build()
-        key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit, self.run_utc, self._state)
+        key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit, self.run_utc, self._state,
+                          self.focus and what != "layers")
         if key not in _SHARED:
             _SHARED[key] = build()
         return _SHARED[key]
@@ -162,8 +166,14 @@ class Mart:
 
     # ---------------------------------------------------------------- staging
     def valid_requests(self) -> DataFrame:
+        """Requests with every REQUIRED column; with ``focus`` those of the focus extract: a request
+        that matches two focus types (the same text in other case) is there twice."""
         valid, _ = split_required(self.m.requests(), REQUEST_REQUIRED)
-        return valid
+        if not self.focus:
+            return valid
+        types = self.spark.createDataFrame([(t,) for t in FOCUS_COMPLAINT_TYPES], "_focus string")
+        return valid.where(half_open_window("created_date", ledger.EXTRACT_SNAPSHOT_START, self.request_end)).join(
+            F.broadcast(types), F.lower("complaint_type") == F.lower("_focus")).drop("_focus")  # a fixed list of types
 
     def rejected_requests(self) -> DataFrame:
         """Requests that lack a REQUIRED column, for the quarantine table."""

@@ -202,6 +202,12 @@ def fact_rodent_issue(spark, sf_dir):
     return Mart(spark, sf_dir).fact()
 
 
+def fact_focus_chain(spark, sf_dir):
+    """SP6/W8: the whole chain from the focus extract: extract, geocode staging, dimensions, fact.
+    Requests that the extract holds twice stay twice."""
+    return Mart(spark, sf_dir, focus=True).fact()
+
+
 # ------------------------------------------------------------------ extract / loaders
 def _mart_query(fn):
     def run(spark, sf_dir):
@@ -265,6 +271,7 @@ def registry() -> dict[str, Query]:
         "scd2_insert": scd2_insert,
         "scd2_job": scd2_job,
         "fact_rodent_issue": fact_rodent_issue,
+        "fact_focus_chain": fact_focus_chain,
         **_extract(),
         "stream_geocode_requests": stream_geocode_requests,
     }
