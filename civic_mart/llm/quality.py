@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civic_mart.llm.common import materialize, table, text_of, words_of
@@ -129,23 +129,15 @@ def quality_rules(docs: DataFrame, host: str = "source", min_limit: int = MIN_LI
         "host", "text_key", "boilerplate")
 
 
-def without_lines(text, boilerplate):
-    """The text without the lines whose hashes are given (null stays null)."""
+def without_lines(text: Column, boilerplate: Column) -> Column:
+    """The text without the lines whose hashes (``line_hash``) are given; unchanged where there are none."""
+    def hashed(line: Column) -> Column:
+        low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        words = F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))
+        return F.conv(F.substring(F.md5(words), 1, 15), 16, 10).cast("long")
 
-    @F.pandas_udf("string")
-    def run(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, hashes in columns:
-            out = []
-            for t, gone in zip(texts, hashes):
-                if not isinstance(t, str) or gone is None or not len(gone):
-                    out.append(t)
-                    continue
-                gone = set(map(int, gone))
-                out.append("\n".join(line for line in t.split("\n")
-                                     if not (raw := line.encode("utf-8")).split() or line_hash(raw) not in gone))
-            yield pd.Series(out, dtype=object)
-
-    return run(text, boilerplate)
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line: ~F.array_contains(boilerplate, hashed(line))), "\n")
+    return F.when(F.size(boilerplate) > 0, kept).otherwise(text)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

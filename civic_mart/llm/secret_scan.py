@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -146,9 +147,8 @@ def introduces(text: str, name: re.Match) -> bool:
 
 def _values(text: str) -> list[tuple[int, int]]:
     """(start, end) of the values in a credential's place, none inside another."""
-    named = sorted([(m.start(), m.end(), m, VALUE) for m in NAME.finditer(text)]
-                   + [(m.start(), m.end(), m, VALUE) for m in OPTION.finditer(text)]
-                   + [(m.start(), m.end(), m, INNER) for m in ELEMENT.finditer(text)], key=lambda x: x[:2])
+    named = heapq.merge(*(((m.start(), m.end(), m, v) for m in p.finditer(text))
+                          for p, v in ((NAME, VALUE), (OPTION, VALUE), (ELEMENT, INNER))), key=lambda x: x[:2])
     out, at = [], 0  # at: end of the last value
     for start, end, m, pattern in named:
         if start < at or not introduces(text, m) or not (v := pattern.match(text, end)):
@@ -179,6 +179,8 @@ def spans_of(text: str, min_log_guesses: float = MIN_LOG_GUESSES) -> list[tuple[
     if "://" in low or any(h in low for h in CONTEXT_HINTS):
         base = sorted((a, b) for a, _, b in found)
         for a, b in sorted(_values(text)):
+            inner = min((x for x, _ in base if a < x < b), default=b)  # another secret follows in a list
+            b = b if inner == b else a + len(text[a:inner].rstrip("\"'.,;:!?)]}>"))
             if any(x <= a and b <= y for x, y in base):
                 continue  # a base span holds it already
             if a < b and log_guesses(text[a:b]) >= min_log_guesses:

@@ -47,8 +47,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     j = docs.join(told, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(t))
                   & (F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col(h)), "left").where(
         F.coalesce(F.col(keep), F.lit(True)))
-    return sized(docs, j.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(
-        quality.without_lines(F.col("text"), F.col(gone)))))
+    return sized(docs, j.withColumn("text", quality.without_lines(F.col("text"), F.col(gone))))
 
 
 def sized(docs: DataFrame, changed: DataFrame) -> DataFrame:
