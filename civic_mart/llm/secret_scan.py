@@ -147,8 +147,10 @@ def introduces(text: str, name: re.Match) -> bool:
 
 def _values(text: str) -> list[tuple[int, int]]:
     """(start, end) of the values in a credential's place, none inside another."""
-    named = heapq.merge(*(((m.start(), m.end(), m, v) for m in p.finditer(text))
-                          for p, v in ((NAME, VALUE), (OPTION, VALUE), (ELEMENT, INNER))), key=lambda x: x[:2])
+    def places(name: re.Pattern, value: re.Pattern) -> Iterator[tuple]:
+        return ((m.start(), m.end(), m, value) for m in name.finditer(text))
+
+    named = heapq.merge(places(NAME, VALUE), places(OPTION, VALUE), places(ELEMENT, INNER), key=lambda x: x[:2])
     out, at = [], 0  # at: end of the last value
     for start, end, m, pattern in named:
         if start < at or not introduces(text, m) or not (v := pattern.match(text, end)):
