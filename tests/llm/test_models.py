@@ -211,6 +211,33 @@ def test_probabilities_sum_to_one():
         assert own + exact.back_off()[k] == pytest.approx(1, abs=1e-9)
 
 
+def test_predictive_sums_to_one_over_buckets():
+    """The job's own steps on several buckets: in every context, seen or not, the averaged
+    probabilities of all known words and the unknown one sum to one."""
+    rng = np.random.default_rng(3)
+    classes, texts = pitman_yor.CLASSES, [" ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 400) for _ in range(200)]
+    chunk = pitman_yor.Chunk(texts, np.zeros(len(texts), bool), 5)
+    asked = pd.DataFrame(list(chunk.by_bucket(True)), columns=["bucket", "words", "pairs", "classes", "counts"])
+    model = pd.concat([pitman_yor._merge((b,), part) for b, part in asked.groupby("bucket")], ignore_index=True)
+    tokens, pairs = np.stack(model["class_tokens"]).sum(0), np.stack(model["class_pairs"]).sum(0)
+    types = sum(len(w) // 8 for w in model["words"])
+    all_ = pitman_yor.Restaurants(int(tokens.sum()), types, tokens, pairs, pairs.sum(), types, 0.7, 0.6)
+    seated = pd.concat(pitman_yor._seatings(all_, 4)(iter([model])), ignore_index=True)
+    tables = np.stack(seated["class_tables"]).sum(0).reshape(pitman_yor.SAMPLES, classes)
+    customers, root = (np.stack(seated[c]).sum(0) for c in ("customers", "root_totals"))
+    seatings = [pitman_yor.Restaurants(all_.n, types, tokens, tables[i], customers[i], root[i], 0.7, 0.6)
+                for i in range(pitman_yor.SAMPLES)]
+    total = np.mean([a.back_off() * a.unknown() for a in seatings], axis=0)  # the unknown token in each class
+    for row in seated.itertuples():
+        p, parents = pitman_yor.predictive(row, seatings)
+        word = np.frombuffer(row.pair_word, np.uint32).astype(np.int64)
+        cls = np.frombuffer(row.classes, np.uint8).astype(np.int64)
+        every = np.mean([a.back_off()[:, None] * parent for a, parent in zip(seatings, parents)], axis=0)  # (class, word)
+        every[cls, word] = p
+        total += every.sum(1)
+    assert np.allclose(total, 1, atol=1e-9)
+
+
 def test_seating_follows_the_restaurant_process():
     """Mean tables of the sampler against the exact recursion of the process."""
     c, weight, d = 40, 3.0, 0.5
