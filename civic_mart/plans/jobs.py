@@ -130,8 +130,8 @@ def run_geocode(mart: Mart, root: str, mode: str, variant: str = "literal",
 
     _stage(mart, root, mode, variant, "requests", mart.m.requests(), "created_date", mart.request_end,
            stage("requests", lambda v: mart.stage_requests(src=v)), REQUEST_REQUIRED)
-    # no dates: always whole; committed with the inspections
-    runs.write_run(mart.stage_applications(), root, "applications", run_id_of(mart, mode), schemas.STAGE_OPEN_RESTAURANT_LOCATION)
+    if not runs.committed(mart.spark, root, JOB_INS, run_id_of(mart, mode)):  # no dates: always whole; committed with the inspections
+        runs.write_run(mart.stage_applications(), root, "applications", run_id_of(mart, mode), schemas.STAGE_OPEN_RESTAURANT_LOCATION)
     _stage(mart, root, mode, variant, "inspections", mart.m.inspections(), "inspection_date", mart.inspection_end,
            stage("inspections", lambda v: mart.stage_inspections(src=v)), None)
 
@@ -283,7 +283,7 @@ def boundary_sources(spark: SparkSession, sf_dir: str) -> tuple[Mart, Mart]:
 
 
 def boundary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(variant, table_name, n_rows, n_keys, sum_keys, latest)`` of the staged records after both runs."""
+    """``(variant, table_name, key, at)``: the staged records and the ledger of both variants after both runs."""
     parts = []
     for variant in VARIANTS:
         root = sinks.scratch_path(spark, f"geocode-{variant}")
