@@ -56,10 +56,10 @@ def wkt_rings(wkt: Column) -> Column:
     """POLYGON / MULTIPOLYGON WKT -> ``array<array<struct<x:double,y:double>>>``.
 
     One split per ring into a flat list of numbers, read pairwise (x, y)."""
-    rings = F.regexp_extract_all(wkt, F.lit(_RING_RE), 1)
+    # a lambda's argument is evaluated once: a ring is split once, not anew for each of its numbers
+    rings = F.transform(F.regexp_extract_all(wkt, F.lit(_RING_RE), 1), lambda r: F.split(F.trim(r), r"[\s,]+"))
 
-    def ring(r: Column) -> Column:
-        nums = F.split(F.trim(r), r"[\s,]+")
+    def ring(nums: Column) -> Column:
         return F.transform(
             F.sequence(F.lit(0), F.floor(F.size(nums) / 2).cast("int") - 1),
             lambda i: F.struct(nums[i * 2].cast("double").alias("x"), nums[i * 2 + 1].cast("double").alias("y")))
@@ -67,6 +67,13 @@ def wkt_rings(wkt: Column) -> Column:
     return F.transform(rings, ring)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt to all cores.  A table of polygons is small on disk for the work that each of
+    its rows asks for: read as files and row groups split it, a few tasks would do it all."""
+    spark = df.sparkSession
+    return df.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def ring_edges(rings: Column) -> Column:
     """Rings -> flat edge list (consecutive vertex pairs of every ring; a single point has none)."""
     per_ring = F.transform(
@@ -163,7 +170,7 @@ def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col:
     it both are computed anew by each lookup."""
     keep = materialize or (lambda df: df)
     store = materialize or (lambda df: sinks.materialize(df, "layer-split"))  # a round reads the one before often
-    parsed = polygons.select(
+    parsed = spread(polygons).select(
         borough_key(F.col(borough_col)).alias("_bkey"), F.col(id_col).alias("_pid"),
         ring_edges(wkt_rings(F.col(geom_col))).alias("_edges"), *[F.col(a) for a in attrs])
     # bounds from the edge list in one pass (a struct of four running extremes)
@@ -185,23 +192,22 @@ def prepare_layer(polygons: DataFrame, geom_col: str, borough_col: str, id_col:
         cell = math.sqrt(st["area"]) if st["area"] else 1.0
     cell = float(cell)
     widest = max(1.0, (st["side"] or 0.0) / cell)  # cells along the longest side of a polygon
-    entries = keep(_base_entries(df, cell, widest))
-    done, splits, parts = [], [], entries
+    parts = keep(_counted(_base_entries(df, cell, widest), cell_edges, cell_polygons))
+    done, splits, where = [], [], ["_bkey", "_ix", "_iy"]
     for rounds in range(MAX_ROUNDS):
-        crowded = _crowded(parts, cell_edges, cell_polygons)
-        n = crowded.count()
-        if not n:
+        crowded, st = _measured(parts.where("_crowded").select(*where).distinct(), store, n=F.count(F.lit(1)))
+        if not st["n"]:
             break
-        crowded = store(crowded)
-        where = ["_bkey", "_ix", "_iy"]
-        done.append(store(parts.join(crowded, where, "left_anti")))
-        splits.append((crowded, n))
+        splits.append((crowded, st["n"]))
         level = (rounds + 1) * SPLIT_BITS
-        parts = store(_refine(parts.join(crowded, where, "left_semi"), cell, level - SPLIT_BITS, level))
-    done.append(parts)
+        small = _refine(parts.where("_crowded").drop("_crowded"), cell, level - SPLIT_BITS, level)
+        done.append(parts.where("NOT _crowded"))
+        parts = store(_counted(small, cell_edges, cell_polygons))
+    done.append(parts)  # after the last round crowded cells stay as they are
     entries = done[0]
     for d in done[1:]:
         entries = entries.unionByName(d)
+    entries = entries.drop("_crowded")
     cells, size = _measured(_cells(entries, attrs), materialize, bytes=F.sum("_bytes"))
     return Layer(df=df, attrs=tuple(attrs), cell=cell, size_bound=int(size["bytes"] or 0), cells=cells, entries=entries,
                  splits=splits, rejected=rejected)
@@ -297,11 +303,17 @@ def _base_entries(df: DataFrame, cell: float, widest: float) -> DataFrame:
     return out
 
 
-def _crowded(entries: DataFrame, cell_edges: int, cell_polygons: int) -> DataFrame:
-    """Cells that hold too much: counted only, nothing is collected."""
-    return entries.groupBy("_bkey", "_ix", "_iy").agg(
-        F.sum(F.size("_edges")).alias("e"), F.count_if(F.size("_edges") > 0).alias("p")).where(
-        (F.col("e") > cell_edges) | (F.col("p") > cell_polygons)).select("_bkey", "_ix", "_iy")
+def _counted(entries: DataFrame, cell_edges: int, cell_polygons: int) -> DataFrame:
+    """Entries (of one level) that a point can find, with ``_crowded``: whether their cell holds too much.
+
+    Polygons behind the first that covers a whole cell are never the smallest id of a point there.
+    They go before the cells are counted and split, so that polygons lying many deep are not carried
+    down to ever smaller cells.  One shuffle by cell; nothing is collected."""
+    w = Window.partitionBy("_bkey", "_ix", "_iy")
+    cover = F.min(F.when(F.size("_edges") == 0, F.col("_pid"))).over(w)
+    rows = entries.withColumn("_cover", cover).where(F.col("_cover").isNull() | (F.col("_pid") <= F.col("_cover"))).drop("_cover")
+    return rows.withColumn("_crowded", (F.sum(F.size("_edges")).over(w) > cell_edges)
+                           | (F.count_if(F.size("_edges") > 0).over(w) > cell_polygons))
 
 
 def exploded_layer(layer: Layer) -> DataFrame:

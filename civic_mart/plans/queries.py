@@ -64,7 +64,7 @@ def slanted_containment(spark, sf_dir):
     Coordinates are multiples of 2^-16 (the diamonds' of 2^-14), and steps are of 2^-62 or the
     spacing of doubles at the point, so the oracle can calculate in whole numbers."""
     m = Model(spark, sf_dir)
-    diamonds = _t(spark, sf_dir, "customer").selectExpr(*[f"{e} AS {c}" for c, e in M.DIAMOND.items()])
+    diamonds = spatial.spread(_t(spark, sf_dir, "customer")).selectExpr(*[f"{e} AS {c}" for c, e in M.DIAMOND.items()])
     b = m.boroughs()
     diamonds = diamonds.join(b, F.col("band") == F.col("_rk")).select("k", "cx", "cy", "a", "b", "r_name")
     corner = "concat(CAST((cx {0}) / 16384D AS STRING), ' ', CAST((cy {1}) / 16384D AS STRING))"

@@ -305,3 +305,23 @@ def test_side_is_exact(spark):
         plain.append(np.sign((r[0] - r[4]) * (r[3] - r[5]) - (r[1] - r[5]) * (r[2] - r[4])))
     assert got == want
     assert plain != want and 0 in want  # the plain product gets some wrong
+
+
+def test_polygons_behind_a_cover_are_not_split(spark):
+    """Polygons that lie under one of smaller id are dropped before crowded cells are split."""
+    def square(a, b, c):
+        return f"POLYGON (({a} {a}, {b} {a}, {b} {c}, {a} {c}, {a} {a}))"
+    rows = [(0, square(-9, 9, 9), "X")] + [(i, square(0.3 + i / 1000, 0.5, 0.5), "X") for i in range(1, 41)]
+    layer = spatial.prepare_layer(spark.createDataFrame(rows, "pid long, g string, b string"), "g", "b", "pid", [], cell=1.0,
+                                  cell_polygons=5)
+    assert layer.splits == []
+    pts = spark.createDataFrame([(1, 0.45, 0.45, "X"), (2, 9.5, 9.5, "X")], "k long, x double, y double, b string")
+    got = {r["k"]: r["pid"] for r in spatial.locate(pts, layer, "x", "y", "b", "").collect()}
+    assert got == {1: 0, 2: None}
+
+
+def test_layer_of_one_file_is_parsed_by_many_tasks(spark):
+    polygons = spark.createDataFrame([(i, f"POLYGON (({i} 0, {i + 1} 0, {i + 1} 1, {i} 0))", "X") for i in range(20)],
+                                     "pid long, g string, b string").coalesce(1)
+    layer = spatial.prepare_layer(polygons, "g", "b", "pid", [])
+    assert layer.df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
