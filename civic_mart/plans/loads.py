@@ -51,8 +51,9 @@ def csv_records_query(mart: Mart) -> DataFrame:
 
 def wkt_rings_query(mart: Mart) -> DataFrame:
     """SP1: WKT of the block layer parsed to rings; ring / vertex counts and bounds per polygon."""
-    blocks = mart.m.layer("blocks")
-    rings = spatial.wkt_rings(F.col("the_geom"))
+    # parsed once per polygon, not once per output column
+    blocks = spatial.spread(mart.m.layer("blocks")).select("poly_id", spatial.wkt_rings(F.col("the_geom")).alias("_rings"))
+    rings = F.col("_rings")
     xs = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["x"])))
     ys = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["y"])))
     return blocks.select("poly_id", F.size(rings).cast("bigint").alias("n_rings"),

@@ -325,3 +325,7 @@ def test_layer_of_one_file_is_parsed_by_many_tasks(spark):
                                      "pid long, g string, b string").coalesce(1)
     layer = spatial.prepare_layer(polygons, "g", "b", "pid", [])
     assert layer.df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_a_ring_is_split_once(spark):
+    assert str(spatial.wkt_rings(F.col("w"))).count("split(") == 1
