@@ -132,8 +132,9 @@ class Mart:
         ``overrides`` are never shared (the layers do not depend on them)."""
         if not self.materialize or (self.m.overrides and what != "layers"):
             return build()
-        key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit, self.run_utc, self._state,
-                          self.focus and what != "layers")
+        # the layers depend neither on the run's instant nor on the focus extract
+        of_run = () if what == "layers" else (self.run_utc, self.focus)
+        key = _shared_key(self.spark, self.m.sf_dir, what, self.broadcast_limit, self._state, *of_run)
         if key not in _SHARED:
             _SHARED[key] = build()
         return _SHARED[key]

@@ -329,3 +329,13 @@ def test_layer_of_one_file_is_parsed_by_many_tasks(spark):
 
 def test_a_ring_is_split_once(spark):
     assert str(spatial.wkt_rings(F.col("w"))).count("split(") == 1
+
+
+def test_layers_are_shared_by_runs_of_different_instants(spark, tmp_dir):
+    from civic_mart.plans.pipeline import Mart
+    spark.range(3).write.parquet(f"{tmp_dir}/customer.parquet")
+    runs = [Mart(spark, tmp_dir, run_utc=f"2024-01-{d} 12:00:00") for d in (10, 11)]
+    built = [m._shared("layers", object) for m in runs]
+    assert built[0] is built[1]
+    staged = [m._shared("stage_requests", object) for m in runs]
+    assert staged[0] is not staged[1]
