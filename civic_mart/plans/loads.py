@@ -164,8 +164,9 @@ def geojson_collections_query(mart: Mart) -> DataFrame:
     features, read back as layers."""
     parts = []
     for name in ("blocks", "ntas"):
-        layer = mart.m.layer(name)
-        rings = spatial.wkt_rings(F.col("the_geom"))
+        # parsed once per polygon and on all cores, before the documents are put together
+        layer = spatial.spread(mart.m.layer(name)).withColumn("_rings", spatial.wkt_rings(F.col("the_geom")))
+        rings = F.col("_rings")
         coords = F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
         multi = F.col("the_geom").startswith("MULTIPOLYGON")
         feature = F.concat(

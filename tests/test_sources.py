@@ -168,3 +168,26 @@ def test_a_feature_collection_is_read_in_byte_ranges(spark, tmp_dir):
     # nothing is read from documents without features
     open(f"{tmp_dir}/none.json", "w").write('{"type": "FeatureCollection", "features": []}')
     assert files.read_geojson_features(spark, f"{tmp_dir}/none.json", ["name"], collection=True).collect() == []
+
+
+def test_collections_are_made_from_a_spread_layer(spark, monkeypatch):
+    """A layer of one file is dealt to all cores before its documents are put together."""
+    from types import SimpleNamespace
+
+    from civic_mart.operators import spatial
+    from civic_mart.plans import loads
+    ddl = "poly_id long, the_geom string, code string, label string"
+    rows = [(i, f"POLYGON (({i} 0, {i + 1} 0, {i + 1} 1, {i} 0))", f"B{i}", None) for i in range(3)] + [
+        (3, "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((2 0, 3 0, 3 1, 2 0)))", None, "x")]
+    parts, spread = [], spatial.spread
+
+    def seen(df):
+        out = spread(df)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(spatial, "spread", seen)
+    mart = SimpleNamespace(spark=spark, m=SimpleNamespace(layer=lambda name: spark.createDataFrame(rows, ddl).coalesce(1)))
+    got = sorted((r["layer"], r["poly_id"], r["n_rings"], r["wkt_ok"]) for r in loads.geojson_collections_query(mart).collect())
+    assert got == [(name, i, 2 if i == 3 else 1, True) for name in ("blocks", "ntas") for i in range(4)]
+    assert len(parts) == 2 and min(parts) >= spark.sparkContext.defaultParallelism
