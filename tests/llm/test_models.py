@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from civic_mart.llm import language, pitman_yor, queries, toxicity
 from civic_mart.llm.common import crc_mod
@@ -249,3 +250,83 @@ def test_seating_follows_the_restaurant_process():
     want = (p * np.arange(c + 1)).sum()
     got = pitman_yor.seat(np.full(4000, c), np.full(4000, weight), d, np.random.default_rng(1)).mean()
     assert got == pytest.approx(want, rel=0.02)
+
+
+def test_context_is_the_word_before(spark, tmp_path):
+    """Two words with the same last letters are contexts of their own (they were one class)."""
+    rows = [(i, f"x{j}aaa left{j % 2}" if i % 2 else f"y{j}aaa right{j % 2}") for j in range(4) for i in range(j * 40, j * 40 + 40)]
+    asked = [(1000, "x1aaa left1"), (1001, "x1aaa right1"), (1002, "y1aaa right1"), (1003, "y1aaa left1")]
+    spark.createDataFrame(rows + asked, "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    got = {r.doc_id: r.score for r in pitman_yor.lm_scores(spark.read.parquet(f"{tmp_path}/d"), F.col("doc_id") >= 1000,
+                                                           buckets=3).collect()}
+    assert got[1000] > got[1001] + 0.5 and got[1002] > got[1003] + 0.5
+
+
+def test_lm_sums_to_one_in_every_word_context(spark, tmp_path, monkeypatch):
+    """All tokens that can follow a word, the unknown one included, share its mass, through the job."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, 30) % 60) for _ in range(120)]
+    words = sorted({w for t in texts for w in t.split()})
+    before = [*words[:6], "never seen"]
+    asked = [f"{u} {w}" for u in before for w in [*words, "?"]] + [*words, "?", "", *before]
+    spark.createDataFrame(list(enumerate(texts + asked)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d")
+    kept = f"{tmp_path}/tokens"
+
+    def score(n, types, discount, start):
+        def run(key, tokens, answers):
+            t = next(tokens.itertuples())
+            _, log_p, _ = pitman_yor.token_scores(t, answers, discount, start)
+            ends = np.cumsum(np.frombuffer(t.sizes, np.int64))
+            pd.Series([log_p[e - s:e] for s, e in zip(np.frombuffer(t.sizes, np.int64), ends)], index=t.doc_ids).to_pickle(kept)
+            return scored(key, tokens, answers)
+        scored = real(n, types, discount, start)
+        return run
+
+    real = pitman_yor._score
+    monkeypatch.setattr(pitman_yor, "_score", score)
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    pitman_yor.lm_scores(docs, F.col("doc_id") >= len(texts), buckets=4).collect()
+    log_p = dict(zip(texts + asked, pd.read_pickle(kept).sort_index()))
+    for u in before:
+        k = len(u.split())
+        follow = [log_p[f"{u} {w}"][k] for w in [*words, "?"]] + [log_p[u][k]]
+        assert sum(10.0**x for x in follow) == pytest.approx(1, abs=1e-5)  # answers travel in single precision
+    assert sum(10.0**x for x in [log_p[w][0] for w in [*words, "?"]] + [log_p[""][0]]) == pytest.approx(1, abs=1e-5)
+
+
+def test_reseating_samples_the_posterior(monkeypatch):
+    """Gibbs steps against the posterior by its own recursion, drawn at once and customer by customer."""
+    def posterior(c, d, rate):
+        p = np.zeros(c + 2)
+        p[1] = 1
+        for i in range(1, c):
+            t = np.arange(c + 2)
+            p = p * np.maximum(i - d * t, 0) + np.concatenate([[0], (p * rate(t))[:-1]])
+        return p[:c + 1] / p.sum()
+
+    rng = np.random.default_rng(2)
+    for c, d, strength, others in ((3, 0.5, 1.0, 0.0), (40, 0.7, 5.0, 3.0)):
+        want = posterior(c, d, lambda t: (strength + d * (others + t)) * (2.0 + t) / (9.0 + t))
+        full = lambda x: np.full(20000, x)
+        for drawn, steps in ((64, 1), (0, 40)):
+            monkeypatch.setattr(pitman_yor, "DRAWN", drawn)
+            tables = full(1)
+            for _ in range(steps):
+                tables = pitman_yor.reseat(full(c), tables, d, strength, full(others), full(2.0), full(9.0), rng)
+            assert np.allclose(np.bincount(tables, minlength=c + 1) / 20000, want, atol=0.015)
+    # the curve for large dishes goes on where the table ends
+    c = np.full(6, pitman_yor.EXACT)
+    t = np.array([1, 2, 3, 10, 50, 300])
+    assert np.allclose(pitman_yor.sits_alone(c, t, 0.7), pitman_yor.sits_alone(c + 1, t, 0.7), rtol=0.01)
+
+
+def test_lm_buckets_grow_with_the_texts(spark, tmp_path, monkeypatch):
+    odd_docs(spark).write.parquet(f"{tmp_path}/d")
+    monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", 20)
+    seen, real = [], pitman_yor._table_totals
+    monkeypatch.setattr(pitman_yor, "_table_totals", lambda *a: seen.append(a[2]) or real(*a))
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    size = sum(len((r.text or "").encode()) for r in docs.collect())
+    monkeypatch.setattr(pitman_yor, "MIN_BUCKETS", 1)
+    pitman_yor.lm_scores(docs, crc_mod("doc_id", 5) == 1).count()
+    assert seen == [max(size // 20, int(spark.conf.get("spark.sql.shuffle.partitions")))]
