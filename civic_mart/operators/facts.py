@@ -30,6 +30,8 @@ DEFAULT_OPEN_TYPE = "none"
 
 FACT_COLS = ["RodentIssueID", "LocationID", "RestaurantViolationID", "OpenRestaurantID", "DateID", "TimeID",
              "ComplaintID", "NumberOfComplaints", "NumberOfViolations", "AvgResolveTimeForComplaints"]
+# requests or visits that one task joins and aggregates: what a task holds does not grow with the input
+ROWS_PER_TASK = 100_000
 GROUP_IDS = ["LocationID", "RestaurantViolationID", "OpenRestaurantID", "DateID", "TimeID", "ComplaintID"]
 
 
@@ -63,6 +65,11 @@ def _member_ids(members: DataFrame, id_col: str) -> F.Column:
     return members.agg(F.array_sort(F.collect_list(id_col))).scalar()
 
 
+def _tasks(stored: DataFrame) -> int:
+    spark = stored.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), stored.count() // ROWS_PER_TASK)
+
+
 def _with_id(df: DataFrame) -> DataFrame:
     return df.select(surrogate_key(*[F.col(c) for c in GROUP_IDS]).alias("RodentIssueID"), *FACT_COLS[1:])
 
@@ -81,7 +88,9 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
 
     ``keep`` stores an intermediate that two parts read.  Every staged request location
     has its request (staging is made from the requests), so the blocks with requests are
-    known from the staging table alone.  The planner sizes every join."""
+    known from the staging table alone.  The planner sizes every join, but requests and visits are
+    dealt to as many tasks as they need, since a fixed number of tasks would hold ever more of them."""
+    tasks = _tasks(x.request_locations)
     # --- requests: one aggregate row per location, block, date, hour and complaint
     located = x.request_locations.select("unique_key", F.col("block_bctcb2020").alias("_b"),
                                          F.col("locationType").alias("_t")).join(
@@ -95,8 +104,10 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
         cal.hour_diff(F.col("created_date"), F.col("closed_date")).alias("_hours_open"),
         F.coalesce("complaint_type", F.lit(DEFAULT_COMPLAINT_TYPE)).alias("_ct"),
         F.coalesce("descriptor", F.lit(DEFAULT_COMPLAINT_DESCRIPTION)).alias("_cd"))
-    r = (r.join(complaints, ["_ct", "_cd"]).join(dates, "_date").join(hours, "_hour").join(located, "unique_key")
-         .groupBy("LocationID", "_b", "_t", "DateID", "TimeID", "ComplaintID").agg(
+    group = ["LocationID", "_b", "_t", "DateID", "TimeID", "ComplaintID"]
+    r = r.join(complaints, ["_ct", "_cd"]).join(dates, "_date").join(hours, "_hour").repartition(tasks, "unique_key")
+    r = (r.join(located.repartition(tasks, "unique_key"), "unique_key").select(*group, "unique_key", "_hours_open")
+         .repartition(tasks, *group).groupBy(*group).agg(
              F.count_distinct("unique_key").alias("NumberOfComplaints"), F.avg("_hours_open").alias("_avg")))
 
     # --- inspections: the visits of every staged inspection location with their violation member
@@ -133,8 +144,11 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
     # --- visits in a (block, type) without a request: no location, complaint or open restaurant
     no_complaint = _member_ids(complaints.where((F.col("_ct") == DEFAULT_COMPLAINT_TYPE)
                                                 & (F.col("_cd") == DEFAULT_COMPLAINT_DESCRIPTION)), "ComplaintID")
-    alone = (visits.where(F.col("RestaurantViolationID").isNotNull())
-             .join(located.select("_b", "_t").distinct(), ["_b", "_t"], "left_anti").join(dates, "_date").join(hours, "_hour")
+    visited = visits.where(F.col("RestaurantViolationID").isNotNull())
+    somewhere = F.col("_b").isNotNull() & F.col("_t").isNotNull()  # other visits match no block and need no shuffle
+    unasked = visited.where(somewhere).repartition(_tasks(visits), "_b", "_t").join(
+        located.select("_b", "_t").distinct(), ["_b", "_t"], "left_anti").unionByName(visited.where(~somewhere))
+    alone = (unasked.join(dates, "_date").join(hours, "_hour")
              .groupBy("RestaurantViolationID", "DateID", "TimeID").agg(F.count_distinct("_ic").alias("NumberOfViolations"))
              .withColumn("ComplaintID", F.explode(no_complaint)).withColumn("OpenRestaurantID", F.explode(not_open)))
     return _with_id(with_requests.unionByName(alone.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,18 @@ def test_fact_scans_each_source_once(spark):
     # 'visits' is read twice here, without a store between: two scans; a stored one leaves none
     kept = fact_preaggregated(mart.fact_inputs(), mart._keep)._jdf.queryExecution().executedPlan().toString()
     assert sum("FileScan" in line and "lineitem.parquet" in line for line in kept.split("\n")) == 0
+
+
+def test_fact_deals_rows_to_as_many_tasks_as_they_need(spark, monkeypatch):
+    """Requests and visits go to more tasks as there are more of them (it was a fixed number)."""
+    from civic_mart.operators import facts
+    from civic_mart.plans.pipeline import Mart
+    inputs = Mart(spark, SF_SMALL).fact_inputs()
+    want = rows(fact_preaggregated(inputs))
+    monkeypatch.setattr(facts, "ROWS_PER_TASK", 7)
+    fact = fact_preaggregated(inputs)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    n = inputs.request_locations.count() // 7
+    dealt = [int(k) for k in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert n > 8 and dealt.count(n) >= 3 and min(dealt) > 8
+    assert rows(fact) == want
