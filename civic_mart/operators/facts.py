@@ -144,10 +144,13 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
     # --- visits in a (block, type) without a request: no location, complaint or open restaurant
     no_complaint = _member_ids(complaints.where((F.col("_ct") == DEFAULT_COMPLAINT_TYPE)
                                                 & (F.col("_cd") == DEFAULT_COMPLAINT_DESCRIPTION)), "ComplaintID")
+    # the blocks of requests, made distinct before they meet the dimension
+    asked = x.request_locations.select(F.col("block_bctcb2020").alias("_b"), F.col("locationType").alias("_t")).distinct().join(
+        x.dim_location.select(F.col("Block").alias("_b"), F.col("LocationType").alias("_t")), ["_b", "_t"], "left_semi")
     visited = visits.where(F.col("RestaurantViolationID").isNotNull())
     somewhere = F.col("_b").isNotNull() & F.col("_t").isNotNull()  # other visits match no block and need no shuffle
     unasked = visited.where(somewhere).repartition(_tasks(visits), "_b", "_t").join(
-        located.select("_b", "_t").distinct(), ["_b", "_t"], "left_anti").unionByName(visited.where(~somewhere))
+        asked, ["_b", "_t"], "left_anti").unionByName(visited.where(~somewhere))
     alone = (unasked.join(dates, "_date").join(hours, "_hour")
              .groupBy("RestaurantViolationID", "DateID", "TimeID").agg(F.count_distinct("_ic").alias("NumberOfViolations"))
              .withColumn("ComplaintID", F.explode(no_complaint)).withColumn("OpenRestaurantID", F.explode(not_open)))
