@@ -115,7 +115,7 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
     places = x.inspection_locations.select("camis", F.col("block_bctcb2020").alias("_b"), F.col("locationType").alias("_t"))
     seen = x.inspections.select(F.col("camis").alias("_ic"), "violation_code", "cuisine_description",
                                 cal.date_id(F.col("inspection_date")).alias("_date"),
-                                F.hour("inspection_date").alias("_hour")).distinct()
+                                F.hour("inspection_date").alias("_hour"))  # not made distinct: only restaurants are counted
     visits = keep(places.join(seen, F.col("camis") == F.col("_ic"), "left").select(
         "_b", "_t", "_ic", "_date", "_hour", F.coalesce("violation_code", F.lit(DEFAULT_VIOLATION)).alias("_vc"),
         F.coalesce("cuisine_description", F.lit(DEFAULT_VIOLATION)).alias("_vu")).join(vio, ["_vc", "_vu"], "left").select(

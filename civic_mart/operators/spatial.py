@@ -104,7 +104,7 @@ def rings_to_wkt(rings: Column) -> Column:
 
 def contains(edges: Column, px: Column, py: Column) -> Column:
     """Strict containment of (px, py) in the polygon given by its edge list.  Exact."""
-    return _inside(edges, F.lit(False), px, py)
+    return _inside(edges, px, py)
 
 
 def _crosses(e: Column, px: Column, py: Column) -> tuple[Column, Column]:
@@ -112,33 +112,42 @@ def _crosses(e: Column, px: Column, py: Column) -> tuple[Column, Column]:
 
     The side (null elsewhere) is taken only where the point is in the edge's bounding box."""
     beyond = px < F.least(e["x1"], e["x2"])
-    boxed = ~beyond & (px <= F.greatest(e["x1"], e["x2"])) & (py >= F.least(e["y1"], e["y2"])) \
-        & (py <= F.greatest(e["y1"], e["y2"]))
+    boxed = (px <= F.greatest(e["x1"], e["x2"])) & (py >= F.least(e["y1"], e["y2"])) \
+        & (py <= F.greatest(e["y1"], e["y2"])) & ~beyond
     side = F.when(boxed, exact.side(e["x1"], e["y1"], e["x2"], e["y2"], px, py))
     # the ray meets an edge that goes up from its left side, one that goes down from its right
     meets = beyond | F.coalesce((side != 0) & ((e["y2"] > e["y1"]) == (side > 0)), F.lit(False))
     return ((e["y1"] > py) != (e["y2"] > py)) & meets, side
 
 
-def _inside(edges: Column, start: Column, px: Column, py: Column, right_of_cell: bool = False) -> Column:
-    """Parity of the crossings of the ray from the point towards +x, beginning with ``start``,
-    and false on an edge.
-
-    With ``right_of_cell`` the edges are those of one cell and carry, for each end, whether it
-    lies in a column of cells right of theirs (``r1``, ``r2``): such an end counts as the start of
-    a line going up, which stands for the edges that the cell leaves out."""
+def _inside(edges: Column, px: Column, py: Column) -> Column:
+    """Parity of the crossings of the ray from the point towards +x, and false on an edge."""
     def step(acc: Column, e: Column) -> Column:
         crosses, side = _crosses(e, px, py)
-        odd = acc["odd"] != crosses
-        if right_of_cell:
-            odd = (odd != (e["r1"] & (e["y1"] <= py))) != (e["r2"] & (e["y2"] <= py))
-        return F.struct(odd.alias("odd"), (acc["on"] | F.coalesce(side == 0, F.lit(False))).alias("on"))
+        return F.struct((acc["odd"] != crosses).alias("odd"), (acc["on"] | F.coalesce(side == 0, F.lit(False))).alias("on"))
 
     # one pass over the edges: parity of the crossings, and whether the point lies on one
-    return F.aggregate(edges, F.struct(start.alias("odd"), F.lit(False).alias("on")), step,
+    return F.aggregate(edges, F.struct(F.lit(False).alias("odd"), F.lit(False).alias("on")), step,
                        lambda acc: acc["odd"] & ~acc["on"])
 
 
+def _inside_cell(edges: Column, start: Column, px: Column, py: Column) -> Column:
+    """The same for a point of a cell and a polygon's edges in it; the parity begins with ``start``.
+
+    The edges carry, for each end, whether it lies in a column of cells right of theirs (``r1``,
+    ``r2``): such an end counts as the start of a line going up, which stands for the edges that
+    the cell leaves out.  An edge of a cell has all its coordinates, so each is a plain yes or no: the
+    odd ones are counted, and only a point found inside is looked for on the edges.  Most edges are
+    settled by a comparison or two, which matters as lambdas are interpreted."""
+    def odd(e: Column) -> Column:
+        return (_crosses(e, px, py)[0] != (e["r1"] & (e["y1"] <= py))) != (e["r2"] & (e["y2"] <= py))
+
+    def on(e: Column) -> Column:
+        return F.coalesce(_crosses(e, px, py)[1] == 0, F.lit(False))
+
+    return (start != (F.size(F.filter(edges, odd)) % 2 == 1)) & ~F.exists(edges, on)
+
+
 @dataclass
 class Layer:
     """A polygon layer prepared for lookups.
@@ -237,7 +246,7 @@ def _refine(rows: DataFrame, cell: float, parent: int | None, level: int) -> Dat
 
     ``_odd`` is the parity that the edges outside a cell add for every point of it.  Their sum is
     the same all over the cell once each local edge's ends right of the cell count as lines going
-    up, as in ``_inside``; it is taken at the cell's centre from the parent's edges."""
+    up, as in ``_inside_cell``; it is taken at the cell's centre from the parent's edges."""
     ranges = []
     for axis in ("x", "y"):
         low, high = _index(F.col(f"_{axis}min"), cell, level), _index(F.col(f"_{axis}max"), cell, level)
@@ -269,7 +278,7 @@ def _refine(rows: DataFrame, cell: float, parent: int | None, level: int) -> Dat
 
         def outside(odd: Column, b: Column) -> Column:
             e = b["e"]
-            odd = odd != (~near(b, ix, iy, cx, cy) & _crosses(e, cx, cy)[0])
+            odd = odd != (_crosses(e, cx, cy)[0] & ~near(b, ix, iy, cx, cy))  # most edges do not cross: that is asked first
             return ends(odd, e, cy) if parent is not None else odd
 
         local = F.transform(F.filter("_boxed", lambda b: near(b, ix, iy, cx, cy)), lambda b: F.struct(
@@ -401,7 +410,7 @@ def locate(points: DataFrame, layer: Layer, x: str, y: str, borough: str, prefix
     inside = F.filter(
         F.col(f"{prefix}_cands"),
         lambda p: (px >= p["_xmin"]) & (px <= p["_xmax"]) & (py >= p["_ymin"]) & (py <= p["_ymax"])
-        & _inside(p["_edges"], p["_odd"], px, py, right_of_cell=True))
+        & _inside_cell(p["_edges"], p["_odd"], px, py))
     hit = F.try_element_at(inside, F.lit(1))
     j = j.withColumn(f"{prefix}_hit", hit)
     out = j.select(*points.columns, F.col(f"{prefix}_hit._pid").alias(f"{prefix}pid"),

@@ -247,7 +247,10 @@ class Mart:
 
     @property
     def staged(self) -> dict[str, DataFrame]:
-        return {s: self.stored_stage(s) for s in ("requests", "inspections", "applications")}
+        names = ("requests", "inspections", "applications")
+        _ = self.layers  # all three read them; the staging jobs themselves do not depend on each other
+        with ThreadPoolExecutor(len(names)) as pool:
+            return dict(zip(names, pool.map(self.stored_stage, names)))
 
     # ---------------------------------------------------------------- dimensions
     def dim_time(self) -> DataFrame:
@@ -335,13 +338,14 @@ class Mart:
     # ---------------------------------------------------------------- fact
     def fact_inputs(self) -> FactInputs:
         st = self.staged
+        names = ("dim_location", "dim_complaint", "dim_violation", "dim_open", "dim_date")
+        with ThreadPoolExecutor(len(names)) as pool:  # nor do the dimensions, once the staging tables are there
+            dim = dict(zip(names, pool.map(self.stored, names)))
         return FactInputs(
             requests=self.valid_requests(), request_locations=st["requests"],
             inspection_locations=st["inspections"], inspections=self.m.inspections(),
             open_locations=st["applications"], applications=self.m.applications(),
-            dim_location=self.stored("dim_location"), dim_complaint=self.stored("dim_complaint"),
-            dim_violation=self.stored("dim_violation"), dim_open=self.stored("dim_open"),
-            dim_date=self.stored("dim_date"), dim_time=self.dim_time())
+            **dim, dim_time=self.dim_time())
 
     def stored(self, dim: str) -> DataFrame:
         """A dimension as its load job stored it: built and written once per session and

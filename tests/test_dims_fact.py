@@ -170,3 +170,37 @@ def test_fact_deals_rows_to_as_many_tasks_as_they_need(spark, monkeypatch):
     dealt = [int(k) for k in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", plan)]
     assert n > 8 and dealt.count(n) >= 3 and min(dealt) > 8
     assert rows(fact) == want
+
+
+def test_visits_are_joined_without_being_made_distinct(spark):
+    """Only restaurants are counted, so repeated visits need no shuffle of all inspections, and change nothing."""
+    from dataclasses import replace
+
+    from civic_mart.plans.pipeline import Mart
+    x = Mart(spark, SF_SMALL).fact_inputs()
+    kept = []
+
+    def keep(df):
+        kept.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    twice = rows(fact_preaggregated(replace(x, inspections=x.inspections.unionAll(x.inspections)), keep))
+    assert "Aggregate" not in kept[0]
+    assert rows(fact_preaggregated(x)) == twice
+
+
+def test_staging_and_dimension_jobs_run_side_by_side(spark, monkeypatch):
+    """Jobs that do not depend on each other wait for each other here: one after the other they would never end."""
+    from threading import Barrier
+
+    from civic_mart.plans.pipeline import Mart
+    three, five = Barrier(3, timeout=20), Barrier(5, timeout=20)
+
+    def run(wait, name):
+        wait.wait()
+        return spark.range(1).withColumn("name", F.lit(name))
+    monkeypatch.setattr(Mart, "layers", [])
+    monkeypatch.setattr(Mart, "stored_stage", lambda self, name: run(three, name))
+    monkeypatch.setattr(Mart, "stored", lambda self, name: run(five, name))
+    x = Mart(spark, SF_SMALL).fact_inputs()
+    assert [d.first()["name"] for d in (x.request_locations, x.open_locations, x.dim_location, x.dim_date)] == [
+        "requests", "applications", "dim_location", "dim_date"]

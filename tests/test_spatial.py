@@ -3,11 +3,14 @@ grid index vs brute force."""
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from civic_mart.functions import text
 from civic_mart.operators import spatial
+from civic_mart.sources import sinks
 from conftest import SF_SMALL, rows
 
 SQ = "POLYGON (({a} {b}, {c} {b}, {c} {d}, {a} {d}, {a} {b}))"
@@ -339,3 +342,18 @@ def test_layers_are_shared_by_runs_of_different_instants(spark, tmp_dir):
     assert built[0] is built[1]
     staged = [m._shared("stage_requests", object) for m in runs]
     assert staged[0] is not staged[1]
+
+
+def test_edges_of_a_cell_are_counted_without_a_running_state(spark):
+    """A candidate's edges are filtered and counted: no struct is built for each edge (lambdas are
+    interpreted, and the lookup's time went there)."""
+    def square(a, b):
+        return f"POLYGON (({a} {a}, {b} {a}, {b} {b}, {a} {b}, {a} {a}))"
+    layer = spatial.prepare_layer(spark.createDataFrame([(0, square(0, 4), "X"), (1, "POLYGON ((5 0, 9 1, 5 9, 5 0))", "X")],
+                                                        "pid long, g string, b string"), "g", "b", "pid", [], cell=1.0,
+                                  materialize=lambda df: sinks.materialize(df, "test"))
+    pts = spark.createDataFrame([(1, 0.5, 3.5, "X"), (2, 4.0, 2.0, "X"), (3, 5.5, 1.0, "X"), (4, 7.0, 0.5, "X"), (5, 8.9, 8.9, "X"),
+                                 (6, 7.0, 5.0, "X"), (7, 6.0, 6.0, "X")], "k long, x double, y double, b string")
+    found = spatial.locate(pts, layer, "x", "y", "b", "")
+    assert not re.search(r"\bodd\b", found._jdf.queryExecution().optimizedPlan().toString())
+    assert {r["k"]: r["pid"] for r in found.collect()} == {1: 0, 2: None, 3: 1, 4: None, 5: None, 6: None, 7: 1}
