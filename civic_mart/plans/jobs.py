@@ -14,6 +14,7 @@ behind it and leaves out the records that earlier runs have staged.  It reads ea
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,8 +61,9 @@ def _local(mart: Mart) -> str:
 
 
 def _stage(mart: Mart, root: str, mode: str, variant: str, table: str, source: DataFrame, date: str, end: str,
-           stage: Callable[[DataFrame], DataFrame], required: list[str] | None) -> None:
-    """One staging table of a run, committed with its watermark."""
+           stage: Callable[[DataFrame], DataFrame], required: list[str] | None,
+           ready: Callable[[], object] = lambda: None) -> None:
+    """One staging table of a run, committed with its watermark once ``ready`` returns."""
     spark, run_id, now = mart.spark, run_id_of(mart, mode), _local(mart)
     job, ddl = TABLES[table]
     if runs.committed(spark, root, job, run_id):
@@ -97,6 +99,7 @@ def _stage(mart: Mart, root: str, mode: str, variant: str, table: str, source: D
     else:
         whole = source.where(F.forall(F.array(*[F.col(c).isNotNull() for c in required]), lambda x: x)) if required else source
         latest = ledger.source_max(whole, date)
+    ready()
     runs.commit(spark, root, job, run_id, mode, latest, mart.run_time(), F.lit(end))
 
 
@@ -130,10 +133,13 @@ def run_geocode(mart: Mart, root: str, mode: str, variant: str = "literal",
 
     _stage(mart, root, mode, variant, "requests", mart.m.requests(), "created_date", mart.request_end,
            stage("requests", lambda v: mart.stage_requests(src=v)), REQUEST_REQUIRED)
-    if not runs.committed(mart.spark, root, JOB_INS, run_id_of(mart, mode)):  # no dates: always whole; committed with the inspections
-        runs.write_run(mart.stage_applications(), root, "applications", run_id_of(mart, mode), schemas.STAGE_OPEN_RESTAURANT_LOCATION)
-    _stage(mart, root, mode, variant, "inspections", mart.m.inspections(), "inspection_date", mart.inspection_end,
-           stage("inspections", lambda v: mart.stage_inspections(src=v)), None)
+    if runs.committed(mart.spark, root, JOB_INS, run_id_of(mart, mode)):
+        return
+    with ThreadPoolExecutor(1) as pool:  # the applications (no dates: always whole) are written beside the inspections, committed with them
+        whole = pool.submit(lambda: runs.write_run(mart.stage_applications(), root, "applications", run_id_of(mart, mode),
+                                                   schemas.STAGE_OPEN_RESTAURANT_LOCATION))
+        _stage(mart, root, mode, variant, "inspections", mart.m.inspections(), "inspection_date", mart.inspection_end,
+               stage("inspections", lambda v: mart.stage_inspections(src=v)), None, ready=whole.result)
 
 
 def run_dim_location(mart: Mart, root: str, mode: str) -> None:

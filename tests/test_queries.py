@@ -101,3 +101,32 @@ def test_stored_jobs_end_like_one_snapshot(spark):
     places = [sorted(map(str, jobs.read_staged(spark, r, "dim_location").collect())) for r in (one, two)]
     assert places[0] == places[1] and places[0]
     assert jobs.read_ledger(spark, one).count() == 4 and jobs.read_ledger(spark, two).count() == 8
+
+
+def test_applications_are_staged_beside_the_inspections(spark, tmp_dir, monkeypatch):
+    """The two wait for each other here; applications that fail leave the inspections uncommitted."""
+    from threading import Barrier
+
+    from civic_mart import schemas
+    from civic_mart.plans import jobs
+    from civic_mart.plans.pipeline import JOB_311, JOB_INS
+    both = Barrier(2, timeout=60)
+
+    def empty(table):
+        return spark.createDataFrame([], schemas.struct(jobs.TABLES[table][1]))
+
+    def meet(table, fail=False):
+        both.wait()
+        if fail:
+            raise RuntimeError("no applications")
+        return empty(table)
+    monkeypatch.setattr(jobs.Mart, "stage_requests", lambda self, src: empty("requests"))
+    monkeypatch.setattr(jobs.Mart, "stage_inspections", lambda self, src: meet("inspections"))
+    monkeypatch.setattr(jobs.Mart, "stage_applications", lambda self: meet("applications", fail=True))
+    mart = jobs.as_of(spark, SF_SMALL, jobs.SECOND_RUN_UTC)
+    with pytest.raises(RuntimeError, match="no applications"):
+        jobs.run_geocode(mart, tmp_dir, "snapshot")
+    assert {r["job_name"] for r in jobs.read_ledger(spark, tmp_dir).collect()} == {JOB_311}
+    monkeypatch.setattr(jobs.Mart, "stage_applications", lambda self: meet("applications"))
+    jobs.run_geocode(mart, tmp_dir, "snapshot")
+    assert {r["job_name"] for r in jobs.read_ledger(spark, tmp_dir).collect()} == {JOB_311, JOB_INS}
