@@ -16,32 +16,36 @@ last round keeps several seatings, each with the totals that belong to it.  The
 mean tables of every context and the mean of its class's probabilities, so it sums to one in
 every context.
 
-Texts are read in chunks of about a million tokens.  A chunk asks for its distinct pairs of a word
-and the one before only, as arrays per bucket, so a word that makes up a third of the corpus is
-one entry a chunk and context, and answers come back as one number for each pair.
+Texts are read in chunks of about a million tokens.  A chunk sends its distinct pairs of a word and
+the one before once, as arrays per bucket, with how often it learns from each (not at all from held-out
+texts), so a word that makes up a third of the corpus is one entry a chunk and context.  The bucket
+keeps where each of them lies among its own, about a byte and a half a pair, and with the tables
+seated answers one number for each: neither pairs nor the model travel again.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civic_mart.llm.common import crc_mod, materialize, table, text_of, worker_cache
+from civic_mart.llm.common import crc_mod, discard, materialize, table, text_of, worker_cache
 
 CLASSES = 64           # context classes; the last one is the start of a text
 CHUNK_TOKENS = 1 << 20
 BURN_IN, SAMPLES = 3, 3
 THETA_WORD, THETA_CONTEXT, THETA_ROOT = 5.0, 50.0, 100.0
 DRAWN, EXACT = 64, 1024  # customers up to which a dish's tables are drawn at once; up to which Stirling numbers are tabled
+DIRECT = 8             # customers up to which a dish's weights are multiplied out
 MOVES = 32             # customers of a larger dish that are taken out and reseated in a sweep
 MIN_BUCKETS, BUCKET_BYTES = 32, 64 << 20
 KEY_BITS = np.uint64((1 << 48) - 1)
@@ -77,6 +81,31 @@ def unpack(data: bytes) -> np.ndarray:
     return wide.view("<u8")[:, 0].astype(np.uint64)
 
 
+def shrink(values: np.ndarray) -> bytes:
+    """Numbers that are mostly small or alike: byte by byte of all of them, deflated."""
+    return zlib.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def grow(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1).T.copy().view(kind)[:, 0]
+
+
+def pack_places(places: np.ndarray) -> bytes:
+    """Places in a list, -1 for none, as the steps between them."""
+    steps = np.diff(places[places >= 0], prepend=0)
+    out = np.zeros(len(places), np.uint32)
+    out[places >= 0] = np.where(steps < 0, -2 * steps, 2 * steps + 1)
+    return shrink(out)
+
+
+def unpack_places(data: bytes) -> np.ndarray:
+    code = grow(data, np.uint32).astype(np.int64)
+    out, steps = np.full(len(code), -1), code[code > 0]
+    out[code > 0] = np.cumsum(np.where(steps % 2, steps // 2, -(steps // 2)))
+    return out
+
+
 def triples(tokens: np.ndarray, sizes: np.ndarray, word_class: np.ndarray):
     """Distinct (word, class of the word before, word before) of a chunk's tokens, in that order.
 
@@ -100,10 +129,10 @@ class Chunk:
     so that a bucket's share of words, pairs and triples is one slice each."""
 
     def __init__(self, texts: list[str], held: np.ndarray, buckets: int) -> None:
-        vocab: dict[bytes, int] = defaultdict(count().__next__)
-        ids = [np.fromiter(map(vocab.__getitem__, tokens_of(t)), np.int64) for t in texts]
-        self.sizes = np.array([len(i) for i in ids], np.int64)
-        tok = np.concatenate(ids) if ids else np.empty(0, np.int64)
+        words = [tokens_of(t) for t in texts]
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        coded = pa.array(list(chain.from_iterable(words)), pa.large_binary()).dictionary_encode()
+        tok, vocab = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
         keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocab), np.uint64, len(vocab))
         bucket = (context_key(keys) % np.uint64(buckets)).astype(np.int64)  # which also owns the word as a context
         order = np.lexsort((keys, bucket))
@@ -113,30 +142,24 @@ class Chunk:
         self.word_class = np.fromiter(map(word_class, vocab), np.uint8, len(vocab))[order]
         self.tokens, self.held = place[tok], held
 
-    def by_bucket(self, counts: bool) -> Iterator[dict]:
-        """A row for each bucket that has pairs; with ``counts`` only what texts to learn from hold."""
+    def by_bucket(self, counts: bool = True) -> Iterator[dict]:
+        """A row for each bucket that has pairs; ``counts``: with the tokens of each that are learned from."""
         word, cls, pair, before, token_triple = triples(self.tokens, self.sizes, self.word_class)
         context = np.append(context_key(self.words), np.uint64(START))[before]
-        if counts:
-            learns = np.repeat(~self.held, self.sizes)
-            n = np.bincount(token_triple[learns], minlength=len(pair))
-            pair_n = np.bincount(pair, n, len(word)).astype(np.int64)
-            place = np.cumsum(pair_n > 0) - 1
-            pair, context, n = place[pair[n > 0]], context[n > 0], n[n > 0]
-            word, cls, pair_n = word[pair_n > 0], cls[pair_n > 0], pair_n[pair_n > 0]
+        learns = np.repeat(~self.held, self.sizes)
+        n = np.bincount(token_triple[learns], minlength=len(pair))
+        pair_n = np.bincount(pair, n, len(word)).astype(np.int64)
+        pair_contexts = np.bincount(pair, minlength=len(word))
         bucket = self.word_bucket[word]
         edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(word) else [0]
         for a, b in zip(edges, edges[1:]):
             own, pairs = np.unique(word[a:b], return_counts=True)
             x, y = np.searchsorted(pair, [a, b])
             row = {"bucket": int(bucket[a]), "words": self.words[own].tobytes(),
-                   "pairs": pairs.astype(np.uint8).tobytes(), "classes": cls[a:b].astype(np.uint8).tobytes()}
+                   "pairs": pairs.astype(np.uint8).tobytes(), "classes": cls[a:b].astype(np.uint8).tobytes(),
+                   "contexts": pack(context[x:y]), "pair_contexts": pair_contexts[a:b].astype(np.uint32).tobytes()}
             if counts:
-                row |= {"counts": pair_n[a:b].astype(np.uint32).tobytes(), "contexts": pack(context[x:y]),
-                        "pair_contexts": np.bincount(pair[x:y] - a, minlength=b - a).astype(np.uint32).tobytes(),
-                        "context_counts": n[x:y].astype(np.uint32).tobytes()}
-            else:
-                row["asked"] = pack(pair_key(self.words[word[pair[x:y]]], context[x:y]))
+                row |= {"counts": pair_n[a:b].astype(np.uint32).tobytes(), "context_counts": n[x:y].astype(np.uint32).tobytes()}
             yield row
 
 
@@ -147,7 +170,8 @@ def chunks(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[tuple[str,
 
     def made() -> tuple[str, Chunk, pd.DataFrame]:
         rows = pd.concat(held_back, ignore_index=True)
-        return f"{part}-{n}", Chunk([text_of(t) for t in rows["text"]], rows["held_out"].to_numpy(bool), buckets), rows
+        chunk = Chunk([text_of(t) for t in rows["text"]], rows["held_out"].to_numpy(bool), buckets)
+        return f"{part}-{n}-{zlib.crc32(chunk.tokens.tobytes()):08x}", chunk, rows  # other texts, other name
 
     chars = 0
     for pdf in batches:
@@ -174,7 +198,9 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------- counts
 
-_MODEL = ("bucket int, words binary, totals binary, pair_word binary, classes binary, counts binary, "
+_ASKED = ("chunks array<string>, asked_words array<binary>, asked_pairs array<binary>, asked_classes array<binary>, "
+          "asked_contexts array<binary>")  # of each chunk: its words, classes per word, classes, contexts
+_MODEL = (f"bucket int, words binary, totals binary, pair_word binary, classes binary, counts binary, {_ASKED}, "
           "contexts binary, pair_contexts binary, context_counts binary, class_tokens array<long>, "
           "class_pairs array<long>, class_contexts array<long>, context_ones long, context_twos long, "
           "ones long, twos long, root_ones long, root_twos long")
@@ -182,33 +208,49 @@ _MODEL = ("bucket int, words binary, totals binary, pair_word binary, classes bi
 
 def _merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """All of a bucket's counts in one row: sorted words, their (word, class) pairs in word order, and
-    the contexts of each pair.  Without contexts the classes seat the tokens themselves."""
+    the contexts of each pair, all as far as they are learned, and where each chunk's own lie among
+    them.  Without contexts the classes seat the tokens themselves."""
     parts = [(*_unpack(r), np.frombuffer(r.counts, np.uint32).astype(np.int64)) for r in pdf.itertuples()]
+    sizes = [len(p[0]) for p in parts]
     words, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    shift = np.cumsum([0, *(len(p[0]) for p in parts)])
-    codes = [place[p[1] + s] * CLASSES + p[2] for p, s in zip(parts, shift)]
-    pair, inverse = np.unique(np.concatenate(codes), return_inverse=True)
-    counts = np.zeros(len(pair), np.int64)
-    np.add.at(counts, inverse, np.concatenate([p[3] for p in parts]))
-    word, cls = pair // CLASSES, pair % CLASSES
+    shift = np.cumsum([0, *sizes])
+    pair, inverse = np.unique(np.concatenate([place[p[1] + s] * CLASSES + p[2] for p, s in zip(parts, shift)]), return_inverse=True)
+    counts = np.bincount(inverse, np.concatenate([p[3] for p in parts]), len(pair)).astype(np.int64)
+    pair_word = pair // CLASSES
+    totals = np.bincount(pair_word, counts, len(words)).astype(np.int64)
+    learned, known = counts > 0, totals > 0
+    pair_at, word_at = np.cumsum(learned) - 1, np.where(known, np.cumsum(known) - 1, -1)
+    word, cls, counts = word_at[pair_word[learned]], pair[learned] % CLASSES, counts[learned]
     contexts, context_pair, context_counts = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     customers = counts  # that sit in a class
+    asked: dict[str, list] = {c.split()[0]: [] for c in _ASKED.split(", ")}
     if "contexts" in pdf:
-        code = np.concatenate([np.repeat(c, np.frombuffer(x, np.uint32)) for c, x in zip(codes, pdf["pair_contexts"])])
+        of = np.repeat(inverse, np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["pair_contexts"]]))
         contexts = np.concatenate([unpack(x) for x in pdf["contexts"]])
         part = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["context_counts"]])
-        _, first, inverse = np.unique(pair_key(words[code // CLASSES], contexts), return_index=True, return_inverse=True)
-        context_pair, context_counts = np.searchsorted(pair, code[first]), np.bincount(inverse, part, len(first)).astype(np.int64)
-        order = np.argsort(context_pair, kind="stable")
-        contexts, context_pair, context_counts = contexts[first][order], context_pair[order], context_counts[order]
-        customers = np.bincount(context_pair, minlength=len(pair))
-    held_by = np.bincount(word, minlength=len(words))  # classes that hold the word
+        # those learned come first, so that they name the pair of a key that others share
+        order = np.argsort(part == 0, kind="stable")
+        _, first, at = np.unique(pair_key(words[pair_word[of]], contexts)[order], return_index=True, return_inverse=True)
+        every = np.empty(len(order), np.int64)
+        every[order] = at
+        first, n = order[first], np.bincount(every, part, len(first)).astype(np.int64)
+        place_of = np.full(len(first), -1)
+        kept = np.flatnonzero(n > 0)
+        kept = kept[np.argsort(of[first[kept]], kind="stable")]
+        place_of[kept] = np.arange(len(kept))
+        contexts, context_pair, context_counts = contexts[first[kept]], pair_at[of[first[kept]]], n[kept]
+        customers = np.bincount(context_pair, minlength=len(word))
+        if "chunk" in pdf:
+            ends = np.cumsum([len(x) // 6 for x in pdf["contexts"]])
+            asked = {"chunks": pdf["chunk"].tolist(), "asked_words": [pack_places(word_at[place[e - n:e]]) for e, n in zip(shift[1:], sizes)],
+                     "asked_pairs": [zlib.compress(x, 1) for x in pdf["pairs"]], "asked_classes": [zlib.compress(x, 1) for x in pdf["classes"]],
+                     "asked_contexts": [pack_places(place_of[every[e - len(x) // 6:e]]) for e, x in zip(ends, pdf["contexts"])]}
+    held_by = np.bincount(word, minlength=int(known.sum()))  # classes that hold the word
     return pd.DataFrame([{
-        "bucket": key[0], "words": words.tobytes(),
-        "totals": np.bincount(word, counts, len(words)).astype(np.int64).tobytes(),
+        "bucket": key[0], "words": words[known].tobytes(), "totals": totals[known].tobytes(),
         "pair_word": word.astype(np.uint32).tobytes(), "classes": cls.astype(np.uint8).tobytes(),
-        "counts": counts.tobytes(), "contexts": pack(contexts),
-        "pair_contexts": np.bincount(context_pair, minlength=len(pair)).astype(np.uint32).tobytes(),
+        "counts": counts.tobytes(), **asked, "contexts": pack(contexts),
+        "pair_contexts": np.bincount(context_pair, minlength=len(word)).astype(np.uint32).tobytes(),
         "context_counts": context_counts.astype(np.uint32).tobytes(),
         "class_tokens": np.bincount(cls, counts, CLASSES).astype(np.int64),
         "class_pairs": np.bincount(cls, minlength=CLASSES),
@@ -339,7 +381,10 @@ def reseat(counts: np.ndarray, tables: np.ndarray, discount: float, strength: fl
     edges = np.searchsorted(counts[drawn], np.arange(2, DRAWN + 2))
     for c, a, b in zip(range(2, DRAWN + 1), edges, edges[1:]):
         i = drawn[a:b, None]
-        if len(i):
+        if len(i) and c <= DIRECT:  # the same without logarithms: so few factors neither vanish nor overflow
+            p = np.cumsum(np.cumprod(rate(i, np.arange(c)), 1) * np.exp(log_s[c, 1:c + 1]), 1)
+            tables[i[:, 0]] = 1 + (p < rng.random((len(i), 1)) * p[:, -1:]).sum(1)
+        elif len(i):
             log_p = np.cumsum(np.log(rate(i, np.arange(c))), 1) + log_s[c, 1:c + 1]
             p = np.cumsum(np.exp(log_p - log_p.max(1, keepdims=True)), 1)
             tables[i[:, 0]] = 1 + (p < rng.random((len(i), 1)) * p[:, -1:]).sum(1)
@@ -446,6 +491,8 @@ def _table_totals(all_: Restaurants, seed: int, buckets: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for row in pdf.itertuples():
+                if not row.words:  # a bucket of held-out words only
+                    continue
                 run = sweeps(row, all_, seed, buckets)
                 for _ in range(BURN_IN):
                     tables, customers, root_tables, (seated, own) = next(run)
@@ -461,7 +508,7 @@ def _table_totals(all_: Restaurants, seed: int, buckets: int):
     return rows
 
 
-_SEATED = ("bucket int, words binary, totals binary, pair_word binary, classes binary, counts binary, tables binary, "
+_SEATED = (f"bucket int, words binary, totals binary, pair_word binary, classes binary, {_ASKED}, counts binary, tables binary, "
            "root_tables binary, contexts binary, pair_contexts binary, context_counts binary, context_tables binary, "
            "class_customers array<long>, class_tables array<long>, customers array<long>, root_totals array<long>")
 
@@ -478,6 +525,7 @@ def _seatings(all_: Restaurants, seed: int, buckets: int = 1):
                     next(run)
                 kept = [next(run) for _ in range(SAMPLES)]
                 out.append((row.bucket, row.words, row.totals, row.pair_word, row.classes,
+                            row.chunks, row.asked_words, row.asked_pairs, row.asked_classes, row.asked_contexts,
                             np.stack([k[3][0] for k in kept]).astype(np.int64).tobytes(),
                             np.stack([k[0] for k in kept]).astype(np.uint32).tobytes(),
                             np.stack([k[2] for k in kept]).astype(np.uint32).tobytes(),
@@ -520,58 +568,52 @@ def predictive(row, seatings: list[Restaurants]) -> tuple[np.ndarray, np.ndarray
     return p, np.stack(parents)
 
 
+_ANSWERS = "chunk string, bucket int, pair_p binary, own binary, word_counts binary, word_tables binary"
+
+
 def _answer(seatings: list[Restaurants]):
-    """For a bucket's share of each chunk: probabilities of the pairs in their class, what the words' own
-    context gives them, and the words' counts and their tables as a context."""
-
-    def run(key: tuple, asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        row = next(model.itertuples(), None)
-        if row is not None:
-            known = np.frombuffer(row.words, np.uint64)
-            totals = np.frombuffer(row.totals, np.int64)
-            pair_word = np.frombuffer(row.pair_word, np.uint32).astype(np.int64)
-            pairs = pair_word * CLASSES + np.frombuffer(row.classes, np.uint8)
-            p, parents = predictive(row, seatings)
-            sits = np.frombuffer(row.context_counts, np.uint32) - seatings[0].context_discount * np.frombuffer(
-                row.context_tables, np.float32)
-            seen = pair_key(known[pair_word[_pairs_of(row)]], unpack(row.contexts))
-            order = np.argsort(seen)
-            seen, sits = seen[order], sits[order]
-            as_context = np.zeros(len(known))  # tables of the word's own restaurant
-            if isinstance(row.own_contexts, bytes):
-                contexts, tables = unpack(row.own_contexts), np.frombuffer(row.own_tables, np.float64)
-                mine = context_key(known)
-                at = np.minimum(np.searchsorted(contexts, mine), len(contexts) - 1)
-                as_context = np.where(contexts[at] == mine, tables[at], 0)
-        out = []
-        for q in asked.itertuples():
-            words, word, cls = _unpack(q)
-            count, context = np.zeros(len(words), np.int64), np.zeros(len(words))
-            hit = np.zeros(len(words), bool)
-            at = np.zeros(len(words), np.int64)
-            triple = unpack(q.asked)
-            own = np.zeros(len(triple))
-            if row is not None:
-                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-                hit = known[at] == words
-                count[hit], context[hit] = totals[at[hit]], as_context[at[hit]]
-                place = np.minimum(np.searchsorted(seen, triple), len(seen) - 1)
-                own = np.where(seen[place] == triple, sits[place], 0)
-            value = np.zeros(len(word))
-            for i, all_ in enumerate(seatings):  # a pair not seen: the parent's share
-                pw = np.full(len(words), all_.unknown())
-                if row is not None:
-                    pw[hit] = parents[i, at[hit]]
-                value += all_.back_off()[cls] * pw[word] / len(seatings)
-            if row is not None:
-                code = np.where(hit[word], at[word] * CLASSES + cls, -1)
-                place = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
-                value = np.where(pairs[place] == code, p[place], value)
-            out.append((q.chunk, int(key[0]), value.astype(np.float32).tobytes(), own.astype(np.float32).tobytes(),
-                        count.astype(np.uint64).tobytes(), context.astype(np.float32).tobytes()))
-        return pd.DataFrame(out, columns=["chunk", "bucket", "pair_p", "own", "word_counts", "word_tables"])
+    """For each chunk's share of a bucket: probabilities of the pairs in their class, what the words' own
+    context gives them, and the words' counts."""
 
-    return run
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples():
+                totals = np.append(np.frombuffer(row.totals, np.int64), 0)  # the last one stands for none
+                pairs = np.frombuffer(row.pair_word, np.uint32).astype(np.int64) * CLASSES + np.frombuffer(row.classes, np.uint8)
+                p, parents = predictive(row, seatings)
+                pairs, p = np.append(pairs, np.iinfo(np.int64).max), np.append(p, 0)
+                parents = np.concatenate([parents, [[all_.unknown()] for all_ in seatings]], axis=1)
+                sits = np.append(np.frombuffer(row.context_counts, np.uint32) - seatings[0].context_discount * np.frombuffer(
+                    row.context_tables, np.float32), 0)
+                for chunk, at, per_word, cls, contexts in zip(
+                        row.chunks, row.asked_words, row.asked_pairs, row.asked_classes, row.asked_contexts):
+                    at = unpack_places(at)
+                    word = np.repeat(at, np.frombuffer(zlib.decompress(per_word), np.uint8))
+                    cls = np.frombuffer(zlib.decompress(cls), np.uint8).astype(np.int64)
+                    # a pair not seen: the parent's share
+                    value = sum(all_.back_off()[cls] * parent[word] / len(seatings) for all_, parent in zip(seatings, parents))
+                    code = np.where(word >= 0, word * CLASSES + cls, -1)
+                    place = np.searchsorted(pairs, code)
+                    value = np.where(pairs[place] == code, p[place], value)
+                    yield pd.DataFrame([(chunk, row.bucket, value.astype(np.float32).tobytes(), shrink(sits[unpack_places(contexts)].astype(
+                        np.float32)), shrink(totals[at]), None)], columns=[c.split()[0] for c in _ANSWERS.split(", ")])
+
+    return rows
+
+
+def _as_contexts(key: tuple, model: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+    """For each chunk's share of a bucket: the words' tables as a context."""
+    out = []
+    for row in model.itertuples():
+        known = context_key(np.frombuffer(row.words, np.uint64))
+        as_context = np.zeros(len(known) + 1)  # the last one stands for none
+        for r in own.itertuples():
+            contexts, tables = unpack(r.own_contexts), np.frombuffer(r.own_tables, np.float64)
+            at = np.minimum(np.searchsorted(contexts, known), len(contexts) - 1)
+            as_context[:-1] = np.where(contexts[at] == known, tables[at], 0)
+        out += [(chunk, int(key[0]), None, None, None, shrink(as_context[unpack_places(at)].astype(np.float32)))
+                for chunk, at in zip(row.chunks, row.asked_words)]
+    return pd.DataFrame(out, columns=[c.split()[0] for c in _ANSWERS.split(", ")])
 
 
 # ---------------------------------------------------------------- scoring
@@ -580,10 +622,12 @@ def token_scores(t, answers: pd.DataFrame, discount: float, start: tuple[float,
     """(each token's word, log10 probability of each token, count of each word) of a chunk from the
     answers of all buckets.  ``start``: tokens and tables of the restaurant before a text's first word."""
     answers = answers.sort_values("bucket")
-    pair_p, own, tables, counts = (
-        np.concatenate([np.frombuffer(x, kind) for x in answers[c]]).astype(np.float64)
-        for c, kind in (("pair_p", np.float32), ("own", np.float32), ("word_tables", np.float32), ("word_counts", np.uint64)))
-    word = np.frombuffer(zlib.decompress(t.tokens), np.uint8).reshape(4, -1).T.copy().view(np.uint32)[:, 0].astype(np.int64)
+    if answers.empty:
+        raise ValueError(f"chunk {t.chunk}: not asked; its texts were others when they were counted")
+    pair_p = np.concatenate([np.frombuffer(x, np.float32) for x in answers["pair_p"].dropna()]).astype(np.float64)
+    own, tables, counts = (np.concatenate([grow(x, kind) for x in answers[c].dropna()]).astype(np.float64)
+                           for c, kind in (("own", np.float32), ("word_tables", np.float32), ("word_counts", np.int64)))
+    word = grow(t.tokens, np.uint32).astype(np.int64)
     pairs, _, pair, context, token = triples(word, np.frombuffer(t.sizes, np.int64), np.frombuffer(t.word_classes, np.uint8))
     if (len(pair_p), len(own)) != (len(pairs), len(pair)):
         raise ValueError(f"chunk {t.chunk}: {len(pairs)} and {len(pair)} asked, {len(pair_p)} and {len(own)} answered")
@@ -597,6 +641,8 @@ def _score(n: int, types: int, discount: float, start: tuple[float, float]):
     """Scores of a chunk's texts."""
 
     def run(key: tuple, tokens: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        if tokens.empty:
+            raise ValueError(f"chunk {key[0]}: its texts are not there any more")
         t = next(tokens.itertuples())
         word, log_p, counts = token_scores(t, answers, discount, start)
         sizes = np.frombuffer(t.sizes, np.int64)
@@ -611,42 +657,59 @@ def _score(n: int, types: int, discount: float, start: tuple[float, float]):
 
 
 def _start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tables of the restaurant before a text's first word, of its owner's parts."""
+    """Tables of the restaurant before a text's first word, of its owner's."""
     for pdf in batches:
         for r in pdf.itertuples():
-            mine = unpack(r.contexts) == START
-            yield pd.DataFrame({"tables": np.frombuffer(r.tables, np.float32)[mine].astype(float)})
+            yield pd.DataFrame({"tables": np.frombuffer(r.own_tables, np.float64)[unpack(r.own_contexts) == START]})
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings changed for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def lm_scores(docs: DataFrame, held_out, buckets: int | None = None, seed: int = 1) -> DataFrame:
     """Scores of every row of ``docs(doc_id, text)``: ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score, perplexity``.
 
-    ``docs`` is a stored table, read four times (once for its size only); ``held_out`` a boolean column over it that
+    ``docs`` is a stored table, read three times (once for its size only); ``held_out`` a boolean column over it that
     says what is not learned from.  Null and empty texts are one end token.  With nothing to
     learn from, every token is the unknown one, with probability 1.  Repeated rows and null
     ids give rows of their own; an empty table an empty result; other columns are ignored."""
+    spark = docs.sparkSession
+    with settings(spark, {
+            "spark.sql.files.minPartitionNum": spark.conf.get("spark.sql.files.minPartitionNum", None)
+            or str(spark.sparkContext.defaultParallelism),  # both readings of the texts are split alike
+            # what a step has stored is read from there: its shuffle files can go
+            "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}):
+        return _lm_scores(docs, held_out, buckets, seed)
+
+
+def _lm_scores(docs: DataFrame, held_out, buckets: int | None, seed: int) -> DataFrame:
     spark = docs.sparkSession
     if not buckets:  # a bucket's share of the texts does not grow with them
         size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
         buckets = max(MIN_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
-    asked = "bucket int, words binary, pairs binary, classes binary"
+    sent = ("bucket int, words binary, pairs binary, classes binary, counts binary, contexts binary, pair_contexts binary, "
+            "context_counts binary, chunk string")
 
     def count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, chunk, _ in chunks(batches, buckets):
-            yield pd.DataFrame(list(chunk.by_bucket(True)), columns=["bucket", "words", "pairs", "classes", "counts",
-                                                                     "contexts", "pair_contexts", "context_counts"])
-
-    def question_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for name, chunk, _ in chunks(batches, buckets):
-            yield pd.DataFrame(list(chunk.by_bucket(False)), columns=[
-                "bucket", "words", "pairs", "classes", "asked"]).assign(chunk=name)
+            yield pd.DataFrame(list(chunk.by_bucket())).assign(chunk=name)[[c.split()[0] for c in sent.split(", ")]]
 
     def token_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for name, chunk, rows in chunks(batches, buckets):
             yield pd.DataFrame([{
-                "chunk": name, "tokens": zlib.compress(chunk.tokens.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), 1),
+                "chunk": name, "tokens": shrink(chunk.tokens.astype(np.uint32)),
                 "word_classes": chunk.word_class.tobytes(),
                 "sizes": chunk.sizes.tobytes(), "doc_ids": [None if pd.isna(x) else int(x) for x in rows["doc_id"]],
                 "held_out": rows["held_out"].tolist()}])
@@ -662,9 +725,7 @@ def lm_scores(docs: DataFrame, held_out, buckets: int | None = None, seed: int =
             for r in pdf.itertuples():
                 yield context_parts(r.bucket, unpack(r.contexts), np.frombuffer(r.context_tables, np.float32), buckets)
 
-    model = materialize(d.mapInPandas(
-        count_rows, f"{asked}, counts binary, contexts binary, pair_contexts binary, context_counts binary").groupBy(
-        "bucket").applyInPandas(_merge, _MODEL), "lm-counts")
+    model = materialize(d.mapInPandas(count_rows, sent).groupBy("bucket").applyInPandas(_merge, _MODEL), "lm-counts")
     class_pairs, class_contexts = by_class(model, "class_pairs", CLASSES), by_class(model, "class_contexts", CLASSES)
     ones = [f"{level}{k}" for level in ("context_", "", "root_") for k in ("ones", "twos")]
     sums = model.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ones],
@@ -680,28 +741,30 @@ def lm_scores(docs: DataFrame, held_out, buckets: int | None = None, seed: int =
     all_ = Restaurants(n, types, by_class(totals, "class_customers", CLASSES), by_class(totals, "class_tables", CLASSES),
                        root["c"], root["t"], *discounts)
     # the kept seatings, and the exact totals of each
-    in_contexts = totals.groupBy("owner").applyInPandas(_send_back, "owner int, bucket int, tables binary")
+    in_contexts = materialize(totals.groupBy("owner").applyInPandas(_send_back, "owner int, bucket int, tables binary"), "lm-in-contexts")
+    discard(totals)
     seated = materialize(model.drop("class_tokens", "class_pairs", "class_contexts", *ones).groupBy("bucket").cogroup(
         in_contexts.groupBy("bucket")).applyInPandas(_with_totals(_seatings(all_, seed + 1, buckets)), _SEATED), "lm-seatings")
+    discard(model, in_contexts)
     class_customers, class_tables = (by_class(seated, c, SAMPLES * CLASSES).reshape(SAMPLES, CLASSES)
                                      for c in ("class_customers", "class_tables"))
     customers, root_totals = by_class(seated, "customers", SAMPLES), by_class(seated, "root_totals", SAMPLES)
     seatings = [Restaurants(n, types, class_customers[i], class_tables[i], customers[i], root_totals[i], *discounts)
                 for i in range(SAMPLES)]
-    parts = materialize(seated.select("bucket", "contexts", "context_tables").mapInPandas(
-        kept_parts, _PARTS), "lm-contexts")
-    start = parts.where(F.col("owner") == START % buckets).mapInPandas(_start, "tables double").agg(
+    own = materialize(seated.select("bucket", "contexts", "context_tables").mapInPandas(kept_parts, _PARTS).groupBy(
+        "owner").applyInPandas(_own, "bucket int, own_contexts binary, own_tables binary"), "lm-contexts")
+    start = own.where(F.col("bucket") == START % buckets).mapInPandas(_start, "tables double").agg(
         F.coalesce(F.sum("tables"), F.lit(0.0)).alias("t")).first()
-    own = parts.groupBy("owner").applyInPandas(_own, "bucket int, own_contexts binary, own_tables binary")
-    answers = d.mapInPandas(question_rows, f"{asked}, asked binary, chunk string").groupBy("bucket").cogroup(
-        seated.drop("class_customers", "class_tables", "customers", "root_totals").join(own, "bucket", "left").groupBy(
-            "bucket")).applyInPandas(
-        _answer(seatings), "chunk string, bucket int, pair_p binary, own binary, word_counts binary, word_tables binary")
+    answers = seated.select("bucket", "totals", "pair_word", "classes", *[c.split()[0] for c in _ASKED.split(", ")], "counts", "tables",
+                            "root_tables", "context_counts", "context_tables").mapInPandas(_answer(seatings), _ANSWERS).unionByName(
+        seated.select("bucket", "words", "chunks", "asked_words").groupBy("bucket").cogroup(own.groupBy("bucket")).applyInPandas(
+            _as_contexts, _ANSWERS))
     tokens = d.mapInPandas(token_rows, "chunk string, tokens binary, word_classes binary, sizes binary, "
                                        "doc_ids array<long>, held_out array<boolean>")
-    scored = tokens.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+    scored = materialize(tokens.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         _score(n, types, discounts[2], (class_tokens[CLASSES - 1], start["t"])),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"), "lm-scores")
+    discard(seated, own)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 

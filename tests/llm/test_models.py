@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -330,3 +331,55 @@ def test_lm_buckets_grow_with_the_texts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(pitman_yor, "MIN_BUCKETS", 1)
     pitman_yor.lm_scores(docs, crc_mod("doc_id", 5) == 1).count()
     assert seen == [max(size // 20, int(spark.conf.get("spark.sql.shuffle.partitions")))]
+
+
+def test_lm_leaves_no_tables_and_settings_behind(spark, tmp_path, monkeypatch):
+    """What the steps store goes as soon as nothing reads it: only the scores stay."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.2, 400) % 90000) for _ in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    stored, real = {}, pitman_yor.materialize
+    monkeypatch.setattr(pitman_yor, "materialize", lambda df, name: stored.setdefault(name, real(df, name)))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.minPartitionNum", "spark.sql.parquet.compression.codec",
+                                                   "spark.sql.classic.shuffleDependency.fileCleanup.enabled")}
+    got = pitman_yor.lm_scores(docs, crc_mod("doc_id", 5) == 1, buckets=4)
+    assert got.count() == len(texts)
+    left = {name for name, df in stored.items()
+            if pathlib.Path(df.inputFiles()[0].removeprefix("file://").removeprefix("file:")).parent.exists()}
+    assert left == {"lm-scores"}
+    assert before == {k: spark.conf.get(k, None) for k in before}
+
+
+def test_lm_chunk_is_sent_once():
+    """A bucket learns from the pairs of held-out texts nothing, and knows where each chunk's lie among its own."""
+    texts = ["the cat sat", "the dog sat on the cat", "a bird the cat", ""]
+    chunk = pitman_yor.Chunk(texts, np.array([False, False, True, True]), 3)
+    sent = pd.DataFrame(list(chunk.by_bucket())).assign(chunk="c")
+    n = learned = 0
+    for b, part in sent.groupby("bucket"):
+        row = next(pitman_yor._merge((b,), part).itertuples())
+        asked = pitman_yor.unpack_places(row.asked_words[0])
+        known = np.frombuffer(row.words, np.uint64)
+        for word, at in zip(np.frombuffer(part["words"].iloc[0], np.uint64), asked):
+            assert (at < 0 and word not in known) or known[at] == word
+        at = pitman_yor.unpack_places(row.asked_contexts[0])
+        assert (pitman_yor.unpack(part["contexts"].iloc[0])[at >= 0] == pitman_yor.unpack(row.contexts)[at[at >= 0]]).all()
+        n, learned = n + len(at), learned + (at >= 0).sum()
+        assert np.frombuffer(row.context_counts, np.uint32).min(initial=1) > 0
+    pairs = [list(zip([None, *t.split()], [*t.split(), ""])) for t in texts]
+    assert n == len({p for t in pairs for p in t}) and learned == len({p for t in pairs[:2] for p in t})
+
+
+def test_lm_places_and_small_numbers_come_back():
+    for places in ([], [-1], [0], [5, -1, 3, 3, 2**30, 0, -1]):
+        assert pitman_yor.unpack_places(pitman_yor.pack_places(np.array(places, np.int64))).tolist() == places
+    for kind in (np.float32, np.int64):
+        x = np.array([0, 1, 2.5, 1e6]).astype(kind)
+        assert (pitman_yor.grow(pitman_yor.shrink(x), kind) == x).all()
+
+
+def test_lm_texts_that_changed_between_readings_fail():
+    chunk = pd.DataFrame([{"chunk": "0-0-x"}])
+    with pytest.raises(ValueError, match="not asked"):
+        pitman_yor.token_scores(next(chunk.itertuples()), pd.DataFrame(columns=["bucket", "pair_p"]), 0.5, (0.0, 0.0))
