@@ -5,8 +5,10 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from civic_mart.llm import hnsw, warc
@@ -49,6 +51,45 @@ def test_graph_finds_what_brute_force_finds():
     assert not got - want and len(got & want) / len(want) >= 0.98
 
 
+def test_large_group_is_followed_in_parts():
+    rng = np.random.default_rng(5)
+    x = hnsw.unit(rng.normal(size=(1, 24)) + rng.normal(size=(3000, 24)) * 0.02)
+    graph, _ = hnsw.Graph.build(x)
+    tracemalloc.start()
+    found = 0
+    for row, node in graph.hits(graph.vec[:256], 0.95):
+        assert len(row) <= hnsw.PAIRS and (np.diff(row) >= 0).all()
+        found += len(row)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 256 * 3000 == len(graph.within(graph.vec[:256], 0.95)[0])
+    assert peak < 40e6  # 435 MB when all pairs were followed at once
+
+
+def test_graph_travels_as_rows_of_its_nodes():
+    x = clouds(6000, 300, seed=7).astype(np.float64)
+    n = len(x)
+    table = pa.table({"dim": pa.array([24] * n, pa.int32()), "shard": pa.array([1] * n, pa.int32()), "node": np.arange(n),
+                      "weight": np.ones(n, np.int64), "embedding": pa.array(list(x))})
+    out = list(hnsw._build(0.95)(iter(table.to_batches(1000))))
+    assert [b.num_rows for b in out] == [hnsw.OUT_ROWS, n - hnsw.OUT_ROWS]
+    assert max(pa.table(b.slice(0, 1).to_pydict()).nbytes for b in out) < 2000  # whatever the shard's size
+    graph, raw, weights, roots = hnsw._load(iter(out))
+    scaled = x / np.abs(x).max(1, keepdims=True)
+    built, order = hnsw.Graph.build(hnsw.unit(scaled))
+    assert (raw == scaled[order]).all() and (graph.vec == built.vec).all() and len(weights) == len(roots) == n
+    assert len(graph.layers) == len(built.layers) and all((a == b).all() for a, b in zip(graph.layers, built.layers))
+
+
+def test_wide_vectors_make_more_shards(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD_VALUES", 1000)
+    x = clouds(200, 100, seed=4)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.embedding_near_dups(vectors).collect()}  # 8 shards, not 4
+    links, root = brute_links(range(len(x)), x.tolist())
+    assert got == {i: (links[i], root[i]) for i in range(len(x))}
+
+
 def test_operator_matches_brute_force(spark):
     x = clouds(300, 200, seed=2)
     rows = [(int(i * 3 + 1), v.tolist()) for i, v in enumerate(x)]
