@@ -9,16 +9,16 @@ ordering records on ``order`` columns and polygons on their id.
 
 First-non-null is a minimum over ``struct(order, value)`` restricted to
 non-null values, so it decomposes: records are first reduced to distinct
-(key, location) groups (map-side partial aggregation absorbs hot keys), the
-spatial refine runs once per group, and the final merge takes the minimum of
-the group minima.
+(key, location) groups (map-side partial aggregation absorbs hot keys), and the
+spatial refine runs once per group.  A key's only group is its result; where a
+key has several, the merge takes the minimum of the group minima.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civic_mart.operators import spatial
@@ -59,9 +59,21 @@ def geocode(records: DataFrame, spec: GeocodeSpec,
         F.min(ord_col).alias("_ord"),
         *[F.min(_first(F.col(src), ord_col)).alias(f"_f_{out}") for out, src in spec.fields.items()],
     )
-    hit = groups
-    for ls in spec.layers:
-        hit = spatial.locate(hit, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit, salt)
+    groups = groups.withColumn("_groups", F.count(F.lit(1)).over(Window.partitionBy(spec.key)))
+
+    def located(which: Column) -> DataFrame:
+        # both parts read ``_ord`` (never null), so they share one shuffle of the groups
+        rows = groups.where(which & F.col("_ord").isNotNull())
+        for ls in spec.layers:
+            rows = spatial.locate(rows, ls.layer, spec.x, spec.y, spec.borough, ls.prefix, broadcast_limit, salt)
+        return rows
+
+    outs = [F.col(f"_f_{out}")["v"].alias(out) for out in spec.fields]
+    outs += [F.col(f"{ls.prefix}{attr}").alias(out) for ls in spec.layers for out, attr in ls.outputs.items()]
+    if spec.layers:
+        outs += [F.coalesce(*[F.col(f"{ls.prefix}{ls.borough_attrs[i]}") for ls in spec.layers]).alias(name)
+                 for i, name in enumerate(("borough_code", "borough_name"))]
+    single = located(F.col("_groups") == 1).select(spec.key, *outs)
 
     aggs = [F.min(F.col(f"_f_{out}"))["v"].alias(out) for out in spec.fields]
     boro_code, boro_name = [], []
@@ -73,4 +85,4 @@ def geocode(records: DataFrame, spec: GeocodeSpec,
         boro_name.append(F.min(_first(F.col(f"{ls.prefix}{ls.borough_attrs[1]}"), order))["v"])
     if spec.layers:
         aggs += [F.coalesce(*boro_code).alias("borough_code"), F.coalesce(*boro_name).alias("borough_name")]
-    return hit.groupBy(spec.key).agg(*aggs)
+    return single.unionByName(located(F.col("_groups") > 1).groupBy(spec.key).agg(*aggs))

@@ -112,12 +112,13 @@ def _crosses(e: Column, px: Column, py: Column) -> tuple[Column, Column]:
 
     The side (null elsewhere) is taken only where the point is in the edge's bounding box."""
     beyond = px < F.least(e["x1"], e["x2"])
-    boxed = (px <= F.greatest(e["x1"], e["x2"])) & (py >= F.least(e["y1"], e["y2"])) \
-        & (py <= F.greatest(e["y1"], e["y2"])) & ~beyond
-    side = F.when(boxed, exact.side(e["x1"], e["y1"], e["x2"], e["y2"], px, py))
+    # most edges are settled by a comparison or two: a conjunction ends at the first that fails
+    boxed = (px <= F.greatest(e["x1"], e["x2"])) & ~beyond & (py >= F.least(e["y1"], e["y2"])) \
+        & (py <= F.greatest(e["y1"], e["y2"]))
+    exactly = exact.side(e["x1"], e["y1"], e["x2"], e["y2"], px, py)
     # the ray meets an edge that goes up from its left side, one that goes down from its right
-    meets = beyond | F.coalesce((side != 0) & ((e["y2"] > e["y1"]) == (side > 0)), F.lit(False))
-    return ((e["y1"] > py) != (e["y2"] > py)) & meets, side
+    meets = beyond | F.coalesce(boxed & (exactly != 0) & ((e["y2"] > e["y1"]) == (exactly > 0)), F.lit(False))
+    return ((e["y1"] > py) != (e["y2"] > py)) & meets, F.when(boxed, exactly)
 
 
 def _inside(edges: Column, px: Column, py: Column) -> Column:

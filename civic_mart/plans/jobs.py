@@ -92,7 +92,9 @@ def _stage(mart: Mart, root: str, mode: str, variant: str, table: str, source: D
         valid = rows.where("gate = 'valid'").drop("gate", "missing")
         runs.write_run(rows.where("gate = 'rejected'"), root, "rejected_requests", run_id, REJECTED)
     # sorted by date: the next run's look-back and the dimension load read few files
-    runs.write_run(stage(valid), root, table, run_id, ddl, sort_by=[date])
+    staged = sinks.materialize(stage(valid), f"staged-{table}")  # sorting samples its input first: not the geocode again
+    runs.write_run(staged, root, table, run_id, ddl, sort_by=[date])
+    sinks.discard(staged)
     if variant == "safe":
         runs.write_run(valid, root, f"seen_{table}", run_id, seen_ddl, sort_by=[date])
         latest = F.greatest(mark, ledger.source_max(valid, date))  # what is processed; no rows: as before
@@ -289,12 +291,23 @@ def boundary_sources(spark: SparkSession, sf_dir: str) -> tuple[Mart, Mart]:
 
 
 def boundary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(variant, table_name, key, at)``: the staged records and the ledger of both variants after both runs."""
-    parts = []
-    for variant in VARIANTS:
+    """``(variant, table_name, key, at)``: the staged records and the ledger of both variants after both runs.
+
+    The variants read the same sources and layers and write under roots of their own: they run side by side."""
+    marts = boundary_sources(spark, sf_dir)
+    for mart in marts:
+        _ = mart.layers  # both variants read them
+
+    def both_runs(variant: str) -> str:
         root = sinks.scratch_path(spark, f"geocode-{variant}")
-        for mart, mode in zip(boundary_sources(spark, sf_dir), ("snapshot", "increment")):
+        for mart, mode in zip(marts, ("snapshot", "increment")):
             run_geocode(mart, root, mode, variant)
+        return root
+
+    with ThreadPoolExecutor(len(VARIANTS)) as pool:
+        roots = list(pool.map(both_runs, VARIANTS))
+    parts = []
+    for variant, root in zip(VARIANTS, roots):
         staged = read_staged(spark, root, "requests")
         parts.append(staged.select(F.lit(variant).alias("variant"), F.lit("requests").alias("table_name"), F.col("unique_key").alias("key"),
                                    F.col("created_date").alias("at")))

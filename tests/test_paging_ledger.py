@@ -100,3 +100,22 @@ def test_required_gate(spark):
     assert quality.split_required(nan, ["k", "v"])[0].count() == 1  # NaN is not NULL
     with pytest.raises(Exception):
         quality.assert_required(df, ["k"]).collect()
+
+
+def test_boundary_variants_share_their_sources(spark, monkeypatch):
+    """The late rows are made once, and neither variant waits for the other."""
+    import threading
+
+    from civic_mart.plans import jobs
+    from conftest import SF_SMALL
+    made, ran, both = [], [], threading.Barrier(2)
+
+    def run(mart, root, mode, variant):
+        ran.append((root, mode, variant))
+        both.wait(timeout=60)
+
+    monkeypatch.setattr(jobs, "boundary_sources", lambda *a, _of=jobs.boundary_sources: made.append(1) or _of(*a))
+    monkeypatch.setattr(jobs, "run_geocode", run)
+    assert jobs.boundary_rows(spark, SF_SMALL).count() == 0 and made == [1]
+    assert sorted(r[1:] for r in ran) == [(m, v) for m in ("increment", "snapshot") for v in ("literal", "safe")]
+    assert len({r[0] for r in ran}) == 2
