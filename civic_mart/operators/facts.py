@@ -91,10 +91,12 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
     known from the staging table alone.  The planner sizes every join, but requests and visits are
     dealt to as many tasks as they need, since a fixed number of tasks would hold ever more of them."""
     tasks = _tasks(x.request_locations)
-    # --- requests: one aggregate row per location, block, date, hour and complaint
+    # --- requests: one aggregate row per block, type, date, hour and complaint.  Every location of a (block, type) has the
+    # same requests, so the long location ids come last: only where the rows lie by (block, type) anyway
+    places_known = x.dim_location.select("LocationID", F.col("Block").alias("_b"), F.col("LocationType").alias("_t")).distinct()
     located = x.request_locations.select("unique_key", F.col("block_bctcb2020").alias("_b"),
                                          F.col("locationType").alias("_t")).join(
-        x.dim_location.select("LocationID", F.col("Block").alias("_b"), F.col("LocationType").alias("_t")), ["_b", "_t"])
+        places_known.select("_b", "_t"), ["_b", "_t"], "left_semi")
     complaints = x.dim_complaint.select("ComplaintID", F.col("ComplaintType").alias("_ct"),
                                         F.col("ComplaintDescription").alias("_cd"))
     dates = x.dim_date.select(F.col("DateID").alias("_date"), "DateID")
@@ -104,7 +106,7 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
         cal.hour_diff(F.col("created_date"), F.col("closed_date")).alias("_hours_open"),
         F.coalesce("complaint_type", F.lit(DEFAULT_COMPLAINT_TYPE)).alias("_ct"),
         F.coalesce("descriptor", F.lit(DEFAULT_COMPLAINT_DESCRIPTION)).alias("_cd"))
-    group = ["LocationID", "_b", "_t", "DateID", "TimeID", "ComplaintID"]
+    group = ["_b", "_t", "DateID", "TimeID", "ComplaintID"]
     r = r.join(complaints, ["_ct", "_cd"]).join(dates, "_date").join(hours, "_hour").repartition(tasks, "unique_key")
     r = (r.join(located.repartition(tasks, "unique_key"), "unique_key").select(*group, "unique_key", "_hours_open")
          .repartition(tasks, *group).groupBy(*group).agg(
@@ -137,7 +139,7 @@ def fact_preaggregated(x: FactInputs, keep: Callable[[DataFrame], DataFrame] = l
     not_open = _member_ids(kinds.where((F.col("_ot") == DEFAULT_OPEN_TYPE) & (F.col("_oa") == 0)), "OpenRestaurantID")
 
     with_requests = _or_default(_or_default(r, violations, "RestaurantViolationID", no_violation), opened,
-                                "OpenRestaurantID", not_open).select(
+                                "OpenRestaurantID", not_open).join(places_known, ["_b", "_t"]).select(
         *GROUP_IDS, "NumberOfComplaints", F.coalesce("NumberOfViolations", F.lit(0)).alias("NumberOfViolations"),
         F.coalesce("_avg", F.lit(0.0)).alias("AvgResolveTimeForComplaints"))
 

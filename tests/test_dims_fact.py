@@ -204,3 +204,32 @@ def test_staging_and_dimension_jobs_run_side_by_side(spark, monkeypatch):
     x = Mart(spark, SF_SMALL).fact_inputs()
     assert [d.first()["name"] for d in (x.request_locations, x.open_locations, x.dim_location, x.dim_date)] == [
         "requests", "applications", "dim_location", "dim_date"]
+
+
+def test_location_ids_are_not_shuffled_with_requests(spark):
+    """The fact's requests meet their location ids where they lie by (block, type) anyway."""
+    from civic_mart.plans.pipeline import Mart
+    from conftest import SF_SMALL
+    plan = Mart(spark, SF_SMALL).fact()._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(plan) if "RepartitionByExpression" in line and "unique_key" in line]
+    assert dealt and not any("LocationID" in plan[i] for i in dealt)
+    group = next(line for line in plan if "Aggregate [" in line and "ComplaintID" in line and "_b#" in line)
+    assert "LocationID" not in group
+
+
+def test_locations_of_one_block_and_type(spark):
+    """Two location ids of a (block, type), one listed twice: a fact row for each id, with the same measures."""
+    from dataclasses import replace
+
+    from civic_mart.operators.facts import fact_preaggregated
+    from civic_mart.plans.pipeline import Mart
+    from conftest import SF_SMALL
+    x = Mart(spark, SF_SMALL).fact_inputs()
+    second = x.dim_location.withColumn("LocationID", F.concat(F.lit("2-"), "LocationID"))
+    both = replace(x, dim_location=x.dim_location.unionByName(x.dim_location).unionByName(second))
+    cols = ["RestaurantViolationID", "OpenRestaurantID", "DateID", "TimeID", "ComplaintID", "NumberOfComplaints",
+            "NumberOfViolations", "AvgResolveTimeForComplaints"]
+    once = rows(fact_preaggregated(x).select("LocationID", *cols))
+    got = rows(fact_preaggregated(both).select("LocationID", *cols))
+    known = [r for r in once if r[0] is not None]
+    assert known and sorted(map(str, got)) == sorted(map(str, once + [(f"2-{r[0]}", *r[1:]) for r in known]))

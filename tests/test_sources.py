@@ -191,3 +191,28 @@ def test_collections_are_made_from_a_spread_layer(spark, monkeypatch):
     got = sorted((r["layer"], r["poly_id"], r["n_rings"], r["wkt_ok"]) for r in loads.geojson_collections_query(mart).collect())
     assert got == [(name, i, 2 if i == 3 else 1, True) for name in ("blocks", "ntas") for i in range(4)]
     assert len(parts) == 2 and min(parts) >= spark.sparkContext.defaultParallelism
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What is stored is read from its files: the shuffles that made it are deleted when it is written,
+    the session's setting stays as it was, also with writes side by side."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    from civic_mart.sources import sinks
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    root = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held() -> int:
+        return sum(f.startswith("shuffle_") for d in root.localDirs() for _, _, names in os.walk(d.toString()) for f in names)
+
+    start, df = held(), spark.range(10_000).repartition(7).groupBy((F.col("id") % 100).alias("k")).count()
+    with ThreadPoolExecutor(2) as pool:
+        stored = list(pool.map(lambda i: sinks.materialize(df, f"freed-{i}"), range(2)))
+    for _ in range(50):
+        if held() <= start:
+            break
+        time.sleep(0.1)
+    assert held() <= start and spark.conf.get(name, None) == before
+    assert all(s.count() == 100 for s in stored)
