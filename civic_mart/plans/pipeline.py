@@ -247,10 +247,13 @@ class Mart:
 
     @property
     def staged(self) -> dict[str, DataFrame]:
-        names = ("requests", "inspections", "applications")
         _ = self.layers  # all three read them; the staging jobs themselves do not depend on each other
-        with ThreadPoolExecutor(len(names)) as pool:
-            return dict(zip(names, pool.map(self.stored_stage, names)))
+        with ThreadPoolExecutor(1) as pool:
+            # inspections shuffle little: a row a restaurant.  The others shuffle all their rows and take turns, as a job's
+            # shuffle files stay until it has written its table
+            inspections = pool.submit(self.stored_stage, "inspections")
+            out = {name: self.stored_stage(name) for name in ("applications", "requests")}
+            return {**out, "inspections": inspections.result()}
 
     # ---------------------------------------------------------------- dimensions
     def dim_time(self) -> DataFrame:
